@@ -3,10 +3,10 @@ from blockmill.functions.ids import (
     append_eos, attention_mask, block_slice, file_digest, ids_digest, lm_labels,
     resolve_pad, shard_name, to_long_ids,
 )
-from blockmill.functions.tokenizers import BpeTokenizer, ByteTokenizer, WordTokenizer
+from blockmill.functions.tokenizers import ByteTokenizer, FileTokenizer, WordTokenizer
 
 __all__ = [
-    "BpeTokenizer", "ByteTokenizer", "WordTokenizer", "append_eos", "attention_mask",
+    "ByteTokenizer", "FileTokenizer", "WordTokenizer", "append_eos", "attention_mask",
     "block_slice", "file_digest", "ids_digest", "lm_labels", "resolve_pad",
     "shard_name", "to_long_ids", "unit_hash",
 ]

@@ -3,13 +3,14 @@
 A tokenizer adds ``payload`` and ``n_tok`` to a table of documents and knows how
 to cut a payload and turn its pieces into ids. The byte tokenizer needs no
 Python: its payload is the text itself, which is what the packing shuffles. The
-word and BPE tokenizers produce id arrays in Arrow batches, so their result is
+word and file tokenizers produce id arrays in Arrow batches, so their result is
 written once and read back (``costly = True``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -144,41 +145,39 @@ class WordTokenizer(_ArrayTokenizer):
         return lookup(text)
 
 
-_BPE_MODELS: dict[str, object] = {}
+class FileTokenizer(_ArrayTokenizer):
+    """Any ``tokenizer.json`` definition, such as a trained BPE model."""
 
-
-class BpeTokenizer(_ArrayTokenizer):
-    """A ``tokenizer.json`` file, loaded once per Python worker."""
-
-    name = "bpe"
-
-    def __init__(self, spark: SparkSession, path: str, eos_token: str | None = None):
+    def __init__(self, spark: SparkSession, definition: str, eos_token: str | None = None):
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            definition = f.read()
         model = Tokenizer.from_str(definition)
+        self.name = "file:" + hashlib.sha256(definition.encode()).hexdigest()
         self.vocab_size = model.get_vocab_size()
         self.eos_id = model.token_to_id(eos_token) if eos_token else None
         if eos_token and self.eos_id is None:
-            raise ValueError(f"{eos_token!r} is not in the vocabulary of {path}")
+            raise ValueError(f"{eos_token!r} is not in the vocabulary")
         self._definition = spark.sparkContext.broadcast(definition)
 
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, eos_token: str | None = None) -> FileTokenizer:
+        with open(path, encoding="utf-8") as f:
+            return cls(spark, f.read(), eos_token)
+
     def encode(self, text: Column) -> Column:
         shared = self._definition
 
         @F.arrow_udf("array<int>")
-        def lookup(batch: pa.Array) -> pa.Array:
+        def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             import os
 
+            # Tasks already use all cores.
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
-            key = str(hash(shared.value))
-            if key not in _BPE_MODELS:
-                _BPE_MODELS[key] = Tokenizer.from_str(shared.value)
-            model = _BPE_MODELS[key]
-            found = model.encode_batch(batch.to_pylist(), add_special_tokens=False)
-            return pa.array([e.ids for e in found], pa.list_(pa.int32()))
+            model = Tokenizer.from_str(shared.value)
+            for batch in batches:
+                found = model.encode_batch(batch.to_pylist(), add_special_tokens=False)
+                yield pa.array([e.ids for e in found], pa.list_(pa.int32()))
 
         return lookup(text)

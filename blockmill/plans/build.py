@@ -59,7 +59,7 @@ def _finish(
     settings = plan.settings
     if next_shard > first_shard:
         append_manifest(
-            spark, _shards(path), f"{path}/manifest", settings.seq_len, first_shard
+            spark, _shards(path), f"{path}/manifest", settings.seq_len, (first_shard, next_shard)
         )
     written = scan_packed(spark, _shards(path), require=False)
     counts = per_source_tokens(written, settings.seq_len).agg(
@@ -85,7 +85,8 @@ def _identity(specs, plan: MixPlan, tokenizer) -> str:
 
 
 def build(
-    docs: DataFrame, specs: Sequence[SourceSpec], settings: PackSettings, tokenizer, path: str
+    docs: DataFrame, specs: Sequence[SourceSpec], settings: PackSettings, tokenizer, path: str,
+    mode: str = "errorifexists",
 ) -> MixPlan:
     """A fresh build into an empty folder: shards, manifest and state."""
     spark = docs.sparkSession
@@ -93,7 +94,7 @@ def build(
         raise FileExistsError(f"{path} holds a build already; use resume")
     rows, plan = plan_documents(docs, specs, settings, tokenizer)
     blocks = pack(rows, plan, tokenizer, whole_shards=True)
-    write_shards(blocks, _shards(path), settings.blocks_per_shard, clustered=True)
+    write_shards(blocks, _shards(path), settings.blocks_per_shard, mode=mode, clustered=True)
     next_shard = -(-plan.n_blocks // settings.blocks_per_shard)
     _finish(spark, rows, plan, tokenizer, path, 0, next_shard, _identity(specs, plan, tokenizer))
     return plan
@@ -111,7 +112,8 @@ def resume(
     spark = docs.sparkSession
     state = newest_state(spark, f"{path}/state")
     if state is None:
-        return build(docs, specs, settings, tokenizer, path)
+        # Shards without a state come from an attempt that broke off.
+        return build(docs, specs, settings, tokenizer, path, mode="overwrite")
     rows, plan = plan_documents(docs, specs, settings, tokenizer)
     print_id = _identity(specs, plan, tokenizer)
     if print_id != state["fingerprint"]:
@@ -123,7 +125,6 @@ def resume(
         return plan
     blocks = pack(rows, plan, tokenizer, first_block, whole_shards=True)
     # Folders past the last remembered shard can only come from a broken attempt.
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     write_shards(
         blocks, _shards(path), settings.blocks_per_shard, first_block, first_shard,
         mode="overwrite", clustered=True,

@@ -7,26 +7,30 @@ import time
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.config import MANIFEST_SCHEMA
-from blockmill.functions.ids import file_digest, shard_name
+from blockmill.functions.ids import file_digest
 from blockmill.sources.shards import scan_packed, scan_shard_bytes, shard_summary
 
 
-def _measured(spark: SparkSession, path: str, seq_len: int, first_shard: int = 0) -> DataFrame:
+def _measured(
+    spark: SparkSession, path: str, seq_len: int, shards: tuple[int, int] | None = None
+) -> DataFrame:
     """Rows, tokens and digest of the shards that lie in the folder."""
-    rows = scan_packed(spark, path).filter(F.col("shard_id") >= first_shard)
+    rows, files = scan_packed(spark, path), scan_shard_bytes(spark, path)
+    if shards is not None:
+        wanted = F.col("shard_id").between(shards[0], shards[1] - 1)
+        rows, files = rows.filter(wanted), files.filter(wanted)
     counts = shard_summary(rows, seq_len)
-    digests = scan_shard_bytes(spark, path).filter(F.col("shard_id") >= first_shard).select(
-        "shard_id", file_digest(F.col("content")).alias("sha256")
-    )
+    digests = files.select("shard_id", file_digest(F.col("content")).alias("sha256"))
     return counts.join(digests, "shard_id").select("file", "rows", "tokens", "sha256")
 
 
 def append_manifest(
-    spark: SparkSession, shards: str, manifest: str, seq_len: int, first_shard: int = 0
+    spark: SparkSession, path: str, manifest: str, seq_len: int,
+    shards: tuple[int, int] | None = None,
 ) -> None:
-    """Add a line for every shard from ``first_shard`` on."""
+    """Add a line for every shard, or for those from ``shards[0]`` up to ``shards[1]``."""
     (
-        _measured(spark, shards, seq_len, first_shard)
+        _measured(spark, path, seq_len, shards)
         .withColumn("time", F.lit(time.time()))
         .write.mode("append").json(manifest)
     )

@@ -15,6 +15,8 @@ _WRITER_OPTIONS = {
     "parquet.page.size": str(1024 * 1024),
     # A shard is one file however many rows the session would allow in one.
     "maxRecordsPerFile": "0",
+    # Overwriting replaces the shards that are written and no others.
+    "partitionOverwriteMode": "dynamic",
 }
 
 

@@ -9,11 +9,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from blockmill.config import DEFAULT_SEED
+from blockmill.functions.hashing import unit_hash
+from blockmill.operators.prefix import unit_bucket
+
 OUTPUT = "source string, lane int, seq long, input_ids array<int>"
 STATE = "carry array<int>, n long"
 
 
-def pack_stream(ids: DataFrame, seq_len: int, eos_id: int | None, lanes: int = 16) -> DataFrame:
+def pack_stream(
+    ids: DataFrame, seq_len: int, eos_id: int | None, lanes: int = 16, seed: int = DEFAULT_SEED
+) -> DataFrame:
     """Full blocks of a stream of (source, doc_id, ids), in append mode.
 
     A lane is a source and a hash of the document, so that one large source is
@@ -44,7 +50,7 @@ def pack_stream(ids: DataFrame, seq_len: int, eos_id: int | None, lanes: int = 1
         state.update((carry.tolist(), n))
 
     keyed = ids.filter(F.size("ids") > 0).withColumn(
-        "lane", F.pmod(F.xxhash64("doc_id"), F.lit(lanes)).cast("int")
+        "lane", unit_bucket(unit_hash(seed, F.col("source"), F.col("doc_id")), lanes)
     )
     return keyed.select("source", "lane", "ids").groupBy("source", "lane").applyInPandasWithState(
         fill, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
