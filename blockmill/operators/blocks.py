@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from blockmill.functions.ids import block_slice
 
@@ -91,20 +91,21 @@ def mix_report(blocks: DataFrame, spans: DataFrame, specs: DataFrame, seq_len: i
         F.count("*").alias("n_docs"), F.sum("len").cast("long").alias("doc_tokens")
     )
     wanted = specs.select(F.col("name").alias("source"), "weight", "token_cap")
-    # One row per source from here on.
     merged = (
         F.broadcast(wanted).join(exact, "source", "left").join(labelled, "source", "left")
         .fillna(0, ["n_docs", "doc_tokens", "label_tokens"])
     )
-    totals = merged.agg(
-        F.sum("weight").alias("sum_weight"), F.sum("n_docs").alias("sum_docs"),
-        F.sum("doc_tokens").alias("sum_doc"), F.sum("label_tokens").alias("sum_label"),
-    )
-    return merged.join(F.broadcast(totals), F.lit(True)).select(
+    # One row per source, so one task sums them.
+    whole = Window.partitionBy()
+
+    def share(column: str) -> Column:
+        return F.try_divide(F.col(column), F.sum(column).over(whole))
+
+    return merged.select(
         "source", "n_docs", "doc_tokens", "label_tokens", "token_cap",
-        (F.col("weight") / F.col("sum_weight")).alias("wanted_share"),
-        F.try_divide("n_docs", "sum_docs").alias("doc_share"),
-        F.try_divide("doc_tokens", "sum_doc").alias("token_share"),
-        F.try_divide("label_tokens", "sum_label").alias("label_share"),
+        share("weight").alias("wanted_share"),
+        share("n_docs").alias("doc_share"),
+        share("doc_tokens").alias("token_share"),
+        share("label_tokens").alias("label_share"),
         F.try_divide("label_tokens", "token_cap").alias("cap_use"),
     )

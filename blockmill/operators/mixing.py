@@ -16,8 +16,9 @@ from blockmill.config import SourceSpec
 from blockmill.functions.hashing import unit_hash
 from blockmill.operators.prefix import running_start, running_start_by_group, unit_bucket
 
-# Total order of the mix. Ties of the arrival time are broken by the other keys.
-ORDER = ("arrival", "source", "epoch", "doc_id")
+# Total order of the mix. Ties of the arrival time are broken by the other keys;
+# the token count parts documents that share an id against the rules.
+ORDER = ("arrival", "source", "epoch", "doc_id", "n_tok")
 
 
 def attach_spec(docs: DataFrame, specs: DataFrame) -> DataFrame:
@@ -114,9 +115,9 @@ def stream_offsets(rows: DataFrame, starts: DataFrame | None = None) -> DataFram
 def before_cut(arrival: str = "arrival") -> Column:
     """Whether a document of a capped source comes no later than its last one.
 
-    Uses the columns ``cut_arrival``, ``cut_epoch`` and ``cut_doc``, null where
-    the source is never cut.
+    Uses the columns ``cut_arrival``, ``cut_epoch``, ``cut_doc`` and ``cut_n_tok``,
+    null where the source is never cut.
     """
     here, cut = F.col(arrival), F.col("cut_arrival")
-    tie = F.struct("epoch", "doc_id") <= F.struct("cut_epoch", "cut_doc")
+    tie = F.struct("epoch", "doc_id", "n_tok") <= F.struct("cut_epoch", "cut_doc", "cut_n_tok")
     return cut.isNull() | (here < cut) | ((here == cut) & tie)

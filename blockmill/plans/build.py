@@ -57,25 +57,30 @@ def _finish(
     first_shard: int, next_shard: int, print_id: str,
 ) -> None:
     settings = plan.settings
-    if next_shard > first_shard:
-        append_manifest(
-            spark, _shards(path), f"{path}/manifest", settings.seq_len, (first_shard, next_shard)
-        )
-    written = scan_packed(spark, _shards(path), require=False)
+    append_manifest(
+        spark, _shards(path), f"{path}/manifest", settings.seq_len, (first_shard, next_shard)
+    )
+    written = scan_packed(spark, _shards(path)).filter(F.col("shard_id") < next_shard)
     counts = per_source_tokens(written, settings.seq_len).agg(
         F.map_from_entries(F.collect_list(F.struct("source", "tokens"))).alias("per_source_tokens")
     )
     carry = tail_tokens(rows, plan, tokenizer)
-    # Two tables of one row each.
-    state = counts.join(F.broadcast(carry), F.lit(True)).select(
-        F.lit(plan.n_blocks).cast("long").alias("version"),
-        F.lit(next_shard).cast("long").alias("shard_idx"),
-        F.lit(plan.n_blocks * settings.seq_len).cast("long").alias("total_tokens_written"),
-        "per_source_tokens",
-        "carry",
-        F.lit(settings.seq_len).alias("seq_len"),
-        F.lit(settings.blocks_per_shard).alias("blocks_per_shard"),
-        F.lit(print_id).alias("fingerprint"),
+    state = (
+        counts.unionByName(carry, allowMissingColumns=True)
+        .agg(
+            F.first("per_source_tokens", ignorenulls=True).alias("per_source_tokens"),
+            F.first("carry", ignorenulls=True).alias("carry"),
+        )
+        .select(
+            F.lit(plan.n_blocks).cast("long").alias("version"),
+            F.lit(next_shard).cast("long").alias("shard_idx"),
+            F.lit(plan.n_blocks * settings.seq_len).cast("long").alias("total_tokens_written"),
+            "per_source_tokens",
+            "carry",
+            F.lit(settings.seq_len).alias("seq_len"),
+            F.lit(settings.blocks_per_shard).alias("blocks_per_shard"),
+            F.lit(print_id).alias("fingerprint"),
+        )
     )
     save_state(state, f"{path}/state")
 
@@ -93,6 +98,8 @@ def build(
     if newest_state(spark, f"{path}/state") is not None:
         raise FileExistsError(f"{path} holds a build already; use resume")
     rows, plan = plan_documents(docs, specs, settings, tokenizer)
+    if plan.n_blocks == 0:
+        raise ValueError(f"the sources hold less than one block of {settings.seq_len} tokens")
     blocks = pack(rows, plan, tokenizer, whole_shards=True)
     write_shards(blocks, _shards(path), settings.blocks_per_shard, mode=mode, clustered=True)
     next_shard = -(-plan.n_blocks // settings.blocks_per_shard)

@@ -40,6 +40,7 @@ class Cut:
     arrival: float
     epoch: int
     doc_id: int
+    n_tok: int
 
 
 @dataclass(frozen=True)
@@ -98,6 +99,9 @@ class MixPlan:
         return {x.name: x.n_records for x in self.lanes}
 
 
+_CUT_COLUMNS = ("cut_arrival", "cut_epoch", "cut_doc", "cut_n_tok")
+
+
 def _lane_table(spark: SparkSession, lanes: Sequence[Lane]) -> DataFrame:
     cuts = [x.cut for x in lanes]
     return small_table(spark, {
@@ -109,6 +113,7 @@ def _lane_table(spark: SparkSession, lanes: Sequence[Lane]) -> DataFrame:
         "cut_arrival": pa.array([c and c.arrival for c in cuts], pa.float64()),
         "cut_epoch": pa.array([c and c.epoch for c in cuts], pa.int32()),
         "cut_doc": pa.array([c and c.doc_id for c in cuts], pa.int64()),
+        "cut_n_tok": pa.array([c and c.n_tok for c in cuts], pa.int64()),
     })
 
 
@@ -159,7 +164,7 @@ def placed_documents(
     return (
         raced.withColumn("len", F.col("n_tok") + F.lit(int(eos)).cast("long"))
         .withColumn("bucket", _bucket_of(lanes, n_buckets))
-        .drop("weight", "n_records", "epochs", "end_arrival", "cut_arrival", "cut_epoch", "cut_doc")
+        .drop("weight", "n_records", "epochs", "end_arrival", *_CUT_COLUMNS)
     )
 
 
@@ -238,7 +243,9 @@ def next_cut(rows: DataFrame, lanes: Sequence[Lane], settings: PackSettings) ->
         .filter(F.col("seen") >= F.col("cap_blocks"))
         .orderBy(*ORDER).select(*ORDER).first()
     )
-    return first["source"], Cut(first["arrival"], first["epoch"], first["doc_id"])
+    return first["source"], Cut(
+        first["arrival"], first["epoch"], first["doc_id"], first["n_tok"]
+    )
 
 
 def _first_horizon(lanes: Sequence[Lane], wanted: float) -> float:
@@ -330,9 +337,7 @@ def _settle_caps(
     rows = rows.repartition(n_parts, "bucket").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         while True:
-            cut_so_far = _lane_table(spark, lanes).select(
-                "source", "cut_arrival", "cut_epoch", "cut_doc"
-            )
+            cut_so_far = _lane_table(spark, lanes).select("source", *_CUT_COLUMNS)
             kept = rows.join(cut_so_far, "source").filter(before_cut()).select(*rows.columns)
             found = next_cut(kept, lanes, settings)
             if found is None:

@@ -67,7 +67,9 @@ def pack(
         .drop("first_slab", "last_slab")
         .repartitionById(n_slabs, F.col("slab"))
     )
-    inside = Window.partitionBy("slab", "bucket").orderBy(*ORDER)
+    # The payload hash settles documents that agree in every key, for both slabs
+    # that may see them.
+    inside = Window.partitionBy("slab", "bucket").orderBy(*ORDER, F.xxhash64("payload"))
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     start = F.col("bucket_start") + F.sum("len").over(upto) - F.col("len")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from blockmill.config import PACKED_SCHEMA
@@ -49,47 +50,35 @@ def write_shards(
     )
 
 
-def _shard_of_file() -> Column:
-    """Shard number from the file path, for either folder or file naming."""
-    path = F.col("_metadata.file_path")
-    found = F.regexp_extract(path, r"shard(?:_id=|-)(\d+)", 1)
-    return F.when(found != "", found).cast("int")
+_MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def scan_packed(spark: SparkSession, path: str, require: bool = True) -> DataFrame:
+def _shard_number(path: Column) -> Column:
+    return F.regexp_extract(path, r"shard-(\d+)\.parquet", 1).cast("int")
+
+
+def scan_packed(spark: SparkSession, path: str) -> DataFrame:
     """Packed rows with their shard number and shard name.
 
     Reads folders written by ``write_shards`` and flat folders of
-    ``shard-*.parquet`` files. Columns that are not used are not read.
+    ``shard-*.parquet`` files, whose rows are numbered inside their file. Columns
+    that are not used are not read.
     """
-    flat = _is_flat(spark, path)
-    if flat is None:
-        if require:
-            raise FileNotFoundError(f"no packed shards in {path}")
-        empty = spark.createDataFrame([], PACKED_SCHEMA)
-        return empty.withColumn("file", shard_name(F.col("shard_id")))
-    if flat:
-        rows = (
-            spark.read.option("pathGlobFilter", "shard-*.parquet").parquet(path)
-            .withColumn("shard_id", _shard_of_file())
-        )
-    else:
-        rows = spark.read.schema(PACKED_SCHEMA).parquet(path)
+    try:
+        rows = spark.read.parquet(path)
+        if "shard_id" not in rows.columns:
+            rows = spark.read.option("pathGlobFilter", "shard-*.parquet").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in _MISSING:
+            raise FileNotFoundError(f"no packed shards in {path}") from error
+        raise
+    if "shard_id" not in rows.columns:
+        rows = rows.withColumn("shard_id", _shard_number(F.col("_metadata.file_path")))
+    if "block_id" not in rows.columns:
+        rows = rows.withColumn("block_id", F.col("_metadata.row_index"))
     return rows.withColumn("file", shard_name(F.col("shard_id")))
 
 
-def _is_flat(spark: SparkSession, path: str) -> bool | None:
-    """Whether shards are files of the folder itself; None without shards."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "shard_id=*")):
-        return False
-    if fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "shard-*.parquet")):
-        return True
-    return None
-
-
 def stream_packed(spark: SparkSession, path: str, files_per_trigger: int = 64) -> DataFrame:
     """Packed rows as a stream, a bounded number of shard files at a time."""
     return (
@@ -100,16 +89,15 @@ def stream_packed(spark: SparkSession, path: str, files_per_trigger: int = 64) -
 
 
 def scan_shard_bytes(spark: SparkSession, path: str) -> DataFrame:
-    """Every shard file with its name; ``content`` is read only where it is used."""
-    reader = spark.read.format("binaryFile")
-    if _is_flat(spark, path):
-        files = reader.option("pathGlobFilter", "shard-*.parquet").load(path)
-        files = files.withColumn(
-            "shard_id", F.regexp_extract("path", r"shard-(\d+)", 1).cast("int")
+    """Every shard file with its name; ``content`` is read only where it is used.
+
+    With folders per shard a filter on ``shard_id`` skips the other files.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    if "shard_id" not in files.columns:
+        files = files.withColumn("shard_id", _shard_number(F.col("path"))).filter(
+            F.col("shard_id").isNotNull()
         )
-    else:
-        # shard_id is the partition column, so a filter on it skips the files.
-        files = reader.option("pathGlobFilter", "*.parquet").load(path)
     return files.select(
         "shard_id",
         shard_name(F.col("shard_id")).alias("file"),

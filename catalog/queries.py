@@ -19,7 +19,7 @@ from blockmill.functions import (
 from blockmill.operators import blocks as B, filters as L, mixing as M, progress, ranks as R
 from blockmill.operators.prefix import running_start_by_group
 from blockmill.operators.training import (
-    batch_training_arrays, mask_stats, micro_batches, token_extrema, training_rows,
+    batch_training_arrays, loader_schedule, mask_stats, micro_batches, token_extrema, training_rows,
 )
 from blockmill.operators.vocabulary import build_vocab, word_tokenizer, words_of
 from blockmill.plans.build import build, pack_documents, plan_documents, resume
@@ -503,6 +503,17 @@ def read_batches_query(spark, sf_dir):
     return batches.select("rank", "batch_id", ids_digest(F.flatten("input_ids")).alias("digest"))
 
 
+def loader_schedule_query(spark, sf_dir):
+    """Two and a half passes of the longest rank over its batches."""
+    path = written(spark, sf_dir) + "/shards"
+    rows = scan_packed(spark, path).groupBy("shard_id").agg(F.count("*").alias("n"))
+    ranks = R.rank_shards(shard_files(spark, path), WORLD)
+    counts = ranks.join(rows, "shard_id").groupBy("rank").agg(
+        F.ceil(F.sum("n") / BATCH).alias("n_batches"))
+    steps = counts.agg(F.max("n_batches")).first()[0] * 5 // 2
+    return loader_schedule(counts, WORLD, steps)
+
+
 def assign_shards_query(spark, sf_dir):
     return B.assign_shards(doc_blocks(spark, sf_dir), BLOCKS_PER_SHARD).select("block_id", "shard_id", "source")
 
@@ -624,6 +635,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "micro_batches": micro_batches_query,
     "training_rows": training_rows_query,
     "read_batches": read_batches_query,
+    "loader_schedule": loader_schedule_query,
     "assign_shards": assign_shards_query,
     "budget_cut": budget_cut_query,
     "head_blocks": head_blocks_query,
