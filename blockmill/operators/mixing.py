@@ -41,7 +41,7 @@ def source_stats(sizes: DataFrame, eos: bool = True) -> DataFrame:
         F.count_if(F.col("n_tok") > 0).alias("n_docs"),
         F.sum(length).cast("long").alias("tokens"),
         F.max(length).cast("long").alias("longest"),
-    ).withColumn("mean_len", F.col("tokens") / F.col("n_docs"))
+    ).withColumn("mean_len", F.try_divide("tokens", "n_docs"))
 
 
 def repeat_epochs(docs: DataFrame, epochs: Column) -> DataFrame:

@@ -54,7 +54,7 @@ _MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def _shard_number(path: Column) -> Column:
-    return F.regexp_extract(path, r"shard-(\d+)\.parquet", 1).cast("int")
+    return F.regexp_extract(path, r"shard-(\d+)\.parquet", 1).try_cast("int")
 
 
 def scan_packed(spark: SparkSession, path: str) -> DataFrame:

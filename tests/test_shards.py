@@ -1,0 +1,190 @@
+import glob
+import hashlib
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from blockmill.config import PackSettings
+from blockmill.functions import ByteTokenizer
+from blockmill.plans.build import build, pack_documents, resume
+from blockmill.session import checkpoint_dir
+from blockmill.sources import (
+    audit_manifest, load_state, missing_shards, scan_manifest, scan_packed, shard_files, write_shards,
+)
+from helpers import blocks_of, specs_for
+
+TOK = ByteTokenizer()
+SPECS = specs_for({f"src{i}": 1 + i % 3 for i in range(20)}, {"src3": 4000})
+LEN, PER_SHARD = 128, 256
+
+
+@pytest.fixture(scope="module")
+def docs(spark, small):
+    return spark.read.parquet(f"{small}/documents.parquet").select("source", "doc_id", "text")
+
+
+def settings(total=None):
+    return PackSettings(LEN, total, PER_SHARD, 5)
+
+
+def verdicts(spark, path):
+    rows = audit_manifest(spark, f"{path}/shards", f"{path}/manifest", LEN).collect()
+    return {r["file"]: r["verdict"] for r in rows}
+
+
+@pytest.fixture(scope="module")
+def built(spark, docs, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("build")) + "/out"
+    plan = build(docs, SPECS, settings(300_000), TOK, path)
+    return path, plan
+
+
+def test_round_trip(spark, docs, built):
+    path, plan = built
+    want = blocks_of(pack_documents(docs, SPECS, settings(300_000), TOK))
+    assert blocks_of(scan_packed(spark, f"{path}/shards")) == want
+    assert len(want) == plan.n_blocks == -(-300_000 // LEN)
+
+
+def test_one_file_per_shard_with_exact_rows(spark, built):
+    path, plan = built
+    files = sorted(glob.glob(f"{path}/shards/shard_id=*/*.parquet"))
+    rows = []
+    for f in files:
+        meta = pq.ParquetFile(f)
+        rows.append(meta.metadata.num_rows)
+        column = meta.metadata.row_group(0).column(0)
+        assert column.compression == "ZSTD"
+        # Arrow shows a 32-bit element type for the ids.
+        assert pa.types.is_int32(meta.schema_arrow.field("input_ids").type.value_type)
+        ids = meta.read(columns=["block_id"])["block_id"].to_pylist()
+        assert ids == sorted(ids)
+    assert len(files) == -(-plan.n_blocks // PER_SHARD)
+    assert rows.count(PER_SHARD) == len(rows) - 1 and sum(rows) == plan.n_blocks
+
+
+def test_manifest_is_checkable(spark, built):
+    path, _ = built
+    lines = {r["file"]: r for r in scan_manifest(spark, f"{path}/manifest").collect()}
+    for r in shard_files(spark, f"{path}/shards").collect():
+        with open(f"{path}/shards/{r['path']}", "rb") as f:
+            assert lines[r["file"]]["sha256"] == hashlib.sha256(f.read()).hexdigest()
+        assert lines[r["file"]]["tokens"] == lines[r["file"]]["rows"] * LEN
+    assert set(verdicts(spark, path).values()) == {"ok"}
+    assert missing_shards(
+        scan_manifest(spark, f"{path}/manifest"), shard_files(spark, f"{path}/shards")).count() == 0
+
+
+def test_audit_finds_damage(spark, docs, tmp_path):
+    path = f"{tmp_path}/out"
+    build(docs, SPECS, settings(LEN * PER_SHARD * 4), TOK, path)
+    blocks = scan_packed(spark, f"{path}/shards").drop("file", "shard_id").cache()
+    blocks.count()
+    lines = spark.read.json(f"{path}/manifest").cache()
+    lines.count()
+    # Shard 1 gets other labels, shard 3 loses a row; a shard 7 appears.
+    changed = blocks.filter(F.col("block_id").between(PER_SHARD, 2 * PER_SHARD - 1))
+    write_shards(changed.withColumn("source", F.lit("x")), f"{path}/shards", PER_SHARD, mode="overwrite")
+    short = blocks.filter(F.col("block_id").between(3 * PER_SHARD, 4 * PER_SHARD - 2))
+    write_shards(short, f"{path}/shards", PER_SHARD, mode="overwrite")
+    write_shards(changed, f"{path}/shards", PER_SHARD, first_block=PER_SHARD, first_shard=7, mode="overwrite")
+    # Shard 2 is listed twice, shard 9 is listed and does not exist.
+    extra = lines.filter("file = 'shard-000002.parquet'")
+    extra.unionByName(extra.withColumn("file", F.lit("shard-000009.parquet"))).write.mode("append").json(f"{path}/manifest")
+    assert verdicts(spark, path) == {
+        "shard-000000.parquet": "ok", "shard-000001.parquet": "other content",
+        "shard-000002.parquet": "listed twice", "shard-000003.parquet": "other content",
+        "shard-000007.parquet": "no line", "shard-000009.parquet": "no file",
+    }
+
+
+def test_resume_continues_the_same_sequence(spark, docs, tmp_path):
+    path = f"{tmp_path}/out"
+    first = settings(100_000)
+    build(docs, SPECS, first, TOK, path)
+    before = {r["file"]: r["sha256"] for r in scan_manifest(spark, f"{path}/manifest").collect()}
+    plan = resume(docs, SPECS, settings(700_000), TOK, path)
+    want = blocks_of(pack_documents(docs, SPECS, settings(700_000), TOK))
+    assert blocks_of(scan_packed(spark, f"{path}/shards")) == want
+    assert set(verdicts(spark, path).values()) == {"ok"}
+    after = {r["file"]: r["sha256"] for r in scan_manifest(spark, f"{path}/manifest").collect()}
+    assert before.items() <= after.items()
+    # The short last shard of the first part stays short.
+    rows = {r["shard_id"]: r["count"] for r in scan_packed(spark, f"{path}/shards").groupBy("shard_id").count().collect()}
+    n_first = -(-100_000 // LEN)
+    assert rows[n_first // PER_SHARD] == n_first % PER_SHARD
+    state = load_state(spark, f"{path}/state").first()
+    assert state["total_tokens_written"] == plan.n_blocks * LEN == len(want) * LEN
+    assert state["shard_idx"] == max(rows) + 1
+    assert sum(state["per_source_tokens"].values()) == len(want) * LEN
+    # No larger budget, nothing to do.
+    resume(docs, SPECS, settings(700_000), TOK, path)
+    assert scan_manifest(spark, f"{path}/manifest").count() == len(after)
+
+
+def test_resume_refuses_other_settings(spark, docs, built):
+    path, _ = built
+    for specs, changed in (
+        (SPECS, PackSettings(LEN, 400_000, PER_SHARD, 6)),
+        (SPECS, PackSettings(LEN * 2, 400_000, PER_SHARD, 5)),
+        (SPECS, PackSettings(LEN, 400_000, PER_SHARD + 1, 5)),
+        (SPECS[:-1], settings(400_000)),
+    ):
+        with pytest.raises(ValueError, match="other sources or settings"):
+            resume(docs, specs, changed, TOK, path)
+    with pytest.raises(ValueError, match="other sources or settings"):
+        resume(docs.filter("doc_id <> 3"), SPECS, settings(400_000), TOK, path)
+    with pytest.raises(FileExistsError):
+        build(docs, SPECS, settings(300_000), TOK, path)
+
+
+def test_resume_after_a_broken_attempt(spark, docs, tmp_path):
+    path = f"{tmp_path}/out"
+    blocks = pack_documents(docs, SPECS, settings(100_000), TOK)
+    write_shards(blocks.withColumn("source", F.lit("stale")), f"{path}/shards", PER_SHARD)
+    resume(docs, SPECS, settings(100_000), TOK, path)
+    assert blocks_of(scan_packed(spark, f"{path}/shards")) == blocks_of(blocks)
+
+
+def test_resume_writes_no_old_shard(spark, docs, tmp_path):
+    path = f"{tmp_path}/out"
+    build(docs, SPECS, settings(LEN * PER_SHARD * 2), TOK, path)
+    old = {f: open(f, "rb").read() for f in glob.glob(f"{path}/shards/*/*.parquet")}
+    resume(docs, SPECS, settings(LEN * PER_SHARD * 5), TOK, path)
+    assert len(glob.glob(f"{path}/shards/*/*.parquet")) == 5
+    assert all(open(f, "rb").read() == content for f, content in old.items())
+
+
+def test_flat_folders_are_readable(spark, tmp_path):
+    for n in range(3):
+        rows = [[n * 10 + i] * 4 for i in range(5)]
+        pq.write_table(
+            pa.table({"input_ids": pa.array(rows, pa.list_(pa.int32())), "source": ["s"] * 5}),
+            f"{tmp_path}/shard-{n:06d}.parquet")
+    pq.write_table(pa.table({"other": [1]}), f"{tmp_path}/notes.parquet")
+    rows = scan_packed(spark, str(tmp_path)).orderBy("shard_id", "block_id").collect()
+    assert [r["input_ids"][0] for r in rows] == [n * 10 + i for n in range(3) for i in range(5)]
+    assert [r["block_id"] for r in rows] == [0, 1, 2, 3, 4] * 3
+    files = shard_files(spark, str(tmp_path)).orderBy("shard_id").collect()
+    assert [r["file"] for r in files] == [f"shard-{n:06d}.parquet" for n in range(3)]
+
+
+def test_no_shards_is_an_error(spark, tmp_path):
+    for path in (f"{tmp_path}/nowhere", str(tmp_path)):
+        with pytest.raises(FileNotFoundError):
+            scan_packed(spark, path)
+
+
+def test_fresh_folder_has_no_state(spark, tmp_path):
+    assert load_state(spark, f"{tmp_path}/state").count() == 0
+
+
+def test_too_little_text_is_an_error(spark, docs, tmp_path):
+    with pytest.raises(ValueError, match="less than one block"):
+        build(docs, SPECS, PackSettings(10**7, None, 4, 5), TOK, f"{tmp_path}/out")
+
+
+def test_scratch_is_the_configured_folder(spark):
+    assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
