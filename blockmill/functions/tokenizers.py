@@ -56,6 +56,14 @@ class ByteTokenizer:
         chars = F.decode(text.cast("binary"), "ISO-8859-1")
         return F.transform(F.split(chars, ""), lambda c: F.ascii(c))
 
+    def reader(self) -> Callable[[str], np.ndarray]:
+        """A function from one payload to its ids, for use inside Python tasks."""
+
+        def read(payload: str) -> np.ndarray:
+            return np.frombuffer(payload.encode(), dtype=np.uint8)
+
+        return read
+
     def pieces(self, payload: Column, blocks: Column, cut: Callable) -> Column:
         """One struct per block a document touches; ``cut`` gives begin, length, closes."""
 
@@ -109,6 +117,12 @@ class _ArrayTokenizer:
     def sizes(self, docs: DataFrame) -> DataFrame:
         return docs.select("source", "doc_id", "n_tok")
 
+    def reader(self) -> Callable[[object], np.ndarray]:
+        def read(payload: object) -> np.ndarray:
+            return np.asarray(payload, dtype=np.int32)
+
+        return read
+
     def pieces(self, payload: Column, blocks: Column, cut: Callable) -> Column:
         def piece(block: Column) -> Column:
             begin, length, closes = cut(block)

@@ -70,6 +70,7 @@ def running_start_by_group(
     """The same inside every group: the sum of ``value`` over its earlier rows.
 
     ``part`` grows with the order and splits a group of any size over many tasks.
+    Rows without a group have no place in any order and are left out.
     """
     parted = rows.withColumn("_part", part).withColumn("_value", value)
     totals = parted.groupBy(group, "_part").agg(F.sum("_value").alias("_sum"))

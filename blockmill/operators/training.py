@@ -10,12 +10,12 @@ from blockmill.functions.ids import attention_mask, lm_labels, to_long_ids
 from blockmill.operators.blocks import whole_div
 from blockmill.operators.filters import exact_length, n_supervised
 from blockmill.operators.prefix import running_start_by_group
-from blockmill.session import broadcast_if_small, default_parallelism
+from blockmill.session import broadcast_if_small, default_parallelism, stored
 
 # Fixed sizes: rows that one task turns into batches, and shards in one part of
 # a rank's running row count.
 SLAB_ROWS = 1 << 16
-MAX_SLABS = 1 << 17
+MAX_SLABS = 1 << 15
 _SHARDS_PER_PART = 4096
 
 
@@ -67,10 +67,12 @@ def micro_batches(
     rows = exact_length(packed, seq_len).select("shard_id", "block_id", "input_ids")
     if counts is None:
         counts = rows.groupBy("shard_id").agg(F.count("*").alias("n"))
+    # One row per shard; counting the rows reads all ids, so it is done once.
+    counts = stored(assignment.join(counts, "shard_id"), "shard-rows")
     placed = running_start_by_group(
-        assignment.join(counts, "shard_id"), "rank",
-        whole_div(F.col("shard_pos"), _SHARDS_PER_PART), ["shard_pos"], F.col("n"), "start",
-    ).select("shard_id", "rank", "start", "n").persist()
+        counts, "rank", whole_div(F.col("shard_pos"), _SHARDS_PER_PART), ["shard_pos"],
+        F.col("n"), "start",
+    ).select("shard_id", "rank", "start", "n")
     total = placed.agg(
         F.count("*").alias("shards"), F.sum("n").alias("n"), F.max("rank").alias("rank"),
         F.max(F.col("start") + F.col("n")).alias("longest"),

@@ -22,9 +22,8 @@ def build_vocab(docs: DataFrame, max_size: int = MAX_VOCABULARY, text: str = "te
     """
     if not 0 < max_size <= MAX_VOCABULARY:
         raise ValueError(f"max_size must be 1 to {MAX_VOCABULARY}")
-    counts = docs.select(F.explode(words_of(F.col(text))).alias("word")).groupBy("word").agg(
-        F.count("*").alias("count")
-    )
+    pieces = docs.select(F.explode(F.split(text, WORD_SPLIT)).alias("word"))
+    counts = pieces.filter(F.col("word") != "").groupBy("word").agg(F.count("*").alias("count"))
     rank = Window.orderBy(F.desc("count"), F.asc("word"))
     kept = counts.orderBy(F.desc("count"), F.asc("word")).limit(max_size)
     return kept.withColumn("id", F.row_number().over(rank))

@@ -26,10 +26,12 @@ from blockmill.operators.prefix import MAX_BUCKETS, bucket_starts
 from blockmill.session import default_parallelism, small_table
 from blockmill.sources.specs import validate_specs
 
-# Fixed sizes: a slab is the share of the stream that one task packs.
+# Fixed sizes: a slab is the share of the stream that one task packs. Their number
+# is held down because every input split sends to every slab; past it slabs grow
+# and spill. A bucket on a slab boundary is sent twice, so buckets are finer.
 SLAB_TOKENS = 1 << 28
-MAX_SLABS = 1 << 17
-BUCKETS_PER_SLAB = 8
+MAX_SLABS = 1 << 15
+BUCKETS_PER_SLAB = 32
 ROWS_PER_TASK = 1 << 20
 
 
@@ -220,24 +222,26 @@ def next_cut(rows: DataFrame, lanes: Sequence[Lane], settings: PackSettings) ->
     crossing = (
         by_bucket.withColumn("seen", F.sum("k").over(upto))
         .filter(F.col("seen") >= F.col("cap_blocks"))
-        .groupBy("source", "cap_blocks")
+        .groupBy("source")
         .agg(F.min_by(F.struct("bucket", (F.col("seen") - F.col("k")).alias("before")), "bucket").alias("at"))
         .select("source", "at.bucket", "at.before")
+        .join(F.broadcast(starts.select("bucket", "bucket_start")), "bucket")
         .collect()
     )
     if not crossing:
         return None
-    bucket = min(r["bucket"] for r in crossing)
+    bucket, start = min((r["bucket"], r["bucket_start"]) for r in crossing)
     before = {r["source"]: r["before"] for r in crossing if r["bucket"] == bucket}
-    here = [x for x in open_caps if x.name in before]
     bases = small_table(spark, {
-        "source": pa.array([x.name for x in here], pa.string()),
-        "before": pa.array([before[x.name] for x in here], pa.int64()),
+        "source": pa.array(list(before), pa.string()),
+        "before": pa.array(list(before.values()), pa.int64()),
+    })
+    start_here = small_table(spark, {
+        "bucket": pa.array([bucket], pa.int32()), "bucket_start": pa.array([start], pa.int64()),
     })
     inside = Window.partitionBy("source").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    at_bucket = F.col("bucket") == bucket
     first = (
-        with_blocks(rows.filter(at_bucket), starts.filter(at_bucket))
+        with_blocks(rows.filter(F.col("bucket") == bucket), start_here)
         .join(bases, "source")
         .withColumn("seen", F.col("before") + F.sum("k").over(inside))
         .filter(F.col("seen") >= F.col("cap_blocks"))

@@ -28,6 +28,7 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a private one only where unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = configured or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -42,5 +43,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows of a small table, written to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)

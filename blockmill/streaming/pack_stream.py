@@ -18,27 +18,28 @@ STATE = "carry array<int>, n long"
 
 
 def pack_stream(
-    ids: DataFrame, seq_len: int, eos_id: int | None, lanes: int = 16, seed: int = DEFAULT_SEED
+    docs: DataFrame, tokenizer, seq_len: int, lanes: int = 16, seed: int = DEFAULT_SEED
 ) -> DataFrame:
-    """Full blocks of a stream of (source, doc_id, ids), in append mode.
+    """Full blocks of a stream of documents (source, doc_id, text), in append mode.
 
     A lane is a source and a hash of the document, so that one large source is
     packed by many tasks. Each lane carries less than one block between triggers;
     the checkpoint of the query keeps it, which makes the stream resumable.
     ``seq`` numbers the blocks of a lane.
     """
+    read = tokenizer.reader()
+    end = np.asarray([] if tokenizer.eos_id is None else [tokenizer.eos_id], dtype=np.int32)
 
     def fill(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         carry, n = state.get if state.exists else ([], 0)
         carry = np.asarray(carry, dtype=np.int32)
-        end = np.asarray([] if eos_id is None else [eos_id], dtype=np.int32)
         for batch in batches:
             parts = [carry]
-            for row in batch["ids"]:
-                parts += [np.asarray(row, dtype=np.int32), end]
-            tokens = np.concatenate(parts)
+            for payload in batch["payload"]:
+                parts += [read(payload), end]
+            tokens = np.concatenate(parts, dtype=np.int32)
             full = len(tokens) // seq_len
             carry = tokens[full * seq_len:]
             if full:
@@ -49,9 +50,9 @@ def pack_stream(
                 n += full
         state.update((carry.tolist(), n))
 
-    keyed = ids.filter(F.size("ids") > 0).withColumn(
-        "lane", unit_bucket(unit_hash(seed, F.col("source"), F.col("doc_id")), lanes)
-    )
-    return keyed.select("source", "lane", "ids").groupBy("source", "lane").applyInPandasWithState(
-        fill, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
+    lane = unit_bucket(unit_hash(seed, F.col("source"), F.col("doc_id")), lanes)
+    keyed = tokenizer.tokenize(docs.select("source", "doc_id", "text")).filter("n_tok > 0")
+    return (
+        keyed.select("source", lane.alias("lane"), "payload").groupBy("source", "lane")
+        .applyInPandasWithState(fill, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
     )

@@ -546,8 +546,7 @@ def run_stream(spark, stream: DataFrame, progress_rows: list | None = None) -> D
 def document_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "documents").schema
     docs = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents*.parquet")
-    ids = L.valid_text(docs).select("source", "doc_id", BYTES.encode(F.col("text")).alias("ids"))
-    return pack_stream(ids, SEQ_LEN, BYTES.eos_id, LANES, SEED)
+    return pack_stream(docs, BYTES, SEQ_LEN, LANES, SEED)
 
 
 def pack_stream_query(spark, sf_dir):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import model
 from blockmill.functions import ByteTokenizer
+from blockmill.operators.vocabulary import build_vocab, word_tokenizer
 from blockmill.sources import stream_packed, write_shards
 from blockmill.streaming import ProgressLog, observed, pack_stream
 from helpers import table
@@ -13,11 +14,10 @@ TOK = ByteTokenizer()
 LEN, LANES = 64, 3
 
 
-def start(spark, source, out, state, fail_after=None):
+def start(spark, source, out, state, fail_after=None, tok=None):
     stream = spark.readStream.schema("source string, doc_id long, text string").option(
         "maxFilesPerTrigger", 1).parquet(source)
-    ids = stream.select("source", "doc_id", TOK.encode(F.col("text")).alias("ids"))
-    blocks = observed(pack_stream(ids, LEN, TOK.eos_id, LANES, 5))
+    blocks = observed(pack_stream(stream, tok or TOK, LEN, LANES, 5))
 
     def sink(batch, number):
         if fail_after is not None and number >= fail_after:
@@ -34,7 +34,7 @@ def source(spark, tmp_path):
         "hot": [(d, "h" * (d % 90)) for d in range(200)],
         "cold": [(d, "c" * 70) for d in range(10)],
     }
-    docs = table(spark, records).filter("text <> ''")
+    docs = table(spark, records)
     for part in range(4):
         docs.filter(F.col("doc_id") % 4 == part).coalesce(1).write.parquet(f"{tmp_path}/in/part={part}")
     return f"{tmp_path}/in/*", records
@@ -75,6 +75,19 @@ def test_stream_packs_and_resumes(spark, source, tmp_path):
     assert {i for r in rows if r["source"] == "hot" for i in r["input_ids"]} <= {ord("h"), 256}
 
 
+def test_words_stream_too(spark, tmp_path):
+    docs = table(spark, {"s": [(d, "one two  three ") for d in range(120)] + [(999, None)]})
+    docs.write.parquet(f"{tmp_path}/in")
+    tok = word_tokenizer(build_vocab(docs))
+    start(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state", tok=tok).awaitTermination()
+    _, rows = found(spark, f"{tmp_path}/out")
+    ids = {i: 0 for i in range(5)}
+    for r in rows:
+        for i in r["input_ids"]:
+            ids[i] += 1
+    assert ids[0] == 0 and len({ids[i] // 10 for i in (1, 2, 3, 4)}) <= 2 and tok.eos_id == 4
+
+
 def test_progress_totals(spark, source, tmp_path):
     path, records = source
     log = ProgressLog()
