@@ -16,8 +16,8 @@ def progress_rates(
     """Tokens per second since the line before, and hours to the last step.
 
     Counts one process, as the log does. The first line of a run has no rate, and
-    lines without a run are left out. A run of any length is split by step; the line before the first one of a part
-    comes from a table with one row per part.
+    lines without a run are left out. A run of any length is split by step; the
+    line before the first one of a part comes from a table with one row per part.
     """
     parted = log.withColumn("_part", whole_div(F.col("opt_step").cast("long"), _STEPS_PER_PART))
     here = F.struct("ts", "micro_step")

@@ -10,7 +10,7 @@ from blockmill.config import PackSettings, SourceSpec
 from blockmill.operators.blocks import per_source_tokens
 from blockmill.plans.mix import MixPlan, plan_mix
 from blockmill.plans.pack import pack, tail_tokens
-from blockmill.session import scratch_path
+from blockmill.session import default_parallelism, stored
 from blockmill.sources.manifest import append_manifest
 from blockmill.sources.shards import scan_packed, write_shards
 from blockmill.sources.state import fingerprint, newest_state, save_state
@@ -23,12 +23,14 @@ def tokenized(docs: DataFrame, tokenizer) -> DataFrame:
     table in the shared folder keeps the tokenizer to one run, and lost
     executors cost no more than the files they were writing.
     """
-    rows = tokenizer.tokenize(docs.select("source", "doc_id", "text"))
+    docs = docs.select("source", "doc_id", "text")
     if not tokenizer.costly:
-        return rows
-    path = scratch_path(docs.sparkSession, "tokens")
-    rows.write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+        return tokenizer.tokenize(docs)
+    # Too few input files for all cores: moving the text costs less than waiting.
+    n_parts = 4 * default_parallelism(docs.sparkSession)
+    if docs.rdd.getNumPartitions() < n_parts:
+        docs = docs.repartition(n_parts)
+    return stored(tokenizer.tokenize(docs), "tokens")
 
 
 def plan_documents(

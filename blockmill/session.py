@@ -44,7 +44,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows of a small table, written to the shared folder and read back."""
+    """The rows of a table, written to the shared folder and read back.
+
+    Cuts the lineage for good: what reads the result starts from files.
+    """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
