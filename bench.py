@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from blockmill.config import PackSettings, TokenProfile  # noqa: E402
 from blockmill.functions import ByteTokenizer  # noqa: E402
 from blockmill.operators.vocabulary import build_vocab, word_tokenizer  # noqa: E402
-from blockmill.plans.build import build, plan_documents, tokenized  # noqa: E402
+from blockmill.plans.build import build, plan_documents, shards_of, tokenized  # noqa: E402
 from blockmill.plans.mix import plan_mix  # noqa: E402
 from blockmill.plans.pack import pack  # noqa: E402
 from blockmill.plans.reader import read_batches, read_training_rows  # noqa: E402
@@ -57,9 +57,9 @@ def measure(spark: SparkSession, sf_dir: str) -> tuple[dict[str, float], dict[st
 
     path = scratch_path(spark, "bench")
     timed("build", lambda: build(docs, doc_specs(), one_pass, BYTES, path))
-    timed("read_rows", lambda: run(read_training_rows(spark, f"{path}/shards", SEQ_LEN, PROFILE, 4)))
-    timed("read_batches", lambda: run(read_batches(spark, f"{path}/shards", SEQ_LEN, PROFILE, 4, 4, SEED)))
-    timed("audit", lambda: run(audit_manifest(spark, f"{path}/shards", f"{path}/manifest", SEQ_LEN)))
+    timed("read_rows", lambda: run(read_training_rows(spark, shards_of(path), SEQ_LEN, PROFILE, 4)))
+    timed("read_batches", lambda: run(read_batches(spark, shards_of(path), SEQ_LEN, PROFILE, 4, 4, SEED)))
+    timed("audit", lambda: run(audit_manifest(spark, shards_of(path), f"{path}/manifest", SEQ_LEN)))
     for name in ("build", "read_rows", "read_batches", "audit"):
         tokens[name] = plan.n_blocks * SEQ_LEN
 

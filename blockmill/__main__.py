@@ -10,7 +10,7 @@ from blockmill import config
 from blockmill.config import PackSettings, TokenProfile
 from blockmill.functions import ByteTokenizer, FileTokenizer
 from blockmill.operators.ranks import step_plan
-from blockmill.plans.build import build, resume
+from blockmill.plans.build import build, resume, shards_of
 from blockmill.plans.reader import read_batches, read_training_rows
 from blockmill.sources import audit_manifest, scan_manifest, scan_sources, spec_list
 
@@ -79,7 +79,7 @@ def main(argv: list[str] | None = None) -> None:
         out.write.partitionBy("rank").parquet(args.output_dir)
     elif args.command == "audit":
         report = audit_manifest(
-            spark, f"{args.out_dir}/shards", f"{args.out_dir}/manifest", args.seq_len
+            spark, shards_of(args.out_dir), f"{args.out_dir}/manifest", args.seq_len
         )
         report.groupBy("verdict").count().show()
         report.filter("verdict <> 'ok'").select("file", "verdict").orderBy("file").show(100, False)

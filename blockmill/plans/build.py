@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from blockmill.config import PackSettings, SourceSpec
 from blockmill.operators.blocks import per_source_tokens
 from blockmill.plans.mix import MixPlan, plan_mix
-from blockmill.plans.pack import pack, tail_tokens
-from blockmill.session import default_parallelism, stored
+from blockmill.plans.pack import pack
+from blockmill.session import stored
 from blockmill.sources.manifest import append_manifest
-from blockmill.sources.shards import scan_packed, write_shards
+from blockmill.sources.shards import write_shards
 from blockmill.sources.state import fingerprint, newest_state, save_state
 
 
@@ -23,14 +23,8 @@ def tokenized(docs: DataFrame, tokenizer) -> DataFrame:
     table in the shared folder keeps the tokenizer to one run, and lost
     executors cost no more than the files they were writing.
     """
-    docs = docs.select("source", "doc_id", "text")
-    if not tokenizer.costly:
-        return tokenizer.tokenize(docs)
-    # Too few input files for all cores: moving the text costs less than waiting.
-    n_parts = 4 * default_parallelism(docs.sparkSession)
-    if docs.rdd.getNumPartitions() < n_parts:
-        docs = docs.repartition(n_parts)
-    return stored(tokenizer.tokenize(docs), "tokens")
+    rows = tokenizer.tokenize(docs.select("source", "doc_id", "text"))
+    return stored(rows, "tokens") if tokenizer.costly else rows
 
 
 def plan_documents(
@@ -50,28 +44,45 @@ def pack_documents(
     return pack(rows, plan, tokenizer)
 
 
-def _shards(path: str) -> str:
-    return f"{path}/shards"
+def shards_of(path: str) -> str:
+    """Folder of the shards of a build."""
+    return f"{path}/packed/part=shards"
+
+
+def _write(
+    rows: DataFrame, plan: MixPlan, tokenizer, path: str, first_block: int, first_shard: int, mode: str
+) -> None:
+    """One pass over the text: shards, and the unpacked tokens in a folder of their own."""
+    blocks = pack(rows, plan, tokenizer, first_block, whole_shards=True, with_tail=True)
+    part = F.when(F.col("block_id") < plan.n_blocks, "shards").otherwise("carry")
+    write_shards(
+        blocks.withColumn("part", part), f"{path}/packed", plan.settings.blocks_per_shard,
+        first_block, first_shard, mode, clustered=True, by=("part",),
+    )
 
 
 def _finish(
-    spark: SparkSession, rows: DataFrame, plan: MixPlan, tokenizer, path: str,
-    first_shard: int, next_shard: int, print_id: str,
+    spark: SparkSession, plan: MixPlan, path: str, first_shard: int, next_shard: int, print_id: str
 ) -> None:
     settings = plan.settings
     append_manifest(
-        spark, _shards(path), f"{path}/manifest", settings.seq_len, (first_shard, next_shard)
+        spark, shards_of(path), f"{path}/manifest", settings.seq_len, (first_shard, next_shard)
     )
-    written = scan_packed(spark, _shards(path)).filter(F.col("shard_id") < next_shard)
+    packed = spark.read.parquet(f"{path}/packed")
+    written = packed.filter((F.col("part") == "shards") & (F.col("shard_id") < next_shard))
     counts = per_source_tokens(written, settings.seq_len).agg(
         F.map_from_entries(F.collect_list(F.struct("source", "tokens"))).alias("per_source_tokens")
     )
-    carry = tail_tokens(rows, plan, tokenizer)
+    carry = packed.filter((F.col("part") == "carry") & (F.col("block_id") == plan.n_blocks)).select(
+        F.col("input_ids").alias("carry")
+    )
     state = (
         counts.unionByName(carry, allowMissingColumns=True)
         .agg(
             F.first("per_source_tokens", ignorenulls=True).alias("per_source_tokens"),
-            F.first("carry", ignorenulls=True).alias("carry"),
+            F.coalesce(
+                F.first("carry", ignorenulls=True), F.array().cast("array<int>")
+            ).alias("carry"),
         )
         .select(
             F.lit(plan.n_blocks).cast("long").alias("version"),
@@ -102,10 +113,9 @@ def build(
     rows, plan = plan_documents(docs, specs, settings, tokenizer)
     if plan.n_blocks == 0:
         raise ValueError(f"the sources hold less than one block of {settings.seq_len} tokens")
-    blocks = pack(rows, plan, tokenizer, whole_shards=True)
-    write_shards(blocks, _shards(path), settings.blocks_per_shard, mode=mode, clustered=True)
+    _write(rows, plan, tokenizer, path, 0, 0, mode)
     next_shard = -(-plan.n_blocks // settings.blocks_per_shard)
-    _finish(spark, rows, plan, tokenizer, path, 0, next_shard, _identity(specs, plan, tokenizer))
+    _finish(spark, plan, path, 0, next_shard, _identity(specs, plan, tokenizer))
     return plan
 
 
@@ -132,12 +142,8 @@ def resume(
     n_new = plan.n_blocks - first_block
     if n_new <= 0:
         return plan
-    blocks = pack(rows, plan, tokenizer, first_block, whole_shards=True)
     # Folders past the last remembered shard can only come from a broken attempt.
-    write_shards(
-        blocks, _shards(path), settings.blocks_per_shard, first_block, first_shard,
-        mode="overwrite", clustered=True,
-    )
+    _write(rows, plan, tokenizer, path, first_block, first_shard, "overwrite")
     next_shard = first_shard + -(-n_new // settings.blocks_per_shard)
-    _finish(spark, rows, plan, tokenizer, path, first_shard, next_shard, print_id)
+    _finish(spark, plan, path, first_shard, next_shard, print_id)
     return plan

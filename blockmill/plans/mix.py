@@ -33,6 +33,7 @@ SLAB_TOKENS = 1 << 28
 MAX_SLABS = 1 << 15
 BUCKETS_PER_SLAB = 32
 ROWS_PER_TASK = 1 << 20
+MANY_EPOCHS = 32
 
 
 @dataclass(frozen=True)
@@ -140,6 +141,33 @@ def _bucket_of(lanes: Sequence[Lane], n_buckets: int) -> Column:
     return F.least(F.floor(work), F.lit(n_buckets - 1)).cast("int")
 
 
+def _with_epochs(rows: DataFrame, lanes: Sequence[Lane]) -> DataFrame:
+    """Every record once per epoch of its source.
+
+    A small source that repeats very often may make up much of the mix while its
+    records sit in one input split. It is spread over all tasks first, by runs of
+    epochs, so that the copies are not made in one place.
+    """
+    most = max(x.epochs for x in lanes)
+    if most == 1:
+        return rows.withColumn("epoch", F.lit(0))
+    often = [x.name for x in lanes if x.epochs > MANY_EPOCHS]
+    if not often:
+        return repeat_epochs(rows, F.col("epochs"))
+    run = math.ceil(math.sqrt(most))
+    n_parts = 4 * default_parallelism(rows.sparkSession)
+    first = F.col("run") * run
+    spread = (
+        rows.filter(F.col("source").isin(often))
+        .withColumn("run", F.explode(F.sequence(F.lit(0), F.ceil(F.col("epochs") / run).cast("int") - 1)))
+        .repartition(n_parts, "source", "doc_id", "run")
+        .withColumn("epoch", F.explode(F.sequence(first, F.least(first + run, F.col("epochs")) - 1)))
+        .drop("run")
+    )
+    rest = repeat_epochs(rows.filter(~F.col("source").isin(often)), F.col("epochs"))
+    return rest.unionByName(spread)
+
+
 def placed_documents(
     docs: DataFrame, lanes: Sequence[Lane], settings: PackSettings, eos: bool, n_buckets: int
 ) -> DataFrame:
@@ -150,10 +178,7 @@ def placed_documents(
     """
     spark = docs.sparkSession
     raced = docs.filter(F.col("n_tok") > 0).join(_lane_table(spark, lanes), "source")
-    if any(x.epochs > 1 for x in lanes):
-        raced = repeat_epochs(raced, F.col("epochs"))
-    else:
-        raced = raced.withColumn("epoch", F.lit(0))
+    raced = _with_epochs(raced, lanes)
     raced = raced.withColumn(
         "arrival", arrival_time(settings.seed, F.col("n_records"), F.col("weight"))
     )

@@ -20,14 +20,17 @@ from blockmill.plans.mix import MAX_SLABS, SLAB_TOKENS, MixPlan, placed_document
 from blockmill.session import default_parallelism, small_table
 
 
-def _routes(plan: MixPlan, spark, first_block: int, slab_blocks: int) -> DataFrame:
+def _routes(
+    plan: MixPlan, spark, first_block: int, last_block: int, slab_blocks: int
+) -> DataFrame:
     """Bucket start and first and last slab of every bucket still to be packed."""
     seq_len = plan.settings.seq_len
     begin, end = plan.starts[:-1], plan.starts[1:]
-    needed = (end > first_block * seq_len) & (begin < plan.n_blocks * seq_len) & (end > begin)
+    needed = (end > first_block * seq_len) & (begin < (last_block + 1) * seq_len)
+    needed &= first_block <= last_block
     begin, end, bucket = begin[needed], end[needed], plan.buckets[needed]
     low = np.maximum(begin // seq_len, first_block) - first_block
-    high = np.minimum((end - 1) // seq_len, plan.n_blocks - 1) - first_block
+    high = np.minimum((end - 1) // seq_len, last_block) - first_block
     return small_table(spark, {
         "bucket": pa.array(bucket, pa.int32()),
         "bucket_start": pa.array(begin, pa.int64()),
@@ -47,22 +50,31 @@ def _slab_blocks(plan: MixPlan, spark, n_blocks: int, whole_shards: bool) -> int
 
 
 def pack(
-    docs: DataFrame, plan: MixPlan, tokenizer, first_block: int = 0, whole_shards: bool = False
+    docs: DataFrame,
+    plan: MixPlan,
+    tokenizer,
+    first_block: int = 0,
+    whole_shards: bool = False,
+    with_tail: bool = False,
 ) -> DataFrame:
     """All blocks of the plan from ``first_block`` on, with ids, label and document count.
 
     ``docs`` are tokenised documents (``tokenizer.tokenize``). With
-    ``whole_shards`` no shard is divided between tasks, ready for the sink.
+    ``whole_shards`` no shard is divided between tasks, ready for the sink. With
+    ``with_tail`` one more row, numbered after the last block, holds the tokens
+    that were read but not packed: what is left of the last document when the
+    budget ends the build, and less than one block when the documents end it.
     """
     spark = docs.sparkSession
     seq_len = plan.settings.seq_len
-    n_blocks = max(0, plan.n_blocks - first_block)
+    last_block = plan.n_blocks - (0 if with_tail else 1)
+    n_blocks = max(0, last_block + 1 - first_block)
     slab_blocks = _slab_blocks(plan, spark, n_blocks, whole_shards)
     n_slabs = max(1, math.ceil(n_blocks / slab_blocks))
 
     placed = placed_documents(docs, plan.lanes, plan.settings, plan.eos, plan.n_buckets)
     routed = (
-        placed.join(_routes(plan, spark, first_block, slab_blocks), "bucket")
+        placed.join(_routes(plan, spark, first_block, last_block, slab_blocks), "bucket")
         .withColumn("slab", F.explode(F.sequence("first_slab", "last_slab")))
         .drop("first_slab", "last_slab")
         .repartitionById(n_slabs, F.col("slab"))
@@ -74,7 +86,7 @@ def pack(
     start = F.col("bucket_start") + F.sum("len").over(upto) - F.col("len")
 
     slab_first = F.col("slab").cast("long") * slab_blocks + first_block
-    slab_last = F.least(slab_first + slab_blocks, F.lit(plan.n_blocks).cast("long")) - 1
+    slab_last = F.least(slab_first + slab_blocks - 1, F.lit(last_block).cast("long"))
     spans = (
         routed.withColumn("off", start)
         .withColumn("first", F.greatest(whole_div(F.col("off"), seq_len), slab_first))
@@ -83,12 +95,17 @@ def pack(
         )
         .filter(F.col("first") <= F.col("last"))
     )
+    if plan.settings.budget_blocks == plan.n_blocks:
+        # Nothing is read after the document that fills the budget.
+        spans = spans.filter(F.col("off") < plan.n_blocks * seq_len)
 
     def cut(block):
         begin = F.greatest(F.col("off"), block * seq_len) - F.col("off")
-        end = F.least(F.col("off") + F.col("len"), (block + 1) * seq_len) - F.col("off")
-        length = F.least(end, F.col("n_tok")) - begin
-        return begin.cast("int"), length.cast("int"), end == F.col("len")
+        upto = F.least(F.col("off") + F.col("len"), (block + 1) * seq_len) - F.col("off")
+        if with_tail:
+            upto = F.when(block == plan.n_blocks, F.col("len")).otherwise(upto)
+        length = F.least(upto, F.col("n_tok")) - begin
+        return begin.cast("int"), length.cast("int"), upto == F.col("len")
 
     pieces = tokenizer.pieces(F.col("payload"), F.sequence("first", "last"), cut)
     fragments = spans.select("slab", "off", "source", F.inline(pieces))
@@ -119,37 +136,3 @@ def packed_spans(docs: DataFrame, plan: MixPlan) -> DataFrame:
     return stream_offsets(
         placed.select("source", "epoch", "doc_id", "arrival", "bucket", "n_tok", "len"), starts
     )
-
-
-def tail_tokens(docs: DataFrame, plan: MixPlan, tokenizer) -> DataFrame:
-    """One row ``carry``: the tokens read but not packed.
-
-    That is what is left of the last document when the budget ends the build,
-    and less than one block when the documents end it.
-    """
-    seq_len = plan.settings.seq_len
-    end = plan.n_blocks * seq_len
-    by_budget = plan.settings.budget_blocks == plan.n_blocks
-    hit = plan.starts[1:] > end
-    if by_budget:
-        hit &= plan.starts[:-1] < end
-    spark = docs.sparkSession
-    starts = small_table(spark, {
-        "bucket": pa.array(plan.buckets[hit], pa.int32()),
-        "bucket_start": pa.array(plan.starts[:-1][hit], pa.int64()),
-    })
-    placed = placed_documents(docs, plan.lanes, plan.settings, plan.eos, plan.n_buckets)
-    rest = stream_offsets(placed, starts).filter(F.col("off") + F.col("len") > end)
-    if by_budget:
-        rest = rest.filter(F.col("off") < end)
-
-    def cut(_):
-        begin = F.greatest(F.lit(end).cast("long") - F.col("off"), F.lit(0))
-        return begin.cast("int"), (F.col("n_tok") - begin).cast("int"), F.lit(plan.eos)
-
-    piece = tokenizer.pieces(F.col("payload"), F.array(F.lit(plan.n_blocks).cast("long")), cut)
-    parts = F.sort_array(F.collect_list(F.struct("off", "piece")))
-    return (
-        rest.select("off", F.inline(piece)).agg(parts.alias("parts"))
-        .select(tokenizer.assemble(F.transform("parts", lambda p: p["piece"])).alias("carry"))
-    )

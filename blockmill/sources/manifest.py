@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.config import MANIFEST_SCHEMA
@@ -14,14 +12,20 @@ from blockmill.sources.shards import scan_packed, scan_shard_bytes, shard_summar
 def _measured(
     spark: SparkSession, path: str, seq_len: int, shards: tuple[int, int] | None = None
 ) -> DataFrame:
-    """Rows, tokens and digest of the shards that lie in the folder."""
+    """Rows, tokens, digest and write time of the shards that lie in the folder."""
     rows, files = scan_packed(spark, path), scan_shard_bytes(spark, path)
     if shards is not None:
         wanted = F.col("shard_id").between(shards[0], shards[1] - 1)
         rows, files = rows.filter(wanted), files.filter(wanted)
     counts = shard_summary(rows, seq_len)
-    digests = files.select("shard_id", file_digest(F.col("content")).alias("sha256"))
-    return counts.join(digests, "shard_id").select("file", "rows", "tokens", "sha256")
+    digests = files.select(
+        "shard_id",
+        file_digest(F.col("content")).alias("sha256"),
+        (F.unix_millis("written_at") / 1000.0).alias("time"),
+    )
+    return counts.join(digests, "shard_id").select(
+        "file", "rows", "tokens", "sha256", "time"
+    )
 
 
 def append_manifest(
@@ -29,11 +33,7 @@ def append_manifest(
     shards: tuple[int, int] | None = None,
 ) -> None:
     """Add a line for every shard, or for those from ``shards[0]`` up to ``shards[1]``."""
-    (
-        _measured(spark, path, seq_len, shards)
-        .withColumn("time", F.lit(time.time()))
-        .write.mode("append").json(manifest)
-    )
+    _measured(spark, path, seq_len, shards).write.mode("append").json(manifest)
 
 
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -29,12 +29,13 @@ def write_shards(
     first_shard: int = 0,
     mode: str = "errorifexists",
     clustered: bool = False,
+    by: tuple[str, ...] = (),
 ) -> None:
     """Write blocks as ``shard_id=<n>/`` folders of one file each.
 
     ``clustered`` says that whole shards already share a task, as the packing
-    leaves them; other tables are shuffled by shard once. The output committer
-    publishes the files when the job succeeds, so lost tasks leave nothing.
+    leaves them; other tables are shuffled by shard once. Columns in ``by`` become
+    folders above those of the shards. The output committer publishes the files when the job succeeds, so lost tasks leave nothing.
     """
     sharded = blocks.withColumn(
         "shard_id",
@@ -44,9 +45,9 @@ def write_shards(
     if not clustered:
         sharded = sharded.repartition("shard_id")
     (
-        sharded.select("block_id", "input_ids", "source", "shard_id")
-        .sortWithinPartitions("shard_id", "block_id")
-        .write.mode(mode).options(**_WRITER_OPTIONS).partitionBy("shard_id").parquet(path)
+        sharded.select("block_id", "input_ids", "source", *by, "shard_id")
+        .sortWithinPartitions(*by, "shard_id", "block_id")
+        .write.mode(mode).options(**_WRITER_OPTIONS).partitionBy(*by, "shard_id").parquet(path)
     )
 
 
@@ -102,13 +103,14 @@ def scan_shard_bytes(spark: SparkSession, path: str) -> DataFrame:
         "shard_id",
         shard_name(F.col("shard_id")).alias("file"),
         F.regexp_extract("path", r"(shard_id=[^/]+/)?[^/]+$", 0).alias("path"),
+        F.col("modificationTime").alias("written_at"),
         "length",
         "content",
     )
 
 
 def shard_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per shard file: number, name, path in the folder and size."""
+    """One row per shard file: number, name, path in the folder, write time and size."""
     return scan_shard_bytes(spark, path).drop("content")
 
 

@@ -22,7 +22,7 @@ from blockmill.operators.training import (
     batch_training_arrays, loader_schedule, mask_stats, micro_batches, token_extrema, training_rows,
 )
 from blockmill.operators.vocabulary import build_vocab, word_tokenizer, words_of
-from blockmill.plans.build import build, pack_documents, plan_documents, resume
+from blockmill.plans.build import build, pack_documents, plan_documents, resume, shards_of
 from blockmill.plans.pack import pack, packed_spans
 from blockmill.plans.reader import read_batches, read_training_rows
 from blockmill.session import scratch_path
@@ -149,13 +149,13 @@ def source_specs_query(spark, sf_dir):
 
 
 def scan_packed_query(spark, sf_dir):
-    rows = scan_packed(spark, written(spark, sf_dir) + "/shards")
+    rows = scan_packed(spark, shards_of(written(spark, sf_dir)))
     return block_rows(rows, "shard_id", "file")
 
 
 def stream_packed_query(spark, sf_dir):
     path = written(spark, sf_dir)
-    out = run_stream(spark, stream_packed(spark, f"{path}/shards", 2))
+    out = run_stream(spark, stream_packed(spark, shards_of(path), 2))
     return shard_summary(out, SEQ_LEN)
 
 
@@ -166,7 +166,7 @@ def scan_manifest_query(spark, sf_dir):
 
 def shard_bytes_query(spark, sf_dir):
     path = written(spark, sf_dir)
-    found = scan_shard_bytes(spark, f"{path}/shards").select("file", file_digest(F.col("content")).alias("found"))
+    found = scan_shard_bytes(spark, shards_of(path)).select("file", file_digest(F.col("content")).alias("found"))
     lines = scan_manifest(spark, f"{path}/manifest")
     return lines.join(found, "file").select(
         "file", F.length("found").alias("digest_chars"), (F.col("found") == F.col("sha256")).alias("same"))
@@ -192,14 +192,14 @@ def write_shards_query(spark, sf_dir):
 
 def audit_query(spark, sf_dir):
     path = written(spark, sf_dir)
-    return audit_manifest(spark, f"{path}/shards", f"{path}/manifest", SEQ_LEN).select(
+    return audit_manifest(spark, shards_of(path), f"{path}/manifest", SEQ_LEN).select(
         "file", "lines", "rows", "tokens", "verdict")
 
 
 def missing_shards_query(spark, sf_dir):
     path = written(spark, sf_dir)
     lines = scan_manifest(spark, f"{path}/manifest").filter(F.col("file") != "shard-000001.parquet")
-    files = shard_files(spark, f"{path}/shards").filter(F.col("shard_id") != 2)
+    files = shard_files(spark, shards_of(path)).filter(F.col("shard_id") != 2)
     return missing_shards(lines, files)
 
 
@@ -452,7 +452,7 @@ def mask_stats_query(spark, sf_dir):
 # Shards over ranks, batches
 
 def files_of(spark, sf_dir):
-    return shard_files(spark, written(spark, sf_dir) + "/shards")
+    return shard_files(spark, shards_of(written(spark, sf_dir)))
 
 
 def sorted_shards_query(spark, sf_dir):
@@ -481,7 +481,7 @@ def step_plan_query(spark, sf_dir):
 
 
 def micro_batches_query(spark, sf_dir):
-    path = written(spark, sf_dir) + "/shards"
+    path = shards_of(written(spark, sf_dir))
     ranks = R.rank_shards(shard_files(spark, path), WORLD)
     batches = batch_training_arrays(
         micro_batches(scan_packed(spark, path), ranks, BATCH, SEQ_LEN), PROFILE.pad_id)
@@ -492,20 +492,20 @@ def micro_batches_query(spark, sf_dir):
 
 
 def training_rows_query(spark, sf_dir):
-    rows = read_training_rows(spark, written(spark, sf_dir) + "/shards", SEQ_LEN, PROFILE, WORLD)
+    rows = read_training_rows(spark, shards_of(written(spark, sf_dir)), SEQ_LEN, PROFILE, WORLD)
     return rows.select(
         "rank", "shard_pos", "block_id", ids_digest(F.col("labels")).alias("labels_digest"),
         ids_digest(F.col("attention_mask")).alias("mask_digest"))
 
 
 def read_batches_query(spark, sf_dir):
-    batches = read_batches(spark, written(spark, sf_dir) + "/shards", SEQ_LEN, PROFILE, BATCH, WORLD, SEED)
+    batches = read_batches(spark, shards_of(written(spark, sf_dir)), SEQ_LEN, PROFILE, BATCH, WORLD, SEED)
     return batches.select("rank", "batch_id", ids_digest(F.flatten("input_ids")).alias("digest"))
 
 
 def loader_schedule_query(spark, sf_dir):
     """Two and a half passes of the longest rank over its batches."""
-    path = written(spark, sf_dir) + "/shards"
+    path = shards_of(written(spark, sf_dir))
     rows = scan_packed(spark, path).groupBy("shard_id").agg(F.count("*").alias("n"))
     ranks = R.rank_shards(shard_files(spark, path), WORLD)
     counts = ranks.join(rows, "shard_id").groupBy("rank").agg(
@@ -572,7 +572,7 @@ def resume_query(spark, sf_dir):
     path = scratch_path(spark, "build")
     build(docs, specs, settings(limits.total_tokens // 2), BYTES, path)
     resume(docs, specs, limits, BYTES, path)
-    return block_rows(scan_packed(spark, f"{path}/shards"), "shard_id")
+    return block_rows(scan_packed(spark, shards_of(path)), "shard_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F, types as T
 
 from blockmill.config import SourceSpec
+from blockmill.plans.pack import pack
 
 DOCS = T.StructType([
     T.StructField("source", T.StringType()),
@@ -25,5 +26,9 @@ def blocks_of(df):
     return [(list(r["input_ids"]), r["source"]) for r in rows]
 
 
-def n_tokens(docs):
-    return docs.agg(F.sum(F.octet_length("text") + 1)).first()[0]
+def tail_of(rows, plan, tok, first_block=0):
+    """The unpacked tokens, taken from a pack that returns them as a last row."""
+    packed = pack(rows, plan, tok, first_block, with_tail=True)
+    found = packed.filter(F.col("block_id") == plan.n_blocks).collect()
+    assert len(found) <= 1
+    return list(found[0]["input_ids"]) if found else []

@@ -16,10 +16,10 @@ from blockmill.operators.prefix import running_start, unit_bucket
 from blockmill.operators.progress import progress_rates
 from blockmill.operators.vocabulary import build_vocab, word_tokenizer
 from blockmill.plans.build import pack_documents, plan_documents
-from blockmill.plans.pack import pack, packed_spans, tail_tokens
+from blockmill.plans.pack import pack, packed_spans
 from blockmill.sources import source_specs
 import model
-from helpers import blocks_of, specs_for, table
+from helpers import blocks_of, specs_for, table, tail_of
 
 NAN, INF = float("nan"), float("inf")
 
@@ -132,7 +132,7 @@ def test_word_tokens_pack(spark, eos):
     rows, plan = plan_documents(docs, specs_for({"x": 1.0, "y": 1.0}), PackSettings(4, None, 4, 1), tok)
     want, rest = sequential(rows, plan, 4, tok.eos_id)
     assert blocks_of(pack(rows, plan, tok)) == want
-    assert list(tail_tokens(rows, plan, tok).first()["carry"]) == rest
+    assert tail_of(rows, plan, tok) == rest
 
 
 @pytest.fixture(scope="module")

@@ -9,8 +9,8 @@ from blockmill.functions import ByteTokenizer
 from blockmill.operators import mixing
 from blockmill.plans import mix
 from blockmill.plans.build import pack_documents, plan_documents
-from blockmill.plans.pack import pack, packed_spans, tail_tokens
-from helpers import blocks_of, specs_for, table
+from blockmill.plans.pack import pack, packed_spans
+from helpers import blocks_of, specs_for, table, tail_of
 
 TOK = ByteTokenizer()
 
@@ -23,7 +23,7 @@ def check(spark, records, weights, caps, seq_len, total, seed, eos=True):
     want, used, carry = model.build(records, weights, caps, seq_len, total, seed, eos)
     assert plan.n_blocks == len(want)
     assert blocks_of(pack(rows, plan, tok)) == want
-    assert list(tail_tokens(rows, plan, tok).first()["carry"]) == carry
+    assert tail_of(rows, plan, tok) == carry
     spans = packed_spans(rows, plan).orderBy("off").collect()
     assert [(r["source"], r["epoch"], r["doc_id"]) for r in spans][: len(used)] == used
     return plan
@@ -65,6 +65,29 @@ def test_caps_renormalise_and_sources_repeat(spark):
     assert max(x.epochs for x in plan.lanes) > 2
 
 
+def test_a_tiny_source_repeated_very_often(spark, monkeypatch):
+    monkeypatch.setattr("blockmill.plans.mix.MANY_EPOCHS", 3)
+    records = {
+        "big": [(d, "b" * 30) for d in range(200)],
+        "tiny": [(d, "t" * (5 + d)) for d in range(3)],
+        "some": [(d, "s" * 9) for d in range(120)],
+    }
+    plan = check(spark, records, {"big": 1.0, "tiny": 1.0, "some": 1.0}, {"some": 600}, 32, 12000, 6)
+    assert max(x.epochs for x in plan.lanes) > 40
+
+
+def test_packing_from_a_later_block(spark):
+    records = {s: [(d, s * 25) for d in range(40)] for s in ("a", "b")}
+    rows, plan = plan_documents(
+        table(spark, records), specs_for({"a": 1.0, "b": 2.0}), PackSettings(16, 3000, 4, 3), TOK)
+    want = blocks_of(pack(rows, plan, TOK))
+    for first in (1, 4, plan.n_blocks - 1, plan.n_blocks):
+        rest = pack(rows, plan, TOK, first).orderBy("block_id").collect()
+        assert [r["block_id"] for r in rest] == list(range(first, plan.n_blocks))
+        assert [(list(r["input_ids"]), r["source"]) for r in rest] == want[first:]
+        assert tail_of(rows, plan, TOK, first) == tail_of(rows, plan, TOK)
+
+
 def test_all_sources_capped_ends_before_the_budget(spark):
     records = {s: [(d, "abc" * 9) for d in range(20)] for s in ("a", "b")}
     plan = check(spark, records, {"a": 1.0, "b": 2.0}, {"a": 100, "b": 150}, 16, 10**6, 3)

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from blockmill.config import PackSettings
 from blockmill.functions import ByteTokenizer
-from blockmill.plans.build import build, pack_documents, resume
+from blockmill.plans.build import build, pack_documents, plan_documents, resume, shards_of
 from blockmill.session import checkpoint_dir
 from blockmill.sources import (
     audit_manifest, load_state, missing_shards, scan_manifest, scan_packed, shard_files, write_shards,
 )
-from helpers import blocks_of, specs_for
+from helpers import blocks_of, specs_for, tail_of
 
 TOK = ByteTokenizer()
 SPECS = specs_for({f"src{i}": 1 + i % 3 for i in range(20)}, {"src3": 4000})
@@ -30,7 +30,7 @@ def settings(total=None):
 
 
 def verdicts(spark, path):
-    rows = audit_manifest(spark, f"{path}/shards", f"{path}/manifest", LEN).collect()
+    rows = audit_manifest(spark, shards_of(path), f"{path}/manifest", LEN).collect()
     return {r["file"]: r["verdict"] for r in rows}
 
 
@@ -44,13 +44,13 @@ def built(spark, docs, tmp_path_factory):
 def test_round_trip(spark, docs, built):
     path, plan = built
     want = blocks_of(pack_documents(docs, SPECS, settings(300_000), TOK))
-    assert blocks_of(scan_packed(spark, f"{path}/shards")) == want
+    assert blocks_of(scan_packed(spark, shards_of(path))) == want
     assert len(want) == plan.n_blocks == -(-300_000 // LEN)
 
 
 def test_one_file_per_shard_with_exact_rows(spark, built):
     path, plan = built
-    files = sorted(glob.glob(f"{path}/shards/shard_id=*/*.parquet"))
+    files = sorted(glob.glob(f"{shards_of(path)}/shard_id=*/*.parquet"))
     rows = []
     for f in files:
         meta = pq.ParquetFile(f)
@@ -68,28 +68,28 @@ def test_one_file_per_shard_with_exact_rows(spark, built):
 def test_manifest_is_checkable(spark, built):
     path, _ = built
     lines = {r["file"]: r for r in scan_manifest(spark, f"{path}/manifest").collect()}
-    for r in shard_files(spark, f"{path}/shards").collect():
-        with open(f"{path}/shards/{r['path']}", "rb") as f:
+    for r in shard_files(spark, shards_of(path)).collect():
+        with open(f"{shards_of(path)}/{r['path']}", "rb") as f:
             assert lines[r["file"]]["sha256"] == hashlib.sha256(f.read()).hexdigest()
         assert lines[r["file"]]["tokens"] == lines[r["file"]]["rows"] * LEN
     assert set(verdicts(spark, path).values()) == {"ok"}
     assert missing_shards(
-        scan_manifest(spark, f"{path}/manifest"), shard_files(spark, f"{path}/shards")).count() == 0
+        scan_manifest(spark, f"{path}/manifest"), shard_files(spark, shards_of(path))).count() == 0
 
 
 def test_audit_finds_damage(spark, docs, tmp_path):
     path = f"{tmp_path}/out"
     build(docs, SPECS, settings(LEN * PER_SHARD * 4), TOK, path)
-    blocks = scan_packed(spark, f"{path}/shards").drop("file", "shard_id").cache()
+    blocks = scan_packed(spark, shards_of(path)).drop("file", "shard_id").cache()
     blocks.count()
     lines = spark.read.json(f"{path}/manifest").cache()
     lines.count()
     # Shard 1 gets other labels, shard 3 loses a row; a shard 7 appears.
     changed = blocks.filter(F.col("block_id").between(PER_SHARD, 2 * PER_SHARD - 1))
-    write_shards(changed.withColumn("source", F.lit("x")), f"{path}/shards", PER_SHARD, mode="overwrite")
+    write_shards(changed.withColumn("source", F.lit("x")), shards_of(path), PER_SHARD, mode="overwrite")
     short = blocks.filter(F.col("block_id").between(3 * PER_SHARD, 4 * PER_SHARD - 2))
-    write_shards(short, f"{path}/shards", PER_SHARD, mode="overwrite")
-    write_shards(changed, f"{path}/shards", PER_SHARD, first_block=PER_SHARD, first_shard=7, mode="overwrite")
+    write_shards(short, shards_of(path), PER_SHARD, mode="overwrite")
+    write_shards(changed, shards_of(path), PER_SHARD, first_block=PER_SHARD, first_shard=7, mode="overwrite")
     # Shard 2 is listed twice, shard 9 is listed and does not exist.
     extra = lines.filter("file = 'shard-000002.parquet'")
     extra.unionByName(extra.withColumn("file", F.lit("shard-000009.parquet"))).write.mode("append").json(f"{path}/manifest")
@@ -107,15 +107,17 @@ def test_resume_continues_the_same_sequence(spark, docs, tmp_path):
     before = {r["file"]: r["sha256"] for r in scan_manifest(spark, f"{path}/manifest").collect()}
     plan = resume(docs, SPECS, settings(700_000), TOK, path)
     want = blocks_of(pack_documents(docs, SPECS, settings(700_000), TOK))
-    assert blocks_of(scan_packed(spark, f"{path}/shards")) == want
+    assert blocks_of(scan_packed(spark, shards_of(path))) == want
     assert set(verdicts(spark, path).values()) == {"ok"}
     after = {r["file"]: r["sha256"] for r in scan_manifest(spark, f"{path}/manifest").collect()}
     assert before.items() <= after.items()
     # The short last shard of the first part stays short.
-    rows = {r["shard_id"]: r["count"] for r in scan_packed(spark, f"{path}/shards").groupBy("shard_id").count().collect()}
+    rows = {r["shard_id"]: r["count"] for r in scan_packed(spark, shards_of(path)).groupBy("shard_id").count().collect()}
     n_first = -(-100_000 // LEN)
     assert rows[n_first // PER_SHARD] == n_first % PER_SHARD
     state = load_state(spark, f"{path}/state").first()
+    rows_, plan_ = plan_documents(docs, SPECS, settings(700_000), TOK)
+    assert list(state["carry"]) == tail_of(rows_, plan_, TOK)
     assert state["total_tokens_written"] == plan.n_blocks * LEN == len(want) * LEN
     assert state["shard_idx"] == max(rows) + 1
     assert sum(state["per_source_tokens"].values()) == len(want) * LEN
@@ -143,17 +145,17 @@ def test_resume_refuses_other_settings(spark, docs, built):
 def test_resume_after_a_broken_attempt(spark, docs, tmp_path):
     path = f"{tmp_path}/out"
     blocks = pack_documents(docs, SPECS, settings(100_000), TOK)
-    write_shards(blocks.withColumn("source", F.lit("stale")), f"{path}/shards", PER_SHARD)
+    write_shards(blocks.withColumn("source", F.lit("stale")), shards_of(path), PER_SHARD)
     resume(docs, SPECS, settings(100_000), TOK, path)
-    assert blocks_of(scan_packed(spark, f"{path}/shards")) == blocks_of(blocks)
+    assert blocks_of(scan_packed(spark, shards_of(path))) == blocks_of(blocks)
 
 
 def test_resume_writes_no_old_shard(spark, docs, tmp_path):
     path = f"{tmp_path}/out"
     build(docs, SPECS, settings(LEN * PER_SHARD * 2), TOK, path)
-    old = {f: open(f, "rb").read() for f in glob.glob(f"{path}/shards/*/*.parquet")}
+    old = {f: open(f, "rb").read() for f in glob.glob(f"{shards_of(path)}/*/*.parquet")}
     resume(docs, SPECS, settings(LEN * PER_SHARD * 5), TOK, path)
-    assert len(glob.glob(f"{path}/shards/*/*.parquet")) == 5
+    assert len(glob.glob(f"{shards_of(path)}/*/*.parquet")) == 5
     assert all(open(f, "rb").read() == content for f, content in old.items())
 
 

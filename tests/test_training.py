@@ -9,7 +9,7 @@ from blockmill.operators.ranks import rank_coverage, rank_shards, step_plan
 from blockmill.operators.training import (
     batch_training_arrays, loader_schedule, mask_stats, micro_batches, token_extrema, training_rows,
 )
-from blockmill.plans.build import build
+from blockmill.plans.build import build, shards_of
 from blockmill.plans.reader import read_batches, read_training_rows
 from helpers import specs_for
 
@@ -154,14 +154,14 @@ def test_reader_end_to_end(spark, small, tmp_path):
     plan = build(docs, specs_for({f"src{i}": 1 for i in range(20)}), PackSettings(64, None, 500, 1),
                  ByteTokenizer(), path)
     profile = TokenProfile(257, 256, 256)
-    rows = read_training_rows(spark, f"{path}/shards", 64, profile, world=3, seed=5)
+    rows = read_training_rows(spark, shards_of(path), 64, profile, world=3, seed=5)
     assert rows.count() == plan.n_blocks
     bad = rows.filter(
         F.exists(F.arrays_zip("input_ids", "labels", "attention_mask"), lambda t:
                  (t["attention_mask"] != (t["input_ids"] != 256).cast("long"))
                  | (t["labels"] != F.when(t["attention_mask"] == 1, t["input_ids"]).otherwise(-100))))
     assert bad.count() == 0
-    batches = read_batches(spark, f"{path}/shards", 64, profile, 8, world=3, seed=5)
+    batches = read_batches(spark, shards_of(path), 64, profile, 8, world=3, seed=5)
     assert batches.select(F.explode("input_ids")).count() == plan.n_blocks
     sizes = batches.groupBy("rank").agg(F.count_if(F.size("input_ids") < 8).alias("short")).collect()
     assert all(r["short"] <= 1 for r in sizes)
