@@ -31,6 +31,7 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--tokenizer", help="a tokenizer.json; bytes without one")
     b.add_argument("--eos_token", help="end-of-text token of the tokenizer file")
     b.add_argument("--doc_id", action="append", default=[], metavar="SOURCE=EXPRESSION")
+    b.add_argument("--format", action="append", default=[], metavar="SOURCE=FORMAT")
 
     for name, text in (("rows", "training rows"), ("batches", "micro-batches")):
         r = commands.add_parser(name, help=f"write {text} with their rank")
@@ -61,7 +62,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("blockmill").getOrCreate()
     if args.command == "build":
         specs = spec_list(args.sources_json)
-        docs = scan_sources(spark, specs, args.base, dict(d.split("=", 1) for d in args.doc_id))
+        doc_ids, formats = (dict(p.split("=", 1) for p in ps) for ps in (args.doc_id, args.format))
+        docs = scan_sources(spark, specs, args.base, doc_ids, formats)
         if args.tokenizer:
             tokenizer = FileTokenizer.load(spark, args.tokenizer, args.eos_token)
         else:

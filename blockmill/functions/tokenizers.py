@@ -56,11 +56,15 @@ class ByteTokenizer:
         chars = F.decode(text.cast("binary"), "ISO-8859-1")
         return F.transform(F.split(chars, ""), lambda c: F.ascii(c))
 
-    def reader(self) -> Callable[[str], np.ndarray]:
+    def for_python(self, payload: Column) -> Column:
+        """The payload in the form that ``reader`` takes."""
+        return payload.cast("binary")
+
+    def reader(self) -> Callable[[bytes], np.ndarray]:
         """A function from one payload to its ids, for use inside Python tasks."""
 
-        def read(payload: str) -> np.ndarray:
-            return np.frombuffer(payload.encode(), dtype=np.uint8)
+        def read(payload: bytes) -> np.ndarray:
+            return np.frombuffer(payload, dtype=np.uint8)
 
         return read
 
@@ -117,6 +121,9 @@ class _ArrayTokenizer:
     def sizes(self, docs: DataFrame) -> DataFrame:
         return docs.select("source", "doc_id", "n_tok")
 
+    def for_python(self, payload: Column) -> Column:
+        return payload
+
     def reader(self) -> Callable[[object], np.ndarray]:
         def read(payload: object) -> np.ndarray:
             return np.asarray(payload, dtype=np.int32)

@@ -99,7 +99,7 @@ def _finish(
 
 
 def _identity(specs, plan: MixPlan, tokenizer) -> str:
-    return fingerprint(specs, plan.settings, tokenizer.name, tokenizer.eos_id, plan.records)
+    return fingerprint(specs, plan.settings, tokenizer.name, tokenizer.eos_id, plan.inputs)
 
 
 def build(

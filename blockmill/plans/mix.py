@@ -98,8 +98,9 @@ class MixPlan:
     n_blocks: int = 0
 
     @property
-    def records(self) -> dict[str, int]:
-        return {x.name: x.n_records for x in self.lanes}
+    def inputs(self) -> dict[str, tuple[int, int]]:
+        """Records and tokens of one epoch per source."""
+        return {x.name: (x.n_records, x.tokens) for x in self.lanes}
 
 
 _CUT_COLUMNS = ("cut_arrival", "cut_epoch", "cut_doc", "cut_n_tok")
@@ -195,19 +196,36 @@ def placed_documents(
     )
 
 
-def _bucket_totals(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket numbers, stream starts (one more than buckets) and latest arrivals."""
+@dataclass(frozen=True)
+class _Order:
+    """What a pass over all documents tells of the order buckets."""
+
+    n_buckets: int
+    # Numbers, latest arrivals, and stream starts with the end of the stream.
+    buckets: np.ndarray
+    latest: np.ndarray
+    starts: np.ndarray
+
+
+def _order(
+    sizes: DataFrame, lanes: Sequence[Lane], settings: PackSettings, eos: bool
+) -> _Order:
+    n_buckets = _count_buckets(sizes.sparkSession, lanes, settings.seq_len)
+    rows = placed_documents(sizes, lanes, settings, eos, n_buckets)
     table = rows.groupBy("bucket").agg(
-        F.sum("len").cast("long").alias("tokens"), F.max("arrival").alias("last")
-    ).toArrow()
-    bucket = table["bucket"].to_numpy().astype(np.int64)
-    order = np.argsort(bucket)
-    tokens = table["tokens"].to_numpy().astype(np.int64)[order]
-    starts = np.concatenate([[0], np.cumsum(tokens)]).astype(np.int64)
-    return bucket[order], starts, table["last"].to_numpy().astype(float)[order]
+        F.sum("len").cast("long").alias("tokens"), F.max("arrival").alias("latest")
+    ).toArrow().sort_by("bucket")
+    tokens = table["tokens"].to_numpy().astype(np.int64)
+    return _Order(
+        n_buckets,
+        table["bucket"].to_numpy().astype(np.int64),
+        table["latest"].to_numpy().astype(np.float64),
+        np.concatenate([[0], np.cumsum(tokens)]).astype(np.int64),
+    )
 
 
-def _count_buckets(spark: SparkSession, tokens: float, seq_len: int) -> int:
+def _count_buckets(spark: SparkSession, lanes: Sequence[Lane], seq_len: int) -> int:
+    tokens = sum(x.token_rate * x.stop for x in lanes)
     slabs = max(default_parallelism(spark), math.ceil(tokens / SLAB_TOKENS))
     slabs = min(slabs, MAX_SLABS, max(1, math.ceil(tokens / seq_len)))
     return min(MAX_BUCKETS, BUCKETS_PER_SLAB * slabs)
@@ -315,20 +333,18 @@ def plan_mix(
         lanes = _lanes(sizes, specs, eos)
         if settings.total_tokens is None:
             lanes = _settle_caps(sizes, lanes, settings, eos)
+            order = _order(sizes, lanes, settings, eos)
         else:
-            lanes = _settle_budget(sizes, lanes, settings, eos)
-        n_buckets = _count_buckets(
-            spark, sum(x.token_rate * x.stop for x in lanes), settings.seq_len
-        )
-        rows = placed_documents(sizes, lanes, settings, eos, n_buckets)
-        buckets, starts, _ = _bucket_totals(rows)
+            lanes, order = _settle_budget(sizes, lanes, settings, eos)
     finally:
         sizes.unpersist()
-    total = int(starts[-1])
+    total = int(order.starts[-1])
     n_blocks = total // settings.seq_len
     if settings.budget_blocks is not None:
         n_blocks = min(n_blocks, settings.budget_blocks)
-    return MixPlan(settings, eos, tuple(lanes), n_buckets, buckets, starts, total, n_blocks)
+    return MixPlan(
+        settings, eos, tuple(lanes), order.n_buckets, order.buckets, order.starts, total, n_blocks
+    )
 
 
 def _lanes(sizes: DataFrame, specs: Sequence[SourceSpec], eos: bool) -> list[Lane]:
@@ -358,7 +374,7 @@ def _settle_caps(
     if all(x.token_cap is None or x.cut is not None for x in lanes):
         return lanes
     spark = sizes.sparkSession
-    n_buckets = _count_buckets(spark, sum(x.token_rate * x.stop for x in lanes), settings.seq_len)
+    n_buckets = _count_buckets(spark, lanes, settings.seq_len)
     rows = placed_documents(sizes, lanes, settings, eos, n_buckets)
     # Kept partitioned by bucket: no round shuffles the documents again.
     documents = sum(x.weight * x.stop for x in lanes)
@@ -381,7 +397,7 @@ def _settle_caps(
 
 def _settle_budget(
     sizes: DataFrame, lanes: list[Lane], settings: PackSettings, eos: bool
-) -> list[Lane]:
+) -> tuple[list[Lane], _Order]:
     """Read far enough into the repeating sources to fill the token budget.
 
     Arrival times do not depend on how far is read, so a second try with a later
@@ -393,24 +409,19 @@ def _settle_budget(
     lanes = [replace(x, end=_guess_end(x, horizon)) for x in lanes]
     while True:
         lanes = _settle_caps(sizes, lanes, settings, eos)
-        n_buckets = _count_buckets(
-            sizes.sparkSession, sum(x.token_rate * x.stop for x in lanes), settings.seq_len
-        )
-        _, starts, last = _bucket_totals(
-            placed_documents(sizes, lanes, settings, eos, n_buckets)
-        )
+        order = _order(sizes, lanes, settings, eos)
         uncut = [x for x in lanes if x.cut is None]
         if not uncut:
-            return lanes
-        have = int(starts[-1])
+            return lanes, order
+        have = int(order.starts[-1])
         if have >= wanted:
             # The order must be complete up to the document that fills the budget.
-            frontier = last[int(np.searchsorted(starts[1:], wanted))]
+            frontier = order.latest[int(np.searchsorted(order.starts[1:], wanted))]
             short = {x.name for x in uncut if x.end <= frontier}
             if not short:
-                return lanes
+                return lanes, order
         else:
-            horizon *= max(1.3, 1.1 * wanted / max(have, 1))
+            horizon *= min(4.0, max(1.3, 1.1 * wanted / max(have, 1)))
             short = {x.name for x in uncut}
         lanes = [
             replace(x, end=horizon if x.token_cap is None else min(horizon, 2 * x.end))

@@ -18,17 +18,18 @@ def fingerprint(
     settings: PackSettings,
     tokenizer_name: str,
     eos_id: int | None,
-    records: Mapping[str, int],
+    inputs: Mapping[str, tuple[int, int]],
 ) -> str:
     """Digest of all that decides the order and content of the blocks.
 
     The token budget is left out: a larger one extends the same sequence. Record
-    counts are in, because they set the pace of their source.
+    and token counts of the sources are in: they show most changes of the inputs,
+    and the record count sets the pace of its source.
     """
     text = json.dumps({
         "specs": [asdict(s) for s in specs], "seq_len": settings.seq_len,
         "blocks_per_shard": settings.blocks_per_shard, "seed": settings.seed,
-        "tokenizer": tokenizer_name, "eos": eos_id, "records": dict(records),
+        "tokenizer": tokenizer_name, "eos": eos_id, "inputs": dict(inputs),
     }, sort_keys=True)
     return hashlib.sha256(text.encode()).hexdigest()
 

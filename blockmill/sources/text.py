@@ -12,13 +12,21 @@ from blockmill.config import SourceSpec
 
 def _format_of(path: str) -> str:
     tail = path.rstrip("/").rsplit("/", 1)[-1].lower()
-    for suffix, name in ((".json", "json"), (".jsonl", "json"), (".json.gz", "json"),
-                         (".jsonl.gz", "json"), (".orc", "orc"), (".txt", "text")):
+    tail = tail.removesuffix(".gz").removesuffix(".zst").removesuffix(".bz2")
+    for suffix, name in ((".json", "json"), (".jsonl", "json"), (".csv", "csv"),
+                         (".orc", "orc"), (".txt", "text")):
         if tail.endswith(suffix):
             return name
     return "parquet"
 
 
+# Reader settings under which every record is one whole text.
+_READER_OPTIONS = {
+    "text": {"wholetext": True},
+    "csv": {"header": True, "multiLine": True, "escape": '"'},
+}
+
+
 def scan_text(
     spark: SparkSession,
     spec: SourceSpec,
@@ -35,10 +43,7 @@ def scan_text(
     """
     path = "/".join(p for p in (base.rstrip("/"), spec.dataset, spec.config) if p)
     file_format = file_format or _format_of(path)
-    reader = spark.read.format(file_format)
-    if file_format == "text":
-        reader = reader.option("wholetext", True)
-    raw = reader.load(path)
+    raw = spark.read.format(file_format).options(**_READER_OPTIONS.get(file_format, {})).load(path)
     if doc_id is not None:
         key = F.expr(doc_id) if isinstance(doc_id, str) else doc_id
     elif file_format == "parquet":
@@ -48,8 +53,8 @@ def scan_text(
     else:
         raise ValueError(f"source {spec.name} ({file_format}) needs a doc_id column")
     column = "value" if file_format == "text" else spec.text_col
-    types = dict(raw.dtypes)
-    text = F.col(column) if types.get(column) == "string" else F.lit(None).cast("string")
+    is_text = dict(raw.dtypes).get(column, "").startswith(("string", "varchar", "char"))
+    text = F.col(column) if is_text else F.lit(None).cast("string")
     return raw.select(
         F.lit(spec.name).alias("source"),
         key.cast("long").alias("doc_id"),
@@ -67,9 +72,15 @@ def scan_sources(
     specs: Iterable[SourceSpec],
     base: str = "",
     doc_ids: Mapping[str, str] | None = None,
+    formats: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """All sources of a build with a positive weight."""
-    doc_ids = doc_ids or {}
+    """All sources of a build with a positive weight.
+
+    ``doc_ids`` and ``formats`` give id expressions and file formats by source
+    name, where the defaults of ``scan_text`` do not fit.
+    """
+    doc_ids, formats = doc_ids or {}, formats or {}
     return union_sources(
-        scan_text(spark, s, base, doc_ids.get(s.name)) for s in specs if s.weight > 0
+        scan_text(spark, s, base, doc_ids.get(s.name), formats.get(s.name))
+        for s in specs if s.weight > 0
     )

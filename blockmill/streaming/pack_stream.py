@@ -51,8 +51,10 @@ def pack_stream(
         state.update((carry.tolist(), n))
 
     lane = unit_bucket(unit_hash(seed, F.col("source"), F.col("doc_id")), lanes)
+    payload = tokenizer.for_python(F.col("payload"))
     keyed = tokenizer.tokenize(docs.select("source", "doc_id", "text")).filter("n_tok > 0")
     return (
-        keyed.select("source", lane.alias("lane"), "payload").groupBy("source", "lane")
+        keyed.select("source", lane.alias("lane"), payload.alias("payload"))
+        .groupBy("source", "lane")
         .applyInPandasWithState(fill, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
     )

@@ -138,6 +138,9 @@ def test_resume_refuses_other_settings(spark, docs, built):
             resume(docs, specs, changed, TOK, path)
     with pytest.raises(ValueError, match="other sources or settings"):
         resume(docs.filter("doc_id <> 3"), SPECS, settings(400_000), TOK, path)
+    other_text = docs.withColumn("text", F.when(F.col("doc_id") == 3, "x").otherwise(F.col("text")))
+    with pytest.raises(ValueError, match="other sources or settings"):
+        resume(other_text, SPECS, settings(400_000), TOK, path)
     with pytest.raises(FileExistsError):
         build(docs, SPECS, settings(300_000), TOK, path)
 

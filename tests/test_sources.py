@@ -55,6 +55,12 @@ def test_scan_formats(spark, tmp_path):
     assert [tuple(r) for r in scan("p", "t", "body", "part", doc_id="id").orderBy("doc_id").collect()] == want
     assert [r["text"] for r in scan("p", "t.json", "body", doc_id="id").orderBy("doc_id").collect()] == ["one", None, ""]
     assert [r["text"] for r in scan("p", "docs.txt", "any").collect()] == ["line 1\nline 2\n"]
+    (tmp_path / "c.csv").write_text('id,body\n5,"one ""a""\nsecond line"\n6,\n')
+    assert [r["text"] for r in scan("p", "c.csv", "body", doc_id="id").orderBy("doc_id").collect()] == [
+        'one "a"\nsecond line', None]
+    specs = [SourceSpec("j", "t.json", None, "body", 1.0), SourceSpec("q", "t", "part", "body", 1.0)]
+    both = scan_sources(spark, specs, str(tmp_path), {"j": "id", "q": "id"}, {"j": "json"})
+    assert both.count() == 6
     keys = [r["doc_id"] for r in scan("p", "t", "body", "part").collect()]
     assert len(set(keys)) == 3
     again = [r["doc_id"] for r in scan("p", "t", "body", "part").collect()]
