@@ -151,7 +151,9 @@ def _with_epochs(rows: DataFrame, lanes: Sequence[Lane]) -> DataFrame:
     """
     most = max(x.epochs for x in lanes)
     if most == 1:
-        return rows.withColumn("epoch", F.lit(0))
+        # Always 0. A literal would drop out of the sort order of kept rows, which
+        # then would not be seen to serve the windows over them.
+        return rows.withColumn("epoch", F.col("epochs") - 1)
     often = [x.name for x in lanes if x.epochs > MANY_EPOCHS]
     if not often:
         return repeat_epochs(rows, F.col("epochs"))
@@ -376,10 +378,11 @@ def _settle_caps(
     spark = sizes.sparkSession
     n_buckets = _count_buckets(spark, lanes, settings.seq_len)
     rows = placed_documents(sizes, lanes, settings, eos, n_buckets)
-    # Kept partitioned by bucket: no round shuffles the documents again.
+    # Kept partitioned and sorted: no round shuffles or sorts the documents again.
     documents = sum(x.weight * x.stop for x in lanes)
     n_parts = min(n_buckets, max(default_parallelism(spark), math.ceil(documents / ROWS_PER_TASK)))
-    rows = rows.repartition(n_parts, "bucket").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.repartition(n_parts, "bucket").sortWithinPartitions("bucket", *ORDER)
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         while True:
             cut_so_far = _lane_table(spark, lanes).select("source", *_CUT_COLUMNS)
