@@ -205,6 +205,12 @@ STREAM = f"""WITH lanes AS (
 
 HALF = f"(tokens * 3 // 2 // 2 + {SEQ_LEN - 1}) // {SEQ_LEN}"
 
+MASK_STATS = DOC_BLOCKS + f"""
+    SELECT shard_id, n - stops AS valid_labels, n - stops AS mask_sum, n AS elements
+    FROM (SELECT {SHARD} AS shard_id, CAST(count(*) * {SEQ_LEN} AS BIGINT) AS n,
+                 CAST(sum(length(h) - length(replace(h, 'ZZ', ''))) // 2 AS BIGINT) AS stops
+          FROM blocks GROUP BY 1)"""
+
 ORACLE: dict[str, str] = {
     "scan_text": chain(CORPUS) + "SELECT source, doc_id, md5(text) AS digest FROM corpus",
     "source_specs": chain(CORPUS) + """
@@ -338,11 +344,7 @@ ORACLE: dict[str, str] = {
     "token_extrema": DOC_BLOCKS + f"""
         SELECT {SHARD} AS shard_id, min(list_min({ids_of('h')})) AS min_id,
                max(list_max({ids_of('h')})) AS max_id FROM blocks GROUP BY 1""",
-    "mask_stats": DOC_BLOCKS + f"""
-        SELECT shard_id, n - stops AS valid_labels, n - stops AS mask_sum, n AS elements
-        FROM (SELECT {SHARD} AS shard_id, CAST(count(*) * {SEQ_LEN} AS BIGINT) AS n,
-                     CAST(sum(length(h) - length(replace(h, 'ZZ', ''))) // 2 AS BIGINT) AS stops
-              FROM blocks GROUP BY 1)""",
+    "mask_stats": MASK_STATS,
     "sorted_shards": strided("file") + "SELECT file, pos FROM lined",
     "shuffled_shards": strided(BY_HASH) + "SELECT file, pos FROM lined",
     "rank_shards": strided(BY_HASH) + "SELECT file, rank, shard_pos FROM ranks",
@@ -377,6 +379,7 @@ ORACLE: dict[str, str] = {
     "head_blocks": DOC_BLOCKS + f"""
         SELECT block_id, source, {DIGEST} AS digest FROM blocks, total
         WHERE block_id < tokens // {SEQ_LEN} // 10""",
+    "stream_rows": MASK_STATS,
     "pack_stream": STREAM + f"""
         SELECT source, lane, n_blocks, n_blocks - 1 AS last_seq, n_blocks * {SEQ_LEN} AS tokens
         FROM lanes WHERE n_blocks > 0""",

@@ -566,6 +566,13 @@ def progress_stream_query(spark, sf_dir):
         F.lit(tokens).cast("long").alias("seen_tokens"))
 
 
+def stream_rows_query(spark, sf_dir):
+    """Shards read as a stream of training rows, some files at a time."""
+    shards = stream_packed(spark, shards_of(written(spark, sf_dir)), 2)
+    rows = L.token_range_guard(L.exact_length(shards, SEQ_LEN), PROFILE.vocab_size)
+    return mask_stats(run_stream(spark, training_rows(rows, PROFILE.pad_id)), "shard_id")
+
+
 def resume_query(spark, sf_dir):
     """Half of the mix, then the rest into the same folder."""
     docs, specs, limits = capped_corpus(spark, sf_dir)
@@ -638,6 +645,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assign_shards": assign_shards_query,
     "budget_cut": budget_cut_query,
     "head_blocks": head_blocks_query,
+    "stream_rows": stream_rows_query,
     "pack_stream": pack_stream_query,
     "progress_stream": progress_stream_query,
     "resume": resume_query,
