@@ -163,17 +163,19 @@ class WordTokenizer(_ArrayTokenizer):
         shared = self._words
 
         @F.arrow_udf("array<int>")
-        def lookup(batch: pa.Array) -> pa.Array:
-            split = pc.split_pattern_regex(batch.cast(pa.large_string()), WORD_SPLIT)
-            parts = split.flatten()
-            kept = pc.not_equal(parts, "")
-            found = pc.index_in(parts.filter(kept), pa.array(shared.value, parts.type))
-            ids = pc.fill_null(pc.add(found, 1), 0).cast(pa.int32())
-            # Words per row, once the empty strings at its ends are gone.
-            rows = pc.list_parent_indices(split).filter(kept).to_numpy()
-            ends = np.cumsum(np.bincount(rows, minlength=len(batch)))
-            offsets = np.concatenate([[0], ends]).astype(np.int32)
-            return pa.ListArray.from_arrays(pa.array(offsets), ids)
+        def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            words = pa.array(shared.value, pa.large_string())
+            for batch in batches:
+                split = pc.split_pattern_regex(batch.cast(pa.large_string()), WORD_SPLIT)
+                parts = split.flatten()
+                kept = pc.not_equal(parts, "")
+                found = pc.index_in(parts.filter(kept), words)
+                ids = pc.fill_null(pc.add(found, 1), 0).cast(pa.int32())
+                # Words per row, once the empty strings at its ends are gone.
+                rows = pc.list_parent_indices(split).filter(kept).to_numpy()
+                ends = np.cumsum(np.bincount(rows, minlength=len(batch)))
+                offsets = np.concatenate([[0], ends]).astype(np.int32)
+                yield pa.ListArray.from_arrays(pa.array(offsets), ids)
 
         return lookup(text)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from blockmill.functions.tokenizers import WORD_SPLIT, WordTokenizer
+from blockmill.session import stored
 
 # Fixed value: the published vocabulary size, an upper bound for any vocabulary.
 MAX_VOCABULARY = 128256
@@ -17,16 +18,28 @@ def words_of(text: Column) -> Column:
 def build_vocab(docs: DataFrame, max_size: int = MAX_VOCABULARY, text: str = "text") -> DataFrame:
     """Words with count and id, ids from 1 by falling count, ties by the word.
 
-    All words are counted; the ranking then keeps the ``max_size`` first ones,
-    which bounds the table that the encoder shares with its tasks.
+    All words are counted, into a stored table. A histogram of the counts then
+    tells which words cannot be among the ``max_size`` first ones, so that the
+    final ranking in one task sees few rows, however many words there are.
     """
     if not 0 < max_size <= MAX_VOCABULARY:
         raise ValueError(f"max_size must be 1 to {MAX_VOCABULARY}")
     pieces = docs.select(F.explode(F.split(text, WORD_SPLIT)).alias("word"))
-    counts = pieces.filter(F.col("word") != "").groupBy("word").agg(F.count("*").alias("count"))
-    rank = Window.orderBy(F.desc("count"), F.asc("word"))
-    kept = counts.orderBy(F.desc("count"), F.asc("word")).limit(max_size)
-    return kept.withColumn("id", F.row_number().over(rank))
+    counts = stored(
+        pieces.filter(F.col("word") != "").groupBy("word").agg(F.count("*").alias("count")),
+        "word-counts",
+    )
+    # Classes of about nine percent; a 64-bit count has at most 504 of them.
+    count_class = F.floor(F.log2("count") * 8).cast("int")
+    classes = counts.groupBy(count_class.alias("class")).agg(F.count("*").alias("n")).collect()
+    seen, lowest = 0, 0
+    for row in sorted(classes, key=lambda r: -r["class"]):
+        seen, lowest = seen + row["n"], row["class"]
+        if seen >= max_size:
+            break
+    order = (F.desc("count"), F.asc("word"))
+    kept = counts.filter(count_class >= lowest).orderBy(*order).limit(max_size)
+    return kept.withColumn("id", F.row_number().over(Window.orderBy(*order)))
 
 
 def word_tokenizer(vocab: DataFrame, eos: bool = True) -> WordTokenizer:

@@ -1,4 +1,4 @@
-import json
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -196,3 +196,18 @@ def test_progress_rates(spark, per_part, monkeypatch):
         assert r["tokens"] == 8000 and r["dt"] == 10.0 and r["tok_per_sec"] == 800.0
         assert r["eta_hours"] == (1000 - i * 10) * (10.0 / 10.0) / 3600.0
     assert rows["q", 90]["tok_per_sec"] == 4000 / 29.0
+
+
+def test_vocabulary_keeps_the_most_frequent_words(spark):
+    """Cutting by count classes first changes nothing in the ranking."""
+    rng = random.Random(1)
+    words = [f"w{int(rng.paretovariate(0.7)) % 400}" for _ in range(20000)]
+    docs = spark.createDataFrame([(" ".join(words[i::50]),) for i in range(50)], "text string")
+    count = {}
+    for w in words:
+        count[w] = count.get(w, 0) + 1
+    ranked = sorted(count, key=lambda w: (-count[w], w))
+    for size in (1, 7, 150, 5000):
+        rows = build_vocab(docs, size).orderBy("id").collect()
+        assert [(r["word"], r["count"], r["id"]) for r in rows] == [
+            (w, count[w], i + 1) for i, w in enumerate(ranked[:size])]
