@@ -84,7 +84,7 @@ class Lane:
         return self.weight * self.tokens / self.n_records
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class MixPlan:
     """A settled mix: its lanes, and where every order bucket starts."""
 
@@ -198,7 +198,7 @@ def placed_documents(
     )
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class _Order:
     """What a pass over all documents tells of the order buckets."""
 

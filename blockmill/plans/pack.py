@@ -95,9 +95,7 @@ def pack(
         )
         .filter(F.col("first") <= F.col("last"))
     )
-    if plan.settings.budget_blocks == plan.n_blocks:
-        # Nothing is read after the document that fills the budget.
-        spans = spans.filter(F.col("off") < plan.n_blocks * seq_len)
+    spans = _within_budget(spans, plan)
 
     def cut(block):
         begin = F.greatest(F.col("off"), block * seq_len) - F.col("off")
@@ -127,12 +125,20 @@ def pack(
 
 
 def packed_spans(docs: DataFrame, plan: MixPlan) -> DataFrame:
-    """Position and length of every document, without any text; for reports."""
+    """Position and length of every document that is read, without any text."""
     placed = placed_documents(docs, plan.lanes, plan.settings, plan.eos, plan.n_buckets)
     starts = small_table(docs.sparkSession, {
         "bucket": pa.array(plan.buckets, pa.int32()),
         "bucket_start": pa.array(plan.starts[:-1], pa.int64()),
     })
-    return stream_offsets(
+    spans = stream_offsets(
         placed.select("source", "epoch", "doc_id", "arrival", "bucket", "n_tok", "len"), starts
     )
+    return _within_budget(spans, plan)
+
+
+def _within_budget(spans: DataFrame, plan: MixPlan) -> DataFrame:
+    """Nothing is read after the document that fills the budget."""
+    if plan.settings.budget_blocks != plan.n_blocks:
+        return spans
+    return spans.filter(F.col("off") < plan.n_blocks * plan.settings.seq_len)

@@ -35,7 +35,8 @@ def write_shards(
 
     ``clustered`` says that whole shards already share a task, as the packing
     leaves them; other tables are shuffled by shard once. Columns in ``by`` become
-    folders above those of the shards. The output committer publishes the files when the job succeeds, so lost tasks leave nothing.
+    folders above those of the shards. The output committer publishes the files
+    when the job succeeds, so lost tasks leave nothing behind.
     """
     sharded = blocks.withColumn(
         "shard_id",

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from blockmill.config import PackSettings, SourceSpec, TokenProfile
 from blockmill.functions import (
     ByteTokenizer, FileTokenizer, append_eos, attention_mask, file_digest, ids_digest,
-    lm_labels, resolve_pad, shard_name, to_long_ids, unit_hash,
+    lm_labels, resolve_pad, shard_name, to_long_ids,
 )
 from blockmill.operators import blocks as B, filters as L, mixing as M, progress, ranks as R
 from blockmill.operators.prefix import running_start_by_group
@@ -382,8 +382,7 @@ def repeat_epochs_query(spark, sf_dir):
     docs = corpus(spark, sf_dir)
     budget = settings(corpus_tokens(docs) * 3 // 2)
     rows, plan = plan_documents(docs, spec_list(MIX_JSON), budget, BYTES)
-    return packed_spans(rows, plan).filter(F.col("off") < plan.n_blocks * SEQ_LEN).select(
-        "source", "epoch", "doc_id", "off")
+    return packed_spans(rows, plan).select("source", "epoch", "doc_id", "off")
 
 
 def seeded_shuffle_query(spark, sf_dir):
