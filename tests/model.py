@@ -11,17 +11,23 @@ def unit(*keys):
     return int(hashlib.md5(text.encode()).hexdigest()[:13], 16) / float(1 << 52)
 
 
-def draws(records, weights, seed, repeat):
-    """Records in the order of the race: (arrival, source, epoch, doc_id, text)."""
+def draws(records, weights, seed, repeat, done):
+    """Records in the order of the race: (arrival, source, epoch, doc_id, text).
+
+    Sources in ``done`` have left the race.
+    """
 
     def lane(source):
         rows = records[source]
         epoch = 0
         while epoch == 0 or repeat:
-            yield from sorted(
+            for row in sorted(
                 ((epoch + unit(seed, source, epoch, d)) * len(rows) / weights[source], source, epoch, d, t)
                 for d, t in rows
-            )
+            ):
+                if source in done:
+                    return
+                yield row
             epoch += 1
 
     return heapq.merge(*[lane(s) for s in records if weights[s] > 0], key=lambda r: r[:4])
@@ -33,13 +39,14 @@ def build(records, weights, caps, seq_len, total_tokens, seed, eos=True):
     labelled = {s: 0 for s in records}
     written = 0
     repeat = total_tokens is not None
-    for arrival, source, epoch, doc_id, text in draws(records, weights, seed, repeat):
+    done = set()
+    for arrival, source, epoch, doc_id, text in draws(records, weights, seed, repeat, done):
         if repeat and written >= total_tokens:
             break
-        alive = [s for s in records if weights[s] > 0 and (caps.get(s) is None or labelled[s] < caps[s])]
-        if not alive:
+        done |= {s for s in records if caps.get(s) is not None and labelled[s] >= caps[s]}
+        if all(s in done or not weights[s] > 0 for s in records):
             break
-        if source not in alive or not text:
+        if source in done or not text:
             continue
         ids = list(text.encode()) + ([EOS] if eos else [])
         used.append((source, epoch, doc_id))
