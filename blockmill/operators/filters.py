@@ -35,16 +35,21 @@ def out_of_range(ids: Column, vocab_size: int) -> Column:
 
 
 def token_range_guard(rows: DataFrame, vocab_size: int, ids: str = "input_ids") -> DataFrame:
-    """Pass rows through, failing the job at the first id outside the vocabulary."""
-    low, high = F.array_min(ids), F.array_max(ids)
+    """Pass rows through, failing the job at the first id outside the vocabulary.
+
+    Takes packed rows and batches (arrays of id arrays).
+    """
+    if dict(rows.dtypes)[ids].startswith("array<array"):
+        low = F.array_min(F.transform(ids, lambda row: F.array_min(row)))
+        high = F.array_max(F.transform(ids, lambda row: F.array_max(row)))
+    else:
+        low, high = F.array_min(ids), F.array_max(ids)
     message = F.concat(
         F.lit(f"token id out of range for vocabulary of {vocab_size}: min "),
         low.cast("string"), F.lit(", max "), high.cast("string"),
     )
-    checked = F.when(out_of_range(F.col(ids), vocab_size), F.raise_error(message)).otherwise(
-        F.col(ids)
-    )
-    return rows.withColumn(ids, checked)
+    outside = (low < 0) | (high >= vocab_size)
+    return rows.withColumn(ids, F.when(outside, F.raise_error(message)).otherwise(F.col(ids)))
 
 
 def n_supervised(labels: Column, ignore: int = IGNORE_LABEL) -> Column:
@@ -52,12 +57,19 @@ def n_supervised(labels: Column, ignore: int = IGNORE_LABEL) -> Column:
     return F.size(F.filter(labels, lambda x: x != F.lit(ignore).cast("long")))
 
 
-def supervised_batches(batches: DataFrame, labels: str = "labels") -> DataFrame:
-    """Drop batches (arrays of label arrays) in which every label is ignored."""
+def supervised_batches(
+    batches: DataFrame, column: str = "labels", ignored: int | None = IGNORE_LABEL
+) -> DataFrame:
+    """Drop batches in which every label is ignored.
+
+    ``column`` holds an array of arrays: labels, or ids with the padding id as the
+    ignored one, which says the same before labels are made. ``ignored=None``
+    drops only batches without any token.
+    """
+    if ignored is None:
+        return batches.filter(F.exists(column, lambda row: F.size(row) > 0))
     return batches.filter(
-        F.exists(
-            F.col(labels), lambda row: F.exists(row, lambda x: x != F.lit(IGNORE_LABEL).cast("long"))
-        )
+        F.exists(column, lambda row: F.exists(row, lambda x: x != F.lit(ignored)))
     )
 
 

@@ -32,8 +32,9 @@ def read_batches(
 ) -> DataFrame:
     """Micro-batches per rank, in order of ``batch_id``, without unsupervised ones."""
     files = shard_files(spark, path).select("shard_id", "file")
-    packed = token_range_guard(
-        scan_packed(spark, path).select("shard_id", "block_id", "input_ids"), profile.vocab_size
-    )
+    packed = scan_packed(spark, path).select("shard_id", "block_id", "input_ids")
     batches = micro_batches(packed, rank_shards(files, world, seed), size, seq_len)
-    return supervised_batches(batch_training_arrays(batches, profile.pad_id))
+    batches = token_range_guard(batches, profile.vocab_size)
+    # Decided by the ids, so that labels are made once and for kept batches only.
+    kept = supervised_batches(batches, "input_ids", profile.pad_id)
+    return batch_training_arrays(kept, profile.pad_id)

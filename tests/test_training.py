@@ -63,6 +63,17 @@ def test_unsupervised_batches_leave(spark):
     rows = spark.createDataFrame(
         [(0, [[-100, -100], [-100, 4]]), (1, [[-100, -100]])], "batch_id int, labels array<array<bigint>>")
     assert [r["batch_id"] for r in supervised_batches(rows).collect()] == [0]
+    ids = spark.createDataFrame(
+        [(0, [[PAD, PAD], [PAD, 4]]), (1, [[PAD, PAD]])], "batch_id int, input_ids array<array<int>>")
+    assert [r["batch_id"] for r in supervised_batches(ids, "input_ids", PAD).collect()] == [0]
+    assert supervised_batches(ids, "input_ids", None).count() == 2
+
+
+def test_range_guard_on_batches(spark):
+    batches = spark.createDataFrame([([[1, 2], [3, 300]],)], "input_ids array<array<int>>")
+    with pytest.raises(PySparkException, match="min 1, max 300"):
+        token_range_guard(batches, 300).collect()
+    assert token_range_guard(batches, 301).count() == 1
 
 
 def test_pad_fallbacks(spark):
@@ -156,6 +167,8 @@ def test_reader_end_to_end(spark, small, tmp_path):
     profile = TokenProfile(257, 256, 256)
     rows = read_training_rows(spark, shards_of(path), 64, profile, world=3, seed=5)
     assert rows.count() == plan.n_blocks
+    with pytest.raises(PySparkException, match="out of range"):
+        read_batches(spark, shards_of(path), 64, TokenProfile(200, 256, 256), 8).collect()
     bad = rows.filter(
         F.exists(F.arrays_zip("input_ids", "labels", "attention_mask"), lambda t:
                  (t["attention_mask"] != (t["input_ids"] != 256).cast("long"))
