@@ -41,7 +41,8 @@ def _parser() -> argparse.ArgumentParser:
         r.add_argument("--world", type=int, default=1)
         r.add_argument("--shuffle_seed", type=int)
         r.add_argument("--vocab_size", type=int, default=TokenProfile.vocab_size)
-        r.add_argument("--pad_id", type=int, default=TokenProfile.pad_id)
+        r.add_argument("--pad_id", type=int, default=TokenProfile.pad_id,
+                       help="masked id; one that no token has, as -1, supervises all")
         r.add_argument("--micro_batch_size", type=int, default=1)
 
     a = commands.add_parser("audit", help="recount and rehash the shards of a build")
