@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.config import MANIFEST_SCHEMA
@@ -32,8 +33,19 @@ def append_manifest(
     spark: SparkSession, path: str, manifest: str, seq_len: int,
     shards: tuple[int, int] | None = None,
 ) -> None:
-    """Add a line for every shard, or for those from ``shards[0]`` up to ``shards[1]``."""
-    _measured(spark, path, seq_len, shards).write.mode("append").json(manifest)
+    """Add a line for every shard, or for those from ``shards[0]`` up to ``shards[1]``.
+
+    Shards that are listed with the same content get no second line, so a build
+    that broke off after this step can be repeated.
+    """
+    lines = _measured(spark, path, seq_len, shards)
+    try:
+        listed = spark.read.schema(MANIFEST_SCHEMA).json(manifest).select("file", "sha256")
+        lines = lines.join(listed, ["file", "sha256"], "left_anti")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    lines.write.mode("append").json(manifest)
 
 
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:

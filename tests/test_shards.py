@@ -11,7 +11,7 @@ from blockmill.functions import ByteTokenizer
 from blockmill.plans.build import build, pack_documents, plan_documents, resume, shards_of
 from blockmill.session import checkpoint_dir
 from blockmill.sources import (
-    audit_manifest, load_state, missing_shards, scan_manifest, scan_packed, shard_files, write_shards,
+    append_manifest, audit_manifest, load_state, missing_shards, scan_manifest, scan_packed, shard_files, write_shards,
 )
 from helpers import blocks_of, specs_for, tail_of
 
@@ -77,6 +77,15 @@ def test_manifest_is_checkable(spark, built):
         scan_manifest(spark, f"{path}/manifest"), shard_files(spark, shards_of(path))).count() == 0
 
 
+def test_listing_again_adds_no_line(spark, docs, tmp_path):
+    path = f"{tmp_path}/out"
+    build(docs, SPECS, settings(100_000), TOK, path)
+    before = scan_manifest(spark, f"{path}/manifest").count()
+    append_manifest(spark, shards_of(path), f"{path}/manifest", LEN)
+    assert scan_manifest(spark, f"{path}/manifest").count() == before
+    assert set(verdicts(spark, path).values()) == {"ok"}
+
+
 def test_audit_finds_damage(spark, docs, tmp_path):
     path = f"{tmp_path}/out"
     build(docs, SPECS, settings(LEN * PER_SHARD * 4), TOK, path)
