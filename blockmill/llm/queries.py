@@ -4,26 +4,68 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from blockmill.llm import quality_rules as Q, simhash as S
+from blockmill.llm import (
+    bpe, mixing as M, quality_rules as Q, simhash as S, substring_dedup as R,
+)
+from blockmill.llm.mixing_sql import mix_sql
+
+# The tree of the test tables: four domains by source number, then language, then source.
+DOMAINS = {"web": 4, "news": 3, "books": 2, "forums": 1}
+LANGS = {"en": 4, "de": 2, "fr": 2, "es": 1}
+SOURCES = {f"src{n}": 1 + n % 3 for n in range(20)}
+SOURCE_DOMAINS = {f"src{n}": list(DOMAINS)[n % len(DOMAINS)] for n in range(20)}
+MIX_PERCENT, MIX_EPOCHS, MIX_SEED = 80, 2, 1234
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def mix_plan(percent: int = MIX_PERCENT) -> M.MixPlan:
+    pairs = [F.lit(x) for pair in SOURCE_DOMAINS.items() for x in pair]
+    known = F.element_at(F.create_map(*pairs), F.coalesce("source", F.lit("")))
+    return M.MixPlan(
+        F.coalesce(known, F.lit("web")), DOMAINS, LANGS, SOURCES,
+        budget_percent=percent, max_epochs=MIX_EPOCHS, seed=MIX_SEED,
+    )
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.select_mix(table(spark, sf_dir, "documents"), mix_plan()).select(
+        "doc_id", F.col("__domain").alias("domain"), "lang", "source", F.col("__epoch").alias("epoch"),
+        F.col("__tokens").alias("n_tokens"), F.col("__taken").alias("taken"),
+    )
+
+
+_DOMAIN_SQL = "CASE source " + " ".join(f"WHEN '{s}' THEN '{d}'" for s, d in SOURCE_DOMAINS.items()) + " ELSE 'web' END"
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = S.simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", S.hex_fingerprint(groups["fp"]).alias("fingerprint"), "component_id")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.removal_digests(table(spark, sf_dir, "documents"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_and_decode(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_rules(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op4_simhash": op4_simhash,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_bpe": op6_bpe,
     "op9_quality_rules": op9_quality_rules,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_mixing": mix_sql(_DOMAIN_SQL, DOMAINS, LANGS, SOURCES, MIX_PERCENT, MIX_EPOCHS, MIX_SEED),
+}

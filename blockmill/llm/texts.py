@@ -7,7 +7,7 @@ is the empty text everywhere in this package.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -40,28 +40,43 @@ def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[list]:
             yield [column.to_pylist() for column in piece.columns]
 
 
-def map_rows(
-    df: DataFrame, columns: list[str], schema: T.StructType,
-    make: Callable[[], Callable[..., Iterable[tuple]]],
+def map_columns(
+    df: DataFrame, columns: list[str], schema: T.StructType | str,
+    make: Callable[[], Callable[..., Sequence]],
 ) -> DataFrame:
     """Rows made by a Python function that is itself made once a task.
 
     ``make()`` returns a function of the named columns, each a list over a slice of
-    rows; it gives the tuples of the output. Only the named columns reach Python.
+    rows; it gives the output columns. Only the named columns reach Python.
     """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = make()
+        made = make()
         for values in rows_of(batches):
-            made = list(rows(*values))
-            if made:
-                arrays = [pa.array(c, f.type) for c, f in zip(zip(*made), arrow)]
+            out = made(*values)
+            if len(out) and len(out[0]):
+                arrays = [pa.array(c, f.type) for c, f in zip(out, arrow)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def map_rows(
+    df: DataFrame, columns: list[str], schema: T.StructType | str,
+    make: Callable[[], Callable[..., Iterable[tuple]]],
+) -> DataFrame:
+    """The same for a function that gives the output row by row, as tuples."""
+
+    def as_columns():
+        rows = make()
+        return lambda *values: list(zip(*rows(*values)))
+
+    return map_columns(df, columns, schema, as_columns)
+
+
 class WordTable:
     """Numbers for words and a short list of integers for each, encoded many at a time.
 
