@@ -25,10 +25,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from blockmill.llm.texts import (
-    SPACES, WordTable, code_points_in_words, covered, map_rows, utf8, window_ids,
+    SLICE, SPACES, WordTable, code_points_in_words, covered, map_rows, utf8, window_ids,
 )
 
 SYMBOLS = b"#*$%&|<>"
@@ -210,12 +211,15 @@ def keep_good(docs: DataFrame, rules: FertilityRules | None = None) -> DataFrame
     """The rows that pass, with all their columns; decided row by row without a join."""
     rules = rules or default_rules()
 
-    @F.pandas_udf("boolean")
-    def passes(texts, langs):
-        import pandas as pd
-
+    def passes(batches):
         rows = _measure(rules)()
-        return pd.Series([r[7] for r in rows(texts, texts, langs)], dtype=bool)
+        for texts, langs in batches:
+            kept = []
+            for start in range(0, len(texts), SLICE):
+                part = texts[start: start + SLICE].tolist()
+                kept += [r[7] for r in rows(part, part, langs[start: start + SLICE].tolist())]
+            yield pd.Series(kept, dtype=bool)
 
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    return docs.filter(passes(F.col("text"), lang))
+    verdict = F.pandas_udf(passes, "boolean", F.PandasUDFType.SCALAR_ITER)
+    return docs.filter(verdict(F.col("text"), lang))

@@ -33,6 +33,7 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -353,8 +354,6 @@ def remove_repeats(docs: DataFrame, settings: RepeatSettings = RepeatSettings())
 
     @F.pandas_udf("string")
     def cut(texts, starts, sizes):
-        import pandas as pd
-
         def one(text, first, n):
             if first is None:
                 return text

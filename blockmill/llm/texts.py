@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 # Rows of a batch turned into Python objects at a time.
-_SLICE = 256
+SLICE = 256
 SPACES = " \t\n\x0b\x0c\r"
 
 
@@ -35,8 +35,8 @@ def code_points_in_words(text: str) -> int:
 def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[list]:
     """Columns of the batches as Python lists, a slice of rows at a time."""
     for batch in batches:
-        for start in range(0, batch.num_rows, _SLICE):
-            piece = batch.slice(start, _SLICE)
+        for start in range(0, batch.num_rows, SLICE):
+            piece = batch.slice(start, SLICE)
             yield [column.to_pylist() for column in piece.columns]
 
 
