@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.llm import (
-    bpe, mixing as M, quality_rules as Q, simhash as S, substring_dedup as R,
+    bpe, imatch, mixing as M, quality_rules as Q, sharding, simhash as S, substring_dedup as R,
 )
 from blockmill.llm.mixing_sql import mix_sql
 
@@ -42,6 +42,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DOMAIN_SQL = "CASE source " + " ".join(f"WHEN '{s}' THEN '{d}'" for s, d in SOURCE_DOMAINS.items()) + " ELSE 'web' END"
 
 
+def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints_with_next(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = S.simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", S.hex_fingerprint(groups["fp"]).alias("fingerprint"), "component_id")
@@ -59,12 +63,22 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of nearly equal bytes."""
+    return sharding.assign_shards(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op3_imatch": op3_imatch,
     "op4_simhash": op4_simhash,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_bpe": op6_bpe,
     "op9_quality_rules": op9_quality_rules,
+    "op10_sharding": op10_sharding,
 }
 ORACLE: dict[str, str] = {
     "op1_mixing": mix_sql(_DOMAIN_SQL, DOMAINS, LANGS, SOURCES, MIX_PERCENT, MIX_EPOCHS, MIX_SEED),
