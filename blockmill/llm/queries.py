@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.llm import (
-    bpe, imatch, mixing as M, quality_rules as Q, sharding, simhash as S, substring_dedup as R,
+    bpe, classifier, imatch, mixing as M, quality_rules as Q, sharding, simhash as S, substring_dedup as R,
 )
 from blockmill.llm.mixing_sql import mix_sql
 
@@ -42,6 +42,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DOMAIN_SQL = "CASE source " + " ".join(f"WHEN '{s}' THEN '{d}'" for s, d in SOURCE_DOMAINS.items()) + " ELSE 'web' END"
 
 
+def op2_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints_with_next(table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_classifier": op2_classifier,
     "op3_imatch": op3_imatch,
     "op4_simhash": op4_simhash,
     "op5_substring_dedup": op5_substring_dedup,
