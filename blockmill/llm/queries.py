@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.llm import (
-    bpe, classifier, imatch, mixing as M, quality_rules as Q, sharding, simhash as S, substring_dedup as R,
+    bpe, classifier, html_extract, imatch, mixing as M, quality_rules as Q, sharding, simhash as S, substring_dedup as R,
 )
 from blockmill.llm.mixing_sql import mix_sql
 
@@ -63,6 +63,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_articles(table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_bpe": op6_bpe,
+    "op8_html_extraction": op8_html_extraction,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
 }
