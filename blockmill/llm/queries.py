@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.llm import (
     bpe, classifier, html_extract, imatch, mixing as M, quality_rules as Q, sharding, simhash as S, substring_dedup as R,
+    warc,
 )
 from blockmill.llm.mixing_sql import mix_sql
+from blockmill.session import scratch_path
 
 # The tree of the test tables: four domains by source number, then language, then source.
 DOMAINS = {"web": 4, "news": 3, "books": 2, "forums": 1}
@@ -63,6 +65,15 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the archives into the shared folder and reads them back."""
+    folder = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_articles(table(spark, sf_dir, "pages"))
 
@@ -86,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_bpe": op6_bpe,
+    "op7_warc": op7_warc,
     "op8_html_extraction": op8_html_extraction,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
