@@ -1,0 +1,74 @@
+import base64
+import hashlib
+import random
+
+import pytest
+import tiktoken
+from hypothesis import given, settings, strategies as st
+
+from blockmill.llm import bpe as B
+from llm_cases import comparable, edge_rows, edge_texts
+
+SETTINGS = B.default_settings()
+RANKS = B.read_ranks(SETTINGS.rank_file)
+LIBRARY = tiktoken.Encoding("own", pat_str=SETTINGS.pattern, mergeable_ranks=RANKS, special_tokens={})
+ENCODER = B.Encoder(SETTINGS)
+BYTES_OF = ENCODER.transducer.bytes_of
+
+
+def test_whole_texts(edges, nothing):
+    want = []
+    for doc_id, text, *_ in edge_rows():
+        ids = LIBRARY.encode_ordinary(text or "")
+        want.append((doc_id, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                     hashlib.sha256((text or "").encode()).hexdigest()))
+    assert comparable(B.encode_and_decode(edges).collect()) == comparable(want)
+    assert B.encode_and_decode(nothing, ids=True).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"], max_codepoint=0x2FFF),
+                                  st.sampled_from(" \n\t'sé漢🙂a1.")), max_size=60))
+def test_any_text_equals_the_library(text):
+    ids = ENCODER([text])[0]
+    assert ids == LIBRARY.encode_ordinary(text)
+    decoder = B.StreamDecoder(BYTES_OF)
+    assert "".join(decoder.feed([i]) for i in ids) + decoder.finish() == text
+
+
+def test_small_tables_give_the_same(monkeypatch):
+    tiny = B.Encoder(B.BpeSettings(SETTINGS.rank_file, SETTINGS.pattern, chunks=20, states=30, pairs=50))
+    texts = [t for t in edge_texts() if t and len(t) < 5000]
+    assert tiny(texts) == [LIBRARY.encode_ordinary(t) for t in texts]
+
+
+def test_random_merges():
+    """Vocabularies other than the given one, over few letters so that merges compete."""
+    rng = random.Random(4)
+    for _ in range(20):
+        ranks = {bytes([b]): b for b in range(256)}
+        tokens = [b"a", b"b", b"c"]
+        while len(ranks) < 290:
+            token = rng.choice(tokens) + rng.choice(tokens)
+            if token not in ranks:
+                ranks[token] = len(ranks)
+                tokens.append(token)
+        machine = B.Transducer(ranks, states=200)
+        for _ in range(200):
+            piece = bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 30)))
+            want = [ranks[piece]] if piece in ranks else B.merge(piece, ranks)
+            assert machine.encode(piece) == want
+
+
+@pytest.mark.parametrize("data", [b"\xff", b"a\xc3", b"\xe2\x82", b"\xf0\x9f\x99", b"\xed\xa0\x80", b"\xc0\x80x", b"\xe2a\x82"])
+def test_bytes_that_are_no_text(data):
+    decoder = B.StreamDecoder(BYTES_OF)
+    text = decoder.feed([RANKS[bytes([b])] for b in data]) + decoder.finish()
+    assert "�" in text
+    assert [c for c in text if c != "�"] == [c for c in data.decode("utf-8", "ignore")]
+
+
+def test_rank_file_reader(tmp_path):
+    path = tmp_path / "ranks"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in [(b"a", 0), (b"ab", 1)]))
+    assert B.read_ranks(str(path)) == {b"a": 0, b"ab": 1}
