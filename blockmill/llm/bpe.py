@@ -26,6 +26,7 @@ table. One pass, no shuffle. Tables in a task are bounded by ``BpeSettings``.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from dataclasses import dataclass
@@ -46,7 +47,8 @@ class BpeSettings:
 
     rank_file: str
     pattern: str
-    chunks: int = 500_000
+    chunks: int = 800_000
+    pieces: int = 300_000
     states: int = 300_000
     pairs: int = 1_000_000
 
@@ -97,14 +99,13 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        # A state: the last token sent (-1: none), then for each place where a further token
+        # A state: the last token sent (-1: none), and for each place where a further token
         # may start, earliest first: the tokens from the last one sent up to there, and the
         # trie node to which the bytes since then lead. The last place is the end.
-        start = (-1, (), 0)
+        start = (-1, ((),), (0,))
         self._number, self._states = {start: 0}, [start]
         # By state * 256 + byte: the next state, with the settled tokens if there are any.
         self._moves: dict[int, int | tuple[int, tuple]] = {}
-        self._paths: dict[tuple, tuple] = {}
 
     def _is_whole(self, token: int) -> bool:
         """Whether the token is the BPE form of its own bytes."""
@@ -136,13 +137,14 @@ class Transducer:
         ranks: they fit if no pair at the seam would be merged before one of its
         members is merged into its own token.
         """
-        if left < 0 or not self._is_whole(right):
-            return self._is_whole(right)
         known = self._fits.get((left, right))
         if known is None:
             if len(self._fits) >= self._max_pairs:
                 self._fits.clear()
-            known = self._fits[left, right] = self._seam_holds(self._spine(left, 1), self._spine(right, 0))
+            known = self._is_whole(right) and (
+                left < 0 or self._seam_holds(self._spine(left, 1), self._spine(right, 0))
+            )
+            self._fits[left, right] = known
         return known
 
     def _seam_holds(self, ends: list[int], begins: list[int]) -> bool:
@@ -162,27 +164,31 @@ class Transducer:
 
     def _move(self, state: tuple, byte: int) -> tuple[tuple, tuple]:
         """The state after a byte, and the tokens that it settles."""
-        sent, children, path, opened = state[0], self._children, None, []
-        for k in range(1, len(state), 2):  # the earliest start gives the longest token
-            after = children[state[k + 1]].get(byte)
+        children, tokens = self._children, self._token
+        sent, paths, nodes = state
+        path, open_paths, open_nodes = None, [], []
+        for before, node in zip(paths, nodes):  # the earliest start gives the longest token
+            after = children[node].get(byte)
             if after is None:
                 continue
-            before, token = state[k], self._token[after]
-            if path is None and token is not None and self._fit(before[-1] if before else sent, token):
-                path = (*before, token)
+            if path is None:
+                token = tokens[after]
+                if token is not None and self._fit(before[-1] if before else sent, token):
+                    path = (*before, token)
             if children[after]:
-                opened += (before, after)
-        opened += (path, 0)
+                open_paths.append(before)
+                open_nodes.append(after)
+        if not open_paths:
+            return (path[-1], ((),), (0,)), path
+        open_paths.append(path)
+        open_nodes.append(0)
         # What all paths share is settled; it is what the first and the last in order share.
-        low, high, n = min(opened[::2]), max(opened[::2]), 0
+        low, high, n = min(open_paths), max(open_paths), 0
         while n < len(low) and low[n] == high[n]:
             n += 1
-        settled = path[:n]
         if n:
-            sent, opened[::2] = path[n - 1], [p[n:] for p in opened[::2]]
-        known = self._paths
-        opened[::2] = [known.setdefault(p, p) for p in opened[::2]]
-        return (sent, *opened), settled
+            sent, open_paths = path[n - 1], [p[n:] for p in open_paths]
+        return (sent, tuple(open_paths), tuple(open_nodes)), path[:n]
 
     def _learn(self, at: int, byte: int) -> int | tuple[int, tuple]:
         state, settled = self._move(self._states[at], byte)
@@ -209,7 +215,7 @@ class Transducer:
             else:
                 at, settled = move
                 out += settled
-        out += self._states[at][-2]
+        out += self._states[at][1][-1]
         return out
 
 
@@ -232,6 +238,8 @@ class StreamDecoder:
         self._lead = {b: rest for low, high, *rest in UTF8_LEADS for b in range(low, high + 1)}
         # By state (bytes of an unfinished character) and token: text to send, next state.
         self._steps: dict[bytes, dict[int, tuple[str, bytes]]] = {b"": {}}
+        # Of the steps from the first state back to it, the text alone.
+        self._whole: dict[int, str] = {}
         self.pending = b""
 
     def _step(self, pending: bytes, token: int) -> tuple[str, bytes]:
@@ -256,17 +264,23 @@ class StreamDecoder:
         return "".join(out), pending
 
     def feed(self, ids: list[int]) -> str:
-        out, pending = [], self.pending
-        steps = self._steps[pending]
-        for token in ids:
+        out = list(map(self._whole.get, ids))
+        at = 0
+        while at < len(ids):
+            if not self.pending:
+                try:
+                    at = out.index(None, at)
+                except ValueError:
+                    break
+            token, pending = ids[at], self.pending
+            steps = self._steps.setdefault(pending, {})
             step = steps.get(token)
             if step is None:
                 step = steps[token] = self._step(pending, token)
-            text, after = step
-            out.append(text)
-            if after != pending:
-                pending, steps = after, self._steps.setdefault(after, {})
-        self.pending = pending
+                if not pending and not step[1]:
+                    self._whole[token] = step[0]
+            out[at], self.pending = step
+            at += 1
         return "".join(out)
 
     def finish(self) -> str:
@@ -278,7 +292,9 @@ class StreamDecoder:
 @lru_cache(maxsize=2)
 def shared_encoder(settings: BpeSettings) -> "Encoder":
     """One encoder for all tasks of a worker process, so what it has learned stays."""
-    return Encoder(settings)
+    encoder = Encoder(settings)
+    gc.freeze()  # the vocabulary's tables live as long as the process
+    return encoder
 
 
 class Encoder:
@@ -290,11 +306,20 @@ class Encoder:
         self.transducer = Transducer(read_ranks(settings.rank_file), settings.states, settings.pairs)
         self._pieces = regex.compile(settings.pattern).findall
         self._table = WordTable(self._encode, settings.chunks)
+        self._known: dict[str, tuple[int, ...]] = {}
+        self._most = settings.pieces
 
     def _chunk(self, chunk: str) -> list[int]:
+        pieces = self._pieces(chunk)
         out: list[int] = []
-        for piece in self._pieces(chunk):
-            out += self.transducer.encode(piece.encode("utf-8"))
+        for piece in pieces:
+            # Chunks that differ in their punctuation share their pieces.
+            found = self._known.get(piece)
+            if found is None:
+                if len(self._known) >= self._most:
+                    self._known.clear()
+                found = self._known[piece] = tuple(self.transducer.encode(piece.encode("utf-8")))
+            out += found
         return out
 
     def _encode(self, chunks: list[str]) -> list[list[int]]:

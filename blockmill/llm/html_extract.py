@@ -12,8 +12,9 @@ What varies is not always the article, so the tree is read with the meaning of i
 * ``nav``, ``footer``, ``aside``, ``form``, scripts, styles and the like, hidden elements,
   and elements whose class, id or role names a menu, notice, advert, comment and so on are no
   content; a ``header`` is none outside an article;
-* the article is the longest ``article``, else ``main``, else the whole body; of a whole body
-  blocks that are mostly links are left out.
+* the article is the longest ``article``, else ``main``, else an element whose class or id says
+  so and which holds most of the text, else the whole body; of a whole body blocks that
+  are mostly links are left out.
 
 A text block is a run of text between the borders of block elements; its white space becomes
 one space, character references are decoded, and the blocks are joined by an empty line.
@@ -47,9 +48,12 @@ BESIDE = frozenset(
     "cookie cookies consent gdpr notice notices notification notifications alert newsletter subscribe subscription "
     "signup sidebar related recommended recommendations share sharing social breadcrumb breadcrumbs menu menus nav "
     "navbar navigation footer masthead popup modal overlay widget widgets pagination pager toolbar copyright "
-    "login search skip complementary contentinfo discussion feedback teaser teasers".split()
+    "login search skip complementary contentinfo discussion feedback teaser teasers side rail aside "
+    "announcement announcements donate paywall topbar".split()
 )
 HEADERS = frozenset(["header", "banner"])
+# Words in class and id that name the article of a page without article or main.
+CONTENT = frozenset("article post entry story content main".split())
 
 
 @dataclass(frozen=True)
@@ -73,8 +77,28 @@ def _skipped(node: dom.Node, inside: bool) -> bool:
     style = attrs.get("style", "").replace(" ", "").lower()
     if "display:none" in style or "visibility:hidden" in style:
         return True
-    said = set().union(*(dom.names(attrs.get(k, "")) for k in ("class", "id", "role")))
-    return bool(said & BESIDE) or (not inside and bool(said & HEADERS))
+    said = _said(attrs)
+    named = bool(said & BESIDE) or (not inside and bool(said & HEADERS))
+    # A frame round the article may be called after something else that it holds.
+    return named and not _holds_article(node)
+
+
+def _said(attrs: dict[str, str]) -> set[str]:
+    return set().union(*(dom.names(attrs.get(k, "")) for k in ("class", "id", "role")))
+
+
+def _holds_article(node: dom.Node) -> bool:
+    work = list(node.children)
+    while work:
+        child = work.pop()
+        if isinstance(child, str):
+            continue
+        if child.tag in ("article", "main"):
+            if not _said(child.attributes()) & BESIDE:
+                return True
+        elif child.tag not in NO_CONTENT:
+            work += child.children
+    return False
 
 
 @dataclass(slots=True)
@@ -119,7 +143,13 @@ def text_blocks(top: dom.Node, inside: bool) -> list[Block]:
     return [b for b in done if b.chars]
 
 
-def _tops(root: dom.Node, tag: str) -> list[dom.Node]:
+def _is(node: dom.Node, kind: str) -> bool:
+    if kind == "named":
+        return node.tag in ("div", "section", "td") and bool(node.attrs) and bool(_said(node.attributes()) & CONTENT)
+    return node.tag == kind or (kind == "main" and bool(node.attrs) and node.attributes().get("role") == "main")
+
+
+def _tops(root: dom.Node, kind: str) -> list[dom.Node]:
     """Outermost elements of a kind that are not beside the article."""
     found, work = [], [root]
     while work:
@@ -127,7 +157,7 @@ def _tops(root: dom.Node, tag: str) -> list[dom.Node]:
         for child in reversed(node.children):
             if isinstance(child, str) or _skipped(child, False):
                 continue
-            if child.tag == tag or (tag == "main" and child.attrs and child.attributes().get("role") == "main"):
+            if _is(child, kind):
                 found.append(child)
             else:
                 work.append(child)
@@ -142,8 +172,12 @@ def article_blocks(root: dom.Node, settings: WrapperSettings) -> list[Block]:
             blocks = max((text_blocks(t, True) for t in tops), key=lambda b: sum(x.chars for x in b))
             if blocks:
                 return blocks
-    blocks = text_blocks(root, False)
-    return [b for b in blocks if b.link_chars <= settings.max_link_share * b.chars]
+    blocks = [b for b in text_blocks(root, False) if b.link_chars <= settings.max_link_share * b.chars]
+    named = max((text_blocks(t, True) for t in _tops(root, "named")), key=lambda b: sum(x.chars for x in b), default=[])
+    # A part that is called content is believed if it holds most of the text.
+    if 2 * sum(b.chars for b in named) > sum(b.chars for b in blocks):
+        return named
+    return blocks
 
 
 PAGES = "page_id long, url string, host string, slots array<int>, texts array<string>"

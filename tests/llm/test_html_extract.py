@@ -29,6 +29,10 @@ def text_of(page):
     ("<p>unclosed <a href=\"x>t", ["unclosed t"]),
     ("a < b and b > c", ["a < b and b > c"]),
     ("<textarea><p>no</textarea><title>no</title><p>yes", ["yes"]),
+    ("<div class='page has-sidebar'><main><p>t</p></main></div><div id=side-bar>s</div>", ["t"]),
+    ("<div>Site</div><div id=content><p>" + "long text " * 9 + "</p></div><div>Imprint</div>", [("long text " * 9).strip()]),
+    ("<div id=content>c</div><div>much more text outside of it</div>", ["c", "much more text outside of it"]),
+    ("<article><p>t</p></article><section id=comments><article class=comment>c</article><p>Reply</p></section>", ["t"]),
     ("<nav>" * 300 + "deep" + "</nav>" * 300 + "<p>t", ["t"]),
     ("<div>" * 3000 + "deep", ["deep"]),
 ])
