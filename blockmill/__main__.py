@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from blockmill import config
 from blockmill.config import PackSettings, TokenProfile
@@ -44,10 +44,12 @@ def _parser() -> argparse.ArgumentParser:
         r.add_argument("--pad_id", type=int, default=TokenProfile.pad_id,
                        help="masked id; one that no token has, as -1, supervises all")
         r.add_argument("--micro_batch_size", type=int, default=1)
+        r.add_argument("--manifest", help="read only the shards that it lists")
 
     a = commands.add_parser("audit", help="recount and rehash the shards of a build")
     a.add_argument("--out_dir", required=True)
     a.add_argument("--seq_len", type=int, default=config.DEFAULT_SEQ_LEN)
+    a.add_argument("--report_dir", help="folder of the full report; out_dir/audit without one")
 
     s = commands.add_parser("steps", help="steps of one pass over a build")
     s.add_argument("--out_dir", required=True)
@@ -76,16 +78,26 @@ def main(argv: list[str] | None = None) -> None:
         profile = TokenProfile(args.vocab_size, pad_id=args.pad_id)
         common = (spark, args.packed_dir, args.seq_len, profile)
         if args.command == "rows":
-            out = read_training_rows(*common, args.world, args.shuffle_seed)
+            seen = Observation("lengths")
+            out = read_training_rows(*common, args.world, args.shuffle_seed, args.manifest, seen)
         else:
-            out = read_batches(*common, args.micro_batch_size, args.world, args.shuffle_seed)
+            out = read_batches(*common, args.micro_batch_size, args.world, args.shuffle_seed, args.manifest)
         out.write.partitionBy("rank").parquet(args.output_dir)
+        if args.command == "rows":
+            found = seen.get
+            print(f"rows_read={found['rows_read']} rows_skipped={found['rows_skipped']}")
+            if found["rows_read"] and found["rows_read"] == found["rows_skipped"]:
+                raise SystemExit(f"no row has {args.seq_len} ids")
     elif args.command == "audit":
         report = audit_manifest(
             spark, shards_of(args.out_dir), f"{args.out_dir}/manifest", args.seq_len
         )
-        report.groupBy("verdict").count().show()
-        report.filter("verdict <> 'ok'").select("file", "verdict").orderBy("file").show(100, False)
+        report_dir = args.report_dir or f"{args.out_dir}/audit"
+        report.write.mode("overwrite").json(report_dir)
+        counts = spark.read.schema(report.schema).json(report_dir).groupBy("verdict").count()
+        for verdict, n in sorted(map(tuple, counts.collect())):
+            print(f"{verdict}={n}")
+        print(f"report={report_dir}")
     else:
         lines = scan_manifest(spark, f"{args.out_dir}/manifest")
         step_plan(lines, args.seq_len, args.micro_batch_size, args.world, args.grad_accum_steps).show()

@@ -31,6 +31,10 @@ def _usable(text: Column) -> Column:
     return text.isNotNull() & (text != F.lit(""))
 
 
+# Ids that pass through Python strings at a time.
+_IDS_AT_ONCE = 1 << 22
+
+
 class ByteTokenizer:
     """Ids 0-255 are the UTF-8 bytes of the text, 256 is end-of-text."""
 
@@ -94,9 +98,22 @@ class ByteTokenizer:
 
         @F.arrow_udf("array<int>")
         def widen(batch: pa.Array) -> pa.Array:
-            ends = np.cumsum(pc.utf8_length(batch).to_numpy(zero_copy_only=False))
+            lengths = pc.utf8_length(batch).to_numpy(zero_copy_only=False).astype(np.int64)
+            if lengths.sum() >= 1 << 31:
+                raise ValueError(
+                    "a batch holds more than 2^31 ids; lower spark.sql.execution.arrow.maxRecordsPerBatch"
+                )
+            ids = np.empty(int(lengths.sum()), np.int32)
+            ends = np.cumsum(lengths)
+            # A bounded number of ids goes through Python strings at a time.
+            first = 0
+            while first < len(batch):
+                begin = int(ends[first - 1]) if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, begin + _IDS_AT_ONCE, "right")))
+                text = "".join(batch.slice(first, last - first).to_pylist())
+                ids[begin: int(ends[last - 1])] = np.frombuffer(text.encode("utf-32-le"), dtype=np.int32)
+                first = last
             offsets = np.concatenate([[0], ends]).astype(np.int32)
-            ids = np.frombuffer("".join(batch.to_pylist()).encode("utf-32-le"), dtype=np.int32)
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
 
         return widen(F.array_join(pieces, ""))
@@ -153,9 +170,8 @@ class WordTokenizer(_ArrayTokenizer):
     Arrow batches moves nothing.
     """
 
-    name = "word"
-
     def __init__(self, spark: SparkSession, words: list[str], eos: bool = True):
+        self.name = "word:" + hashlib.sha256("\n".join(words).encode()).hexdigest()
         self.unknown_id = 0
         self.vocab_size = len(words) + 2
         self.eos_id = len(words) + 1 if eos else None
@@ -182,6 +198,39 @@ class WordTokenizer(_ArrayTokenizer):
         return lookup(text)
 
 
+class JoinedWordTokenizer(_ArrayTokenizer):
+    """The same over a vocabulary too large for a broadcast: words meet their ids in a join.
+
+    ``vocab`` has ``word`` and ``id``. Works on whole tables only, through
+    ``tokenize``; words travel once with the key of their document.
+    """
+
+    def __init__(self, vocab: DataFrame, size: int, eos: bool = True):
+        digest = vocab.agg(F.bit_xor(F.xxhash64("word", "id"))).first()[0]
+        self.name = f"joined-word:{size}:{digest}"
+        self.unknown_id = 0
+        self.vocab_size = size + 2
+        self.eos_id = size + 1 if eos else None
+        self._vocab = vocab.select("word", "id")
+
+    def tokenize(self, docs: DataFrame) -> DataFrame:
+        key = ["source", "doc_id", "body"]
+        docs = docs.withColumn("body", F.xxhash64("text"))
+        words = F.filter(F.split("text", WORD_SPLIT), lambda w: w != "")
+        # Equal documents would otherwise pour their words into one list.
+        each = docs.dropDuplicates(key).select(*key, F.posexplode(words).alias("pos", "word"))
+        found = each.join(self._vocab, "word", "left").withColumn("id", F.coalesce("id", F.lit(0)))
+        ids = found.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("w"))
+        ids = ids.select(*[F.col(k).alias(f"of_{k}") for k in key], F.transform("w", lambda x: x["id"]).alias("w"))
+        same = F.lit(True)
+        for k in key:
+            same = same & F.col(k).eqNullSafe(F.col(f"of_{k}"))
+        payload = F.coalesce("w", F.array().cast("array<int>"))
+        return docs.join(ids, same, "left").select(
+            "source", "doc_id", payload.alias("payload"), F.size(payload).cast("long").alias("n_tok")
+        )
+
+
 class FileTokenizer(_ArrayTokenizer):
     """Any ``tokenizer.json`` definition, such as a trained BPE model."""
 

@@ -34,10 +34,16 @@ def out_of_range(ids: Column, vocab_size: int) -> Column:
     return (F.array_min(ids) < 0) | (F.array_max(ids) >= vocab_size)
 
 
+def _all_pass(rows: DataFrame, bad: Column, message: Column) -> DataFrame:
+    """All rows, or a failing job at one that is bad. Column pruning keeps filters."""
+    return rows.filter(F.coalesce(F.when(bad, F.raise_error(message).cast("boolean")), F.lit(True)))
+
+
 def token_range_guard(rows: DataFrame, vocab_size: int, ids: str = "input_ids") -> DataFrame:
     """Pass rows through, failing the job at the first id outside the vocabulary.
 
-    Takes packed rows and batches (arrays of id arrays).
+    Takes packed rows and batches (arrays of id arrays). The check is a filter, so
+    it also holds where the ids themselves are not used.
     """
     if dict(rows.dtypes)[ids].startswith("array<array"):
         low = F.array_min(F.transform(ids, lambda row: F.array_min(row)))
@@ -48,8 +54,7 @@ def token_range_guard(rows: DataFrame, vocab_size: int, ids: str = "input_ids")
         F.lit(f"token id out of range for vocabulary of {vocab_size}: min "),
         low.cast("string"), F.lit(", max "), high.cast("string"),
     )
-    outside = (low < 0) | (high >= vocab_size)
-    return rows.withColumn(ids, F.when(outside, F.raise_error(message)).otherwise(F.col(ids)))
+    return _all_pass(rows, (low < 0) | (high >= vocab_size), message)
 
 
 def n_supervised(labels: Column, ignore: int = IGNORE_LABEL) -> Column:
@@ -78,14 +83,15 @@ def not_finite(value: Column) -> Column:
 
 
 def finite_guard(log: DataFrame, loss: str = "loss") -> DataFrame:
-    """Pass a progress log through, failing the job at a NaN or infinite loss."""
+    """Pass a progress log through, failing the job at a NaN or infinite loss.
+
+    A filter too: it holds whichever columns are used.
+    """
     message = F.concat(
         F.lit("loss is not finite at opt_step "), F.col("opt_step").cast("string"),
         F.lit(", micro_step "), F.col("micro_step").cast("string"),
     )
-    return log.withColumn(
-        loss, F.when(not_finite(F.col(loss)), F.raise_error(message)).otherwise(F.col(loss))
-    )
+    return _all_pass(log, not_finite(F.col(loss)), message)
 
 
 def every_n(log: DataFrame, n: int, step: str = "opt_step") -> DataFrame:

@@ -19,7 +19,9 @@ MAX_BUCKETS = MAX_BROADCAST_ROWS
 
 def unit_bucket(u: Column, n_buckets: int) -> Column:
     """Bucket of a number in [0, 1)."""
-    n = min(max(1, n_buckets), MAX_BUCKETS)
+    if n_buckets > MAX_BUCKETS:
+        raise ValueError(f"{n_buckets} buckets are more than {MAX_BUCKETS}")
+    n = max(1, n_buckets)
     return F.least(F.floor(u * F.lit(float(n))), F.lit(n - 1)).cast("int")
 
 

@@ -115,22 +115,3 @@ def batch_training_arrays(batches: DataFrame, pad_id: int | None) -> DataFrame:
         .withColumn("attention_mask", F.transform(ids, lambda row: attention_mask(row, pad_id)))
         .withColumn("input_ids", ids.cast("array<array<bigint>>"))
     )
-
-
-def loader_schedule(batch_counts: DataFrame, world: int, micro_steps: int) -> DataFrame:
-    """Which batch every rank reads at every micro step, starting over at its end.
-
-    ``batch_counts`` (rank, n_batches) has one row per rank. The schedule holds
-    keys only; join it to the batches by ``rank`` and ``batch_id``.
-    """
-    spark = batch_counts.sparkSession
-    steps = spark.range(1, micro_steps + 1).withColumnRenamed("id", "micro_step")
-    ranks = F.explode(F.sequence(F.lit(0), F.lit(world - 1)))
-    before = F.col("micro_step") - 1
-    return (
-        steps.withColumn("rank", ranks)
-        .join(broadcast_if_small(batch_counts, world), "rank")
-        .withColumn("pass", F.call_function("div", before, F.col("n_batches").cast("long")))
-        .withColumn("batch_id", F.pmod(before, F.col("n_batches").cast("long")))
-        .drop("n_batches")
-    )

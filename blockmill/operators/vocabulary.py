@@ -4,26 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from blockmill.functions.tokenizers import WORD_SPLIT, WordTokenizer
-from blockmill.session import stored
-
-# Fixed value: the published vocabulary size, an upper bound for any vocabulary.
-MAX_VOCABULARY = 128256
+from blockmill.functions.tokenizers import WORD_SPLIT, JoinedWordTokenizer, WordTokenizer
+from blockmill.session import MAX_BROADCAST_ROWS, stored
 
 
 def words_of(text: Column) -> Column:
     return F.filter(F.split(text, WORD_SPLIT), lambda w: w != "")
 
 
-def build_vocab(docs: DataFrame, max_size: int = MAX_VOCABULARY, text: str = "text") -> DataFrame:
+def build_vocab(docs: DataFrame, max_size: int | None, text: str = "text") -> DataFrame:
     """Words with count and id, ids from 1 by falling count, ties by the word.
 
-    All words are counted, into a stored table. A histogram of the counts then
-    tells which words cannot be among the ``max_size`` first ones, so that the
-    final ranking in one task sees few rows, however many words there are.
+    ``max_size`` is the caller's choice, None takes every word; rarer words become
+    the unknown id when texts are encoded. All words are counted, into a stored
+    table. A histogram of the counts then tells which words cannot be among the
+    ``max_size`` first ones. Up to a bounded size one task ranks what is left;
+    larger vocabularies are ranked by classes of counts.
     """
-    if not 0 < max_size <= MAX_VOCABULARY:
-        raise ValueError(f"max_size must be 1 to {MAX_VOCABULARY}")
+    if max_size is not None and max_size < 1:
+        raise ValueError("max_size must be at least 1")
     pieces = docs.select(F.explode(F.split(text, WORD_SPLIT)).alias("word"))
     counts = stored(
         pieces.filter(F.col("word") != "").groupBy("word").agg(F.count("*").alias("count")),
@@ -32,18 +31,52 @@ def build_vocab(docs: DataFrame, max_size: int = MAX_VOCABULARY, text: str = "te
     # Classes of about nine percent; a 64-bit count has at most 504 of them.
     count_class = F.floor(F.log2("count") * 8).cast("int")
     classes = counts.groupBy(count_class.alias("class")).agg(F.count("*").alias("n")).collect()
-    seen, lowest = 0, 0
+    seen, lowest, start = 0, 0, {}
     for row in sorted(classes, key=lambda r: -r["class"]):
+        start[row["class"]] = seen
         seen, lowest = seen + row["n"], row["class"]
-        if seen >= max_size:
+        if max_size is not None and seen >= max_size:
             break
     order = (F.desc("count"), F.asc("word"))
-    kept = counts.filter(count_class >= lowest).orderBy(*order).limit(max_size)
-    return kept.withColumn("id", F.row_number().over(Window.orderBy(*order)))
+    if max_size is not None and max_size <= MAX_BROADCAST_ROWS:
+        kept = counts.filter(count_class >= lowest).orderBy(*order).limit(max_size)
+        return kept.withColumn("id", F.row_number().over(Window.orderBy(*order)))
+    ranked = _ranked(counts, count_class, lowest, start)
+    return ranked if max_size is None else ranked.filter(F.col("id") <= max_size)
+
+
+def _ranked(counts: DataFrame, count_class: Column, lowest: int, start: dict[int, int]) -> DataFrame:
+    """Ids of any number of words: classes of counts, then parts of a class by first letters.
+
+    The rare words fill few classes, so a class is cut by a prefix of the word, and
+    the parts' sizes give each part its start.
+    """
+    pairs = [F.lit(x) for pair in start.items() for x in pair]
+    parted = counts.filter(count_class >= lowest).select(
+        "word", "count", count_class.alias("class"), F.substring("word", 1, 3).alias("head")
+    )
+    sizes = parted.groupBy("class", "count", "head").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("class").orderBy(F.desc("count"), "head")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        "class", "count", "head",
+        (F.coalesce(F.sum("n").over(before), F.lit(0)) + F.element_at(F.create_map(*pairs), F.col("class"))).alias("start"),
+    )
+    inside = Window.partitionBy("class", "count", "head").orderBy("word")
+    return parted.withColumn("place", F.row_number().over(inside)).join(starts, ["class", "count", "head"]).select(
+        "word", "count", (F.col("start") + F.col("place")).cast("int").alias("id")
+    )
 
 
-def word_tokenizer(vocab: DataFrame, eos: bool = True) -> WordTokenizer:
-    """A tokenizer over a vocabulary of ``build_vocab``, of bounded size."""
+def word_tokenizer(vocab: DataFrame, eos: bool = True) -> WordTokenizer | JoinedWordTokenizer:
+    """A tokenizer over a vocabulary of ``build_vocab``.
+
+    Vocabularies past the broadcast bound are joined to the words of the texts.
+    """
     spark: SparkSession = vocab.sparkSession
+    vocab = stored(vocab, "vocabulary")
+    size = vocab.count()
+    if size > MAX_BROADCAST_ROWS:
+        return JoinedWordTokenizer(vocab, size, eos)
     words = [r["word"] for r in vocab.select("id", "word").orderBy("id").collect()]
     return WordTokenizer(spark, words, eos)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,38 +11,58 @@ from blockmill.config import PackSettings, SourceSpec
 from blockmill.operators.blocks import per_source_tokens
 from blockmill.plans.mix import MixPlan, plan_mix
 from blockmill.plans.pack import pack
-from blockmill.session import stored
-from blockmill.sources.manifest import append_manifest
-from blockmill.sources.shards import write_shards
-from blockmill.sources.state import fingerprint, newest_state, save_state
+from blockmill.session import exists, remove, stored
+from blockmill.sources.manifest import append_manifest, trim_manifest
+from blockmill.sources.shards import drop_shards, write_shards
+from blockmill.sources.state import (
+    fingerprint, newest_state, save_identity, save_state, saved_identity,
+)
 
+# A wave has at least so many shards, a build about so many waves at most.
+WAVE_SHARDS = 64
+MAX_WAVES = 8
 
-def tokenized(docs: DataFrame, tokenizer) -> DataFrame:
+
+def tokenized(docs: DataFrame, tokenizer, keep: str | None = None) -> DataFrame:
     """Tokenised documents, written once where tokenising needs Python.
 
     Planning and packing both use the token counts; reading them back from a
     table in the shared folder keeps the tokenizer to one run, and lost
-    executors cost no more than the files they were writing.
+    executors cost no more than the files they were writing. With ``keep`` the
+    table lies in that folder, under a key of tokenizer and documents, where a
+    second attempt finds it.
     """
-    rows = tokenizer.tokenize(docs.select("source", "doc_id", "text"))
-    return stored(rows, "tokens") if tokenizer.costly else rows
+    docs = docs.select("source", "doc_id", "text")
+    rows = tokenizer.tokenize(docs)
+    if not tokenizer.costly:
+        return rows
+    if keep is None:
+        return stored(rows, "tokens")
+    known = docs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("source", "doc_id", "text"))).first()
+    key = hashlib.sha256(f"{tokenizer.name}|{known[0]}|{known[1]}".encode()).hexdigest()
+    path, spark = f"{keep}/key={key}", docs.sparkSession
+    if not exists(spark, f"{path}/_SUCCESS"):
+        rows.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def plan_documents(
-    docs: DataFrame, specs: Sequence[SourceSpec], settings: PackSettings, tokenizer
+    docs: DataFrame, specs: Sequence[SourceSpec], settings: PackSettings, tokenizer,
+    keep: str | None = None,
 ) -> tuple[DataFrame, MixPlan]:
     """Tokenised documents with the plan of their mix."""
-    rows = tokenized(docs, tokenizer)
+    rows = tokenized(docs, tokenizer, keep)
     sizes = rows if tokenizer.costly else tokenizer.sizes(docs)
     return rows, plan_mix(sizes, specs, settings, tokenizer.eos_id is not None)
 
 
 def pack_documents(
-    docs: DataFrame, specs: Sequence[SourceSpec], settings: PackSettings, tokenizer
+    docs: DataFrame, specs: Sequence[SourceSpec], settings: PackSettings, tokenizer,
+    end_block: int | None = None,
 ) -> DataFrame:
-    """The blocks of a mix as a table, nothing written."""
+    """The blocks of a mix as a table, nothing written; or those before ``end_block``."""
     rows, plan = plan_documents(docs, specs, settings, tokenizer)
-    return pack(rows, plan, tokenizer)
+    return pack(rows, plan, tokenizer, end_block=end_block)
 
 
 def shards_of(path: str) -> str:
@@ -50,20 +71,25 @@ def shards_of(path: str) -> str:
 
 
 def _write(
-    rows: DataFrame, plan: MixPlan, tokenizer, path: str, first_block: int, first_shard: int, mode: str
+    rows: DataFrame, plan: MixPlan, tokenizer, path: str, first_block: int, end_block: int, first_shard: int
 ) -> None:
-    """One pass over the text: shards, and the unpacked tokens in a folder of their own."""
-    blocks = pack(rows, plan, tokenizer, first_block, whole_shards=True, with_tail=True)
+    """One pass over the text: shards, and at the end of the plan the unpacked tokens
+    in a folder of their own."""
+    blocks = pack(
+        rows, plan, tokenizer, first_block, whole_shards=True,
+        with_tail=end_block == plan.n_blocks, end_block=end_block,
+    )
     part = F.when(F.col("block_id") < plan.n_blocks, "shards").otherwise("carry")
     write_shards(
         blocks.withColumn("part", part), f"{path}/packed", plan.settings.blocks_per_shard,
-        first_block, first_shard, mode, clustered=True, by=("part",),
+        first_block, first_shard, "overwrite", clustered=True, by=("part",),
     )
 
 
 def _finish(
-    spark: SparkSession, plan: MixPlan, path: str, first_shard: int, next_shard: int, print_id: str
+    spark: SparkSession, plan: MixPlan, path: str, end_block: int, first_shard: int, next_shard: int, print_id: str
 ) -> None:
+    """Manifest lines of new shards, then the state. Only the last state of a plan has a carry."""
     settings = plan.settings
     append_manifest(
         spark, shards_of(path), f"{path}/manifest", settings.seq_len, (first_shard, next_shard)
@@ -73,7 +99,7 @@ def _finish(
     counts = per_source_tokens(written, settings.seq_len).agg(
         F.map_from_entries(F.collect_list(F.struct("source", "tokens"))).alias("per_source_tokens")
     )
-    carry = packed.filter((F.col("part") == "carry") & (F.col("block_id") == plan.n_blocks)).select(
+    carry = packed.filter((F.col("part") == "carry") & (F.col("block_id") == end_block)).select(
         F.col("input_ids").alias("carry")
     )
     state = (
@@ -85,9 +111,9 @@ def _finish(
             ).alias("carry"),
         )
         .select(
-            F.lit(plan.n_blocks).cast("long").alias("version"),
+            F.lit(end_block).cast("long").alias("version"),
             F.lit(next_shard).cast("long").alias("shard_idx"),
-            F.lit(plan.n_blocks * settings.seq_len).cast("long").alias("total_tokens_written"),
+            F.lit(end_block * settings.seq_len).cast("long").alias("total_tokens_written"),
             "per_source_tokens",
             "carry",
             F.lit(settings.seq_len).alias("seq_len"),
@@ -102,48 +128,82 @@ def _identity(specs, plan: MixPlan, tokenizer) -> str:
     return fingerprint(specs, plan.settings, tokenizer.name, tokenizer.eos_id, plan.inputs)
 
 
+def _go_on(
+    rows: DataFrame, plan: MixPlan, tokenizer, path: str, first_block: int, first_shard: int,
+    print_id: str, wave_shards: int | None,
+) -> None:
+    """Write what is left of the plan in waves of whole shards, each with its lines and state.
+
+    A wave reads the documents of its own order buckets, but has to look at all rows
+    for them; so there are few waves, and small builds have one.
+    """
+    spark, per_shard = rows.sparkSession, plan.settings.blocks_per_shard
+    left = -(-(plan.n_blocks - first_block) // per_shard)
+    wave = wave_shards or max(WAVE_SHARDS, -(-left // MAX_WAVES))
+    while first_block < plan.n_blocks:
+        end_block = min(plan.n_blocks, first_block + wave * per_shard)
+        next_shard = first_shard + -(-(end_block - first_block) // per_shard)
+        _write(rows, plan, tokenizer, path, first_block, end_block, first_shard)
+        _finish(spark, plan, path, end_block, first_shard, next_shard, print_id)
+        first_block, first_shard = end_block, next_shard
+    remove(spark, f"{path}/tokens")
+
+
+def _clean(spark: SparkSession, path: str, first_shard: int) -> None:
+    """Remove what a broken attempt has left past the last remembered shard."""
+    drop_shards(spark, shards_of(path), first_shard)
+    trim_manifest(spark, f"{path}/manifest", first_shard)
+
+
 def build(
     docs: DataFrame, specs: Sequence[SourceSpec], settings: PackSettings, tokenizer, path: str,
-    mode: str = "errorifexists",
+    wave_shards: int | None = None,
 ) -> MixPlan:
-    """A fresh build into an empty folder: shards, manifest and state."""
+    """A fresh build into an empty folder: identity, shards, manifest and state."""
     spark = docs.sparkSession
-    if newest_state(spark, f"{path}/state") is not None:
-        raise FileExistsError(f"{path} holds a build already; use resume")
-    rows, plan = plan_documents(docs, specs, settings, tokenizer)
+    for name in ("state", "plan", "packed"):
+        if exists(spark, f"{path}/{name}"):
+            raise FileExistsError(f"{path} holds a build already; use resume")
+    return _start(docs, specs, settings, tokenizer, path, wave_shards)
+
+
+def _start(docs, specs, settings, tokenizer, path, wave_shards) -> MixPlan:
+    spark = docs.sparkSession
+    rows, plan = plan_documents(docs, specs, settings, tokenizer, f"{path}/tokens")
     if plan.n_blocks == 0:
         raise ValueError(f"the sources hold less than one block of {settings.seq_len} tokens")
-    _write(rows, plan, tokenizer, path, 0, 0, mode)
-    next_shard = -(-plan.n_blocks // settings.blocks_per_shard)
-    _finish(spark, plan, path, 0, next_shard, _identity(specs, plan, tokenizer))
+    print_id = _identity(specs, plan, tokenizer)
+    known = saved_identity(spark, f"{path}/plan")
+    if known not in (None, print_id):
+        raise ValueError(f"{path} was begun from other sources or settings")
+    _clean(spark, path, 0)
+    save_identity(spark, f"{path}/plan", print_id)
+    _go_on(rows, plan, tokenizer, path, 0, 0, print_id, wave_shards)
     return plan
 
 
 def resume(
-    docs: DataFrame, specs: Sequence[SourceSpec], settings: PackSettings, tokenizer, path: str
+    docs: DataFrame, specs: Sequence[SourceSpec], settings: PackSettings, tokenizer, path: str,
+    wave_shards: int | None = None,
 ) -> MixPlan:
-    """Continue a build up to a larger budget, or start it.
+    """Continue a build up to a larger budget or after a break, or start it.
 
     The order of the documents is a function of inputs and settings alone, so the
     new blocks are the next ones of the same sequence. A short last shard stays
-    short, as its line in the manifest says. Other inputs or settings raise.
+    short, as its line in the manifest says. Other inputs or settings raise, also
+    where a broken attempt has left no state yet. Shards that no state remembers
+    are removed first.
     """
     spark = docs.sparkSession
     state = newest_state(spark, f"{path}/state")
     if state is None:
-        # Shards without a state come from an attempt that broke off.
-        return build(docs, specs, settings, tokenizer, path, mode="overwrite")
-    rows, plan = plan_documents(docs, specs, settings, tokenizer)
+        return _start(docs, specs, settings, tokenizer, path, wave_shards)
+    rows, plan = plan_documents(docs, specs, settings, tokenizer, f"{path}/tokens")
     print_id = _identity(specs, plan, tokenizer)
     if print_id != state["fingerprint"]:
         raise ValueError(f"{path} was built from other sources or settings")
-    first_block = state["total_tokens_written"] // settings.seq_len
     first_shard = state["shard_idx"]
-    n_new = plan.n_blocks - first_block
-    if n_new <= 0:
-        return plan
-    # Folders past the last remembered shard can only come from a broken attempt.
-    _write(rows, plan, tokenizer, path, first_block, first_shard, "overwrite")
-    next_shard = first_shard + -(-n_new // settings.blocks_per_shard)
-    _finish(spark, plan, path, first_shard, next_shard, print_id)
+    _clean(spark, path, first_shard)
+    first_block = state["total_tokens_written"] // settings.seq_len
+    _go_on(rows, plan, tokenizer, path, first_block, first_shard, print_id, wave_shards)
     return plan

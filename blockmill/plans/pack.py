@@ -56,8 +56,12 @@ def pack(
     first_block: int = 0,
     whole_shards: bool = False,
     with_tail: bool = False,
+    end_block: int | None = None,
 ) -> DataFrame:
-    """All blocks of the plan from ``first_block`` on, with ids, label and document count.
+    """The blocks of the plan from ``first_block`` on, with ids, label and document count.
+
+    With ``end_block`` only those before it: documents of later buckets are left
+    out before the shuffle.
 
     ``docs`` are tokenised documents (``tokenizer.tokenize``). With
     ``whole_shards`` no shard is divided between tasks, ready for the sink. With
@@ -67,7 +71,10 @@ def pack(
     """
     spark = docs.sparkSession
     seq_len = plan.settings.seq_len
-    last_block = plan.n_blocks - (0 if with_tail else 1)
+    end = plan.n_blocks if end_block is None else min(end_block, plan.n_blocks)
+    if with_tail and end < plan.n_blocks:
+        raise ValueError("only the end of a plan has a tail")
+    last_block = end - (0 if with_tail else 1)
     n_blocks = max(0, last_block + 1 - first_block)
     slab_blocks = _slab_blocks(plan, spark, n_blocks, whole_shards)
     n_slabs = max(1, math.ceil(n_blocks / slab_blocks))

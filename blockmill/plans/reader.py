@@ -9,17 +9,30 @@ from blockmill.operators.filters import exact_length, supervised_batches, token_
 from blockmill.operators.ranks import rank_shards
 from blockmill.operators.training import batch_training_arrays, micro_batches, training_rows
 from blockmill.session import broadcast_if_small
+from blockmill.sources.manifest import scan_manifest
 from blockmill.sources.shards import scan_packed, shard_files
 
 
+def _listed(spark: SparkSession, path: str, manifest: str | None) -> DataFrame:
+    """Shards of a folder; with a manifest those that it lists."""
+    files = shard_files(spark, path).select("shard_id", "file")
+    if manifest is None:
+        return files
+    return files.join(scan_manifest(spark, manifest).select("file").distinct(), "file", "left_semi")
+
+
 def read_training_rows(
     spark: SparkSession, path: str, seq_len: int, profile: TokenProfile,
-    world: int = 1, seed: int | None = None,
+    world: int = 1, seed: int | None = None, manifest: str | None = None, observation=None,
 ) -> DataFrame:
-    """Training rows of all shards with the rank that reads them."""
-    files = shard_files(spark, path).select("shard_id", "file")
+    """Training rows of all shards with the rank that reads them.
+
+    ``manifest`` leaves out shards that it does not list. An ``observation`` gets the
+    numbers of rows read and of rows skipped for their length.
+    """
+    files = _listed(spark, path, manifest)
     ranks = rank_shards(files, world, seed).select("shard_id", "rank", "shard_pos")
-    rows = exact_length(scan_packed(spark, path).drop("file"), seq_len)
+    rows = exact_length(scan_packed(spark, path).drop("file"), seq_len, observation)
     rows = token_range_guard(rows, profile.vocab_size)
     return training_rows(
         rows.join(broadcast_if_small(ranks, files.count()), "shard_id"), profile.pad_id
@@ -28,10 +41,10 @@ def read_training_rows(
 
 def read_batches(
     spark: SparkSession, path: str, seq_len: int, profile: TokenProfile, size: int,
-    world: int = 1, seed: int | None = None,
+    world: int = 1, seed: int | None = None, manifest: str | None = None,
 ) -> DataFrame:
     """Micro-batches per rank, in order of ``batch_id``, without unsupervised ones."""
-    files = shard_files(spark, path).select("shard_id", "file")
+    files = _listed(spark, path, manifest)
     packed = scan_packed(spark, path).select("shard_id", "block_id", "input_ids")
     batches = micro_batches(packed, rank_shards(files, world, seed), size, seq_len)
     batches = token_range_guard(batches, profile.vocab_size)

@@ -16,7 +16,10 @@ def small_table(spark: SparkSession, columns: dict[str, pa.Array]) -> DataFrame:
     """A broadcast-hinted DataFrame over driver-made columns of bounded length."""
     table = pa.table(columns)
     if table.num_rows > MAX_BROADCAST_ROWS:
-        raise ValueError(f"{table.num_rows} rows are too many to broadcast")
+        raise ValueError(
+            f"{table.num_rows} rows are too many to broadcast; join a stored table instead, "
+            "or raise blockmill.session.MAX_BROADCAST_ROWS"
+        )
     return F.broadcast(spark.createDataFrame(table))
 
 
@@ -53,5 +56,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    where = hadoop.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that is no longer needed, if it is there."""
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)

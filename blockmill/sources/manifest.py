@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.config import MANIFEST_SCHEMA
 from blockmill.functions.ids import file_digest
+from blockmill.session import stored
 from blockmill.sources.shards import scan_packed, scan_shard_bytes, shard_summary
 
 
@@ -48,6 +49,20 @@ def append_manifest(
     lines.write.mode("append").json(manifest)
 
 
+def trim_manifest(spark: SparkSession, manifest: str, first_shard: int) -> None:
+    """Take out the lines of all shards from ``first_shard`` on."""
+    try:
+        lines = spark.read.schema(MANIFEST_SCHEMA).json(manifest)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return
+    number = F.regexp_extract("file", r"shard-(\d+)", 1).cast("int")
+    if not lines.filter(number >= first_shard).isEmpty():
+        kept = stored(lines.filter(number < first_shard), "manifest")
+        kept.write.mode("overwrite").json(manifest)
+
+
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Manifest lines, with the write time also as a timestamp."""
     lines = spark.read.schema(MANIFEST_SCHEMA).json(path)

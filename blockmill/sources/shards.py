@@ -53,12 +53,46 @@ def write_shards(
 
 
 _MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+# File names in folders of one shard each, and in flat folders.
+_LAYOUTS = ("part-*.parquet", "shard-*.parquet")
 
 
 def _shard_number(path: Column) -> Column:
     return F.regexp_extract(path, r"shard-(\d+)\.parquet", 1).try_cast("int")
 
 
+def _first_layout(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
+    """Name pattern and rows of the shards in a folder; other files in it are not opened."""
+    for pattern in _LAYOUTS:
+        try:
+            rows = spark.read.option("pathGlobFilter", pattern).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() not in _MISSING:
+                raise
+            continue
+        if pattern == _LAYOUTS[1] or "shard_id" in rows.columns:
+            return pattern, rows
+    raise FileNotFoundError(f"no packed shards in {path}")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with shard and block number, from the file where the rows have none."""
+    if "shard_id" not in rows.columns:
+        rows = rows.withColumn("shard_id", _shard_number(F.col("_metadata.file_path")))
+    if "block_id" not in rows.columns:
+        rows = rows.withColumn("block_id", F.col("_metadata.row_index"))
+    return rows
+
+
+def drop_shards(spark: SparkSession, path: str, first_shard: int) -> None:
+    """Remove the folders of all shards from ``first_shard`` on."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(hadoop.Path(f"{path}/shard_id=*")) or ():
+        if int(found.getPath().getName().split("=")[1]) >= first_shard:
+            files.delete(found.getPath(), True)
+
+
 def scan_packed(spark: SparkSession, path: str) -> DataFrame:
     """Packed rows with their shard number and shard name.
 
@@ -66,28 +100,24 @@ def scan_packed(spark: SparkSession, path: str) -> DataFrame:
     ``shard-*.parquet`` files, whose rows are numbered inside their file. Columns
     that are not used are not read.
     """
-    try:
-        rows = spark.read.parquet(path)
-        if "shard_id" not in rows.columns:
-            rows = spark.read.option("pathGlobFilter", "shard-*.parquet").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in _MISSING:
-            raise FileNotFoundError(f"no packed shards in {path}") from error
-        raise
-    if "shard_id" not in rows.columns:
-        rows = rows.withColumn("shard_id", _shard_number(F.col("_metadata.file_path")))
-    if "block_id" not in rows.columns:
-        rows = rows.withColumn("block_id", F.col("_metadata.row_index"))
-    return rows.withColumn("file", shard_name(F.col("shard_id")))
+    _, rows = _first_layout(spark, path)
+    return _numbered(rows).withColumn("file", shard_name(F.col("shard_id")))
 
 
 def stream_packed(spark: SparkSession, path: str, files_per_trigger: int = 64) -> DataFrame:
-    """Packed rows as a stream, a bounded number of shard files at a time."""
-    return (
-        spark.readStream.schema(PACKED_SCHEMA)
+    """Packed rows as a stream, a bounded number of shard files at a time.
+
+    Takes the same folders as ``scan_packed``; they must hold a shard already.
+    """
+    pattern, rows = _first_layout(spark, path)
+    flat = pattern == _LAYOUTS[1]
+    schema = rows.schema if flat else PACKED_SCHEMA
+    stream = (
+        spark.readStream.schema(schema).option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_trigger)
         .parquet(path)
     )
+    return _numbered(stream)
 
 
 def scan_shard_bytes(spark: SparkSession, path: str) -> DataFrame:

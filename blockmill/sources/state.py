@@ -50,6 +50,21 @@ def load_state(spark: SparkSession, path: str) -> DataFrame:
     return log.orderBy(F.desc("version")).limit(1)
 
 
+def save_identity(spark: SparkSession, path: str, print_id: str) -> None:
+    """Remember what a build is made from before its first shard appears."""
+    spark.createDataFrame([(print_id,)], "fingerprint string").coalesce(1).write.mode("overwrite").json(path)
+
+
+def saved_identity(spark: SparkSession, path: str) -> str | None:
+    try:
+        row = spark.read.schema("fingerprint string").json(path).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return row and row[0]
+
+
 def newest_state(spark: SparkSession, path: str) -> Row | None:
     rows = load_state(spark, path).collect()
     return rows[0] if rows else None

@@ -27,6 +27,18 @@ _READER_OPTIONS = {
 }
 
 
+_WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def _path_below(path: str) -> Column:
+    """A file's path below its dataset, which stays the same when the dataset moves."""
+    fixed = [part for part in path.split("/") if part and not set(part) & set("*?[{")]
+    name = fixed[-1] if fixed else ""
+    found = F.instr(F.col("_metadata.file_path"), f"/{name}/")
+    inside = F.substr(F.col("_metadata.file_path"), found + F.lit(len(name) + 2))
+    return F.when(found > 0, inside).otherwise(F.col("_metadata.file_name"))
+
+
 def scan_text(
     spark: SparkSession,
     spec: SourceSpec,
@@ -36,28 +48,36 @@ def scan_text(
 ) -> DataFrame:
     """Read one source. ``config`` names a sub-folder of ``dataset``.
 
-    ``doc_id`` is a column or expression, a number unique in the source, that
-    keys the order of the mix. Parquet rows without one get a hash of their file
-    name and row number; plain text is read as one document per file. Text that
-    is no string, or a missing column, reads as null and is dropped later.
+    ``doc_id`` is a column or expression, unique in the source, that keys the
+    order of the mix; ids that are no whole numbers are hashed, a null id is
+    replaced by a hash of the text. Without ``doc_id`` a row gets a hash of its
+    place: path below the dataset and row number in Parquet, path and whole record
+    in other formats (equal records of one file then share an id, and still are
+    two documents). Plain text is one document per file; it and CSV, whose fields
+    may hold line breaks, are read file by file, not in splits. Text that is no
+    string, or a missing column, reads as null and is dropped later.
     """
     path = "/".join(p for p in (base.rstrip("/"), spec.dataset, spec.config) if p)
     file_format = file_format or _format_of(path)
     raw = spark.read.format(file_format).options(**_READER_OPTIONS.get(file_format, {})).load(path)
-    if doc_id is not None:
-        key = F.expr(doc_id) if isinstance(doc_id, str) else doc_id
-    elif file_format == "parquet":
-        key = F.xxhash64(F.col("_metadata.file_name"), F.col("_metadata.row_index"))
-    elif file_format == "text":
-        key = F.xxhash64(F.col("_metadata.file_path"))
+    below = _path_below(path)
+    if file_format == "parquet":
+        place = F.xxhash64(below, F.col("_metadata.row_index"))
+    else:
+        place = F.xxhash64(below, *[F.col(f"`{c}`").cast("string") for c in raw.columns])
+    if doc_id is None:
+        key = place
     else:
-        raise ValueError(f"source {spec.name} ({file_format}) needs a doc_id column")
+        key = F.expr(doc_id) if isinstance(doc_id, str) else doc_id
+        whole = raw.select(key.alias("key")).dtypes[0][1] in _WHOLE_NUMBERS
+        key = key.cast("long") if whole else F.when(key.isNotNull(), F.xxhash64(key))
     column = "value" if file_format == "text" else spec.text_col
     is_text = dict(raw.dtypes).get(column, "").startswith(("string", "varchar", "char"))
     text = F.col(column) if is_text else F.lit(None).cast("string")
     return raw.select(
         F.lit(spec.name).alias("source"),
-        key.cast("long").alias("doc_id"),
+        # Rows whose id is null would all share one place in the order.
+        F.coalesce(key.cast("long"), F.xxhash64(text)).alias("doc_id"),
         text.alias("text"),
     )
 

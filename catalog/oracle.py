@@ -245,7 +245,10 @@ ORACLE: dict[str, str] = {
         FROM documents WHERE text <> ''""",
     "build_vocab": chain(VOCAB) + "SELECT * FROM vocab",
     "encode_words": ENCODE_WORDS,
-    "file_tokens": ENCODE_WORDS,
+    "validate_specs": """
+        SELECT source, CASE WHEN sum(strlen(text)) - 10 * max(strlen(text)) <= 0 THEN 'cap'
+            WHEN count(*) % 3 = 0 THEN 'weight' ELSE 'none' END AS error
+        FROM documents GROUP BY source""",
     "pack_words": PACK_WORDS,
     "append_eos": f"""
         SELECT doc_id, CAST(strlen(text) + 1 AS INTEGER) AS n_ids,
@@ -367,11 +370,6 @@ ORACLE: dict[str, str] = {
                {digest(f"list_transform({ids_of('h')}, lambda x: CAST(x <> 256 AS INTEGER))")} AS mask_digest
         FROM blocks JOIN ranks ON {SHARD} = shard_id""",
     "read_batches": batches(BY_HASH) + f"SELECT rank, batch_id, {DIGEST} AS digest FROM batches",
-    "loader_schedule": batches("file") + """, counts AS (
-            SELECT rank, count(*) AS n_batches FROM batches GROUP BY rank),
-        steps AS (SELECT unnest(range(1, max(n_batches) * 5 // 2 + 1)) AS micro_step FROM counts)
-        SELECT rank, micro_step, (micro_step - 1) // n_batches AS pass, (micro_step - 1) % n_batches AS batch_id
-        FROM steps, counts""",
     "assign_shards": DOC_BLOCKS + f"SELECT block_id, {SHARD} AS shard_id, source FROM blocks",
     "budget_cut": DOC_BLOCKS + f"""
         SELECT block_id, source FROM blocks, total

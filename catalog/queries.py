@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.config import PackSettings, SourceSpec, TokenProfile
 from blockmill.functions import (
-    ByteTokenizer, FileTokenizer, append_eos, attention_mask, file_digest, ids_digest,
+    ByteTokenizer, append_eos, attention_mask, file_digest, ids_digest,
     lm_labels, resolve_pad, shard_name, to_long_ids,
 )
 from blockmill.operators import blocks as B, filters as L, mixing as M, progress, ranks as R
 from blockmill.operators.prefix import running_start_by_group
 from blockmill.operators.training import (
-    batch_training_arrays, loader_schedule, mask_stats, micro_batches, token_extrema, training_rows,
+    batch_training_arrays, mask_stats, micro_batches, token_extrema, training_rows,
 )
 from blockmill.operators.vocabulary import build_vocab, word_tokenizer, words_of
 from blockmill.plans.build import build, pack_documents, plan_documents, resume, shards_of
@@ -29,9 +29,9 @@ from blockmill.session import scratch_path
 from blockmill.sources import (
     audit_manifest, load_state, missing_shards, scan_manifest, scan_packed, scan_shard_bytes,
     scan_sources, shard_files, shard_summary, source_specs, spec_list, stream_packed,
-    union_sources, write_shards,
+    union_sources, validate_specs, write_shards,
 )
-from blockmill.streaming import observed, pack_stream
+from blockmill.streaming import ProgressLog, observed, pack_stream
 
 SEED = 1234
 SEQ_LEN = 512
@@ -213,6 +213,25 @@ def tokenize_bytes_query(spark, sf_dir):
     return digest_of(doc_ids(spark, sf_dir))
 
 
+def validate_specs_query(spark, sf_dir):
+    """Which sources of the corpus can be mixed with a weight and a cap taken from their texts."""
+    stats = documents(spark, sf_dir).groupBy("source").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"), F.max(F.octet_length("text")).alias("longest"))
+
+    def error(row):
+        # No cap is left for a source whose longest text is more than a tenth of it.
+        spec = SourceSpec(row["source"], "documents.parquet", None, "text", float(row["n"] % 3), row["bytes"] - 10 * row["longest"])
+        try:
+            validate_specs([spec])
+        except ValueError as problem:
+            return "cap" if "token_cap" in str(problem) else "weight"
+        return "none"
+
+    # One row per source.
+    found = [(r["source"], error(r)) for r in stats.collect()]
+    return spark.createDataFrame(found, "source string, error string")
+
+
 def build_vocab_query(spark, sf_dir):
     return build_vocab(documents(spark, sf_dir), VOCABULARY)
 
@@ -223,18 +242,6 @@ def encode_words_query(spark, sf_dir):
     return digest_of(tok.tokenize(docs), "payload")
 
 
-def file_tokens_query(spark, sf_dir):
-    """A tokenizer definition over the words of the corpus, run from its file form."""
-    from tokenizers import Regex, Tokenizer, models, pre_tokenizers
-
-    docs = documents(spark, sf_dir)
-    words = build_vocab(docs, VOCABULARY).select("word", "id").collect()
-    model = Tokenizer(models.WordLevel({"[unk]": 0} | {w: i for w, i in words}, "[unk]"))
-    model.pre_tokenizer = pre_tokenizers.Split(Regex("[ \t\n\r]+"), "removed")
-    tok = FileTokenizer(spark, model.to_str())
-    return digest_of(tok.tokenize(docs), "payload")
-
-
 def pack_words_query(spark, sf_dir):
     docs = documents(spark, sf_dir)
     tok = word_tokenizer(build_vocab(docs, VOCABULARY))
@@ -502,43 +509,39 @@ def read_batches_query(spark, sf_dir):
     return batches.select("rank", "batch_id", ids_digest(F.flatten("input_ids")).alias("digest"))
 
 
-def loader_schedule_query(spark, sf_dir):
-    """Two and a half passes of the longest rank over its batches."""
-    path = shards_of(written(spark, sf_dir))
-    rows = scan_packed(spark, path).groupBy("shard_id").agg(F.count("*").alias("n"))
-    ranks = R.rank_shards(shard_files(spark, path), WORLD)
-    counts = ranks.join(rows, "shard_id").groupBy("rank").agg(
-        F.ceil(F.sum("n") / BATCH).alias("n_batches"))
-    steps = counts.agg(F.max("n_batches")).first()[0] * 5 // 2
-    return loader_schedule(counts, WORLD, steps)
-
-
 def assign_shards_query(spark, sf_dir):
     return B.assign_shards(doc_blocks(spark, sf_dir), BLOCKS_PER_SHARD).select("block_id", "shard_id", "source")
 
 
 def budget_cut_query(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    return B.budget_cut(doc_blocks(spark, sf_dir), corpus_tokens(docs) // 2, SEQ_LEN).select("block_id", "source")
+    tokens = corpus_tokens(docs) // 2
+    # Later buckets are left out before the shuffle; the cut is then the same.
+    blocks = pack_documents(docs, doc_specs(), settings(), BYTES, end_block=-(-tokens // SEQ_LEN))
+    return B.budget_cut(blocks, tokens, SEQ_LEN).select("block_id", "source")
 
 
 def head_blocks_query(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    return block_rows(B.head_blocks(doc_blocks(spark, sf_dir), corpus_tokens(docs) // SEQ_LEN // 10))
+    n = corpus_tokens(docs) // SEQ_LEN // 10
+    return block_rows(B.head_blocks(pack_documents(docs, doc_specs(), settings(), BYTES, end_block=n), n))
 
 
 # Streams and continuation
 
-def run_stream(spark, stream: DataFrame, progress_rows: list | None = None) -> DataFrame:
+def run_stream(spark, stream: DataFrame, log: ProgressLog | None = None) -> DataFrame:
     """Run a stream to its present end into a table of the shared folder."""
+    if log is not None:
+        spark.streams.addListener(log)
     out, state = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
     query = (
         stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
         .outputMode("append").trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    if progress_rows is not None:
-        progress_rows += [p.observedMetrics["packed"] for p in query.recentProgress if "packed" in p.observedMetrics]
+    if log is not None:
+        log.wait_for(query)
+        spark.streams.removeListener(log)
     return spark.read.parquet(out)
 
 
@@ -556,13 +559,12 @@ def pack_stream_query(spark, sf_dir):
 
 
 def progress_stream_query(spark, sf_dir):
-    seen: list = []
-    out = run_stream(spark, observed(document_stream(spark, sf_dir)), seen)
+    log = ProgressLog()
+    out = run_stream(spark, observed(document_stream(spark, sf_dir)), log)
     stored = out.agg(F.count("*").alias("stored_blocks"))
-    blocks, tokens = sum(r["blocks"] or 0 for r in seen), sum(r["tokens"] or 0 for r in seen)
     return stored.select(
-        "stored_blocks", F.lit(blocks).cast("long").alias("seen_blocks"),
-        F.lit(tokens).cast("long").alias("seen_tokens"))
+        "stored_blocks", F.lit(log.blocks).cast("long").alias("seen_blocks"),
+        F.lit(log.tokens).cast("long").alias("seen_tokens"))
 
 
 def stream_rows_query(spark, sf_dir):
@@ -573,10 +575,16 @@ def stream_rows_query(spark, sf_dir):
 
 
 def resume_query(spark, sf_dir):
-    """Half of the mix, then the rest into the same folder."""
+    """Half of the mix, a broken attempt, then the rest into the same folder."""
     docs, specs, limits = capped_corpus(spark, sf_dir)
     path = scratch_path(spark, "build")
-    build(docs, specs, settings(limits.total_tokens // 2), BYTES, path)
+    plan = build(docs, specs, settings(limits.total_tokens // 2), BYTES, path)
+    # What a larger attempt leaves that breaks before its state: stray shards past the last one.
+    stray = pack_documents(documents(spark, sf_dir), doc_specs(), settings(), BYTES)
+    write_shards(
+        stray.drop("n_docs"), shards_of(path), BLOCKS_PER_SHARD,
+        first_shard=-(-plan.n_blocks // BLOCKS_PER_SHARD), mode="append",
+    )
     resume(docs, specs, limits, BYTES, path)
     return block_rows(scan_packed(spark, shards_of(path)), "shard_id")
 
@@ -595,7 +603,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokenize_bytes": tokenize_bytes_query,
     "build_vocab": build_vocab_query,
     "encode_words": encode_words_query,
-    "file_tokens": file_tokens_query,
+    "validate_specs": validate_specs_query,
     "pack_words": pack_words_query,
     "append_eos": append_eos_query,
     "block_slices": block_slices_query,
@@ -640,7 +648,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "micro_batches": micro_batches_query,
     "training_rows": training_rows_query,
     "read_batches": read_batches_query,
-    "loader_schedule": loader_schedule_query,
     "assign_shards": assign_shards_query,
     "budget_cut": budget_cut_query,
     "head_blocks": head_blocks_query,

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, models, pre_tokenizers, trainers
+from tokenizers import Tokenizer
 
 from blockmill.config import PackSettings
 from blockmill.functions import (
@@ -14,7 +14,10 @@ from blockmill.operators.filters import every_n, finite_guard, nonempty_ids, not
 from blockmill.operators.mixing import seeded_shuffle
 from blockmill.operators.prefix import running_start, unit_bucket
 from blockmill.operators.progress import progress_rates
+from blockmill.functions.tokenizers import JoinedWordTokenizer
+from blockmill.operators.prefix import MAX_BUCKETS, unit_bucket
 from blockmill.operators.vocabulary import build_vocab, word_tokenizer
+from blockmill.session import stored
 from blockmill.plans.build import pack_documents, plan_documents
 from blockmill.plans.pack import pack, packed_spans
 from blockmill.sources import source_specs
@@ -136,28 +139,22 @@ def test_word_tokens_pack(spark, eos):
 
 
 @pytest.fixture(scope="module")
-def bpe_file(tmp_path_factory, spark, small):
-    texts = [r["text"] for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
-    model_ = Tokenizer(models.BPE())
-    model_.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
-    model_.train_from_iterator(texts, trainers.BpeTrainer(
-        vocab_size=400, special_tokens=["<|end|>"], initial_alphabet=pre_tokenizers.ByteLevel.alphabet(),
-        show_progress=False))
-    path = str(tmp_path_factory.mktemp("bpe") / "tokenizer.json")
-    model_.save(path)
-    return path
+def bpe_file():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def test_bpe_file_packs(spark, small, bpe_file):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("source", "doc_id", "text")
-    tok = FileTokenizer.load(spark, bpe_file, "<|end|>")
-    assert tok.eos_id == 0 and tok.vocab_size == 400
+    tok = FileTokenizer.load(spark, bpe_file, "<|endoftext|>")
+    assert tok.eos_id == 50256 and tok.vocab_size == 50257
     direct = Tokenizer.from_file(bpe_file)
     rows, plan = plan_documents(docs, specs_for({f"src{i}": 1 for i in range(20)}), PackSettings(128), tok)
     got = {r["doc_id"]: list(r["payload"]) for r in rows.collect()}
     for r in docs.limit(20).collect():
         assert got[r["doc_id"]] == direct.encode(r["text"], add_special_tokens=False).ids
-    want, _ = sequential(rows, plan, 128, 0)
+    want, _ = sequential(rows, plan, 128, 50256)
     assert blocks_of(pack(rows, plan, tok)) == want
     with pytest.raises(ValueError):
         FileTokenizer.load(spark, bpe_file, "<|nothing|>")
@@ -166,7 +163,7 @@ def test_bpe_file_packs(spark, small, bpe_file):
 def test_python_tokens_are_written_once(spark, small, bpe_file):
     """Planning and packing read the table of tokens, not the tokenizer."""
     docs = spark.read.parquet(f"{small}/documents.parquet").select("source", "doc_id", "text")
-    tok = FileTokenizer.load(spark, bpe_file, "<|end|>")
+    tok = FileTokenizer.load(spark, bpe_file, "<|endoftext|>")
     blocks = pack_documents(docs, specs_for({f"src{i}": 1 for i in range(20)}), PackSettings(128), tok)
     plan = blocks._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
@@ -211,3 +208,37 @@ def test_vocabulary_keeps_the_most_frequent_words(spark):
         rows = build_vocab(docs, size).orderBy("id").collect()
         assert [(r["word"], r["count"], r["id"]) for r in rows] == [
             (w, count[w], i + 1) for i, w in enumerate(ranked[:size])]
+
+
+def test_every_word_can_be_kept(spark):
+    """More words than the published vocabulary has, ranked and encoded by a join."""
+    n = 130_000
+    docs = spark.range(n).select(
+        F.lit("s").alias("source"), F.col("id").alias("doc_id"),
+        F.concat(F.lit("w"), "id", F.lit(" common w"), F.col("id") % 7).alias("text"))
+    vocab = stored(build_vocab(docs, None), "vocab")
+    assert vocab.agg(F.count("*"), F.min("id"), F.max("id"), F.countDistinct("id")).first() == (n + 1, 1, n + 1, n + 1)
+    words = [r["word"] for r in vocab.orderBy("id").collect()]
+    count = {"common": n} | {f"w{k}": 1 + (k < 7) * len(range(k, n, 7)) for k in range(n)}
+    assert words == sorted(words, key=lambda w: (-count[w], w))
+    tok = JoinedWordTokenizer(vocab, n + 1)
+    number = {w: k + 1 for k, w in enumerate(words)}
+    few = docs.filter("doc_id % 9973 = 0").union(docs.filter("doc_id = 0")).union(
+        spark.createDataFrame([("s", 5, None), ("s", 6, ""), ("s", None, "common no-such-word")],
+                              "source string, doc_id long, text string"))
+    for r in tok.tokenize(few).collect():
+        if r["doc_id"] in (5, 6):
+            want = []
+        elif r["doc_id"] is None:
+            want = [number["common"], 0]
+        else:
+            want = [number[w] for w in (f"w{r['doc_id']}", "common", f"w{r['doc_id'] % 7}")]
+        assert list(r["payload"]) == want and r["n_tok"] == len(want)
+    assert tok.tokenize(few).count() == few.count()
+
+
+def test_bucket_numbers_are_not_clamped():
+    with pytest.raises(ValueError, match="buckets"):
+        unit_bucket(F.lit(0.5), MAX_BUCKETS + 1)
+    with pytest.raises(ValueError, match="2 GB"):
+        PackSettings(1 << 20, None, 1 << 10)

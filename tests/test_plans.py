@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from blockmill.config import PackSettings
 from blockmill.functions import ByteTokenizer
 from blockmill.plans.build import plan_documents
-from blockmill.plans.pack import pack
+from blockmill.plans.pack import _routes, pack
 from blockmill.operators.blocks import per_source_tokens
 from blockmill.sources import scan_packed, scan_shard_bytes, write_shards
-from catalog.queries import QUERIES
+from catalog.queries import QUERIES, doc_specs, settings
 from helpers import specs_for
 
 TOK = ByteTokenizer()
@@ -55,7 +55,7 @@ def test_reading_is_pruned(spark, small, tmp_path):
 
 def test_no_query_has_a_cross_join(spark, small):
     for name in ("pack_blocks", "mixed_corpus", "mix_report", "micro_batches", "weighted_choice",
-                 "stream_offsets", "seeded_shuffle", "progress_rates", "loader_schedule", "rank_shards"):
+                 "stream_offsets", "seeded_shuffle", "progress_rates", "rank_shards"):
         text = plan_of(QUERIES[name](spark, small))
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
 
@@ -64,3 +64,15 @@ def test_counting_bytes_needs_no_python(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     text = plan_of(TOK.sizes(docs).agg(F.sum("n_tok")))
     assert "EvalPython" not in text and "ReadSchema: struct<text:string>" in text
+
+
+def test_the_head_of_a_mix_routes_only_its_buckets(spark, small):
+    """Documents of later buckets leave before the shuffle of the text."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("source", "doc_id", "text")
+    rows, plan = plan_documents(docs, doc_specs(), settings(), TOK)
+    whole, head = pack(rows, plan, TOK), pack(rows, plan, TOK, end_block=plan.n_blocks // 20)
+    assert head.count() == plan.n_blocks // 20
+    n_all = whole.agg(F.sum("n_docs")).first()[0]
+    routed = _routes(plan, spark, 0, plan.n_blocks // 20 - 1, 1).count()
+    assert routed < len(plan.buckets) / 10 and head.agg(F.sum("n_docs")).first()[0] < n_all / 10
+    assert "Join" in plan_of(QUERIES["head_blocks"](spark, small))

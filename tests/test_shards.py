@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from blockmill.config import PackSettings
 from blockmill.functions import ByteTokenizer
+from blockmill.operators.vocabulary import build_vocab, word_tokenizer
+from blockmill.plans import build as build_module
 from blockmill.plans.build import build, pack_documents, plan_documents, resume, shards_of
 from blockmill.session import checkpoint_dir
 from blockmill.sources import (
-    append_manifest, audit_manifest, load_state, missing_shards, scan_manifest, scan_packed, shard_files, write_shards,
+    append_manifest, audit_manifest, load_state, missing_shards, save_state, scan_manifest, scan_packed,
+    shard_files, stream_packed, write_shards,
 )
 from helpers import blocks_of, specs_for, tail_of
 
@@ -162,6 +165,83 @@ def test_resume_after_a_broken_attempt(spark, docs, tmp_path):
     assert blocks_of(scan_packed(spark, shards_of(path))) == blocks_of(blocks)
 
 
+class Broken(Exception):
+    pass
+
+
+@pytest.fixture()
+def breaks(monkeypatch):
+    """Make the n-th state of a build fail, after its shards and lines were written."""
+    def at(n):
+        calls = []
+
+        def save(*args):
+            calls.append(args)
+            if len(calls) == n:
+                raise Broken
+            return save_state(*args)
+
+        monkeypatch.setattr(build_module, "save_state", save)
+
+    return at
+
+
+def first_blocks(spark, docs, total):
+    return blocks_of(pack_documents(docs, SPECS, settings(total), TOK))
+
+
+def test_a_broken_fresh_build_leaves_no_stray_shards(spark, docs, tmp_path, breaks, monkeypatch):
+    path = f"{tmp_path}/out"
+    breaks(1)
+    with pytest.raises(Broken):
+        build(docs, SPECS, settings(400_000), TOK, path)
+    monkeypatch.undo()
+    with pytest.raises(FileExistsError):
+        build(docs, SPECS, settings(400_000), TOK, path)
+    for specs, changed in ((SPECS, PackSettings(LEN, 50_000, PER_SHARD, 6)), (SPECS, PackSettings(LEN * 2, 50_000, PER_SHARD, 5))):
+        with pytest.raises(ValueError, match="begun from other"):
+            resume(docs, specs, changed, TOK, path)
+    resume(docs, SPECS, settings(50_000), TOK, path)
+    assert blocks_of(scan_packed(spark, shards_of(path))) == first_blocks(spark, docs, 50_000)
+    assert set(verdicts(spark, path).values()) == {"ok"}
+
+
+def test_a_broken_resume_leaves_no_stray_shards(spark, docs, tmp_path, breaks, monkeypatch):
+    path = f"{tmp_path}/out"
+    build(docs, SPECS, settings(30_000), TOK, path)
+    breaks(1)
+    with pytest.raises(Broken):
+        resume(docs, SPECS, settings(400_000), TOK, path)
+    monkeypatch.undo()
+    plan = resume(docs, SPECS, settings(60_000), TOK, path)
+    assert blocks_of(scan_packed(spark, shards_of(path))) == first_blocks(spark, docs, 60_000)
+    assert len(verdicts(spark, path)) == len(glob.glob(f"{shards_of(path)}/*")) and set(verdicts(spark, path).values()) == {"ok"}
+    # A smaller budget changes nothing but what a broken attempt has left.
+    write_shards(scan_packed(spark, shards_of(path)).drop("file", "shard_id"), shards_of(path), PER_SHARD,
+                 first_shard=900, mode="append")
+    resume(docs, SPECS, settings(60_000), TOK, path)
+    assert scan_packed(spark, shards_of(path)).count() == plan.n_blocks
+
+
+def test_waves_go_on_where_they_stopped(spark, docs, tmp_path, breaks, monkeypatch):
+    path, words = f"{tmp_path}/out", word_tokenizer(build_vocab(docs, 500))
+    runs = []
+    monkeypatch.setattr(type(words), "tokenize", lambda self, d, real=type(words).tokenize: runs.append(1) or real(self, d))
+    breaks(3)
+    with pytest.raises(Broken):
+        build(docs, SPECS, settings(200_000), words, path, wave_shards=1)
+    state = load_state(spark, f"{path}/state").first()
+    assert state["shard_idx"] == 2 and state["total_tokens_written"] == 2 * PER_SHARD * LEN
+    kept = {f: open(f, "rb").read() for f in glob.glob(f"{shards_of(path)}/shard_id=[01]/*.parquet")}
+    tables = glob.glob(f"{path}/tokens/*/*.parquet")
+    monkeypatch.setattr(build_module, "save_state", save_state)
+    resume(docs, SPECS, settings(200_000), words, path, wave_shards=2)
+    assert kept and tables and all(open(f, "rb").read() == c for f, c in kept.items())
+    want = pack_documents(docs, SPECS, settings(200_000), words)
+    assert blocks_of(scan_packed(spark, shards_of(path))) == blocks_of(want)
+    assert set(verdicts(spark, path).values()) == {"ok"} and not glob.glob(f"{path}/tokens")
+
+
 def test_resume_writes_no_old_shard(spark, docs, tmp_path):
     path = f"{tmp_path}/out"
     build(docs, SPECS, settings(LEN * PER_SHARD * 2), TOK, path)
@@ -185,6 +265,26 @@ def test_flat_folders_are_readable(spark, tmp_path):
     assert [r["file"] for r in files] == [f"shard-{n:06d}.parquet" for n in range(3)]
 
 
+def test_flat_folders_with_other_files(spark, tmp_path):
+    """Shards with manifest and state beside them, in batch and as a stream."""
+    (tmp_path / "in").mkdir()
+    for n in range(3):
+        rows = [[n * 10 + i] * 4 for i in range(5)]
+        pq.write_table(
+            pa.table({"input_ids": pa.array(rows, pa.list_(pa.int32())), "source": ["s"] * 5}),
+            f"{tmp_path}/in/shard-{n:06d}.parquet")
+    (tmp_path / "in" / "manifest.jsonl").write_text('{"file": "shard-000000.parquet"}\n')
+    (tmp_path / "in" / "state.json").write_text("{}")
+    want = [(n, i, n * 10 + i) for n in range(3) for i in range(5)]
+    rows = scan_packed(spark, f"{tmp_path}/in").orderBy("shard_id", "block_id").collect()
+    assert [(r["shard_id"], r["block_id"], r["input_ids"][0]) for r in rows] == want
+    query = (stream_packed(spark, f"{tmp_path}/in", 1).writeStream.format("parquet").option("path", f"{tmp_path}/out")
+             .option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start())
+    query.awaitTermination()
+    seen = spark.read.parquet(f"{tmp_path}/out").orderBy("shard_id", "block_id").collect()
+    assert [(r["shard_id"], r["block_id"], r["input_ids"][0]) for r in seen] == want
+
+
 def test_no_shards_is_an_error(spark, tmp_path):
     for path in (f"{tmp_path}/nowhere", str(tmp_path)):
         with pytest.raises(FileNotFoundError):

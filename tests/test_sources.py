@@ -65,8 +65,8 @@ def test_scan_formats(spark, tmp_path):
     assert len(set(keys)) == 3
     again = [r["doc_id"] for r in scan("p", "t", "body", "part").collect()]
     assert keys == again
-    with pytest.raises(ValueError, match="doc_id"):
-        scan("p", "t.json", "body")
+    # Records without an id are told apart by their content.
+    assert len({r["doc_id"] for r in scan("p", "t.json", "body").collect()}) == 3
     # A missing column and a column that is no text read as null.
     for column in ("nothing", "n"):
         assert {r["text"] for r in scan("p", "t", column, "part", doc_id="id").collect()} == {None}
@@ -90,3 +90,32 @@ def test_stats_count_records_before_the_filter(spark):
     rows = {r["source"]: r for r in source_stats(ByteTokenizer().sizes(docs)).collect()}
     assert tuple(rows["a"])[1:] == (3, 1, 3, 3, 3.0)
     assert tuple(rows["b"])[1:] == (1, 0, 0, 0, None)
+
+
+def test_ids_of_any_kind(spark, tmp_path):
+    rows = [("<urn:uuid:1>", "one"), ("<urn:uuid:2>", "two"), (None, "three"), (None, "four")]
+    df = spark.createDataFrame(rows, "id string, text string").coalesce(1)
+    for dump in ("a", "b"):
+        df.write.parquet(f"{tmp_path}/web/dump={dump}")
+    df.write.json(f"{tmp_path}/web.json")
+    spec = SourceSpec("web", "web", None, "text", 1.0)
+    named = scan_text(spark, spec, str(tmp_path), "id").collect()
+    # Equal ids stay equal; rows without one are told apart by their text.
+    assert len(named) == 8 and len({r["doc_id"] for r in named}) == 4 and None not in {r["doc_id"] for r in named}
+    json_rows = scan_text(spark, SourceSpec("j", "web.json", None, "text", 1.0), str(tmp_path), "id").collect()
+    assert len({r["doc_id"] for r in json_rows}) == 4
+
+
+def test_equal_file_names_in_two_folders(spark, tmp_path):
+    df = spark.createDataFrame([("one",), ("two",)], "text string").coalesce(1)
+    for dump in ("a", "b"):
+        df.write.parquet(f"{tmp_path}/web/{dump}")
+        for path in (tmp_path / "web" / dump).glob("part-*.parquet"):
+            path.rename(path.parent / "train-00000.parquet")
+        for path in (tmp_path / "web" / dump).glob(".*.crc"):
+            path.unlink()
+    raw = spark.read.option("recursiveFileLookup", True).parquet(f"{tmp_path}/web")
+    assert raw.count() == 4
+    spec = SourceSpec("web", "web/*", None, "text", 1.0)
+    ids = [r["doc_id"] for r in scan_text(spark, spec, str(tmp_path)).collect()]
+    assert len(ids) == len(set(ids)) == 4

@@ -78,7 +78,7 @@ def test_stream_packs_and_resumes(spark, source, tmp_path):
 def test_words_stream_too(spark, tmp_path):
     docs = table(spark, {"s": [(d, "one two  three ") for d in range(120)] + [(999, None)]})
     docs.write.parquet(f"{tmp_path}/in")
-    tok = word_tokenizer(build_vocab(docs))
+    tok = word_tokenizer(build_vocab(docs, None))
     start(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state", tok=tok).awaitTermination()
     _, rows = found(spark, f"{tmp_path}/out")
     ids = {i: 0 for i in range(5)}
@@ -114,3 +114,34 @@ def test_shards_stream_in_bounded_steps(spark, tmp_path):
     assert len([p for p in query.recentProgress if p.numInputRows]) == 5
     seen = spark.table("shards_seen").orderBy("block_id").collect()
     assert [(r["block_id"], r["shard_id"]) for r in seen] == [(i, i // 10) for i in range(90)]
+
+
+def test_progress_of_more_than_a_hundred_triggers(spark, tmp_path):
+    docs = table(spark, {"s": [(d, "x" * LEN) for d in range(110)]})
+    docs.repartition(110, "doc_id").write.option("maxRecordsPerFile", 1).parquet(f"{tmp_path}/in")
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        query = start(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state")
+        query.awaitTermination()
+        log.wait_for(query)
+    finally:
+        spark.streams.removeListener(log)
+    assert log.triggers >= 110
+    assert (log.blocks, log.tokens) == (sum(n for n in found(spark, f"{tmp_path}/out")[0].values()), log.blocks * LEN)
+
+
+def test_one_document_a_trigger_gives_the_exact_blocks(spark, tmp_path):
+    """What each lane emits is its documents in the order they came, cut at the block length."""
+    texts = {d: chr(97 + d % 26) * (20 + 7 * d) for d in range(12)}
+    for d, text in texts.items():
+        table(spark, {"s": [(d, text)]}).coalesce(1).write.parquet(f"{tmp_path}/in/n={d:02d}")
+        time.sleep(0.01)
+    start(spark, f"{tmp_path}/in/*", f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+    streams = {}
+    for d, text in texts.items():
+        lane = int(model.unit(5, "s", d) * LANES)
+        streams.setdefault(lane, []).extend([*text.encode(), 256])
+    got = {(r["lane"], r["seq"]): list(r["input_ids"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {
+        (lane, k): ids[k * LEN: (k + 1) * LEN] for lane, ids in streams.items() for k in range(len(ids) // LEN)}

@@ -4,13 +4,14 @@ from pyspark.sql import Observation, functions as F
 
 from blockmill.config import PackSettings, TokenProfile
 from blockmill.functions import ByteTokenizer, resolve_pad
-from blockmill.operators.filters import exact_length, supervised_batches, token_range_guard
+from blockmill.operators.filters import exact_length, finite_guard, supervised_batches, token_range_guard
 from blockmill.operators.ranks import rank_coverage, rank_shards, step_plan
 from blockmill.operators.training import (
-    batch_training_arrays, loader_schedule, mask_stats, micro_batches, token_extrema, training_rows,
+    batch_training_arrays, mask_stats, micro_batches, token_extrema, training_rows,
 )
 from blockmill.plans.build import build, shards_of
 from blockmill.plans.reader import read_batches, read_training_rows
+from blockmill.sources import scan_packed, write_shards
 from helpers import specs_for
 
 PAD = 9
@@ -147,13 +148,6 @@ def test_no_rows_no_batches(spark):
     assert micro_batches(none, rank_shards(files(spark, [0]), 2), 2, 4).count() == 0
 
 
-def test_schedule_starts_over(spark):
-    counts = spark.createDataFrame([(0, 3), (1, 2)], "rank int, n_batches long")
-    rows = loader_schedule(counts, 2, 5).orderBy("rank", "micro_step").collect()
-    assert [(r["pass"], r["batch_id"]) for r in rows] == [
-        (0, 0), (0, 1), (0, 2), (1, 0), (1, 1), (0, 0), (0, 1), (1, 0), (1, 1), (2, 0)]
-
-
 def test_step_plan_formula(spark):
     lines = spark.createDataFrame([(4096 * 100,), (4096 * 28 + 1,)], "tokens long")
     assert tuple(step_plan(lines, 4096, 4, 4, 1).first()) == (4096 * 128 + 1, 65536, 9)
@@ -178,3 +172,36 @@ def test_reader_end_to_end(spark, small, tmp_path):
     assert batches.select(F.explode("input_ids")).count() == plan.n_blocks
     sizes = batches.groupBy("rank").agg(F.count_if(F.size("input_ids") < 8).alias("short")).collect()
     assert all(r["short"] <= 1 for r in sizes)
+
+
+def test_guards_hold_without_their_column(spark):
+    """Pruning the guarded column does not remove the guard."""
+    rows = spark.createDataFrame([([1, 999], "a"), ([2, 3], "b"), (None, "c")], "input_ids array<int>, source string")
+    guarded = token_range_guard(rows, 257)
+    log = spark.createDataFrame([(1, 1, 0.5), (2, 2, float("nan"))], "opt_step long, micro_step long, loss double")
+    for failing, match in (
+        (lambda: guarded.count(), "out of range"),
+        (lambda: guarded.groupBy("source").count().collect(), "out of range"),
+        (lambda: finite_guard(log).count(), "not finite at opt_step 2"),
+        (lambda: finite_guard(log).select("opt_step").collect(), "not finite"),
+    ):
+        with pytest.raises(PySparkException, match=match):
+            failing()
+    assert token_range_guard(rows, 1000).count() == 3
+    assert finite_guard(log.filter("opt_step = 1")).count() == 1
+
+
+def test_readers_follow_the_manifest_and_report_lengths(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    docs = spark.createDataFrame([("s", d, "x" * 50) for d in range(200)], "source string, doc_id long, text string")
+    plan = build(docs, specs_for({"s": 1}), PackSettings(64, None, 20, 1), ByteTokenizer(), path)
+    stray = scan_packed(spark, shards_of(path)).drop("file", "shard_id")
+    write_shards(stray, shards_of(path), 20, first_shard=500, mode="append")
+    profile, manifest = TokenProfile(257, 256, 256), f"{path}/manifest"
+    assert read_training_rows(spark, shards_of(path), 64, profile).count() == 2 * plan.n_blocks
+    assert read_training_rows(spark, shards_of(path), 64, profile, manifest=manifest).count() == plan.n_blocks
+    batches = read_batches(spark, shards_of(path), 64, profile, 8, manifest=manifest)
+    assert batches.select(F.explode("input_ids")).count() == plan.n_blocks
+    seen = Observation("lengths")
+    assert read_training_rows(spark, shards_of(path), 32, profile, observation=seen).count() == 0
+    assert seen.get == {"rows_read": 2 * plan.n_blocks, "rows_skipped": 2 * plan.n_blocks}
