@@ -103,6 +103,9 @@ class MixPlan:
         return {x.name: (x.n_records, x.tokens) for x in self.lanes}
 
 
+# Terms of the curve that maps arrival times to order buckets.
+MAX_KNOTS = 64
+
 _CUT_COLUMNS = ("cut_arrival", "cut_epoch", "cut_doc", "cut_n_tok")
 
 
@@ -134,9 +137,16 @@ def _bucket_of(lanes: Sequence[Lane], n_buckets: int) -> Column:
     for x in lanes:
         rate = x.weight * (x.tokens / x.n_records * records / tokens + 1.0)
         rate_by_stop[x.stop] = rate_by_stop.get(x.stop, 0.0) + rate
-    total = sum(stop * rate for stop, rate in rate_by_stop.items()) or 1.0
+    knots = sorted(rate_by_stop.items())
+    if len(knots) > MAX_KNOTS:
+        # Any curve that never falls gives the same order; neighbours share a knot, so
+        # that the expression has a fixed size.
+        size = math.ceil(len(knots) / MAX_KNOTS)
+        parts = [knots[k: k + size] for k in range(0, len(knots), size)]
+        knots = [(part[-1][0], sum(rate for _, rate in part)) for part in parts]
+    total = sum(stop * rate for stop, rate in knots) or 1.0
     work = None
-    for stop, rate in sorted(rate_by_stop.items()):
+    for stop, rate in knots:
         term = F.least(F.col("arrival"), F.lit(stop)) * F.lit(rate * n_buckets / total)
         work = term if work is None else work + term
     return F.least(F.floor(work), F.lit(n_buckets - 1)).cast("int")

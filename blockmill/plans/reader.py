@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.config import TokenProfile
 from blockmill.operators.filters import exact_length, supervised_batches, token_range_guard
@@ -21,6 +21,16 @@ def _listed(spark: SparkSession, path: str, manifest: str | None) -> DataFrame:
     return files.join(scan_manifest(spark, manifest).select("file").distinct(), "file", "left_semi")
 
 
+def _counts(spark: SparkSession, files: DataFrame, manifest: str, seq_len: int) -> DataFrame | None:
+    """Rows of each shard by its newest line; None if the lines tell of another length."""
+    lines = scan_manifest(spark, manifest).groupBy("file").agg(
+        F.max_by("rows", "time").alias("n"), F.max_by("tokens", "time").alias("tokens")
+    )
+    counts = files.join(lines, "file")
+    fits = counts.filter(F.col("tokens") != F.col("n") * seq_len).isEmpty()
+    return counts.select("shard_id", "n") if fits else None
+
+
 def read_training_rows(
     spark: SparkSession, path: str, seq_len: int, profile: TokenProfile,
     world: int = 1, seed: int | None = None, manifest: str | None = None, observation=None,
@@ -43,10 +53,15 @@ def read_batches(
     spark: SparkSession, path: str, seq_len: int, profile: TokenProfile, size: int,
     world: int = 1, seed: int | None = None, manifest: str | None = None,
 ) -> DataFrame:
-    """Micro-batches per rank, in order of ``batch_id``, without unsupervised ones."""
+    """Micro-batches per rank, in order of ``batch_id``, without unsupervised ones.
+
+    With the manifest of a build the row counts come from its lines; without one
+    the ids are read once more to count the rows of the right length.
+    """
     files = _listed(spark, path, manifest)
+    counts = None if manifest is None else _counts(spark, files, manifest, seq_len)
     packed = scan_packed(spark, path).select("shard_id", "block_id", "input_ids")
-    batches = micro_batches(packed, rank_shards(files, world, seed), size, seq_len)
+    batches = micro_batches(packed, rank_shards(files, world, seed), size, seq_len, counts)
     batches = token_range_guard(batches, profile.vocab_size)
     # Decided by the ids, so that labels are made once and for kept batches only.
     kept = supervised_batches(batches, "input_ids", profile.pad_id)

@@ -249,3 +249,16 @@ def test_lane_epochs_match_row_arithmetic():
         lane = mix.Lane("s", 3.0, None, 10, 10, 100, 10, end=end)
         want = sum(1 for e in range(100) if (e + 0.0) * 10 / 3.0 < end)
         assert lane.epochs == max(1, want)
+
+
+def test_many_sources_share_the_knots_of_the_curve(spark, monkeypatch):
+    """More distinct stops than the bucket curve has terms: same blocks."""
+    monkeypatch.setattr(mix, "MAX_KNOTS", 5)
+    records = {f"s{k:02d}": [(d, "x" * (1 + (7 * d + k) % 50)) for d in range(1 + k)] for k in range(30)}
+    weights = {s: 1.0 + i % 4 for i, s in enumerate(records)}
+    caps = {s: 32 * (1 + i % 3) for i, s in enumerate(records) if i % 5 == 0}
+    specs = specs_for(weights, caps)
+    for total in (None, 4000):
+        rows, plan = plan_documents(table(spark, records), specs, PackSettings(16, total, 4, 3), TOK)
+        want, _, _ = model.build(records, weights, caps, 16, total, 3)
+        assert blocks_of(pack(rows, plan, TOK)) == want

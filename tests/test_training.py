@@ -11,7 +11,9 @@ from blockmill.operators.training import (
 )
 from blockmill.plans.build import build, shards_of
 from blockmill.plans.reader import read_batches, read_training_rows
+from blockmill.session import stored
 from blockmill.sources import scan_packed, write_shards
+from blockmill.sources.shards import drop_shards
 from helpers import specs_for
 
 PAD = 9
@@ -195,13 +197,20 @@ def test_readers_follow_the_manifest_and_report_lengths(spark, tmp_path):
     path = f"{tmp_path}/out"
     docs = spark.createDataFrame([("s", d, "x" * 50) for d in range(200)], "source string, doc_id long, text string")
     plan = build(docs, specs_for({"s": 1}), PackSettings(64, None, 20, 1), ByteTokenizer(), path)
-    stray = scan_packed(spark, shards_of(path)).drop("file", "shard_id")
+    stray = stored(scan_packed(spark, shards_of(path)).drop("file", "shard_id"), "stray")
     write_shards(stray, shards_of(path), 20, first_shard=500, mode="append")
     profile, manifest = TokenProfile(257, 256, 256), f"{path}/manifest"
     assert read_training_rows(spark, shards_of(path), 64, profile).count() == 2 * plan.n_blocks
     assert read_training_rows(spark, shards_of(path), 64, profile, manifest=manifest).count() == plan.n_blocks
     batches = read_batches(spark, shards_of(path), 64, profile, 8, manifest=manifest)
     assert batches.select(F.explode("input_ids")).count() == plan.n_blocks
+    drop_shards(spark, shards_of(path), 500)
+    for settings in ((8, 3, 2), (5, 2, None)):
+        with_lines, without = (
+            sorted((r["rank"], r["batch_id"], r["input_ids"]) for r in read_batches(
+                spark, shards_of(path), 64, profile, *settings, manifest=m).collect()) for m in (manifest, None))
+        assert with_lines == without
+    write_shards(stray, shards_of(path), 20, first_shard=500, mode="append")
     seen = Observation("lengths")
     assert read_training_rows(spark, shards_of(path), 32, profile, observation=seen).count() == 0
     assert seen.get == {"rows_read": 2 * plan.n_blocks, "rows_skipped": 2 * plan.n_blocks}
