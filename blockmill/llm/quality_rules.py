@@ -83,7 +83,7 @@ class FertilityRules:
     model_file: str
     bands: Mapping[str, Band] = field(default_factory=lambda: dict(DEFAULT_BANDS))
     language_bands: Mapping[str, Band] = field(default_factory=dict)
-    cached_words: int = 400_000
+    cached_words: int = 200_000
 
 
 SCHEMA = T.StructType([
