@@ -8,7 +8,8 @@ tokens up to each place from which a token may still start, and where in the tok
 trie each of these starts stands. Reading a byte extends the
 starts, finds the new prefix's last token and sends all tokens on which every
 open start agrees; the look-ahead is bounded by the longest token. Moves are worked
-out when first met and kept, as are the forms of whole chunks.
+out when first met and kept while the table has room; later ones are worked out each
+time. The forms of whole chunks are kept too.
 
 Pieces are the matches of the pattern. A single space between two characters that
 are not white space always begins a piece, so a text may be cut there first and the
@@ -47,10 +48,10 @@ class BpeSettings:
 
     rank_file: str
     pattern: str
-    chunks: int = 800_000
-    pieces: int = 300_000
-    states: int = 300_000
-    pairs: int = 1_000_000
+    chunks: int = 200_000
+    pieces: int = 200_000
+    states: int = 60_000
+    pairs: int = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -77,7 +78,7 @@ def merge(piece: bytes, ranks: dict[bytes, int], down_to: int = 1) -> list[int]:
 class Transducer:
     """Encodes one piece at a time."""
 
-    def __init__(self, ranks: dict[bytes, int], states: int = 300_000, pairs: int = 1_000_000):
+    def __init__(self, ranks: dict[bytes, int], states: int = 60_000, pairs: int = 200_000):
         self.ranks, self._max_states, self._max_pairs = ranks, states, pairs
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         # Trie of tokens: a node is the dictionary of its children and a token or None.
@@ -93,12 +94,14 @@ class Transducer:
                     self._token.append(None)
                 node = after
             self._token[node] = rank
+        # The same trie for walks: a node is its children and its token.
+        self._tree: list = [None] * len(self._children)
+        for node in range(len(self._children) - 1, -1, -1):
+            below = {byte: self._tree[child] for byte, child in self._children[node].items()}
+            self._tree[node] = (below, self._token[node])
         self._fits: dict[tuple[int, int], bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._spines: tuple[dict[int, list[int]], dict[int, list[int]]] = ({}, {})
-        self._reset()
-
-    def _reset(self) -> None:
         # A state: the last token sent (-1: none), and for each place where a further token
         # may start, earliest first: the tokens from the last one sent up to there, and the
         # trie node to which the bytes since then lead. The last place is the end.
@@ -198,23 +201,61 @@ class Transducer:
         move = self._moves[at << 8 | byte] = (number, settled) if settled else number
         return move
 
+    def _walk(self, state: tuple, rest: bytes) -> list[int]:
+        """The tokens from the last one sent to the end of the piece, without keeping states.
+
+        The same step as ``_move``; a path is a chain of (path before, token).
+        """
+        fits, root = self._fits.get, self._tree[0]
+        sent, paths, nodes = state
+        starts = []
+        for path, node in zip(paths, nodes):
+            chain = (None, sent)
+            for token in path:
+                chain = (chain, token)
+            starts.append((chain, self._tree[node]))
+        for byte in rest:
+            found, opened = None, []
+            for start in starts:
+                after = start[1][0].get(byte)
+                if after is None:
+                    continue
+                chain, token = start[0], after[1]
+                if found is None and token is not None:
+                    fit = fits((chain[1], token))
+                    if fit is None:
+                        fit = self._fit(chain[1], token)
+                    if fit:
+                        found = (chain, token)
+                if after[0]:
+                    opened.append((chain, after))
+            opened.append((found, root))
+            starts = opened
+        out, chain = [], starts[-1][0]
+        while chain[0] is not None:
+            chain, token = chain
+            out.append(token)
+        return out[::-1]
+
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self._states) > self._max_states:
-            self._reset()
         out: list[int] = []
-        at, find = 0, self._moves.get
-        for byte in piece:
+        at, find, more = 0, self._moves.get, len(self._states) < self._max_states
+        for k, byte in enumerate(piece):
             move = find(at << 8 | byte)
             if move is None:
+                if not more:
+                    # The table is full: what it does not know is worked out and forgotten.
+                    return out + self._walk(self._states[at], piece[k:])
                 move = self._learn(at, byte)
             if type(move) is int:
                 at = move
             else:
                 at, settled = move
                 out += settled
+        # The last start is the end of the piece.
         out += self._states[at][1][-1]
         return out
 
@@ -306,7 +347,9 @@ class Encoder:
         self.transducer = Transducer(read_ranks(settings.rank_file), settings.states, settings.pairs)
         self._pieces = regex.compile(settings.pattern).findall
         self._table = WordTable(self._encode, settings.chunks)
+        # Pieces met lately and those before; what is met again stays.
         self._known: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
         self._most = settings.pieces
 
     def _chunk(self, chunk: str) -> list[int]:
@@ -316,9 +359,12 @@ class Encoder:
             # Chunks that differ in their punctuation share their pieces.
             found = self._known.get(piece)
             if found is None:
+                found = self._older.get(piece)
+                if found is None:
+                    found = tuple(self.transducer.encode(piece.encode("utf-8")))
                 if len(self._known) >= self._most:
-                    self._known.clear()
-                found = self._known[piece] = tuple(self.transducer.encode(piece.encode("utf-8")))
+                    self._older, self._known = self._known, {}
+                self._known[piece] = found
             out += found
         return out
 
