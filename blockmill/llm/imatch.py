@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -59,6 +60,12 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+@lru_cache(maxsize=2)
+def shared_terms(cached_words: int) -> "Terms":
+    """One table for all tasks of a worker process."""
+    return Terms(cached_words)
+
+
 class Terms:
     """Sorted distinct term hashes of texts."""
 
@@ -66,15 +73,13 @@ class Terms:
         self._table = WordTable(self._hash, cached_words)
 
     @staticmethod
-    def _hash(words: list[bytes]) -> list[list[int]]:
+    def _hash(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         import xxhash
 
-        found = []
-        for word in words:
-            term = word.strip(EDGES)
-            value = xxhash.xxh64_intdigest(term)
-            found.append([value - (1 << 64) if value >> 63 else value] if term else [])
-        return found
+        terms = [w.strip(EDGES) for w in words]
+        some = np.fromiter(map(len, terms), np.int64, len(terms)) > 0
+        values = np.fromiter(map(xxhash.xxh64_intdigest, terms), np.uint64, len(terms))
+        return values[some].view(np.int64), some.astype(np.int64)
 
     def __call__(self, raws: list[bytes]) -> list[np.ndarray]:
         found = [r.lower().split() for r in raws]
@@ -104,15 +109,24 @@ class Printer:
         out = np.zeros((len(s.sizes), s.salts), np.uint8)
         if not len(band):
             return out
-        draw = _mixed(band[None, :] ^ self._salts)
-        value = _mixed(draw + _B)
+        draw = (band[None, :] ^ self._salts) * _A
+        draw ^= draw >> np.uint64(32)
+        draw *= _B
+        # A lexicon of size k knows the terms whose draw begins with k zero bits, so
+        # each is a part of the one before. The sum of mixed draws does not depend on
+        # the terms' order and stands for the hash of the sorted terms.
+        known = draw < np.uint64(1 << (64 - s.sizes[0]))
+        salt, value = np.nonzero(known)[0], draw[known]
         for k, size in enumerate(s.sizes):
-            knows = draw >> np.uint64(64 - size) == 0
-            any_known = knows.any(axis=1)
-            if not any_known.any():
-                break  # smaller lexicons know a part of this one's terms
-            total = _mixed(np.where(knows, value, np.uint64(0)).sum(axis=1, dtype=np.uint64))
-            out[k] = np.where(any_known, 1 + (total % np.uint64(255)), 0)
+            if k:
+                inside = value < np.uint64(1 << (64 - size))
+                salt, value = salt[inside], value[inside]
+            if not len(value):
+                break
+            total = np.zeros(s.salts, np.uint64)
+            np.add.at(total, salt, value)
+            any_known = np.bincount(salt, minlength=s.salts) > 0
+            out[k] = np.where(any_known, 1 + _mixed(total) % np.uint64(255), 0)
         return out
 
     def likeness(self, a: np.ndarray, b: np.ndarray) -> float:
@@ -131,11 +145,11 @@ def document_frequency_table(docs: DataFrame, settings: IMatchSettings) -> np.nd
     size = 1 << settings.slot_bits
 
     def count(batches):
-        terms, found = Terms(settings.cached_words), np.zeros(size, np.int32)
+        terms, found = shared_terms(settings.cached_words), np.zeros(size, np.int32)
         n = 0
         for (texts,) in rows_of(batches):
             for t in terms([(x or "").encode("utf-8") for x in texts]):
-                found[np.unique(t & np.uint64(size - 1)).astype(np.int64)] += 1
+                found[(t & np.uint64(size - 1)).astype(np.int64)] += 1  # once for equal slots
                 n += 1
         slots = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays(
@@ -230,7 +244,7 @@ def fingerprints_with_next(docs: DataFrame, settings: IMatchSettings = IMatchSet
     arrow = to_arrow_schema(OUT)
 
     def run(batches):
-        terms, printer = Terms(settings.cached_words), Printer(table.value, settings)
+        terms, printer = shared_terms(settings.cached_words), Printer(table.value, settings)
         held = None  # (doc_id, text, fingerprint) of the row before
 
         def row(after_text, after_print):
@@ -266,7 +280,7 @@ def imatch_fingerprints(docs: DataFrame, settings: IMatchSettings = IMatchSettin
     table = docs.sparkSession.sparkContext.broadcast(document_frequency_table(docs, settings))
 
     def make():
-        terms, printer = Terms(settings.cached_words), Printer(table.value, settings)
+        terms, printer = shared_terms(settings.cached_words), Printer(table.value, settings)
 
         def rows(doc_ids, texts):
             found = terms([(t or "").encode("utf-8") for t in texts])

@@ -80,11 +80,14 @@ def map_rows(
 class WordTable:
     """Numbers for words and a short list of integers for each, encoded many at a time.
 
+    ``encode`` gives a list for each word, or all integers in one array and the
+    lists' lengths in another.
+
     Starts afresh when it holds too many words, so its memory is bounded by ``size``
     and one slice of rows. Numbers are stable between two calls of ``learn``.
     """
 
-    def __init__(self, encode: Callable[[list], list[list[int]]], size: int):
+    def __init__(self, encode: Callable[[list], list[list[int]] | tuple[np.ndarray, np.ndarray]], size: int):
         self._encode, self._size = encode, size
         self._clear()
 
@@ -102,13 +105,17 @@ class WordTable:
             return self.learn(texts)
         if not new:
             return
-        lists = self._encode(new)
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        made = self._encode(new)
+        if isinstance(made, tuple):
+            flat, sizes = made
+        else:
+            sizes = np.fromiter(map(len, made), np.int64, len(made))
+            flat = np.fromiter(chain.from_iterable(made), np.int64, int(sizes.sum()))
         used = int(self._starts[-1])
-        total = used + int(sizes.sum())
+        total = used + len(flat)
         if total > len(self._values):
             self._values = np.concatenate([self._values[:used], np.zeros(total, np.int64)])
-        self._values[used:total] = np.fromiter(chain.from_iterable(lists), np.int64, total - used)
+        self._values[used:total] = flat
         self._starts = np.concatenate([self._starts, used + np.cumsum(sizes)])
         known.update(zip(new, range(len(known), len(known) + len(new))))
 
