@@ -39,6 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from blockmill.llm.texts import rows_of
 
 CELLS = 1 << 14
+_PIECE = 1 << 14
 MANIFEST = "file string, records long, bytes long, sha256 string, first_page long, last_page long"
 RECORDS = (
     "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
@@ -103,14 +104,21 @@ def make_record(page_id: int | None, url: str | None, payload: bytes, refers_to:
 
 
 def _members(content: bytes):
-    """The gzip members of a file, one at a time."""
-    view = memoryview(content)
-    while len(view):
-        unpack = zlib.decompressobj(wbits=31)
-        yield unpack.decompress(view) + unpack.flush()
-        if not unpack.eof:
-            raise ValueError("archive ends inside a record")
-        view = view[len(view) - len(unpack.unused_data):]
+    """The gzip members of a file, one at a time.
+
+    A file is fed in small pieces: what is left over after a member is copied.
+    """
+    view, at = memoryview(content), 0
+    while at < len(view):
+        unpack, out = zlib.decompressobj(wbits=31), []
+        while not unpack.eof:
+            piece = view[at: at + _PIECE]
+            if not len(piece):
+                raise ValueError("archive ends inside a record")
+            out.append(unpack.decompress(piece))
+            at += len(piece)
+        at -= len(unpack.unused_data)
+        yield b"".join(out)
 
 
 def read_record(data: bytes) -> tuple:
