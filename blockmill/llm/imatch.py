@@ -6,7 +6,8 @@ most ``max_share`` of them. The distinct terms that are left are put in order of
 and hashed under randomised lexicons, each of which knows only a part of all terms. A
 lexicon's hash changes only if one of its own terms comes or goes, so small edits leave
 most hashes as they are. Lexicons come in ``salts`` random orders and several sizes:
-small ones suit long texts, large ones short texts.
+small ones suit long texts, large ones short texts. The smallest know one term in 2^31,
+more than a string can hold, so no text is too long.
 
 A fingerprint is the hashes of all lexicons, size after size; a lexicon that knows no
 term of the text has 00. A text with fewer than ``min_terms`` terms in the band uses all its
@@ -47,7 +48,7 @@ class IMatchSettings:
     max_share: float = 0.1
     slot_bits: int = 22
     salts: int = 32
-    sizes: tuple[int, ...] = (1, 3, 5, 7, 9, 11)
+    sizes: tuple[int, ...] = tuple(range(1, 32, 2))
     min_terms: int = 5
     enough: float = 0.5
     cached_words: int = 400_000

@@ -75,3 +75,16 @@ def test_plain_fingerprints(edges):
     assert plain == both
     assert pytest.approx(1.0) == I.Printer(np.zeros(1 << 16, np.uint64), I.IMatchSettings()).likeness(
         np.ones((6, 32), np.uint8), np.ones((6, 32), np.uint8))
+
+
+@pytest.mark.parametrize("n", [50_000, 100_000, 400_000])
+def test_long_texts_keep_their_likeness(n):
+    rng = np.random.default_rng(3)
+    printer = I.Printer(np.zeros(1 << 16, np.uint64), I.IMatchSettings(min_terms=1 << 30))  # all terms count
+    text, after = rng.integers(0, 1 << 63, (2, n), dtype=np.uint64)
+    own, following = printer(np.sort(text)), printer(np.sort(after))
+    for share, least in ((0.25, 0.2), (0.1, 0.35), (0.03, 0.5)):
+        k = int(n * share)
+        near_edited = printer.likeness(own, printer(np.sort(np.concatenate([text[k:], after[:k]]))))
+        assert near_edited > least
+    assert printer.likeness(own, following) < 0.1
