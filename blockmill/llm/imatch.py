@@ -14,9 +14,10 @@ term of the text has 00. A text with fewer than ``min_terms`` terms in the band
 terms. The likeness of two fingerprints is 1 if they are equal, else the share of equal
 hashes among the smallest lexicons of which enough know a term of either text.
 
-Document frequencies are counted over all documents, by term slot (``slot_bits`` bits of
-the term's hash): terms that share a slot share a frequency, and tables have a fixed size,
-512 KB for the lexicon that goes to the tasks.
+Document frequencies are counted over all documents, by the 64-bit hash of a term. A task
+counts about 2^``slot_bits`` distinct terms at a time and sends on what it has counted. The
+sorted hashes of the terms in the band go to the tasks, 8 bytes each, and say exactly which
+terms count; a term that no document has (cut in two by an edit) does not.
 
 Null text: as empty; texts without terms have equal fingerprints of zeros. Null
 ``doc_id``: after all others. Repeated rows follow one another. Further columns are not read.
@@ -39,6 +40,7 @@ from blockmill.llm.texts import WordTable, map_rows, rows_of
 
 EDGES = b".,;:!?()[]{}\"'|-*#$%&<>/\\"
 LAST = (1 << 63) - 1
+_CHUNK = 1 << 18
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -97,9 +99,10 @@ class Printer:
         self._salts = rng.integers(0, 1 << 63, (settings.salts, 1), dtype=np.uint64)
 
     def _in_band(self, terms: np.ndarray) -> np.ndarray:
-        slot = terms & np.uint64((1 << self._settings.slot_bits) - 1)
-        bits = self._lexicon[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))
-        return terms[(bits & np.uint64(1)) > 0]
+        if not len(self._lexicon):
+            return terms[:0]
+        at = np.minimum(np.searchsorted(self._lexicon, terms), len(self._lexicon) - 1)
+        return terms[self._lexicon[at] == terms]
 
     def __call__(self, terms: np.ndarray) -> np.ndarray:
         """One byte for each lexicon, sizes by salts."""
@@ -142,39 +145,44 @@ class Printer:
 
 
 def document_frequency_table(docs: DataFrame, settings: IMatchSettings) -> np.ndarray:
-    """One bit for each slot whose document frequency lies in the band."""
+    """Sorted hashes of the terms whose document frequency lies in the band."""
     size = 1 << settings.slot_bits
 
     def count(batches):
-        terms, found = shared_terms(settings.cached_words), np.zeros(size, np.int32)
-        n = 0
+        terms = shared_terms(settings.cached_words)
+        values, sums, met, n_met = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
+
+        def merged():
+            found, n = np.unique(np.concatenate(met), return_counts=True) if met else (values[:0], sums[:0])
+            both, place = np.unique(np.concatenate([values, found]), return_inverse=True)
+            total = np.zeros(len(both), np.int64)
+            np.add.at(total, place, np.concatenate([sums, n]))
+            return both, total
+
+        def sent():
+            for start in range(0, len(values), _CHUNK):
+                part = slice(start, start + _CHUNK)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values[part].view(np.int64)), pa.array(sums[part])], names=["term", "n"]
+                )
+
         for (texts,) in rows_of(batches):
             for t in terms([(x or "").encode("utf-8") for x in texts]):
-                found[(t & np.uint64(size - 1)).astype(np.int64)] += 1  # once for equal slots
-                n += 1
-        slots = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(slots, -1), pa.int64()), pa.array(np.append(found[slots], n), pa.int64())],
-            names=["slot", "n"],
-        )
-
-    counts = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    n_docs = F.sum(F.when(F.col("slot") < 0, F.col("n")))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(F.lit(63)).cast("int"))
-    counts = counts.persist()
-    try:
-        total = counts.agg(n_docs).first()[0] or 0
-        # At most 2^(slot_bits - 6) rows, whatever the corpus.
-        cells = (
-            counts.filter("slot >= 0")
-            .filter((F.col("n") >= settings.min_docs) & (F.col("n") <= max(settings.min_docs, int(settings.max_share * total))))
-            .groupBy(F.shiftright("slot", 6).alias("cell")).agg(F.bit_or(bit).alias("bits")).toArrow()
-        )
-    finally:
-        counts.unpersist()
-    table = np.zeros(max(1, size >> 6), np.uint64)
-    table[cells["cell"].to_numpy()] = cells["bits"].to_numpy().astype(np.int64).view(np.uint64)
-    return table
+                met.append(t)
+                n_met += len(t)
+            if n_met >= size:
+                values, sums = merged()
+                met, n_met = [], 0
+                if len(values) >= size:
+                    yield from sent()
+                    values, sums = values[:0], sums[:0]
+        values, sums = merged()
+        yield from sent()
+
+    most = max(settings.min_docs, int(settings.max_share * docs.count()))
+    counts = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    band = counts.filter(F.col("n").between(settings.min_docs, most)).select("term").toArrow()
+    return np.sort(band["term"].to_numpy().view(np.uint64))
 
 
 def in_order_with_next(docs: DataFrame, parts: int) -> DataFrame:

@@ -88,3 +88,17 @@ def test_long_texts_keep_their_likeness(n):
         near_edited = printer.likeness(own, printer(np.sort(np.concatenate([text[k:], after[:k]]))))
         assert near_edited > least
     assert printer.likeness(own, following) < 0.1
+
+
+def test_band_holds_whatever_the_number_of_terms(spark):
+    """Words of one document stay out, however many others there are and wherever they are counted."""
+    rows = [(k, " ".join([f"one{k}x{n}" for n in range(300)] + [f"two{k // 2}x{n}" for n in range(9)])) for k in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = I.Terms(100_000)
+    for bits in (6, 10, 22):
+        settings = I.IMatchSettings(slot_bits=bits)
+        for parts in (1, 7):
+            printer = I.Printer(I.document_frequency_table(frame.repartition(parts), settings), settings)
+            for k, text in rows[::13]:
+                want = terms([" ".join(f"two{k // 2}x{n}" for n in range(9)).encode()])[0]
+                assert printer._in_band(terms([text.encode()])[0]).tolist() == want.tolist()
