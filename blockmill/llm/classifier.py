@@ -6,7 +6,8 @@ of equal words is one feature of its own. A softmax over two classes stands on t
 Vectors and softmax are trained together by stochastic gradient descent in numpy.
 
 Training takes a bounded sample of the labelled rows: at most ``max_rows`` rows in the order of a
-seeded hash of ``doc_id``, and of these as many whole texts as fit ``max_bytes``. That is
+seeded hash of ``doc_id``, and of these as many texts as fit ``max_bytes``. A text longer than
+1/128 of that gives pieces from end to end, so it costs no more than its own place. That is
 all that reaches the driver. Scoring needs one number for each feature (its vector times
 the difference of the two softmax rows), so tasks get a table of fixed size, 1 MB
 at 18 bits, and score whole texts of any length in one pass without a shuffle.
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from blockmill.llm.texts import WordTable, map_rows, utf8
 
+_SHARE, _PIECES = 128, 16  # of ``max_bytes`` for one text; of a text that is longer
 _UNIT = 1 << 24  # sums of scores are kept as whole numbers of 2^-24
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -129,6 +131,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def spread_pieces(text: Column, most: int) -> Column:
+    """Texts of more than ``most`` bytes as pieces at even steps, together within ``most`` bytes."""
+    width = max(1, most // (4 * _PIECES) - 1)  # a code point has four bytes at most
+    step = (F.length(text) - width) / (_PIECES - 1)
+    pieces = [text.substr(F.floor(step * k).cast("int") + 1, F.lit(width)) for k in range(_PIECES)]
+    return F.when(F.octet_length(text) > most, F.concat_ws(" ", *pieces)).otherwise(text)
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, settings: ClassifierSettings) -> list[tuple[str, int]]:
     """At most ``max_rows`` texts with labels, of at most ``max_bytes`` together."""
     draw = F.xxhash64(F.lit(settings.seed), "doc_id")
@@ -138,7 +148,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, settings: ClassifierSett
     drawn = usable.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(draw, "doc_id").limit(settings.max_rows)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # Both sides of the broadcast and of the window hold at most max_rows rows.
-    found = texts.join(F.broadcast(drawn), "doc_id").withColumn("size", F.octet_length("text"))
+    found = texts.join(F.broadcast(drawn), "doc_id").withColumn(
+        "text", spread_pieces(F.col("text"), settings.max_bytes // _SHARE)
+    ).withColumn("size", F.octet_length("text"))
     upto = Window.orderBy(draw, "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sizes = found.select("doc_id", "size").dropDuplicates(["doc_id"]).withColumn("upto", F.sum("size").over(upto))
     fit = sizes.filter(F.col("upto") <= settings.max_bytes).select("doc_id")

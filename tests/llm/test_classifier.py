@@ -53,6 +53,21 @@ def test_bounds_of_the_sample(spark):
     assert 5 < len(sample) <= 50 and sum(len(t.encode()) for t, _ in sample) <= 5000
 
 
+def test_a_long_text_costs_only_its_own_place(spark):
+    docs, labels = corpus()
+    long = [(k, (t + " ") * 1000 if k % 10 == 0 else t, *rest) for k, t, *rest in docs]
+    settings = C.ClassifierSettings(max_bytes=400_000)
+    truth = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    wanted = {r[0] for r in truth.filter(~C.held_out(F.col("doc_id"))).select("doc_id").collect()}
+    sample = [t for t, _ in C.training_sample(spark.createDataFrame(long, DOCS), truth, settings)]
+    assert len(sample) == len(wanted) and sum(len(t.encode()) for t in sample) <= 400_000
+    assert {t for k, t, *_ in docs if k in wanted and k % 10} <= set(sample)
+    assert all(len(t.encode()) <= 400_000 // 128 for t in sample)
+    frame = spark.createDataFrame([("ab" * 500 + "é" * 1000 + "yz" * 500,)], "text string")
+    got = frame.select(C.spread_pieces(F.col("text"), 640)).first()[0]
+    assert len(got.encode()) <= 640 and got.startswith("ab") and got.endswith("yz") and "é" in got
+
+
 def test_scores_are_the_model(spark):
     docs, labels = corpus()
     settings = C.ClassifierSettings(epochs=2)
