@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.llm import (
-    bpe, classifier, html_extract, imatch, mixing as M, quality_rules as Q, sharding, simhash as S, substring_dedup as R,
-    warc,
+    bpe, classifier, fim, html_extract, imatch, mixing as M, pieces, quality_rules as Q, sharding, simhash as S,
+    substring_dedup as R, warc, whitening,
 )
 from blockmill.llm.mixing_sql import mix_sql
 from blockmill.session import scratch_path
@@ -90,6 +90,54 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_and_decode(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    text = fim.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
+# The same cuts by the tokens themselves.
+FIM_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS t
+  FROM documents
+), drawn AS (
+  SELECT doc_id, text, t, len(t) AS n, ('0x' || h[1:8])::BIGINT % (len(t) + 1) AS a,
+    ('0x' || h[9:16])::BIGINT % (len(t) + 1) AS b, ('0x' || h[17:24])::BIGINT % 100 AS c,
+    ('0x' || h[25:32])::BIGINT % 100 AS d
+  FROM cut
+), parts AS (
+  SELECT doc_id, n, text,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR c >= 50
+      THEN 'plain' WHEN d < 80 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(t[1:least(a, b)], '') AS prefix,
+    array_to_string(t[least(a, b) + 1:greatest(a, b)], '') AS middle,
+    array_to_string(t[greatest(a, b) + 1:], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_classifier": op2_classifier,
@@ -101,7 +149,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
+    "op11_whitening": op11_whitening,
+    "op12_pieces": op12_pieces,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 ORACLE: dict[str, str] = {
     "op1_mixing": mix_sql(_DOMAIN_SQL, DOMAINS, LANGS, SOURCES, MIX_PERCENT, MIX_EPOCHS, MIX_SEED),
+    "op13_fill_in_middle": FIM_SQL,
 }

@@ -12,6 +12,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -32,17 +33,34 @@ def code_points_in_words(text: str) -> int:
     return len(text) - sum(text.count(c) for c in SPACES)
 
 
-def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[list]:
-    """Columns of the batches as Python lists, a slice of rows at a time."""
+def rows_of(batches: Iterable[pa.RecordBatch], max_bytes: int | None = None) -> Iterator[list]:
+    """Columns of the batches as Python lists, a slice of rows at a time.
+
+    With ``max_bytes`` a slice ends before it holds more, unless one row does.
+    """
     for batch in batches:
         for start in range(0, batch.num_rows, SLICE):
             piece = batch.slice(start, SLICE)
-            yield [column.to_pylist() for column in piece.columns]
+            for part in [piece] if max_bytes is None else _by_bytes(piece, max_bytes):
+                yield [column.to_pylist() for column in part.columns]
+
+
+def _by_bytes(rows: pa.RecordBatch, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    sizes = np.zeros(rows.num_rows, np.int64)
+    for column in rows.columns:
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, first = np.cumsum(sizes), 0
+    while first < len(ends):
+        before = int(ends[first - 1]) if first else 0
+        after = max(first + 1, int(np.searchsorted(ends, before + max_bytes, side="right")))
+        yield rows.slice(first, after - first)
+        first = after
 
 
 def map_columns(
     df: DataFrame, columns: list[str], schema: T.StructType | str,
-    make: Callable[[], Callable[..., Sequence]],
+    make: Callable[[], Callable[..., Sequence]], max_bytes: int | None = None,
 ) -> DataFrame:
     """Rows made by a Python function that is itself made once a task.
 
@@ -55,7 +73,7 @@ def map_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = make()
-        for values in rows_of(batches):
+        for values in rows_of(batches, max_bytes):
             out = made(*values)
             if len(out) and len(out[0]):
                 arrays = [pa.array(c, f.type) for c, f in zip(out, arrow)]
@@ -66,7 +84,7 @@ def map_columns(
 
 def map_rows(
     df: DataFrame, columns: list[str], schema: T.StructType | str,
-    make: Callable[[], Callable[..., Iterable[tuple]]],
+    make: Callable[[], Callable[..., Iterable[tuple]]], max_bytes: int | None = None,
 ) -> DataFrame:
     """The same for a function that gives the output row by row, as tuples."""
 
@@ -74,7 +92,7 @@ def map_rows(
         rows = make()
         return lambda *values: list(zip(*rows(*values)))
 
-    return map_columns(df, columns, schema, as_columns)
+    return map_columns(df, columns, schema, as_columns, max_bytes)
 
 
 class WordTable:

@@ -1,0 +1,88 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from blockmill.llm import fim as M
+from llm_cases import DOCS, comparable, edge_rows
+
+TOKEN = re.compile("[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def brute(doc_id, text):
+    text = text or ""
+    tokens = TOKEN.findall(text)
+    assert "".join(tokens) == text
+    h = hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[k: k + 8], 16) for k in (0, 8, 16, 24))
+    a, b = sorted((h1 % (len(tokens) + 1), h2 % (len(tokens) + 1)))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 50:
+        return doc_id, len(tokens), "plain", None, None, text
+    p, m, s = ("".join(x) for x in (tokens[:a], tokens[a:b], tokens[b:]))
+    if h4 % 100 < 80:
+        return doc_id, len(tokens), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return doc_id, len(tokens), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def test_edge_rows(edges, nothing):
+    made = M.fill_in_middle(edges)
+    want = [brute(r[0], r[1]) for r in edge_rows()]
+    assert comparable(made.collect()) == comparable(want)
+    assert {r[2] for r in want} == {"plain", "spm", "psm"}
+    assert M.fill_in_middle(nothing).count() == 0 and M.rank_indexes(nothing).count() == 0
+
+
+def test_outputs_give_back_their_texts(spark):
+    rng = random.Random(3)
+    parts = ["<", "<P", "S>", "M", ">", " ", "\n", "é", "漢字", "<S", "word", "🙂", "\x0b"]
+    rows = [(k, "".join(rng.choice(parts) for _ in range(rng.randint(0, 40))), None, None, None) for k in range(1500)]
+    rows += [(1500 + k, f"a <{m}> b", None, None, None) for k, m in enumerate("PSM" * 20)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    made = M.fill_in_middle(docs)
+    assert comparable(made.collect()) == comparable(brute(r[0], r[1]) for r in rows)
+    back = made.withColumn("text", M.restored(F.col("output"), F.col("form")))
+    assert comparable(back.select("doc_id", "text").collect()) == comparable(r[:2] for r in rows)
+    assert made.filter("doc_id >= 1500 and form <> 'plain'").count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=" \t\n\x0b\x0c\ra.é漢🙂\x1c\x85", max_size=80))
+def test_boundaries(text):
+    ends = np.cumsum([len(t.encode()) for t in TOKEN.findall(text)])
+    assert M.boundaries(text.encode()).tolist() == [0, *ends.tolist()]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_every_rank_is_exact_and_segments_are_bounded(seed):
+    rng = np.random.default_rng(seed)
+    steps = [
+        rng.integers(1, 12, 50_000), np.full(1000, 7), rng.integers(1, 5000, 400), np.array([], int),
+        np.concatenate([np.ones(700, int), np.full(5, 10 ** 9), rng.integers(1, 3, 2000)]),
+        rng.geometric(0.01, 3000), np.array([1 << 40]), rng.integers(1, 400, 5000),
+    ][seed]
+    offsets = np.concatenate([[0], np.cumsum(steps)]).astype(np.int64)
+    index = M.RankIndex.fit(offsets)
+    ranks = np.arange(len(offsets))
+    assert (index.offsets(ranks) == offsets).all()
+    assert np.abs(offsets - index.predict(ranks)).max() <= M.ERROR + 1
+    # No segment could have taken in the boundary after it: no slope serves them all.
+    for first, after in zip(index.firsts, index.firsts[1:]):
+        run = np.arange(1, after - first + 1)
+        rise = offsets[first + 1: after + 1] - offsets[first]
+        assert ((rise - M.ERROR) / run).max() > ((rise + M.ERROR) / run).min()
+
+
+def test_stored_index_finds_the_same_cuts(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    kept = {r["doc_id"]: r for r in M.rank_indexes(docs).collect()}
+    for r in docs.collect():
+        raw, row = r["text"].encode(), kept[r["doc_id"]]
+        index = M.RankIndex(*(np.array(row[c]) for c in ("firsts", "bases", "slopes")),
+                            np.frombuffer(row["residuals"], np.int8))
+        want = M.boundaries(raw)
+        assert (index.offsets(np.arange(len(want))) == want).all()
+        assert len(index.firsts) <= 1 + len(want) // 20
