@@ -90,4 +90,5 @@ STATE_SCHEMA = T.StructType([
     T.StructField("seq_len", T.IntegerType()),
     T.StructField("blocks_per_shard", T.IntegerType()),
     T.StructField("fingerprint", T.StringType()),
+    T.StructField("read_digest", T.StringType()),
 ])

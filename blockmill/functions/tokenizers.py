@@ -215,6 +215,7 @@ class JoinedWordTokenizer(_ArrayTokenizer):
 
     def tokenize(self, docs: DataFrame) -> DataFrame:
         key = ["source", "doc_id", "body"]
+        others = [c for c in docs.columns if c not in ("source", "doc_id", "text")]
         docs = docs.withColumn("body", F.xxhash64("text"))
         words = F.filter(F.split("text", WORD_SPLIT), lambda w: w != "")
         # Equal documents would otherwise pour their words into one list.
@@ -227,7 +228,7 @@ class JoinedWordTokenizer(_ArrayTokenizer):
             same = same & F.col(k).eqNullSafe(F.col(f"of_{k}"))
         payload = F.coalesce("w", F.array().cast("array<int>"))
         return docs.join(ids, same, "left").select(
-            "source", "doc_id", payload.alias("payload"), F.size(payload).cast("long").alias("n_tok")
+            "source", "doc_id", *others, payload.alias("payload"), F.size(payload).cast("long").alias("n_tok")
         )
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.config import PackSettings, SourceSpec
 from blockmill.operators.blocks import per_source_tokens
-from blockmill.plans.mix import MixPlan, plan_mix
-from blockmill.plans.pack import pack
-from blockmill.session import exists, remove, stored
+from blockmill.plans.measure import TokenSlices, content, spread
+from blockmill.plans.mix import MixPlan, plan_budget, plan_mix
+from blockmill.plans.pack import pack, packed_spans, stage_waves
+from blockmill.session import exists, folder_names, remove, stored
 from blockmill.sources.manifest import append_manifest, trim_manifest
 from blockmill.sources.shards import drop_shards, write_shards
 from blockmill.sources.state import (
@@ -23,37 +24,38 @@ WAVE_SHARDS = 64
 MAX_WAVES = 8
 
 
-def tokenized(docs: DataFrame, tokenizer, keep: str | None = None) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer) -> DataFrame:
     """Tokenised documents, written once where tokenising needs Python.
 
     Planning and packing both use the token counts; reading them back from a
     table in the shared folder keeps the tokenizer to one run, and lost
-    executors cost no more than the files they were writing. With ``keep`` the
-    table lies in that folder, under a key of tokenizer and documents, where a
-    second attempt finds it.
+    executors cost no more than the files they were writing.
     """
     docs = docs.select("source", "doc_id", "text")
-    rows = tokenizer.tokenize(docs)
     if not tokenizer.costly:
-        return rows
-    if keep is None:
-        return stored(rows, "tokens")
-    known = docs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("source", "doc_id", "text"))).first()
-    key = hashlib.sha256(f"{tokenizer.name}|{known[0]}|{known[1]}".encode()).hexdigest()
-    path, spark = f"{keep}/key={key}", docs.sparkSession
-    if not exists(spark, f"{path}/_SUCCESS"):
-        rows.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        return tokenizer.tokenize(docs)
+    return stored(tokenizer.tokenize(spread(docs)), "tokens")
 
 
 def plan_documents(
     docs: DataFrame, specs: Sequence[SourceSpec], settings: PackSettings, tokenizer,
     keep: str | None = None,
 ) -> tuple[DataFrame, MixPlan]:
-    """Tokenised documents with the plan of their mix."""
-    rows = tokenized(docs, tokenizer, keep)
-    sizes = rows if tokenizer.costly else tokenizer.sizes(docs)
-    return rows, plan_mix(sizes, specs, settings, tokenizer.eos_id is not None)
+    """Tokenised documents with the plan of their mix.
+
+    A costly tokenizer runs over the documents that the budget reaches, or over those
+    of all drawn sources where there is no budget; ``keep`` names the folder for them.
+    """
+    eos = tokenizer.eos_id is not None
+    if not tokenizer.costly:
+        return tokenized(docs, tokenizer), plan_mix(tokenizer.sizes(docs), specs, settings, eos)
+    drawn = [s.name for s in specs if s.weight > 0]
+    slices = TokenSlices(docs, tokenizer, settings.seed, drawn, keep)
+    if settings.total_tokens is not None:
+        plan = plan_budget(slices, specs, settings, eos)
+        return slices.rows, plan
+    rows = slices.reach(dict.fromkeys(drawn, 1.0))
+    return rows, plan_mix(rows, specs, settings, eos)
 
 
 def pack_documents(
@@ -71,13 +73,14 @@ def shards_of(path: str) -> str:
 
 
 def _write(
-    rows: DataFrame, plan: MixPlan, tokenizer, path: str, first_block: int, end_block: int, first_shard: int
+    rows: DataFrame, plan: MixPlan, tokenizer, path: str, first_block: int, end_block: int, first_shard: int,
+    placed: bool = False,
 ) -> None:
-    """One pass over the text: shards, and at the end of the plan the unpacked tokens
+    """One pass over the rows: shards, and at the end of the plan the unpacked tokens
     in a folder of their own."""
     blocks = pack(
         rows, plan, tokenizer, first_block, whole_shards=True,
-        with_tail=end_block == plan.n_blocks, end_block=end_block,
+        with_tail=end_block == plan.n_blocks, end_block=end_block, placed=placed,
     )
     part = F.when(F.col("block_id") < plan.n_blocks, "shards").otherwise("carry")
     write_shards(
@@ -87,7 +90,8 @@ def _write(
 
 
 def _finish(
-    spark: SparkSession, plan: MixPlan, path: str, end_block: int, first_shard: int, next_shard: int, print_id: str
+    spark: SparkSession, plan: MixPlan, path: str, end_block: int, first_shard: int, next_shard: int, print_id: str,
+    read: str | None,
 ) -> None:
     """Manifest lines of new shards, then the state. Only the last state of a plan has a carry."""
     settings = plan.settings
@@ -119,11 +123,21 @@ def _finish(
             F.lit(settings.seq_len).alias("seq_len"),
             F.lit(settings.blocks_per_shard).alias("blocks_per_shard"),
             F.lit(print_id).alias("fingerprint"),
+            F.lit(read).cast("string").alias("read_digest"),
         )
     )
     save_state(state, f"{path}/state")
 
 
+def _read_digest(rows: DataFrame, plan: MixPlan, end_block: int) -> str | None:
+    """What the plan reads before a block, where its identity does not know all tokens."""
+    if plan.keys is None:
+        return None
+    spans = packed_spans(rows, plan).filter(F.col("off") < end_block * plan.settings.seq_len)
+    n, total = spans.agg(F.count("*"), content("source", "epoch", "doc_id", "n_tok")).first()
+    return f"{n}:{total}"
+
+
 def _identity(specs, plan: MixPlan, tokenizer) -> str:
     return fingerprint(specs, plan.settings, tokenizer.name, tokenizer.eos_id, plan.inputs)
 
@@ -134,19 +148,49 @@ def _go_on(
 ) -> None:
     """Write what is left of the plan in waves of whole shards, each with its lines and state.
 
-    A wave reads the documents of its own order buckets, but has to look at all rows
-    for them; so there are few waves, and small builds have one.
+    Where there are several waves, one pass over the text deals the documents out to
+    folders, one for each, so a wave reads its own documents and no others. Folders that a
+    broken attempt has left serve again if the plan is the same.
     """
     spark, per_shard = rows.sparkSession, plan.settings.blocks_per_shard
     left = -(-(plan.n_blocks - first_block) // per_shard)
     wave = wave_shards or max(WAVE_SHARDS, -(-left // MAX_WAVES))
+    start, wave, staged = _staged(rows, plan, path, first_block, wave, left > wave, print_id)
     while first_block < plan.n_blocks:
+        number = (first_block - start) // (wave * per_shard)
         end_block = min(plan.n_blocks, first_block + wave * per_shard)
         next_shard = first_shard + -(-(end_block - first_block) // per_shard)
-        _write(rows, plan, tokenizer, path, first_block, end_block, first_shard)
-        _finish(spark, plan, path, end_block, first_shard, next_shard, print_id)
+        own = rows if staged is None else spark.read.parquet(f"{staged}/wave={number}")
+        _write(own, plan, tokenizer, path, first_block, end_block, first_shard, staged is not None)
+        read = _read_digest(rows, plan, end_block)
+        _finish(spark, plan, path, end_block, first_shard, next_shard, print_id, read)
         first_block, first_shard = end_block, next_shard
     remove(spark, f"{path}/tokens")
+    remove(spark, f"{path}/staged")
+
+
+def _staged(
+    rows: DataFrame, plan: MixPlan, path: str, first_block: int, wave_shards: int, several: bool, print_id: str
+) -> tuple[int, int, str | None]:
+    """First block, shards a wave, and folder of the documents dealt out to waves, if any.
+
+    The folder's name tells its layout and the plan, whose buckets its rows carry.
+    """
+    spark, per_shard = rows.sparkSession, plan.settings.blocks_per_shard
+    marks = [print_id, plan.lanes, plan.n_buckets, plan.n_blocks, plan.starts.tolist()]
+    key = hashlib.sha256(repr(marks).encode()).hexdigest()[:32]
+    for name in folder_names(spark, f"{path}/staged"):
+        found, begin, size = (*name.split("-"), "", "")[:3]
+        if found == key and exists(spark, f"{path}/staged/{name}/_SUCCESS"):
+            begin, size = int(begin), int(size)
+            if begin <= first_block and (first_block - begin) % (size * per_shard) == 0:
+                return begin, size, f"{path}/staged/{name}"
+    remove(spark, f"{path}/staged")
+    if not several:
+        return first_block, wave_shards, None
+    folder = f"{path}/staged/{key}-{first_block}-{wave_shards}"
+    stage_waves(rows, plan, folder, first_block, wave_shards * per_shard)
+    return first_block, wave_shards, folder
 
 
 def _clean(spark: SparkSession, path: str, first_shard: int) -> None:
@@ -202,8 +246,11 @@ def resume(
     print_id = _identity(specs, plan, tokenizer)
     if print_id != state["fingerprint"]:
         raise ValueError(f"{path} was built from other sources or settings")
+    packed_blocks = state["total_tokens_written"] // settings.seq_len
+    if state["read_digest"] is not None and packed_blocks <= plan.n_blocks:
+        if _read_digest(rows, plan, packed_blocks) != state["read_digest"]:
+            raise ValueError(f"{path} was built from other sources or settings: documents have changed")
     first_shard = state["shard_idx"]
     _clean(spark, path, first_shard)
-    first_block = state["total_tokens_written"] // settings.seq_len
-    _go_on(rows, plan, tokenizer, path, first_block, first_shard, print_id, wave_shards)
+    _go_on(rows, plan, tokenizer, path, packed_blocks, first_shard, print_id, wave_shards)
     return plan

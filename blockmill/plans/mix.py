@@ -9,7 +9,7 @@ any task can compute the stream position of its documents from it.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -23,6 +23,7 @@ from blockmill.operators.mixing import (
     ORDER, arrival_time, before_cut, repeat_epochs, source_stats, stream_offsets,
 )
 from blockmill.operators.prefix import MAX_BUCKETS, bucket_starts
+from blockmill.plans.measure import TokenSlices, record_keys
 from blockmill.session import default_parallelism, small_table
 from blockmill.sources.specs import validate_specs
 
@@ -34,6 +35,9 @@ MAX_SLABS = 1 << 15
 BUCKETS_PER_SLAB = 32
 ROWS_PER_TASK = 1 << 20
 MANY_EPOCHS = 32
+# Records that a budget's first look takes, of all sources and of each one.
+PILOT_RECORDS = 4096
+PILOT_OF_SOURCE = 64
 
 
 @dataclass(frozen=True)
@@ -96,11 +100,13 @@ class MixPlan:
     starts: np.ndarray = field(repr=False)
     stream_tokens: int = 0
     n_blocks: int = 0
+    # Records and ids of every source, where the tokens of a whole epoch are not known.
+    keys: dict[str, tuple[int, int]] | None = field(default=None, repr=False)
 
     @property
     def inputs(self) -> dict[str, tuple[int, int]]:
-        """Records and tokens of one epoch per source."""
-        return {x.name: (x.n_records, x.tokens) for x in self.lanes}
+        """What the sources are known by: records, and tokens of one epoch or ids."""
+        return self.keys or {x.name: (x.n_records, x.tokens) for x in self.lanes}
 
 
 # Terms of the curve that maps arrival times to order buckets.
@@ -347,18 +353,66 @@ def plan_mix(
             lanes = _settle_caps(sizes, lanes, settings, eos)
             order = _order(sizes, lanes, settings, eos)
         else:
-            lanes, order = _settle_budget(sizes, lanes, settings, eos)
+            lanes, order = _settle_budget(lambda _: sizes, lanes, settings, eos)
     finally:
         sizes.unpersist()
+    return _settled(settings, eos, lanes, order)
+
+
+def _settled(
+    settings: PackSettings, eos: bool, lanes: Sequence[Lane], order: _Order, keys=None
+) -> MixPlan:
     total = int(order.starts[-1])
     n_blocks = total // settings.seq_len
     if settings.budget_blocks is not None:
         n_blocks = min(n_blocks, settings.budget_blocks)
     return MixPlan(
-        settings, eos, tuple(lanes), order.n_buckets, order.buckets, order.starts, total, n_blocks
+        settings, eos, tuple(lanes), order.n_buckets, order.buckets, order.starts, total, n_blocks, keys
     )
 
 
+def plan_budget(
+    slices: TokenSlices, specs: Sequence[SourceSpec], settings: PackSettings, eos: bool = True
+) -> MixPlan:
+    """The same plan for a token budget, from the documents that the budget reaches.
+
+    Record counts set the pace of every source, as always. A first slice of each tells
+    about how many tokens a record has, which gives a horizon; the documents before it
+    are tokenised, and more of them only where the budget is not filled yet. What a
+    whole epoch holds is an estimate that decides nothing but how far is read at first.
+    """
+    validate_specs(specs)
+    wanted = {s.name: s for s in specs if s.weight > 0}
+    keys = record_keys(slices.docs, list(wanted))
+    records = {name: keys.get(name, (0, 0))[0] for name in wanted}
+    time = PILOT_RECORDS / sum(s.weight for s in wanted.values())
+    shares = {
+        name: max(time * s.weight, PILOT_OF_SOURCE) / max(records[name], 1) for name, s in wanted.items()
+    }
+    while True:
+        stats = {r["source"]: r for r in source_stats(slices.reach(shares), eos).collect()}
+        silent = [n for n in wanted if n not in stats or stats[n]["n_docs"] == 0]
+        for name in silent:
+            if slices.shares[name] >= 1 or not records[name]:
+                raise ValueError(f"source {name} has no usable text")
+            shares[name] = 8 * slices.shares[name]
+        if not silent:
+            break
+    lanes = []
+    for name, s in wanted.items():
+        r, n = stats[name], records[name]
+        whole = [max(1, round(r[c] * n / r["n_records"])) for c in ("n_docs", "tokens")]
+        lanes.append(Lane(name, float(s.weight), s.token_cap, n, *whole, r["longest"]))
+
+    def upto(now: Sequence[Lane]) -> DataFrame:
+        # Rounding may not leave out a document that arrives before the end.
+        ends = {x.name: x.end * x.weight / x.n_records * (1 + 1e-9) for x in now}
+        return slices.reach(ends).select("source", "doc_id", "n_tok")
+
+    lanes, order = _settle_budget(upto, lanes, settings, eos)
+    return _settled(settings, eos, lanes, order, keys)
+
+
 def _lanes(sizes: DataFrame, specs: Sequence[SourceSpec], eos: bool) -> list[Lane]:
     wanted = {s.name: s for s in specs if s.weight > 0}
     stats = source_stats(sizes.filter(F.col("source").isin(*wanted)), eos).collect()
@@ -409,18 +463,20 @@ def _settle_caps(
 
 
 def _settle_budget(
-    sizes: DataFrame, lanes: list[Lane], settings: PackSettings, eos: bool
+    upto: Callable[[Sequence[Lane]], DataFrame], lanes: list[Lane], settings: PackSettings, eos: bool
 ) -> tuple[list[Lane], _Order]:
     """Read far enough into the repeating sources to fill the token budget.
 
     Arrival times do not depend on how far is read, so a second try with a later
-    horizon continues the same order.
+    horizon continues the same order. ``upto`` gives the sizes of all documents
+    before the ends of the lanes.
     """
     wanted = settings.budget_blocks * settings.seq_len
     slack = 0.02 * wanted + 2 * max(x.longest for x in lanes)
     horizon = _first_horizon(lanes, wanted + slack)
     lanes = [replace(x, end=_guess_end(x, horizon)) for x in lanes]
     while True:
+        sizes = upto(lanes)
         lanes = _settle_caps(sizes, lanes, settings, eos)
         order = _order(sizes, lanes, settings, eos)
         uncut = [x for x in lanes if x.cut is None]
@@ -434,7 +490,7 @@ def _settle_budget(
             if not short:
                 return lanes, order
         else:
-            horizon *= min(4.0, max(1.3, 1.1 * wanted / max(have, 1)))
+            horizon *= min(4.0, 1.1 * wanted / max(have, 1))
             short = {x.name for x in uncut}
         lanes = [
             replace(x, end=horizon if x.token_cap is None else min(horizon, 2 * x.end))

@@ -57,13 +57,15 @@ def pack(
     whole_shards: bool = False,
     with_tail: bool = False,
     end_block: int | None = None,
+    placed: bool = False,
 ) -> DataFrame:
     """The blocks of the plan from ``first_block`` on, with ids, label and document count.
 
     With ``end_block`` only those before it: documents of later buckets are left
     out before the shuffle.
 
-    ``docs`` are tokenised documents (``tokenizer.tokenize``). With
+    ``docs`` are tokenised documents (``tokenizer.tokenize``), or with ``placed`` what
+    ``stage_waves`` has made of them. With
     ``whole_shards`` no shard is divided between tasks, ready for the sink. With
     ``with_tail`` one more row, numbered after the last block, holds the tokens
     that were read but not packed: what is left of the last document when the
@@ -79,9 +81,10 @@ def pack(
     slab_blocks = _slab_blocks(plan, spark, n_blocks, whole_shards)
     n_slabs = max(1, math.ceil(n_blocks / slab_blocks))
 
-    placed = placed_documents(docs, plan.lanes, plan.settings, plan.eos, plan.n_buckets)
+    if not placed:
+        docs = placed_documents(docs, plan.lanes, plan.settings, plan.eos, plan.n_buckets)
     routed = (
-        placed.join(_routes(plan, spark, first_block, last_block, slab_blocks), "bucket")
+        docs.join(_routes(plan, spark, first_block, last_block, slab_blocks), "bucket")
         .withColumn("slab", F.explode(F.sequence("first_slab", "last_slab")))
         .drop("first_slab", "last_slab")
         .repartitionById(n_slabs, F.col("slab"))
@@ -131,6 +134,28 @@ def pack(
     )
 
 
+def stage_waves(
+    docs: DataFrame, plan: MixPlan, path: str, first_block: int, wave_blocks: int
+) -> None:
+    """Write all documents from ``first_block`` on into a folder for each wave of blocks.
+
+    One pass over the text without a shuffle; a wave then reads its own folder. What
+    comes before the first block or after the last one is left out, a bucket across two
+    waves goes to both.
+    """
+    n_waves = max(1, math.ceil((plan.n_blocks - first_block) / wave_blocks))
+    routes = _routes(plan, docs.sparkSession, first_block, plan.n_blocks, wave_blocks)
+    placed = placed_documents(docs, plan.lanes, plan.settings, plan.eos, plan.n_buckets)
+    last = F.least(F.col("last_slab"), F.lit(n_waves - 1))
+    first = F.least(F.col("first_slab"), F.lit(n_waves - 1))
+    (
+        placed.join(routes, "bucket")
+        .withColumn("wave", F.explode(F.sequence(first, last)))
+        .drop("first_slab", "last_slab", "bucket_start")
+        .write.mode("overwrite").partitionBy("wave").parquet(path)
+    )
+
+
 def packed_spans(docs: DataFrame, plan: MixPlan) -> DataFrame:
     """Position and length of every document that is read, without any text."""
     placed = placed_documents(docs, plan.lanes, plan.settings, plan.eos, plan.n_buckets)

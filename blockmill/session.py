@@ -73,5 +73,11 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none where there is no folder."""
+    files, where = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)

@@ -1,0 +1,216 @@
+"""A budget bounds what is tokenised; several waves read the text once."""
+
+import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+import blockmill.plans.build as build_module
+from blockmill.config import PackSettings
+from blockmill.functions import ByteTokenizer, WordTokenizer
+from blockmill.plans.build import build, plan_documents, resume, shards_of
+from blockmill.plans.measure import TokenSlices, content, spread
+from blockmill.plans.mix import plan_mix
+from blockmill.plans.pack import pack
+from blockmill.sources import audit_manifest, load_state, save_state, scan_packed
+from helpers import blocks_of, specs_for, tail_of
+
+N = 40_000
+SPECS = specs_for({"big": 8.0, "small": 1.0, "none": 0.0})
+
+
+@pytest.fixture(scope="module")
+def docs(spark, tmp_path_factory):
+    """A large source of uneven documents, a small one that repeats, one that is not drawn."""
+    n = F.col("id")
+    word = F.concat(F.lit("w"), (n % 97).cast("string"), F.lit(" "))
+    rows = spark.range(N + 300).select(
+        F.when(n < N, "big").when(n < N + 150, "small").otherwise("none").alias("source"),
+        n.alias("doc_id"),
+        F.when(n % 50 == 7, "").when(n % 90 == 3, F.lit(None)).otherwise(
+            F.repeat(word, (F.pmod(F.xxhash64(n), F.lit(40)) + 1).cast("int"))).alias("text"),
+    )
+    path = str(tmp_path_factory.mktemp("docs")) + "/t"
+    rows.repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def words(spark):
+    return WordTokenizer(spark, [f"w{k}" for k in range(90)])
+
+
+def counting(spark, docs):
+    """The documents, and a count of the rows whose text is read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return docs.mapInArrow(watch, docs.schema), seen
+
+
+class Counted:
+    """A tokenizer that counts the records it is given."""
+
+    def __init__(self, spark, inner):
+        self._inner, self.seen = inner, spark.sparkContext.accumulator(0)
+
+    def __getattr__(self, name):
+        return getattr(self._inner, name)
+
+    def tokenize(self, docs):
+        seen = self.seen
+
+        def watch(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return self._inner.tokenize(docs.mapInArrow(watch, docs.schema))
+
+
+@pytest.mark.parametrize("caps", [None, {"small": 900}])
+def test_a_budget_of_one_percent_tokenises_little(spark, docs, words, caps):
+    specs = specs_for({"big": 8.0, "small": 0.002, "none": 0.0}, caps)
+    full = words.tokenize(docs.select("source", "doc_id", "text"))
+    total = full.agg(F.sum("n_tok")).first()[0] // 100
+    settings = PackSettings(64, total, 16, 3)
+    counted = Counted(spark, words)
+    rows, plan = plan_documents(docs, specs, settings, counted)
+    got, tail = blocks_of(pack(rows, plan, words)), tail_of(rows, plan, words)
+    # 1 % of the records, the first look of 4,096 of them, and the small source.
+    assert counted.seen.value < 4096 + 0.02 * N + 300 < 0.15 * N
+    want = plan_mix(full, specs, settings)
+    assert got == blocks_of(pack(full, want, words)) and tail == tail_of(full, want, words)
+    assert plan.n_blocks == want.n_blocks == -(-total // 64)
+
+
+def test_what_is_tokenised_grows_with_the_budget(spark, docs, words, monkeypatch):
+    monkeypatch.setattr("blockmill.plans.mix.PILOT_RECORDS", 200)
+    full = words.tokenize(docs.select("source", "doc_id", "text"))
+    tokens = full.agg(F.sum("n_tok")).first()[0]
+    for percent in (2, 20, 60, 130):
+        settings = PackSettings(64, tokens * percent // 100, 16, 3)
+        counted = Counted(spark, words)
+        rows, plan = plan_documents(docs, SPECS, settings, counted)
+        assert counted.seen.value <= min(1.0, 1.25 * percent / 100 + 0.02) * (N + 150)
+        want = plan_mix(full, SPECS, settings)
+        assert plan.n_blocks == want.n_blocks
+        digest = lambda p, r: pack(r, p, words).agg(content("block_id", "input_ids", "source", "n_docs")).first()[0]
+        assert digest(plan, rows) == digest(want, full)
+
+
+def test_sources_without_text(spark, words):
+    rows = [("a", k, "w1 w2" if k == 900 else None) for k in range(1000)] + [("b", k, "") for k in range(200)]
+    docs = spark.createDataFrame(rows, "source string, doc_id long, text string")
+    settings = PackSettings(4, 8, 16, 3)
+    for name in ("b", "missing"):
+        with pytest.raises(ValueError, match=f"source {name} has no usable text"):
+            plan_documents(docs, specs_for({"a": 1.0, name: 1.0}), settings, words)
+    tokens, plan = plan_documents(docs, specs_for({"a": 1.0}), settings, words)
+    assert plan.n_blocks == 2 and blocks_of(pack(tokens, plan, words))[0][0] == [2, 3, words.eos_id, 2]
+
+
+def test_slices_serve_a_second_attempt_only_with_the_same_texts(spark, docs, words, tmp_path):
+    def reach(some, share):
+        counted = Counted(spark, words)
+        slices = TokenSlices(some, counted, 1, ["big"], f"{tmp_path}/t")
+        slices.reach({"big": share / 2})
+        rows = slices.reach({"big": share})
+        assert rows.count() == rows.select("doc_id").distinct().count()
+        return counted.seen.value, rows.agg(content("doc_id", "n_tok")).first()[0]
+
+    first = reach(docs, 0.1)
+    assert 0 < first[0] < 0.12 * N
+    again = reach(docs, 0.1)
+    assert again == (0, first[1])
+    other = docs.withColumn("text", F.when(F.col("text") != "", F.concat("text", F.lit("x y"))).otherwise(F.col("text")))
+    assert reach(other, 0.1)[0] == first[0]
+
+
+def test_row_hashes_tell_repeats_apart(spark):
+    made = lambda rows: spark.createDataFrame([(r,) for r in rows], "v string").agg(content("v")).first()[0]
+    assert made("AAB") != made("CCB") and made("AAB") == made("BAA")
+
+
+def test_small_inputs_are_spread(spark, docs):
+    one = docs.coalesce(1)
+    plan = spread(one)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
+
+
+def test_eight_waves_read_the_text_once(spark, docs, tmp_path):
+    tok = ByteTokenizer()
+    settings = PackSettings(128, 400_000, 40, 5)
+    watched, seen = counting(spark, docs)
+    path = f"{tmp_path}/out"
+    plan = build(watched, SPECS, settings, tok, path, wave_shards=10)
+    assert -(-plan.n_blocks // 400) == 8
+    # Once for the sizes, once for the waves.
+    assert seen.value == 2 * docs.count()
+    rows, whole = plan_documents(docs, SPECS, settings, tok)
+    assert blocks_of(scan_packed(spark, shards_of(path))) == blocks_of(pack(rows, whole, tok))
+    state = load_state(spark, f"{path}/state").first()
+    assert list(state["carry"]) == tail_of(rows, whole, tok)
+    verdicts = audit_manifest(spark, shards_of(path), f"{path}/manifest", 128).select("verdict").distinct().collect()
+    assert [v[0] for v in verdicts] == ["ok"] and not glob.glob(f"{path}/staged")
+
+
+class Broken(Exception):
+    pass
+
+
+def test_a_broken_build_goes_on_from_its_staged_documents(spark, docs, tmp_path, monkeypatch):
+    tok, settings, path = ByteTokenizer(), PackSettings(128, 300_000, 40, 5), f"{tmp_path}/out"
+    calls = []
+
+    def save(*args):
+        calls.append(1)
+        if len(calls) == 3:
+            raise Broken
+        return save_state(*args)
+
+    monkeypatch.setattr(build_module, "save_state", save)
+    with pytest.raises(Broken):
+        build(docs, SPECS, settings, tok, path, wave_shards=8)
+    assert glob.glob(f"{path}/staged/*/wave=*")
+    watched, seen = counting(spark, docs)
+    resume(watched, SPECS, settings, tok, path)
+    assert seen.value == docs.count()  # for the sizes only
+    rows, whole = plan_documents(docs, SPECS, settings, tok)
+    assert blocks_of(scan_packed(spark, shards_of(path))) == blocks_of(pack(rows, whole, tok))
+
+
+def test_another_plan_stages_anew(spark, docs, tmp_path, monkeypatch):
+    tok, path = ByteTokenizer(), f"{tmp_path}/out"
+    calls = []
+
+    def save(*args):
+        calls.append(1)
+        if len(calls) == 2:
+            raise Broken
+        return save_state(*args)
+
+    monkeypatch.setattr(build_module, "save_state", save)
+    with pytest.raises(Broken):
+        build(docs, SPECS, PackSettings(128, 300_000, 40, 5), tok, path, wave_shards=8)
+    larger = PackSettings(128, 500_000, 40, 5)
+    resume(docs, SPECS, larger, tok, path, wave_shards=16)
+    rows, whole = plan_documents(docs, SPECS, larger, tok)
+    assert blocks_of(scan_packed(spark, shards_of(path))) == blocks_of(pack(rows, whole, tok))
+
+
+def test_resume_refuses_changed_documents_that_were_read(spark, docs, words, tmp_path):
+    path = f"{tmp_path}/out"
+    small, large = PackSettings(64, 20_000, 40, 5), PackSettings(64, 60_000, 40, 5)
+    build(docs, SPECS, small, words, path)
+    changed = docs.withColumn("text", F.when(F.col("doc_id") < N // 2, "w1").otherwise(F.col("text")))
+    for other in (changed, docs.filter("doc_id <> 5"), docs.withColumn("doc_id", F.col("doc_id") + 1)):
+        with pytest.raises(ValueError, match="other sources or settings"):
+            resume(other, SPECS, large, words, path)
+    resume(docs, SPECS, large, words, path)
+    rows, whole = plan_documents(docs, SPECS, large, words)
+    assert blocks_of(scan_packed(spark, shards_of(path))) == blocks_of(pack(rows, whole, words))
