@@ -8,9 +8,10 @@ from blockmill.config import TokenProfile
 from blockmill.operators.filters import exact_length, supervised_batches, token_range_guard
 from blockmill.operators.ranks import rank_shards
 from blockmill.operators.training import batch_training_arrays, micro_batches, training_rows
-from blockmill.session import broadcast_if_small
+from blockmill.plans.batches import file_batches, runs_of
+from blockmill.session import broadcast_if_small, exists, stored
 from blockmill.sources.manifest import scan_manifest
-from blockmill.sources.shards import scan_packed, shard_files
+from blockmill.sources.shards import scan_packed, scan_shard_rows, shard_files
 
 
 def _listed(spark: SparkSession, path: str, manifest: str | None) -> DataFrame:
@@ -21,25 +22,37 @@ def _listed(spark: SparkSession, path: str, manifest: str | None) -> DataFrame:
     return files.join(scan_manifest(spark, manifest).select("file").distinct(), "file", "left_semi")
 
 
-def _counts(spark: SparkSession, files: DataFrame, manifest: str, seq_len: int) -> DataFrame | None:
+def _listed_rows(spark: SparkSession, files: DataFrame, manifest: str, seq_len: int) -> DataFrame | None:
     """Rows of each shard by its newest line; None if the lines tell of another length."""
     lines = scan_manifest(spark, manifest).groupBy("file").agg(
-        F.max_by("rows", "time").alias("n"), F.max_by("tokens", "time").alias("tokens")
+        F.max_by("rows", "time").alias("listed"), F.max_by("tokens", "time").alias("tokens")
     )
     counts = files.join(lines, "file")
-    fits = counts.filter(F.col("tokens") != F.col("n") * seq_len).isEmpty()
-    return counts.select("shard_id", "n") if fits else None
+    fits = counts.filter(F.col("tokens") != F.col("listed") * seq_len).isEmpty()
+    return counts.select("shard_id", "listed") if fits else None
+
+
+def _own_manifest(spark: SparkSession, path: str, manifest: str | bool | None) -> str | None:
+    """The given manifest, or that of the build which the folder of shards is part of."""
+    if manifest is False:
+        return None
+    if manifest is None and path.rstrip("/").endswith("/packed/part=shards"):
+        beside = path.rstrip("/").removesuffix("/packed/part=shards") + "/manifest"
+        return beside if exists(spark, beside) else None
+    return manifest
 
 
 def read_training_rows(
     spark: SparkSession, path: str, seq_len: int, profile: TokenProfile,
-    world: int = 1, seed: int | None = None, manifest: str | None = None, observation=None,
+    world: int = 1, seed: int | None = None, manifest: str | bool | None = None, observation=None,
 ) -> DataFrame:
     """Training rows of all shards with the rank that reads them.
 
-    ``manifest`` leaves out shards that it does not list. An ``observation`` gets the
+    ``manifest`` leaves out shards that it does not list; for the folder of a build
+    its own one does, unless it is False. An ``observation`` gets the
     numbers of rows read and of rows skipped for their length.
     """
+    manifest = _own_manifest(spark, path, manifest)
     files = _listed(spark, path, manifest)
     ranks = rank_shards(files, world, seed).select("shard_id", "rank", "shard_pos")
     rows = exact_length(scan_packed(spark, path).drop("file"), seq_len, observation)
@@ -51,18 +64,33 @@ def read_training_rows(
 
 def read_batches(
     spark: SparkSession, path: str, seq_len: int, profile: TokenProfile, size: int,
-    world: int = 1, seed: int | None = None, manifest: str | None = None,
+    world: int = 1, seed: int | None = None, manifest: str | bool | None = None, observation=None,
 ) -> DataFrame:
     """Micro-batches per rank, in order of ``batch_id``, without unsupervised ones.
 
-    With the manifest of a build the row counts come from its lines; without one
-    the ids are read once more to count the rows of the right length.
+    Batches are made where the files are read; see ``plans.batches``. By the manifest
+    of a build all rows have the right length. Without one the ids are read once more
+    to make sure; should there be rows of another length, they are skipped and all
+    others shuffled to their batches. An ``observation`` gets the numbers of rows.
     """
+    manifest = _own_manifest(spark, path, manifest)
     files = _listed(spark, path, manifest)
-    counts = None if manifest is None else _counts(spark, files, manifest, seq_len)
-    packed = scan_packed(spark, path).select("shard_id", "block_id", "input_ids")
-    batches = micro_batches(packed, rank_shards(files, world, seed), size, seq_len, counts)
-    batches = token_range_guard(batches, profile.vocab_size)
+    assignment = rank_shards(files, world, seed)
+    rows = scan_shard_rows(spark, path)
+    listed = None if manifest is None else _listed_rows(spark, files, manifest, seq_len)
+    runs = stored(runs_of(rows, seq_len if listed is None else None), "shard-runs")
+    runs = runs.join(broadcast_if_small(files, files.count()), "shard_id", "left_semi")
+    held = runs.groupBy("shard_id").agg(F.sum("n").alias("n"), F.sum(F.col("odd") + F.col("gaps")).alias("odd"))
+    wrong = F.col("odd") > 0
+    if listed is not None:
+        held = held.join(listed, "shard_id")
+        wrong = wrong | (F.col("n") != F.col("listed"))
+    if held.filter(wrong).isEmpty():
+        batches = file_batches(rows, runs, assignment, size, seq_len, profile.vocab_size, observation)
+    else:
+        kept = rows.join(broadcast_if_small(files, files.count()), "shard_id", "left_semi")
+        kept = token_range_guard(exact_length(kept, seq_len, observation), profile.vocab_size)
+        batches = micro_batches(kept, assignment, size, seq_len)
     # Decided by the ids, so that labels are made once and for kept batches only.
     kept = supervised_batches(batches, "input_ids", profile.pad_id)
     return batch_training_arrays(kept, profile.pad_id)

@@ -104,6 +104,14 @@ def scan_packed(spark: SparkSession, path: str) -> DataFrame:
     return _numbered(rows).withColumn("file", shard_name(F.col("shard_id")))
 
 
+def scan_shard_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Packed rows with the number ``row`` that each has in its shard file."""
+    _, rows = _first_layout(spark, path)
+    return _numbered(rows.withColumn("row", F.col("_metadata.row_index"))).select(
+        "shard_id", "row", "block_id", "input_ids"
+    )
+
+
 def stream_packed(spark: SparkSession, path: str, files_per_trigger: int = 64) -> DataFrame:
     """Packed rows as a stream, a bounded number of shard files at a time.
 

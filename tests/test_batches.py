@@ -1,0 +1,131 @@
+"""Batches made where the files are read equal those of the plain rules; only shared ones move."""
+
+import json
+import re
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import Observation
+
+from blockmill.config import TokenProfile
+from blockmill.plans import batches as B
+from blockmill.plans.reader import read_batches
+from blockmill.sources.shards import scan_shard_rows
+
+LEN = 8
+PROFILE = TokenProfile(100_000, None, None)
+
+
+def shards(path, sizes, group=None, odd=()):
+    """Flat shard files of rows [shard, row, 0, ...]; ``group`` rows to a row group."""
+    out = {}
+    for shard, n in sizes.items():
+        rows = [[shard, r] + [7] * (LEN - 2) for r in range(n)]
+        out[shard] = rows
+        for at in odd:
+            rows = rows[:at] + [[1, 2]] + rows[at:]
+        table = pa.table({"input_ids": pa.array(rows, pa.list_(pa.int32())), "source": ["s"] * len(rows)})
+        pq.write_table(table, f"{path}/shard-{shard:06d}.parquet", row_group_size=group or max(1, n))
+    return out
+
+
+def model(rows, world, size):
+    order, out = sorted(rows), {}
+    for rank in range(world):
+        mine = [r for s in order[rank::world] for r in rows[s]]
+        for k in range(0, len(mine), size):
+            out[rank, k // size] = mine[k: k + size]
+    return out
+
+
+def found(df):
+    return {(r["rank"], r["batch_id"]): [list(x) for x in r["input_ids"]] for r in df.collect()}
+
+
+@pytest.mark.parametrize("named", [200, 0])
+@pytest.mark.parametrize("size, world", [(1, 1), (4, 2), (7, 3), (64, 1)])
+def test_equal_to_the_rules(spark, tmp_path, size, world, named, monkeypatch):
+    monkeypatch.setattr(B, "MAX_NAMED", named)
+    monkeypatch.setattr(B, "_SHARDS_PER_PART", 2)
+    rows = shards(tmp_path, {0: 12, 1: 5, 2: 1, 3: 40, 4: 8, 7: 3, 9: 28})
+    assert found(read_batches(spark, str(tmp_path), LEN, PROFILE, size, world)) == model(rows, world, size)
+
+
+def test_files_that_several_tasks_read(spark, tmp_path):
+    rows = shards(tmp_path, {0: 300, 1: 90, 2: 210}, group=10)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert B.runs_of(scan_shard_rows(spark, str(tmp_path))).count() > 6
+        assert found(read_batches(spark, str(tmp_path), LEN, PROFILE, 7, 2)) == model(rows, 2, 7)
+        planned = read_batches(spark, str(tmp_path), LEN, PROFILE, 7, 2)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+        with pytest.raises(PySparkException, match="split otherwise"):
+            planned.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_rows_of_another_length_are_skipped_and_counted(spark, tmp_path):
+    rows = shards(tmp_path, {0: 12, 1: 5, 2: 9}, odd=(0, 4))
+    seen = Observation("lengths")
+    assert found(read_batches(spark, str(tmp_path), LEN, PROFILE, 4, 2, observation=seen)) == model(rows, 2, 4)
+    assert seen.get["rows_skipped"] == 6 and seen.get["rows_read"] == 32
+
+
+def test_rows_are_counted_where_all_is_well(spark, tmp_path):
+    rows = shards(tmp_path, {0: 12, 1: 5, 2: 9})
+    seen = Observation("lengths")
+    assert found(read_batches(spark, str(tmp_path), LEN, PROFILE, 4, 1, observation=seen)) == model(rows, 1, 4)
+    assert seen.get == {"rows_read": 26, "rows_skipped": 0}
+
+
+def test_small_arrow_batches(spark, tmp_path):
+    rows = shards(tmp_path, {0: 50, 1: 21})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert found(read_batches(spark, str(tmp_path), LEN, PROFILE, 8, 1)) == model(rows, 1, 8)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def scans_of_ids(plan):
+    return len(re.findall(r"FileScan parquet.*ReadSchema: struct<[^>]*input_ids", plan))
+
+
+def test_whole_batches_need_no_exchange(spark, tmp_path):
+    shards(tmp_path, {0: 32, 1: 16, 2: 64, 3: 5})
+    plan = plan_of(read_batches(spark, str(tmp_path), LEN, PROFILE, 8, 1))
+    assert not re.search(r"Exchange (?!.*Broadcast)", plan.replace("BroadcastExchange", ""))
+    assert scans_of_ids(plan) == 1
+
+
+def test_only_shared_batches_are_shuffled(spark, tmp_path):
+    """The second scan takes the rows of shared batches by file and is all that meets an exchange."""
+    shards(tmp_path, {0: 30, 1: 16, 2: 64, 3: 5})
+    plan = plan_of(read_batches(spark, str(tmp_path), LEN, PROFILE, 8, 1))
+    local, moved = plan.split("MapInArrow")[0], plan
+    assert scans_of_ids(plan) == 2
+    branches = plan.split("Union")[1]
+    first = branches.split("MapInArrow")[1].split("ObjectHashAggregate")[0]
+    assert "Exchange hashpartitioning" not in first.replace("BroadcastExchange", "")
+    assert len(re.findall(r"Exchange hashpartitioning\(rank", moved)) == 1 and local
+    rows = read_batches(spark, str(tmp_path), LEN, PROFILE, 8, 1)
+    assert rows.count() == -(-115 // 8)
+
+
+def test_manifest_that_tells_a_lie(spark, tmp_path):
+    (tmp_path / "s").mkdir()
+    shards(tmp_path / "s", {0: 8, 1: 8}, odd=(3,))
+    lines = [{"file": f"shard-{k:06d}.parquet", "rows": 9, "tokens": 9 * LEN, "sha256": "", "time": 1.0} for k in (0, 1)]
+    (tmp_path / "m.json").write_text("\n".join(map(json.dumps, lines)))
+    with pytest.raises(PySparkException, match="read it without the manifest"):
+        read_batches(spark, f"{tmp_path}/s", LEN, PROFILE, 4, manifest=f"{tmp_path}/m.json").collect()
+    assert read_batches(spark, f"{tmp_path}/s", LEN, PROFILE, 4).count() == 4

@@ -200,7 +200,8 @@ def test_readers_follow_the_manifest_and_report_lengths(spark, tmp_path):
     stray = stored(scan_packed(spark, shards_of(path)).drop("file", "shard_id"), "stray")
     write_shards(stray, shards_of(path), 20, first_shard=500, mode="append")
     profile, manifest = TokenProfile(257, 256, 256), f"{path}/manifest"
-    assert read_training_rows(spark, shards_of(path), 64, profile).count() == 2 * plan.n_blocks
+    assert read_training_rows(spark, shards_of(path), 64, profile, manifest=False).count() == 2 * plan.n_blocks
+    assert read_training_rows(spark, shards_of(path), 64, profile).count() == plan.n_blocks
     assert read_training_rows(spark, shards_of(path), 64, profile, manifest=manifest).count() == plan.n_blocks
     batches = read_batches(spark, shards_of(path), 64, profile, 8, manifest=manifest)
     assert batches.select(F.explode("input_ids")).count() == plan.n_blocks
@@ -208,9 +209,9 @@ def test_readers_follow_the_manifest_and_report_lengths(spark, tmp_path):
     for settings in ((8, 3, 2), (5, 2, None)):
         with_lines, without = (
             sorted((r["rank"], r["batch_id"], r["input_ids"]) for r in read_batches(
-                spark, shards_of(path), 64, profile, *settings, manifest=m).collect()) for m in (manifest, None))
+                spark, shards_of(path), 64, profile, *settings, manifest=m).collect()) for m in (manifest, False))
         assert with_lines == without
     write_shards(stray, shards_of(path), 20, first_shard=500, mode="append")
     seen = Observation("lengths")
-    assert read_training_rows(spark, shards_of(path), 32, profile, observation=seen).count() == 0
+    assert read_training_rows(spark, shards_of(path), 32, profile, manifest=False, observation=seen).count() == 0
     assert seen.get == {"rows_read": 2 * plan.n_blocks, "rows_skipped": 2 * plan.n_blocks}
