@@ -23,6 +23,7 @@ from blockmill.operators.mixing import (
     ORDER, arrival_time, before_cut, repeat_epochs, source_stats, stream_offsets,
 )
 from blockmill.operators.prefix import MAX_BUCKETS, bucket_starts
+from blockmill.plans.caps import SIGMAS, next_cuts
 from blockmill.plans.measure import TokenSlices, record_keys
 from blockmill.session import default_parallelism, small_table
 from blockmill.sources.specs import validate_specs
@@ -433,8 +434,9 @@ def _settle_caps(
 ) -> list[Lane]:
     """Find the cut of every source that reaches its cap, earliest first.
 
-    What comes before a cut does not depend on later cuts, so every round settles
-    one source for good. Stops early when a cut would lie beyond the part of the
+    What comes before a cut does not depend on later cuts. ``next_cuts`` finds all of
+    them in one go as a rule; where it stops early, ``next_cut`` takes a single one for
+    certain, and the windows grow. Stops when a cut would lie beyond the part of the
     order that has been read; the caller then reads further.
     """
     if all(x.token_cap is None or x.cut is not None for x in lanes):
@@ -447,17 +449,29 @@ def _settle_caps(
     n_parts = min(n_buckets, max(default_parallelism(spark), math.ceil(documents / ROWS_PER_TASK)))
     rows = rows.repartition(n_parts, "bucket").sortWithinPartitions("bucket", *ORDER)
     rows.persist(StorageLevel.MEMORY_AND_DISK)
+    sigmas = SIGMAS
     try:
         while True:
             cut_so_far = _lane_table(spark, lanes).select("source", *_CUT_COLUMNS)
             kept = rows.join(cut_so_far, "source").filter(before_cut()).select(*rows.columns)
-            found = next_cut(kept, lanes, settings)
-            if found is None:
+            caps = {
+                x.name: -(-x.token_cap // settings.seq_len)
+                for x in lanes if x.token_cap is not None and x.cut is None
+            }
+            found, all_found = next_cuts(kept, caps, settings.seq_len, settings.budget_blocks, sigmas)
+            cuts = [(name, Cut(*place)) for name, *place in found]
+            if not cuts and not all_found:
+                one = next_cut(kept, lanes, settings)
+                if one is None:
+                    return lanes
+                cuts = [one]
+            for name, cut in cuts:
+                if any(x.end is not None and x.cut is None and x.end <= cut.arrival for x in lanes):
+                    return lanes
+                lanes = [replace(x, cut=cut) if x.name == name else x for x in lanes]
+            if all_found:
                 return lanes
-            name, cut = found
-            if any(x.end is not None and x.cut is None and x.end <= cut.arrival for x in lanes):
-                return lanes
-            lanes = [replace(x, cut=cut) if x.name == name else x for x in lanes]
+            sigmas *= 4
     finally:
         rows.unpersist()
 
