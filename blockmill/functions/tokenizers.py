@@ -202,9 +202,13 @@ class JoinedWordTokenizer(_ArrayTokenizer):
     """The same over a vocabulary too large for a broadcast: words meet their ids in a join.
 
     ``vocab`` has ``word`` and ``id``. Works on whole tables only, through
-    ``tokenize``; words travel once with the key of their document.
+    ``tokenize``. Ids follow the words' counts: the first ``HEAVY`` of them, which make up
+    most of any text, are broadcast and found where the text is read; the other words
+    travel to their ids, and with them the key of their document.
     """
 
+    HEAVY = 1 << 16
+
     def __init__(self, vocab: DataFrame, size: int, eos: bool = True):
         digest = vocab.agg(F.bit_xor(F.xxhash64("word", "id"))).first()[0]
         self.name = f"joined-word:{size}:{digest}"
@@ -220,7 +224,14 @@ class JoinedWordTokenizer(_ArrayTokenizer):
         words = F.filter(F.split("text", WORD_SPLIT), lambda w: w != "")
         # Equal documents would otherwise pour their words into one list.
         each = docs.dropDuplicates(key).select(*key, F.posexplode(words).alias("pos", "word"))
-        found = each.join(self._vocab, "word", "left").withColumn("id", F.coalesce("id", F.lit(0)))
+        heavy = self._vocab.filter(F.col("id") <= self.HEAVY).select("word", F.col("id").alias("heavy"))
+        each = each.join(F.broadcast(heavy), "word", "left")
+        rare = each.filter(F.col("heavy").isNull()).join(
+            self._vocab.filter(F.col("id") > self.HEAVY), "word", "left"
+        )
+        found = each.filter(F.col("heavy").isNotNull()).select(*key, "pos", F.col("heavy").alias("id")).unionByName(
+            rare.select(*key, "pos", F.coalesce("id", F.lit(0)).alias("id"))
+        )
         ids = found.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("w"))
         ids = ids.select(*[F.col(k).alias(f"of_{k}") for k in key], F.transform("w", lambda x: x["id"]).alias("w"))
         same = F.lit(True)

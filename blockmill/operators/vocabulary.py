@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from blockmill.functions.tokenizers import WORD_SPLIT, JoinedWordTokenizer, WordTokenizer
-from blockmill.session import MAX_BROADCAST_ROWS, stored
+from blockmill.operators.prefix import MAX_BUCKETS, running_start
+from blockmill.session import MAX_BROADCAST_ROWS, default_parallelism, stored
+
+_WORDS_PER_RANGE = 1 << 18
 
 
 def words_of(text: Column) -> Column:
@@ -19,7 +22,7 @@ def build_vocab(docs: DataFrame, max_size: int | None, text: str = "text") -> Da
     the unknown id when texts are encoded. All words are counted, into a stored
     table. A histogram of the counts then tells which words cannot be among the
     ``max_size`` first ones. Up to a bounded size one task ranks what is left;
-    larger vocabularies are ranked by classes of counts.
+    larger vocabularies are ranked range by range.
     """
     if max_size is not None and max_size < 1:
         raise ValueError("max_size must be at least 1")
@@ -31,9 +34,8 @@ def build_vocab(docs: DataFrame, max_size: int | None, text: str = "text") -> Da
     # Classes of about nine percent; a 64-bit count has at most 504 of them.
     count_class = F.floor(F.log2("count") * 8).cast("int")
     classes = counts.groupBy(count_class.alias("class")).agg(F.count("*").alias("n")).collect()
-    seen, lowest, start = 0, 0, {}
+    seen, lowest = 0, 0
     for row in sorted(classes, key=lambda r: -r["class"]):
-        start[row["class"]] = seen
         seen, lowest = seen + row["n"], row["class"]
         if max_size is not None and seen >= max_size:
             break
@@ -41,31 +43,24 @@ def build_vocab(docs: DataFrame, max_size: int | None, text: str = "text") -> Da
     if max_size is not None and max_size <= MAX_BROADCAST_ROWS:
         kept = counts.filter(count_class >= lowest).orderBy(*order).limit(max_size)
         return kept.withColumn("id", F.row_number().over(Window.orderBy(*order)))
-    ranked = _ranked(counts, count_class, lowest, start)
+    ranked = _ranked(counts, count_class >= lowest)
     return ranked if max_size is None else ranked.filter(F.col("id") <= max_size)
 
 
-def _ranked(counts: DataFrame, count_class: Column, lowest: int, start: dict[int, int]) -> DataFrame:
-    """Ids of any number of words: classes of counts, then parts of a class by first letters.
+def _ranked(counts: DataFrame, wanted: Column) -> DataFrame:
+    """Ids of any number of words: ranges of the whole order, then places in a range.
 
-    The rare words fill few classes, so a class is cut by a prefix of the word, and
-    the parts' sizes give each part its start.
+    Spark samples whole rows for the bounds, so words that begin alike or are equally rare
+    spread as all others do. The ranges are written, and their sizes give each its start.
     """
-    pairs = [F.lit(x) for pair in start.items() for x in pair]
-    parted = counts.filter(count_class >= lowest).select(
-        "word", "count", count_class.alias("class"), F.substring("word", 1, 3).alias("head")
-    )
-    sizes = parted.groupBy("class", "count", "head").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("class").orderBy(F.desc("count"), "head")
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "class", "count", "head",
-        (F.coalesce(F.sum("n").over(before), F.lit(0)) + F.element_at(F.create_map(*pairs), F.col("class"))).alias("start"),
-    )
-    inside = Window.partitionBy("class", "count", "head").orderBy("word")
-    return parted.withColumn("place", F.row_number().over(inside)).join(starts, ["class", "count", "head"]).select(
-        "word", "count", (F.col("start") + F.col("place")).cast("int").alias("id")
-    )
+    spark = counts.sparkSession
+    kept = counts.filter(wanted)
+    parts = max(default_parallelism(spark), -(-kept.count() // _WORDS_PER_RANGE))
+    order = (F.desc("count"), F.asc("word"))
+    ranged = kept.repartitionByRange(min(parts, MAX_BUCKETS), *order)
+    ranged = stored(ranged.withColumn("range", F.spark_partition_id()), "word-ranges")
+    placed = running_start(ranged, "range", list(order), F.lit(1), "place")
+    return placed.select("word", "count", (F.col("place") + 1).cast("int").alias("id"))
 
 
 def word_tokenizer(vocab: DataFrame, eos: bool = True) -> WordTokenizer | JoinedWordTokenizer:

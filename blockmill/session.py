@@ -73,6 +73,11 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.mkdirs(where)
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of what lies in a folder; none where there is no folder."""
     files, where = _file_system(spark, path)

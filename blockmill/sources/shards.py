@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from blockmill.config import PACKED_SCHEMA
 from blockmill.functions.ids import shard_name
+from blockmill.session import make_folder
 
 # Encoding of the published shards.
 _WRITER_OPTIONS = {
@@ -112,20 +112,30 @@ def scan_shard_rows(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# Columns that a shard file may have; the rest is taken from its path and its row numbers.
+_STREAMED = "block_id long, input_ids array<int>, source string"
+
+
 def stream_packed(spark: SparkSession, path: str, files_per_trigger: int = 64) -> DataFrame:
     """Packed rows as a stream, a bounded number of shard files at a time.
 
-    Takes the same folders as ``scan_packed``; they must hold a shard already.
+    Takes the same folders as ``scan_packed``, which may still be empty or missing: each
+    file's layout is told by its own path.
     """
-    pattern, rows = _first_layout(spark, path)
-    flat = pattern == _LAYOUTS[1]
-    schema = rows.schema if flat else PACKED_SCHEMA
+    make_folder(spark, path)
     stream = (
-        spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+        spark.readStream.schema(_STREAMED)
+        # Folders are searched as they are, so none has to exist when the stream begins.
+        .option("recursiveFileLookup", True).option("pathGlobFilter", "{part,shard}-*.parquet")
         .option("maxFilesPerTrigger", files_per_trigger)
         .parquet(path)
     )
-    return _numbered(stream)
+    place = F.col("_metadata.file_path")
+    folder = F.regexp_extract(place, r"/shard_id=(\d+)/[^/]+$", 1).try_cast("int")
+    return stream.select(
+        F.coalesce("block_id", "_metadata.row_index").alias("block_id"), "input_ids", "source",
+        F.coalesce(folder, _shard_number(place)).alias("shard_id"),
+    ).filter(F.col("shard_id").isNotNull())
 
 
 def scan_shard_bytes(spark: SparkSession, path: str) -> DataFrame:

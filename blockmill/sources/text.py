@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from blockmill.config import SourceSpec
 
@@ -56,9 +57,15 @@ def scan_text(
     two documents). Plain text is one document per file; it and CSV, whose fields
     may hold line breaks, are read file by file, not in splits. Text that is no
     string, or a missing column, reads as null and is dropped later.
+
+    JSON lines are read as text, in splits, and only the wanted fields are taken from
+    them; no pass looks for a schema, unless ``doc_id`` is a Column. The fields of an
+    id expression are strings there.
     """
     path = "/".join(p for p in (base.rstrip("/"), spec.dataset, spec.config) if p)
     file_format = file_format or _format_of(path)
+    if file_format == "json" and not isinstance(doc_id, Column):
+        return _scan_json(spark, spec, path, doc_id)
     raw = spark.read.format(file_format).options(**_READER_OPTIONS.get(file_format, {})).load(path)
     below = _path_below(path)
     if file_format == "parquet":
@@ -82,6 +89,34 @@ def scan_text(
     )
 
 
+_NAME = r"`([^`]+)`|([A-Za-z_]\w*)"
+
+
+def _scan_json(spark: SparkSession, spec: SourceSpec, path: str, doc_id: str | None) -> DataFrame:
+    """One source of JSON lines. Blank lines are no records; broken ones have no text."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    # Names of functions in the expression become fields that are always null.
+    names = {a or b for a, b in re.findall(_NAME, doc_id or "")} - {spec.text_col}
+    fields = [T.StructField(spec.text_col, T.VariantType())]
+    fields += [T.StructField(n, T.StringType()) for n in sorted(names)]
+    row = F.from_json("value", T.StructType(fields), {"mode": "PERMISSIVE"})
+    parsed = lines.select("value", _path_below(path).alias("below"), row.alias("row"))
+    found = F.col("row").getField(spec.text_col)
+    text = F.when(F.schema_of_variant(found) == "STRING", F.variant_get(found, "$", "string"))
+    key = F.xxhash64("below", "value")
+    if doc_id is not None:
+        named = parsed.select("value", "below", "row", *[F.col("row").getField(n).alias(n) for n in sorted(names)])
+        key = F.expr(doc_id)
+        if named.select(key.alias("key")).dtypes[0][1] not in _WHOLE_NUMBERS:
+            # A field may hold whole numbers; only their plain form stands for one.
+            number = key.cast("string").try_cast("long")
+            key = F.when(number.cast("string") == key.cast("string"), number).when(key.isNotNull(), F.xxhash64(key))
+        parsed = named
+    return parsed.select(
+        F.lit(spec.name).alias("source"), F.coalesce(key.cast("long"), F.xxhash64(text)).alias("doc_id"), text.alias("text")
+    )
+
+
 def union_sources(tables: Iterable[DataFrame]) -> DataFrame:
     """Many sources in one table; rows keep their source name."""
     return reduce(lambda a, b: a.unionByName(b), tables)

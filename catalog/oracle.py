@@ -222,7 +222,7 @@ ORACLE: dict[str, str] = {
     "scan_packed": DOC_BLOCKS + f"""
         SELECT block_id, source, {SHARD} AS shard_id, {file_name(SHARD)} AS file, {DIGEST} AS digest
         FROM blocks""",
-    "stream_packed": DOC_SHARDS + "SELECT * FROM shards",
+    "stream_packed": DOC_BLOCKS + f"SELECT block_id, source, {SHARD} AS shard_id, {DIGEST} AS digest FROM blocks",
     "scan_manifest": DOC_SHARDS + 'SELECT file, "rows", tokens FROM shards',
     "shard_bytes": DOC_SHARDS + "SELECT file, CAST(64 AS INTEGER) AS digest_chars, true AS same FROM shards",
     "load_state": DOC_BLOCKS + f""", tail AS (
@@ -250,6 +250,9 @@ ORACLE: dict[str, str] = {
             WHEN count(*) % 3 = 0 THEN 'weight' ELSE 'none' END AS error
         FROM documents GROUP BY source""",
     "pack_words": PACK_WORDS,
+    "pack_words_budget": PACK_WORDS + f"""
+        AND block_id < (SELECT (CAST(sum(strlen(text) + 1) AS BIGINT) // 100 + {SEQ_LEN - 1}) // {SEQ_LEN}
+                        FROM documents WHERE text <> '')""",
     "append_eos": f"""
         SELECT doc_id, CAST(strlen(text) + 1 AS INTEGER) AS n_ids,
                {digest(ids_of(HEX + " || 'ZZ'"))} AS digest
@@ -297,6 +300,18 @@ ORACLE: dict[str, str] = {
                        - lag(epoch_us(ts)) OVER w / CAST(1000000 AS DOUBLE) AS dt,
                      (micro_step - lag(micro_step) OVER w) * {4 * SEQ_LEN} AS tokens
               FROM log WINDOW w AS (PARTITION BY run ORDER BY opt_step))""",
+    "progress_from_start": LOG + f"""
+        SELECT run, opt_step, tokens, dt, tokens / greatest(dt, CAST(1e-9 AS DOUBLE)) AS tok_per_sec,
+               (610352 - opt_step) * (dt / CAST(10 AS DOUBLE)) / CAST(3600 AS DOUBLE) AS eta_hours
+        FROM (SELECT run, opt_step, line,
+                     epoch_us(ts) / CAST(1000000 AS DOUBLE)
+                       - lag(epoch_us(ts)) OVER w / CAST(1000000 AS DOUBLE) AS dt,
+                     (micro_step - lag(micro_step) OVER w) * {4 * SEQ_LEN} AS tokens
+              FROM (SELECT run, opt_step, ts, micro_step, 1 AS line FROM log
+                    UNION ALL SELECT run, NULL, ts - INTERVAL 7 SECONDS, micro_step - 5, 0
+                    FROM log WHERE event_id % 23 = 0)
+              WINDOW w AS (PARTITION BY run ORDER BY ts, line, opt_step))
+        WHERE line = 1""",
     "union_sources": """
         SELECT 'documents' AS source, doc_id, CAST(strlen(text) AS INTEGER) AS n_bytes FROM documents
         UNION ALL SELECT 'benchmark', item_id, CAST(strlen(text) AS INTEGER) FROM benchmark""",

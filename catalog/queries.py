@@ -25,7 +25,7 @@ from blockmill.operators.vocabulary import build_vocab, word_tokenizer, words_of
 from blockmill.plans.build import build, pack_documents, plan_documents, resume, shards_of
 from blockmill.plans.pack import pack, packed_spans
 from blockmill.plans.reader import read_batches, read_training_rows
-from blockmill.session import scratch_path
+from blockmill.session import folder_names, remove, scratch_path
 from blockmill.sources import (
     audit_manifest, load_state, missing_shards, scan_manifest, scan_packed, scan_shard_bytes,
     scan_sources, shard_files, shard_summary, source_specs, spec_list, stream_packed,
@@ -154,9 +154,13 @@ def scan_packed_query(spark, sf_dir):
 
 
 def stream_packed_query(spark, sf_dir):
-    path = written(spark, sf_dir)
-    out = run_stream(spark, stream_packed(spark, shards_of(path), 2))
-    return shard_summary(out, SEQ_LEN)
+    """A stream that begins before the first shard and is taken up again after the last."""
+    path, places = scratch_path(spark, "build"), stream_places(spark)
+    run_stream(spark, stream_packed(spark, shards_of(path), 2), places=places)
+    remove(spark, path)
+    build(documents(spark, sf_dir), doc_specs(), settings(), BYTES, path)
+    out = run_stream(spark, stream_packed(spark, shards_of(path), 2), places=places)
+    return block_rows(out, "shard_id")
 
 
 def scan_manifest_query(spark, sf_dir):
@@ -248,6 +252,14 @@ def pack_words_query(spark, sf_dir):
     return block_rows(pack_documents(docs, doc_specs(), settings(), tok), "n_docs")
 
 
+def pack_words_budget_query(spark, sf_dir):
+    """Words packed up to a budget; documents that it does not reach are not tokenised."""
+    docs = documents(spark, sf_dir)
+    tok = word_tokenizer(build_vocab(docs, VOCABULARY))
+    budget = settings(corpus_tokens(docs) // 100)
+    return block_rows(pack_documents(docs, doc_specs(), budget, tok), "n_docs")
+
+
 def append_eos_query(spark, sf_dir):
     with_eos = doc_ids(spark, sf_dir).withColumn("ids", append_eos(F.col("ids"), BYTES.eos_id))
     return digest_of(with_eos)
@@ -347,6 +359,15 @@ def progress_rates_query(spark, sf_dir):
         "run", "opt_step", "tokens", "dt", "tok_per_sec", "eta_hours")
 
 
+def progress_from_start_query(spark, sf_dir):
+    """Rates with the starts of processes: now and then a run begins anew, shortly before a line."""
+    log = event_log(spark, sf_dir)
+    starts = log.filter(F.col("event_id") % 23 == 0).select(
+        "run", (F.col("ts") - F.expr("INTERVAL 7 SECONDS")).alias("ts"), (F.col("micro_step") - 5).alias("micro_step"))
+    rates = progress.progress_rates(log, 4 * SEQ_LEN, 610352, 10, starts=starts)
+    return rates.select("run", "opt_step", "tokens", "dt", "tok_per_sec", "eta_hours")
+
+
 # Mixing
 
 def union_sources_query(spark, sf_dir):
@@ -529,11 +550,18 @@ def head_blocks_query(spark, sf_dir):
 
 # Streams and continuation
 
-def run_stream(spark, stream: DataFrame, log: ProgressLog | None = None) -> DataFrame:
-    """Run a stream to its present end into a table of the shared folder."""
+def stream_places(spark) -> tuple[str, str]:
+    """Folders for the rows and for the state of a stream."""
+    return scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
+
+
+def run_stream(
+    spark, stream: DataFrame, log: ProgressLog | None = None, places: tuple[str, str] | None = None
+) -> DataFrame | None:
+    """Run a stream to its present end into a table of the shared folder, if it has rows."""
     if log is not None:
         spark.streams.addListener(log)
-    out, state = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
+    out, state = places or stream_places(spark)
     query = (
         stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
         .outputMode("append").trigger(availableNow=True).start()
@@ -542,7 +570,9 @@ def run_stream(spark, stream: DataFrame, log: ProgressLog | None = None) -> Data
     if log is not None:
         log.wait_for(query)
         spark.streams.removeListener(log)
-    return spark.read.parquet(out)
+    # Until it has written rows, a stream's table has no files.
+    names = [n for n in folder_names(spark, out) if n.startswith("part-")]
+    return spark.read.parquet(out) if names else None
 
 
 def document_stream(spark, sf_dir):
@@ -605,6 +635,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_words": encode_words_query,
     "validate_specs": validate_specs_query,
     "pack_words": pack_words_query,
+    "pack_words_budget": pack_words_budget_query,
     "append_eos": append_eos_query,
     "block_slices": block_slices_query,
     "attention_mask": per_block(lambda ids: attention_mask(ids, PROFILE.pad_id)),
@@ -621,6 +652,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "finite_rows": finite_rows_query,
     "every_n": every_n_query,
     "progress_rates": progress_rates_query,
+    "progress_from_start": progress_from_start_query,
     "union_sources": union_sources_query,
     "attach_spec": attach_spec_query,
     "weighted_interleave": weighted_interleave_query,

@@ -1,3 +1,4 @@
+import datetime
 import random
 
 import pytest
@@ -13,6 +14,7 @@ from blockmill.operators.blocks import assemble_blocks, completed_blocks, docume
 from blockmill.operators.filters import every_n, finite_guard, nonempty_ids, not_finite, valid_text
 from blockmill.operators.mixing import seeded_shuffle
 from blockmill.operators.prefix import running_start, unit_bucket
+from blockmill.operators import vocabulary
 from blockmill.operators.progress import progress_rates
 from blockmill.functions.tokenizers import JoinedWordTokenizer
 from blockmill.operators.prefix import MAX_BUCKETS, unit_bucket
@@ -242,3 +244,56 @@ def test_bucket_numbers_are_not_clamped():
         unit_bucket(F.lit(0.5), MAX_BUCKETS + 1)
     with pytest.raises(ValueError, match="2 GB"):
         PackSettings(1 << 20, None, 1 << 10)
+
+
+@pytest.mark.parametrize("per_part", [1 << 17, 40])
+def test_rates_from_the_start_of_a_run(spark, per_part, monkeypatch):
+    monkeypatch.setattr("blockmill.operators.progress._SECONDS_PER_PART", per_part)
+    at = lambda s: datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=s)
+    # Run r begins at 0, logs at 10 and 30, stands still, begins anew at 500 and logs at 520; q has no start.
+    log = spark.createDataFrame(
+        [("r", at(10), 10, 40), ("r", at(30), 20, 80), ("r", at(520), 30, 120), ("q", at(7), 5, 9), (None, at(1), 1, 1)],
+        "run string, ts timestamp, opt_step long, micro_step long")
+    starts = spark.createDataFrame([("r", at(0), None), ("r", at(500), 80), ("x", at(3), None)],
+                                   "run string, ts timestamp, micro_step long")
+    rows = {(r["run"], r["opt_step"]): r for r in progress_rates(log, 100, 1000, 10, starts=starts).collect()}
+    assert set(rows) == {("r", 10), ("r", 20), ("r", 30), ("q", 5)}
+    assert [(rows["r", k]["tokens"], rows["r", k]["dt"]) for k in (10, 20, 30)] == [(4000, 10.0), (4000, 20.0), (4000, 20.0)]
+    assert rows["r", 10]["tok_per_sec"] == 400.0 and rows["q", 5]["tok_per_sec"] is None
+    plain = progress_rates(log, 100, 1000, 10, starts=starts.drop("micro_step"))
+    assert {r["tokens"] for r in plain.filter("opt_step = 30").collect()} == {12_000}
+    assert plain.columns == progress_rates(log, 100, 1000, 10).columns
+
+
+def largest_over_median(df, part):
+    sizes = sorted(r["count"] for r in df.groupBy(part).count().collect())
+    return sizes[-1] / sizes[len(sizes) // 2]
+
+
+def test_ranges_and_joins_of_a_zipf_vocabulary_are_even(spark, monkeypatch):
+    """Words that begin alike, most of them seen once, and a few that make up the text."""
+    n = 60_000
+    docs = spark.range(n).select(
+        F.lit("s").alias("source"), F.col("id").alias("doc_id"),
+        F.concat(F.lit("http"), "id", F.lit(" the the of http"), F.col("id") % 50).alias("text"))
+    seen = []
+    monkeypatch.setattr(vocabulary, "_WORDS_PER_RANGE", 4000)
+    monkeypatch.setattr(vocabulary, "stored", lambda df, name, real=vocabulary.stored: seen.append((name, real(df, name))) or seen[-1][1])
+    vocab = stored(build_vocab(docs, None), "vocab")
+    ranges = dict(seen)["word-ranges"]
+    assert ranges.select("range").distinct().count() >= 10 and largest_over_median(ranges, "range") <= 3
+    words = [r["word"] for r in vocab.orderBy("id").collect()]
+    count = {"the": 2 * n, "of": n} | {f"http{k}": 1 + (k < 50) * (n // 50) for k in range(n)}
+    assert words == sorted(words, key=lambda w: (-count[w], w)) and len(words) == n + 2
+    monkeypatch.setattr(JoinedWordTokenizer, "HEAVY", 40)
+    tok = JoinedWordTokenizer(vocab, n + 2)
+    # What is left for the shuffle, the rare words, is as good as even over any number of parts.
+    heavy = set(words[:40])
+    rare = docs.select(F.explode(F.split("text", " ")).alias("w")).filter(~F.col("w").isin(*heavy))
+    assert largest_over_median(rare.withColumn("p", F.pmod(F.hash("w"), F.lit(16))), "p") <= 3
+    number = {w: k + 1 for k, w in enumerate(words)}
+    rows = tok.tokenize(docs.filter("doc_id % 3001 = 0")).collect()
+    assert len(rows) == 20
+    for r in rows:
+        k = r["doc_id"]
+        assert list(r["payload"]) == [number[w] for w in (f"http{k}", "the", "the", "of", f"http{k % 50}")]

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from blockmill.config import SourceSpec
 from blockmill.operators.mixing import source_stats
@@ -119,3 +120,50 @@ def test_equal_file_names_in_two_folders(spark, tmp_path):
     spec = SourceSpec("web", "web/*", None, "text", 1.0)
     ids = [r["doc_id"] for r in scan_text(spark, spec, str(tmp_path)).collect()]
     assert len(ids) == len(set(ids)) == 4
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_json_is_read_once_in_splits_and_by_field(spark, tmp_path):
+    lines = [{"id": k, "body": f"text {k} " * 40, "other": {"deep": [k] * 20}} for k in range(3000)]
+    (tmp_path / "big.jsonl").write_text("\n".join(map(json.dumps, lines)) + "\n\n")
+    sc = spark.sparkContext
+    sc.setJobGroup("json", "")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        df = scan_text(spark, SourceSpec("j", "big.jsonl", None, "body", 1.0), str(tmp_path), "id * 10")
+        assert not sc.statusTracker().getJobIdsForGroup("json")
+        assert df.rdd.getNumPartitions() > 5
+        rows = df.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        sc.setJobGroup("", "")
+    assert plan_of(df).count("FileScan") == 1 and "other" not in plan_of(df)
+    assert {(r["source"], r["doc_id"], r["text"]) for r in rows} == {("j", 10 * x["id"], x["body"]) for x in lines}
+
+
+def test_json_of_every_shape(spark, tmp_path):
+    lines = [
+        '{"id": 1, "body": "one"}', '{"id": "2", "body": 5}', '{"id": "007", "body": "seven"}', '{"id": 7, "body": "\\u00e9\\n\\"q\\""}',
+        '{"id": null, "body": "no id"}', '{"body": ["a"]}', '{"id": 8, "body": null}', '{"id": 9}', "broken {", "", "  ",
+        '{"id": 1.5, "body": ""}', '{"id": 10, "body": {"x": "y"}}', '{"id": 11, "body": true}',
+    ]
+    (tmp_path / "t.json").write_text("\n".join(lines))
+    spec = SourceSpec("j", "t.json", None, "body", 1.0)
+    rows = scan_text(spark, spec, str(tmp_path), "id").collect()
+    assert len(rows) == 12
+    by_text = {r["text"]: r["doc_id"] for r in rows if r["text"]}
+    assert set(by_text) == {"one", "seven", 'é\n"q"', "no id"}
+    assert by_text["one"] == 1 and by_text['é\n"q"'] == 7 and by_text["seven"] not in (7, None)
+    assert sorted(r["doc_id"] for r in rows if r["text"] is None and r["doc_id"] in (2, 8, 9, 10, 11)) == [2, 8, 9, 10, 11]
+    placed = scan_text(spark, spec, str(tmp_path)).collect()
+    assert len({r["doc_id"] for r in placed}) == 12
+
+
+def test_json_with_column_ids(spark, tmp_path):
+    (tmp_path / "t.json").write_text('{"id": 4, "body": "one"}\n{"id": 5, "body": "two"}')
+    spec = SourceSpec("j", "t.json", None, "body", 1.0)
+    rows = scan_text(spark, spec, str(tmp_path), F.col("id") + 1).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in rows) == [(5, "one"), (6, "two")]

@@ -1,5 +1,7 @@
 import time
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +147,26 @@ def test_one_document_a_trigger_gives_the_exact_blocks(spark, tmp_path):
     got = {(r["lane"], r["seq"]): list(r["input_ids"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert got == {
         (lane, k): ids[k * LEN: (k + 1) * LEN] for lane, ids in streams.items() for k in range(len(ids) // LEN)}
+
+
+def test_shards_stream_from_a_folder_that_is_still_empty(spark, tmp_path):
+    """Begun before the first shard, in a missing folder; both layouts come later."""
+    path = f"{tmp_path}/shards"
+    query = (stream_packed(spark, path, 2).writeStream.format("memory").queryName("from_nothing")
+             .option("checkpointLocation", f"{tmp_path}/state").start())
+    try:
+        query.processAllAvailable()
+        assert spark.table("from_nothing").count() == 0
+        rows = spark.range(40).select(
+            F.col("id").alias("block_id"), F.array(F.col("id").cast("int")).alias("input_ids"), F.lit("s").alias("source"))
+        write_shards(rows, path, 10, mode="append")
+        query.processAllAvailable()
+        flat = pa.table({"input_ids": pa.array([[7], [8]], pa.list_(pa.int32())), "source": ["f", "f"]})
+        pq.write_table(flat, f"{path}/shard-000009.parquet")
+        pq.write_table(pa.table({"other": [1]}), f"{path}/notes.parquet")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    seen = spark.table("from_nothing").collect()
+    assert sorted((r["shard_id"], r["block_id"], r["input_ids"], r["source"]) for r in seen) == [
+        *[(k // 10, k, [k], "s") for k in range(40)], (9, 0, [7], "f"), (9, 1, [8], "f")]
