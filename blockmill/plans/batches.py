@@ -11,15 +11,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from blockmill.operators.blocks import whole_div
 from blockmill.operators.filters import exact_length, token_range_guard
-from blockmill.operators.prefix import running_start_by_group
-from blockmill.session import broadcast_if_small, stored
+from blockmill.session import broadcast_if_small
 
-_SHARDS_PER_PART = 4096
 # Shared batches whose rows are named to the reader one by one.
 MAX_NAMED = 200
 _KEY = ["rank", "batch_id"]
@@ -38,53 +37,47 @@ def runs_of(rows: DataFrame, seq_len: int | None = None) -> DataFrame:
     )
 
 
-def place_shards(runs: DataFrame, assignment: DataFrame) -> DataFrame:
+def place_shards(runs: pd.DataFrame, assignment: pd.DataFrame) -> pd.DataFrame:
     """Where every shard begins in the row order of its rank, and the rows of that rank."""
-    counts = runs.groupBy("shard_id").agg(F.sum("n").alias("n"))
-    placed = running_start_by_group(
-        assignment.join(counts, "shard_id"), "rank", whole_div(F.col("shard_pos"), _SHARDS_PER_PART),
-        ["shard_pos"], F.col("n"), "start",
-    )
-    totals = placed.groupBy("rank").agg(F.sum("n").alias("rank_rows"))
-    return placed.join(totals, "rank").select("shard_id", "rank", "start", "rank_rows")
+    counts = runs.groupby("shard_id", as_index=False)["n"].sum()
+    placed = assignment.merge(counts, on="shard_id").sort_values(["rank", "shard_pos"])
+    ranks = placed.groupby("rank")["n"]
+    return placed.assign(start=ranks.cumsum() - placed["n"], rank_rows=ranks.transform("sum"))
 
 
 def file_batches(
-    rows: DataFrame, runs: DataFrame, assignment: DataFrame, size: int, seq_len: int, vocab_size: int,
+    rows: DataFrame, runs: pd.DataFrame, assignment: pd.DataFrame, size: int, seq_len: int, vocab_size: int,
     observation=None,
 ) -> DataFrame:
     """``rank``, ``batch_id`` and stacked ``input_ids`` of shard rows (shard_id, row, block_id, input_ids).
 
-    ``runs`` must be those of the same rows, all without odd ones or gaps. Should files
-    come to be split otherwise when the batches are made, the job fails. An
-    ``observation`` gets the number of rows.
+    ``runs`` must be those of the same rows, all without odd ones or gaps; they and the
+    shards' ranks are a few numbers a shard. Should files come to be split otherwise when
+    the batches are made, the job fails. An ``observation`` gets the number of rows.
     """
-    places = stored(place_shards(runs, assignment), "shard-places")
-    begins = (F.col("start") + F.col("first")).alias("begin")
-    shared = stored(
-        runs.join(places, "shard_id").select("rank", begins).filter(F.col("begin") % size != 0)
-        .select("rank", whole_div(F.col("begin"), size).alias("batch_id")).distinct(),
-        "shared-batches",
-    )
-    n_shards, n_shared = places.count(), shared.count()
-    pos = F.col("start") + F.col("row")
-    placed = rows.join(broadcast_if_small(places, n_shards), "shard_id").withColumn("pos", pos)
+    spark = rows.sparkSession
+    places = place_shards(runs, assignment)
+    begun = runs.merge(places[["shard_id", "rank", "start"]], on="shard_id")
+    begin = begun["start"] + begun["first"]
+    shared = begun.assign(batch_id=begin // size)[begin % size != 0][_KEY].drop_duplicates()
+    at = _table(spark, places, shard_id=pa.int32(), rank=pa.int32(), start=pa.int64(), rank_rows=pa.int64())
+    some = _table(spark, shared, rank=pa.int32(), batch_id=pa.int64())
+    placed = rows.join(at, "shard_id").withColumn("pos", F.col("start") + F.col("row"))
     placed = placed.withColumn("batch_id", whole_div(F.col("pos"), size))
-    some = broadcast_if_small(shared, n_shared)
 
     def columns(part: DataFrame, *more: str) -> DataFrame:
         return token_range_guard(part, vocab_size).select("rank", "batch_id", *more, "input_ids")
 
     seen = placed if observation is None else exact_length(placed, seq_len, observation)
-    alone = seen if n_shared == 0 else seen.join(some, _KEY, "left_anti")
+    alone = seen if shared.empty else seen.join(some, _KEY, "left_anti")
     wanted = F.least(F.lit(size).cast("long"), F.col("rank_rows") - F.col("batch_id") * size)
     made = columns(alone.withColumn("wanted", wanted), "wanted").mapInArrow(
         _stacker(seq_len), "rank int, batch_id long, input_ids array<array<int>>"
     )
-    if n_shared == 0:
+    if shared.empty:
         return made
     pieces = placed.join(some, _KEY, "left_semi")
-    if n_shared <= MAX_NAMED:
+    if len(shared) <= MAX_NAMED:
         pieces = placed.filter(_named(pieces)).join(some, _KEY, "left_semi")
     members = F.sort_array(F.collect_list(F.struct("pos", "input_ids")))
     joined = columns(pieces, "pos").groupBy("rank", "batch_id").agg(
@@ -93,6 +86,11 @@ def file_batches(
     return made.unionByName(joined)
 
 
+def _table(spark: SparkSession, rows: pd.DataFrame, **types: pa.DataType) -> DataFrame:
+    table = pa.table({name: pa.array(rows[name].to_numpy(), kind) for name, kind in types.items()})
+    return broadcast_if_small(spark.createDataFrame(table), len(rows))
+
+
 def _named(pieces: DataFrame) -> Column:
     """The rows of few batches as ranges of block numbers, by which the reader skips pages."""
     found = pieces.groupBy("shard_id", *_KEY).agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.config import TokenProfile
@@ -9,7 +10,7 @@ from blockmill.operators.filters import exact_length, supervised_batches, token_
 from blockmill.operators.ranks import rank_shards
 from blockmill.operators.training import batch_training_arrays, micro_batches, training_rows
 from blockmill.plans.batches import file_batches, runs_of
-from blockmill.session import broadcast_if_small, exists, stored
+from blockmill.session import broadcast_if_small, exists
 from blockmill.sources.manifest import scan_manifest
 from blockmill.sources.shards import scan_packed, scan_shard_rows, shard_files
 
@@ -22,14 +23,13 @@ def _listed(spark: SparkSession, path: str, manifest: str | None) -> DataFrame:
     return files.join(scan_manifest(spark, manifest).select("file").distinct(), "file", "left_semi")
 
 
-def _listed_rows(spark: SparkSession, files: DataFrame, manifest: str, seq_len: int) -> DataFrame | None:
+def _listed_rows(spark: SparkSession, manifest: str, seq_len: int) -> pd.DataFrame | None:
     """Rows of each shard by its newest line; None if the lines tell of another length."""
     lines = scan_manifest(spark, manifest).groupBy("file").agg(
         F.max_by("rows", "time").alias("listed"), F.max_by("tokens", "time").alias("tokens")
-    )
-    counts = files.join(lines, "file")
-    fits = counts.filter(F.col("tokens") != F.col("listed") * seq_len).isEmpty()
-    return counts.select("shard_id", "listed") if fits else None
+    ).toPandas()
+    fits = (lines["tokens"] == lines["listed"] * seq_len).all()
+    return lines[["file", "listed"]] if fits else None
 
 
 def _own_manifest(spark: SparkSession, path: str, manifest: str | bool | None) -> str | None:
@@ -74,21 +74,22 @@ def read_batches(
     others shuffled to their batches. An ``observation`` gets the numbers of rows.
     """
     manifest = _own_manifest(spark, path, manifest)
-    files = _listed(spark, path, manifest)
-    assignment = rank_shards(files, world, seed)
+    # A few numbers for each shard, and for each run of rows that a task reads.
+    names = _listed(spark, path, manifest).toArrow()
+    files = spark.createDataFrame(names)
+    assignment = rank_shards(files, world, seed).select("shard_id", "file", "rank", "shard_pos")
     rows = scan_shard_rows(spark, path)
-    listed = None if manifest is None else _listed_rows(spark, files, manifest, seq_len)
-    runs = stored(runs_of(rows, seq_len if listed is None else None), "shard-runs")
-    runs = runs.join(broadcast_if_small(files, files.count()), "shard_id", "left_semi")
-    held = runs.groupBy("shard_id").agg(F.sum("n").alias("n"), F.sum(F.col("odd") + F.col("gaps")).alias("odd"))
-    wrong = F.col("odd") > 0
+    listed = None if manifest is None else _listed_rows(spark, manifest, seq_len)
+    ranks, runs = assignment.toPandas(), runs_of(rows, seq_len if listed is None else None).toPandas()
+    runs = runs[runs["shard_id"].isin(ranks["shard_id"])]
+    odd = int(runs["odd"].sum() + runs["gaps"].sum())
     if listed is not None:
-        held = held.join(listed, "shard_id")
-        wrong = wrong | (F.col("n") != F.col("listed"))
-    if held.filter(wrong).isEmpty():
-        batches = file_batches(rows, runs, assignment, size, seq_len, profile.vocab_size, observation)
+        held = runs.groupby("shard_id", as_index=False)["n"].sum().merge(ranks, on="shard_id").merge(listed, on="file")
+        odd += int((held["n"] != held["listed"]).sum())
+    if not odd:
+        batches = file_batches(rows, runs, ranks, size, seq_len, profile.vocab_size, observation)
     else:
-        kept = rows.join(broadcast_if_small(files, files.count()), "shard_id", "left_semi")
+        kept = rows.join(broadcast_if_small(files, len(ranks)), "shard_id", "left_semi")
         kept = token_range_guard(exact_length(kept, seq_len, observation), profile.vocab_size)
         batches = micro_batches(kept, assignment, size, seq_len)
     # Decided by the ids, so that labels are made once and for kept batches only.

@@ -48,7 +48,6 @@ def found(df):
 @pytest.mark.parametrize("size, world", [(1, 1), (4, 2), (7, 3), (64, 1)])
 def test_equal_to_the_rules(spark, tmp_path, size, world, named, monkeypatch):
     monkeypatch.setattr(B, "MAX_NAMED", named)
-    monkeypatch.setattr(B, "_SHARDS_PER_PART", 2)
     rows = shards(tmp_path, {0: 12, 1: 5, 2: 1, 3: 40, 4: 8, 7: 3, 9: 28})
     assert found(read_batches(spark, str(tmp_path), LEN, PROFILE, size, world)) == model(rows, world, size)
 
