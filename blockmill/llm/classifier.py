@@ -140,7 +140,10 @@ def spread_pieces(text: Column, most: int) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, settings: ClassifierSettings) -> list[tuple[str, int]]:
-    """At most ``max_rows`` texts with labels, of at most ``max_bytes`` together."""
+    """At most ``max_rows`` texts with labels, of at most ``max_bytes`` together.
+
+    Of clashing labels for one id the largest counts.
+    """
     draw = F.xxhash64(F.lit(settings.seed), "doc_id")
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter(
         F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))
@@ -148,13 +151,15 @@ def training_sample(docs: DataFrame, labels: DataFrame, settings: ClassifierSett
     drawn = usable.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(draw, "doc_id").limit(settings.max_rows)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # Both sides of the broadcast and of the window hold at most max_rows rows.
-    found = texts.join(F.broadcast(drawn), "doc_id").withColumn(
+    # Of several texts under one id that with the least hash is taken, whatever the partitioning.
+    found = texts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "quality").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text")
+    ).withColumn(
         "text", spread_pieces(F.col("text"), settings.max_bytes // _SHARE)
     ).withColumn("size", F.octet_length("text"))
     upto = Window.orderBy(draw, "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sizes = found.select("doc_id", "size").dropDuplicates(["doc_id"]).withColumn("upto", F.sum("size").over(upto))
-    fit = sizes.filter(F.col("upto") <= settings.max_bytes).select("doc_id")
-    rows = found.join(F.broadcast(fit), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "quality").collect()
+    fit = found.withColumn("upto", F.sum("size").over(upto)).filter(F.col("upto") <= settings.max_bytes)
+    rows = fit.select("doc_id", "text", "quality").collect()
     return [(r[1], r[2]) for r in sorted(rows)]
 
 

@@ -32,6 +32,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from blockmill.functions.hashing import unit_hash
+from blockmill.llm.texts import set_aside
 from blockmill.session import broadcast_if_small, stored
 
 ROWS_PER_BUCKET = 4096
@@ -205,4 +206,5 @@ def select_mix(docs: DataFrame, plan: MixPlan) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, plan: MixPlan) -> DataFrame:
     """The rows taken, once for each epoch, with the columns of ``docs``; texts stay whole."""
-    return select_mix(docs, plan).select(*docs.columns)
+    docs, back = set_aside(docs)
+    return select_mix(docs, plan).select(*docs.columns).withColumnsRenamed(back)

@@ -171,13 +171,25 @@ def tight_shards(sizes: list[int], n_shards: int) -> tuple[int, list[int]]:
     return high, best
 
 
+# Parts of the rows of one text and id, for numbering them.
+_PLACE_PARTS = 64
+
+
 def _items(rows: DataFrame, heavy: DataFrame, n_items: int) -> DataFrame:
     """The rows with the item (``kind``, ``a``, ``b``) that each belongs to."""
     joined = rows.join(heavy, rows["grp"] == heavy["heavy"], "left")
     kind = F.when(F.col("parts") > 1, PART).when(F.col("parts") == 1, GROUP).otherwise(BUNDLE)
     a = F.coalesce("heavy", F.pmod("grp", F.lit(n_items)))
-    b = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("doc_id"), F.col("parts"))).otherwise(0)
-    return joined.withColumns({"kind": kind, "a": a, "b": b.cast("long")}).drop("heavy", "parts")
+    dealt = joined.filter(F.col("parts") > 1).withColumn("named", F.xxhash64("grp", "doc_id"))
+    # Rows of one text under one id, or without one, are alike; they are dealt by their place.
+    place = running_start_by_group(
+        dealt, "named", F.pmod("position", F.lit(_PLACE_PARTS)), ["position"], F.lit(1), "place"
+    )
+    b = F.pmod(F.xxhash64("doc_id") + F.col("place"), F.col("parts"))
+    dealt = place.withColumn("b", b).drop("named", "place")
+    whole = joined.filter(F.coalesce("parts", F.lit(0)) <= 1).withColumn("b", F.lit(0).cast("long"))
+    rows = whole.unionByName(dealt)
+    return rows.withColumns({"kind": kind, "a": a}).drop("heavy", "parts", "position")
 
 
 def assign_shards(docs: DataFrame, settings: ShardSettings = ShardSettings()) -> DataFrame:
@@ -190,6 +202,8 @@ def assign_shards(docs: DataFrame, settings: ShardSettings = ShardSettings()) ->
         F.crc32(body).alias("text_crc32"),
         F.xxhash64("text").alias("grp"),
     ), "sizes")
+    # Where a row lies in the written table; it tells alike rows apart and nothing else.
+    rows = rows.withColumn("position", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
     n_rows, total = rows.agg(F.count(F.lit(1)), F.sum("size")).first()
     even = -(-(total or 0) // settings.n_shards)
     least = max(1, even // settings.grain)

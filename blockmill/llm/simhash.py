@@ -41,19 +41,18 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from blockmill.llm.graph import components
-from blockmill.llm.texts import map_rows, utf8
+from blockmill.llm.texts import map_rows, set_aside, utf8
 from blockmill.session import stored
 
 BITS = 64
 SEED = 42
 _CHUNK = 1 << 15
 
-FINGERPRINTS = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType()),
-])
+# Labels of fingerprints that more than one row in so many has are broadcast.
+HEAVY_SHARE = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -92,17 +91,21 @@ def fingerprint(raw: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id, fp`` of every row of ``doc_id, text``; ``fp`` as a signed long."""
+    """``doc_id, body, fp`` of every row of ``doc_id, text``.
+
+    ``body`` is a hash of the text, which tells rows of one id apart; ``fp`` is a signed long.
+    """
 
     def make():
-        def rows(doc_ids, texts):
-            for doc_id, text in zip(doc_ids, texts):
+        def rows(doc_ids, bodies, texts):
+            for doc_id, body, text in zip(doc_ids, bodies, texts):
                 value = fingerprint(utf8(text), shingle)
-                yield doc_id, value - (1 << 64) if value >> 63 else value
+                yield doc_id, body, value - (1 << 64) if value >> 63 else value
 
         return rows
 
-    return map_rows(docs, ["doc_id", "text"], FINGERPRINTS, make)
+    named = docs.select("doc_id", F.xxhash64("text").alias("body"), "text")
+    return map_rows(named, ["doc_id", "body", "text"], "doc_id long, body long, fp long", make)
 
 
 def bit_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -258,18 +261,34 @@ def links(nodes: DataFrame, max_bits: int, bucket: int) -> DataFrame:
     return found.union(shared.select(F.col("fp").alias("u"), "v").distinct())
 
 
-def simhash_groups(docs: DataFrame, settings: SimHashSettings = SimHashSettings()) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row of ``doc_id, text``."""
+def _grouped(docs: DataFrame, settings: SimHashSettings) -> DataFrame:
+    """``doc_id, body, fp, root, component_id`` of every row; ``root`` names the group in any case."""
     prints = stored(fingerprints(docs, settings.shingle), "simhash")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
+    nodes = stored(
+        prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "simhash-nodes"
+    )
     roots = components(links(nodes, settings.max_bits, settings.bucket))
     linked = roots.join(nodes, roots["node"] == nodes["fp"]).select("fp", "root", "first")
     names = linked.groupBy("root").agg(F.min("first").alias("name"))
-    named = linked.join(names, "root").select("fp", "name")
-    labels = nodes.join(named, "fp", "left").select(
-        "fp", F.coalesce("name", "first").alias("component_id")
+    named = linked.join(names, "root").select("fp", "root", "name")
+    labels = stored(nodes.join(named, "fp", "left").select(
+        "fp", "n", F.coalesce("root", "fp").alias("root"), F.coalesce("name", "first").alias("component_id")
+    ), "simhash-labels")
+    # Rows of a common fingerprint take its label where they are; the others are few to a key.
+    total = nodes.agg(F.sum("n")).first()[0] or 0
+    common = F.col("n") * HEAVY_SHARE > total
+    heavy = F.broadcast(labels.filter(common).drop("n"))
+    near = prints.join(heavy, "fp", "left")
+    rare = near.filter(F.col("root").isNull()).select("fp", "doc_id", "body").join(
+        labels.filter(~common).drop("n"), "fp"
     )
-    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+    out = ["doc_id", "body", "fp", "root", "component_id"]
+    return near.filter(F.col("root").isNotNull()).select(*out).unionByName(rare.select(*out))
+
+
+def simhash_groups(docs: DataFrame, settings: SimHashSettings = SimHashSettings()) -> DataFrame:
+    """``doc_id, fp, component_id`` of every row of ``doc_id, text``."""
+    return _grouped(docs, settings).select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(fp: Column) -> Column:
@@ -277,14 +296,21 @@ def hex_fingerprint(fp: Column) -> Column:
 
 
 def keep_one_of_each_group(docs: DataFrame, settings: SimHashSettings = SimHashSettings()) -> DataFrame:
-    """The row whose ``doc_id`` names its group, with all its columns, once.
+    """One row of each group, with all its columns: that with the smallest ``doc_id``.
 
-    Rows without a ``doc_id`` cannot be named; they stay.
+    Rows are told apart by id and text, so texts that share an id without being near
+    copies all stay; of a group's texts under its smallest id that with the least hash
+    stays. Repeated rows stay once. Rows without a ``doc_id`` cannot be named; they stay.
     """
-    groups = simhash_groups(docs, settings)
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    docs, back = set_aside(docs)
+    rows = stored(_grouped(docs, settings).filter("doc_id is not null"), "simhash-groups")
+    best = rows.groupBy("root").agg(F.min(F.struct("doc_id", "body")).alias("best"))
+    best = best.select(F.col("best.doc_id").alias("__id"), F.col("best.body").alias("__body"))
+    kept = rows.select(F.col("doc_id").alias("__id"), F.col("body").alias("__body")).distinct()
+    gone = kept.join(best, ["__id", "__body"], "left_anti")
+    marked = docs.withColumns({"__id": F.col("doc_id"), "__body": F.xxhash64("text")})
+    left = marked.join(gone, ["__id", "__body"], "left_anti")
     # Repeated rows of a kept document lie together; rows without an id are spread by their text.
-    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    place = F.row_number().over(Window.partitionBy("doc_id", spread).orderBy(F.xxhash64("text")))
-    return left.withColumn("__place", place).filter("doc_id is null or __place = 1").drop("__place")
+    place = F.row_number().over(Window.partitionBy("__id", "__body").orderBy("__body"))
+    once = left.withColumn("__place", place).filter("__id is null or __place = 1")
+    return once.select(*docs.columns).withColumnsRenamed(back)

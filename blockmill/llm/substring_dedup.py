@@ -37,7 +37,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from blockmill.llm.texts import map_columns, map_rows, words
+from blockmill.llm.texts import map_columns, map_rows, set_aside, words
 from blockmill.session import stored
 
 LAST = (1 << 63) - 1
@@ -362,8 +362,9 @@ def remove_repeats(docs: DataFrame, settings: RepeatSettings = RepeatSettings())
 
         return pd.Series([one(*x) for x in zip(texts, starts, sizes)], dtype=object)
 
+    docs, back = set_aside(docs)
     marked = with_spans(docs, settings, "__spans")
     text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(
         cut("text", F.col("__spans.first"), F.col("__spans.n"))
     )
-    return marked.withColumn("text", text).select(*docs.columns)
+    return marked.withColumn("text", text).select(*docs.columns).withColumnsRenamed(back)

@@ -95,6 +95,18 @@ def map_rows(
     return map_columns(df, columns, schema, as_columns, max_bytes)
 
 
+def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table with other names for columns that begin as working columns do, and the way back."""
+    back: dict[str, str] = {}
+    for name in df.columns:
+        if name.startswith("__"):
+            other = "own" + name
+            while other in df.columns or other in back:
+                other = "own" + other
+            back[other] = name
+    return df.withColumnsRenamed({name: other for other, name in back.items()}), back
+
+
 class WordTable:
     """Numbers for words and a short list of integers for each, encoded many at a time.
 

@@ -1,8 +1,8 @@
 """WARC archives: a deterministic sharded writer, and a reader that checks what it reads.
 
-*Ranges.* Page ids are cut into cells of equal width and the cells' payload bytes added up, so
-ranges of about ``range_bytes`` follow from exact sums alone: the same pages give the same
-ranges on any cluster. One shuffle brings each range, sorted, to one task. Which page a
+*Ranges.* Page ids are cut into cells of equal width and the cells' payload bytes added up, in
+smaller cells where a cell holds too much, so ranges of about ``range_bytes`` follow from exact
+sums alone: the same pages give the same ranges on any cluster. One shuffle brings each range, sorted, to one task. Which page a
 payload's other pages refer to is found on digests only; these notes travel with the pages as
 small rows that sort just before them.
 
@@ -177,20 +177,59 @@ class _File:
         return self.name, self.records, self.size, self._hash.hexdigest(), first, last
 
 
+def _cell_sums(sizes: DataFrame, starts: np.ndarray, ends: np.ndarray, widths: np.ndarray, per: int) -> dict[int, int]:
+    """Bytes by cell: ``per`` cells of equal width in each of the intervals; others are left out."""
+
+    def add(batches):
+        for batch in batches:
+            ids, size = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            at = np.searchsorted(starts, ids, side="right") - 1
+            inside = (at >= 0) & (ids <= ends[at])
+            ids, size, at = ids[inside], size[inside], at[inside]
+            # Differences of any two ids fit the unsigned numbers.
+            cell = (ids.view(np.uint64) - starts.view(np.uint64)[at]) // widths[at]
+            keys, place = np.unique(at * per + cell.astype(np.int64), return_inverse=True)
+            total = np.zeros(len(keys), np.int64)
+            np.add.at(total, place, size)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total)], names=["cell", "bytes"])
+
+    made = sizes.mapInArrow(add, "cell long, bytes long").groupBy("cell").agg(F.sum("bytes").alias("bytes"))
+    return dict(map(tuple, made.collect()))
+
+
 def _bounds(pages: DataFrame, settings: WarcSettings) -> np.ndarray:
-    """First page ids of all ranges but the first, from exact byte sums of at most 2^14 cells."""
+    """First page ids of all ranges but the first, from exact byte sums of cells of ids.
+
+    A cell that holds more than a range may is cut into smaller ones, in as many rounds
+    as it takes, so ids may lie close together in one place and far apart elsewhere.
+    """
     low, high = pages.agg(F.min("page_id"), F.max("page_id")).first()
     if low is None:
         return np.zeros(0, np.int64)
-    width = (high - low) // CELLS + 1
-    cell = F.expr(f"(page_id - {low}L) div {width}L")
-    sums = pages.filter("page_id is not null").groupBy(cell.alias("cell")).agg(
-        F.sum(F.coalesce(F.octet_length("html"), F.lit(0))).alias("bytes")
+    sizes = pages.filter("page_id is not null").select(
+        "page_id", F.coalesce(F.octet_length("html"), F.lit(0)).cast("long").alias("bytes")
     )
+    todo, settled = [(low, high)], []
+    while todo:
+        per = max(4, CELLS // len(todo))
+        widths = [(b - a) // per + 1 for a, b in todo]
+        found = _cell_sums(
+            sizes, np.array([a for a, _ in todo], np.int64), np.array([b for _, b in todo], np.int64),
+            np.array(widths, np.uint64), per,
+        )
+        again = []
+        for key, size in sorted(found.items()):
+            (a, b), width = todo[key // per], widths[key // per]
+            start = a + key % per * width
+            if size > settings.range_bytes and width > 1:
+                again.append((start, min(b, start + width - 1)))
+            else:
+                settled.append((start, size))
+        todo = again
     cuts, held = [], 0
-    for number, size in sorted(map(tuple, sums.collect())):
+    for start, size in sorted(settled):
         if held and held + size > settings.range_bytes:
-            cuts.append(low + number * width)
+            cuts.append(start)
             held = 0
         held += size
     return np.array(cuts, np.int64)
@@ -216,15 +255,18 @@ def write_archives(pages: DataFrame, folder: str, settings: WarcSettings = WarcS
         notes.select("page_id", "digest", "refers_to", none("string").alias("url"), none("string").alias("html"))
     )
     bounds = _bounds(pages, settings)
+    unnamed = pages.filter("page_id is null").agg(F.sum(F.octet_length("html").cast("long"))).first()[0]
+    more = 0 if unnamed is None else 1 + unnamed // settings.range_bytes
 
     @F.pandas_udf("int")
-    def range_of(page_id):
-        # Pages without an id follow in the last range.
-        ids = page_id.fillna(np.iinfo(np.int64).max).astype("int64").to_numpy()
-        return pd.Series(np.searchsorted(bounds, ids, side="right").astype(np.int32))
+    def range_of(page_id: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, page_id.to_numpy(), side="right").astype(np.int32))
 
+    # Pages without an id have ranges of their own behind the others, by digest.
+    part = F.when(F.col("page_id").isNotNull(), range_of(F.coalesce("page_id", F.lit(0))))
+    part = F.coalesce(part, (F.pmod(F.xxhash64("digest"), F.lit(max(1, more))) + len(bounds) + 1).cast("int"))
     ordered = (
-        rows.withColumn("part", range_of("page_id")).repartitionById(len(bounds) + 1, F.col("part"))
+        rows.withColumn("part", part).repartitionById(len(bounds) + 1 + more, F.col("part"))
         .sortWithinPartitions(F.col("page_id").asc_nulls_last(), "digest", F.col("html").isNotNull())
         .select("part", "page_id", "digest", "refers_to", "url", "html")
     )

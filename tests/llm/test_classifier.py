@@ -86,3 +86,17 @@ def test_edge_rows(spark, edges, nothing):
     none = truth.limit(0)
     assert {r["score"] for r in C.classify(edges, none).collect()} == {0.5}
     assert C.classify(nothing, truth).count() == 0
+
+
+def test_one_sample_whatever_the_partitioning(spark):
+    """Several texts and labels under one id: the text with the least hash, the largest label."""
+    rows = [(k % 40, f"text {k} " * (1 + k % 7), "en", "s", 0) for k in range(400)]
+    truth = spark.createDataFrame([(k % 40, k % 2, 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    settings = C.ClassifierSettings(max_bytes=2000)
+    found = set()
+    for parts in (1, 3, 8, 16):
+        frame = spark.createDataFrame(rows, DOCS).repartition(parts, "text")
+        sample = C.training_sample(frame, truth.repartition(parts), settings)
+        assert sum(len(t.encode()) for t, _ in sample) <= 2000
+        found.add(tuple(sample))
+    assert len(found) == 1 and len(next(iter(found))) > 10

@@ -101,3 +101,14 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame(documents(), DOCS)
     text = M.select_mix(df, plan(budget_percent=70))._jdf.queryExecution().toString()
     assert "Python" not in text and "MapInArrow" not in text and "CartesianProduct" not in text
+
+
+def test_columns_named_like_working_ones(spark, edges):
+    names = "__tokens __epoch __whole __u __domain own__u __give".split()
+    frame = edges.withColumns({n: F.col("source") for n in names})
+    plan = M.MixPlan(F.lit("a"), DOMAINS, LANGS, SOURCES, budget_percent=100, max_epochs=2, seed=3)
+    plain = M.mixed_documents(edges, plan)
+    got = M.mixed_documents(frame, plan)
+    assert got.columns == frame.columns
+    assert comparable(got.select(plain.columns).collect()) == comparable(plain.collect())
+    assert got.filter(" or ".join(f"not ({n} <=> source)" for n in names)).count() == 0

@@ -88,3 +88,16 @@ def test_equal_sizes_and_whole_groups(spark):
 def test_settings():
     with pytest.raises(ValueError):
         H.ShardSettings(0)
+
+
+@pytest.mark.parametrize("shared", [None, 7])
+def test_equal_texts_without_ids_of_their_own(spark, shared):
+    """A large group whose rows have no id, or all the same one, is dealt as evenly as any."""
+    rows = [(shared, prose(77, 30), "en", "s", 0) for _ in range(4000)]
+    rows += [(100 + k, prose(k, 30), "en", "s", 0) for k in range(1200)]
+    frame = spark.createDataFrame(rows, DOCS)
+    got = H.assign_shards(frame.repartition(5)).collect()
+    sizes = check(rows, got, 16)
+    assert len(sizes) == 16 and max(sizes.values()) <= 1.05 * min(sizes.values())
+    again = H.assign_shards(frame.repartition(2)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, again), key=repr)

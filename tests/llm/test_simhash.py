@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from blockmill.llm import graph, simhash as S
 from llm_cases import DOCS, edge_rows, prose
@@ -115,3 +116,25 @@ def test_stage_keeps_one_of_each_group(spark, edges, nothing):
     assert S.keep_one_of_each_group(nothing).count() == 0 and S.simhash_groups(nothing).count() == 0
     copies = spark.createDataFrame([(k, prose(1, 50), "en", "s", 1) for k in range(50)], DOCS)
     assert [r["doc_id"] for r in S.keep_one_of_each_group(copies).collect()] == [0]
+
+
+def test_texts_that_share_an_id_stay(spark):
+    """Rows are named by id and text; only near copies go."""
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "t", 1), (2, c, "en", "s", 1), (3, a, "en", "u", 1), (1, a, "en", "s", 1)]
+    frame = spark.createDataFrame(rows, DOCS)
+    names = "__place __id __body own__place root body fp".split()
+    frame = frame.withColumns({n: F.col("source") for n in names})
+    kept = S.keep_one_of_each_group(frame)
+    assert kept.columns == frame.columns
+    assert sorted((r["doc_id"], r["text"], r["__place"], r["own__place"]) for r in kept.collect()) == sorted(
+        [(1, a, "s", "s"), (1, b, "t", "t"), (2, c, "s", "s")])
+
+
+def test_common_fingerprints_take_their_label_in_place(spark, monkeypatch):
+    rows = [(k, prose(k if k % 3 else 0, 40), "en", "s", 1) for k in range(60)] + [(None, prose(0, 40), "en", "s", 1)]
+    frame = spark.createDataFrame(rows, DOCS).repartition(3)
+    want = sorted(map(tuple, S.simhash_groups(frame).collect()), key=repr)
+    for share in (0, 4, 1 << 40):
+        monkeypatch.setattr(S, "HEAVY_SHARE", share)
+        assert sorted(map(tuple, S.simhash_groups(frame).collect()), key=repr) == want

@@ -65,3 +65,12 @@ def test_stage_cuts_the_text(edges, nothing):
     for row in cut.filter("doc_id is not null").collect():
         assert (row["text"] != before[row["doc_id"]]) == (row["doc_id"] in lost)
     assert R.remove_repeats(nothing).count() == R.removal_digests(nothing).count() == 0
+
+
+def test_columns_named_like_working_ones(spark, edges):
+    names = "__spans __doc __body own__doc".split()
+    frame = edges.withColumns({n: edges["source"] for n in names})
+    plain, got = R.remove_repeats(edges), R.remove_repeats(frame)
+    assert got.columns == frame.columns
+    assert comparable(got.select(plain.columns).collect()) == comparable(plain.collect())
+    assert got.filter(" or ".join(f"not ({n} <=> source)" for n in names)).count() == 0

@@ -86,3 +86,28 @@ def test_empty_table(spark, tmp_path):
     folder = str(tmp_path / "w")
     W.write_archives(spark.createDataFrame([], PAGES), folder)
     assert W.read_archives(spark, folder).count() == 0
+
+
+@pytest.mark.parametrize("ids", [
+    [-8 * 10 ** 18, 5, 8 * 10 ** 18], [-(1 << 63), (1 << 63) - 1, 0, -1], [7] * 5,
+])
+def test_ids_of_the_full_range(spark, tmp_path, ids):
+    rows = [(k, f"http://h/{k}", prose(abs(k) % 97, 40)) for k in ids]
+    folder = str(tmp_path / "w")
+    W.write_archives(spark.createDataFrame(rows, PAGES), folder, W.WarcSettings(range_bytes=300))
+    assert comparable(r[:5] for r in W.read_archives(spark, folder).collect()) == comparable(brute(rows))
+
+
+def test_far_ids_and_missing_ids_spread_over_ranges(spark, tmp_path):
+    """One page far away, and many without an id: no range holds much more than it may."""
+    near = [(k, None, prose(k, 30)) for k in range(1500)]
+    for rows in (near, near + [(1 << 62, None, "far")], near[:50] + [(None, None, prose(k, 30)) for k in range(1500)]):
+        frame = spark.createDataFrame(rows, PAGES)
+        settings = W.WarcSettings(range_bytes=10_000)
+        folder = str(tmp_path / str(len(os.listdir(tmp_path))))
+        W.write_archives(frame, folder, settings)
+        held = {}
+        for r in W.read_archives(spark, folder).collect():
+            part = r["file"].split("-")[1]
+            held[part] = held.get(part, 0) + r["payload_bytes"]
+        assert len(held) > 20 and max(held.values()) <= 2 * settings.range_bytes
