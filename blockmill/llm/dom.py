@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 # One piece of markup; text is what lies between two. Quoted attribute values may hold ">".
@@ -35,8 +36,8 @@ _BOUNDS = frozenset("html body div section article main aside nav header footer
 _LIST_BOUNDS = {"li": frozenset(["ul", "ol", "menu"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"]),
                 "tr": frozenset(["table", "thead", "tbody", "tfoot"]), "td": frozenset(["tr", "table"]),
                 "th": frozenset(["tr", "table"])}
-# Elements nested deeper stand beside the one at this depth.
-MAX_DEPTH = 100
+# Block elements nested deeper than this take no part in alignment, which goes down by recursion.
+MAX_ALIGNED = 100
 
 
 @dataclass(slots=True)
@@ -54,11 +55,17 @@ def parse(text: str) -> Node:
     """The tree of a page. Unclosed and stray tags are mended, comments left out."""
     root = Node("#root")
     stack, at, end = [root], 0, len(text)
+    opened: Counter[str] = Counter()  # by tag, of the elements on the stack
 
     def say(piece: str, decode: bool = True) -> None:
         if piece:
             stack[-1].children.append(html.unescape(piece) if decode and "&" in piece else piece)
 
+    def close(first: int) -> None:
+        for node in stack[first:]:
+            opened[node.tag] -= 1
+        del stack[first:]
+
     while at < end:
         mark = _MARK.search(text, at)
         if mark is None:
@@ -71,31 +78,30 @@ def parse(text: str) -> Node:
             continue
         tag = tag.lower()
         if mark["end"] or mark["end2"]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if opened[tag]:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             continue
         closes = _CLOSES.get(tag)
-        if closes:
+        if closes and any(opened[t] for t in closes):
             bounds, cut = _LIST_BOUNDS.get(tag, _BOUNDS), len(stack)
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in bounds:
                     break
                 if stack[k].tag in closes:
                     cut = k
-            del stack[cut:]
+            close(cut)
         attrs = mark["attrs"] or mark["attrs2"] or ""
         node = Node(tag, attrs)
         stack[-1].children.append(node)
         if tag in RAW or tag in RAW_TEXT:
-            close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(text, at)
-            stop = close.start() if close else end
+            ended = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(text, at)
+            stop = ended.start() if ended else end
             if tag in RAW_TEXT:
                 node.children.append(html.unescape(text[at:stop]))
             at = stop
-        elif tag not in VOID and not (attrs.endswith("/") and tag not in BLOCKS) and len(stack) <= MAX_DEPTH:
+        elif tag not in VOID and not (attrs.endswith("/") and tag not in BLOCKS):
             stack.append(node)
+            opened[tag] += 1
     return root
 
 
@@ -191,21 +197,22 @@ class Matcher:
 
 
 def number(root: Node) -> Frame:
-    """Number the block elements and give their tree."""
+    """Number the block elements and give the tree of those near enough to the root."""
     top, count = Frame("#root", [], 0), 1
-    work = [(root, top)]
+    work = [(root, top, 0)]
     while work:
-        node, frame = work.pop()
+        node, frame, depth = work.pop()
         for child in node.children:
             if isinstance(child, str):
                 continue
             if child.tag in BLOCKS:
                 child.index, inner = count, Frame(child.tag, [], count)
                 count += 1
-                frame.children.append(inner)
-                work.append((child, inner))
+                if depth < MAX_ALIGNED:
+                    frame.children.append(inner)
+                work.append((child, inner, depth + 1))
             else:
-                work.append((child, frame))
+                work.append((child, frame, depth))
     return top
 
 

@@ -11,7 +11,9 @@ What varies is not always the article, so the tree is read with the meaning of i
 
 * ``nav``, ``footer``, ``aside``, ``form``, scripts, styles and the like, hidden elements,
   and elements whose class, id or role names a menu, notice, advert, comment and so on are no
-  content; a ``header`` is none outside an article;
+  content; a ``header`` is none outside an article. Inside an article only frames go by
+  name: its paragraphs, headings, list items and tables are content whatever they are
+  called;
 * the article is the longest ``article``, else ``main``, else an element whose class or id says
   so and which holds most of the text, else the whole body; of a whole body blocks that
   are mostly links are left out.
@@ -38,7 +40,7 @@ from blockmill.session import stored
 
 # Elements that hold no article text.
 NO_CONTENT = frozenset(
-    "head script style noscript template svg math iframe object canvas audio video nav footer aside form "
+    "head script style noscript template svg iframe object canvas audio video nav footer aside form "
     "button select textarea input dialog menu title map noembed noframes xmp search fieldset".split()
 )
 # Words in class, id and role that name something beside the article.
@@ -52,6 +54,8 @@ BESIDE = frozenset(
     "announcement announcements donate paywall topbar".split()
 )
 HEADERS = frozenset(["header", "banner"])
+# Elements that frame other content; inside an article no others go by name.
+FRAMES = frozenset("div section article main ul ol dl details summary header center hgroup address".split())
 # Words in class and id that name the article of a page without article or main.
 CONTENT = frozenset("article post entry story content main".split())
 
@@ -77,8 +81,10 @@ def _skipped(node: dom.Node, inside: bool) -> bool:
     style = attrs.get("style", "").replace(" ", "").lower()
     if "display:none" in style or "visibility:hidden" in style:
         return True
-    said = _said(attrs)
-    named = bool(said & BESIDE) or (not inside and bool(said & HEADERS))
+    if inside:
+        # "related" is a frame of links; a paragraph that is called so is text.
+        return node.tag in FRAMES and bool(_said(attrs) & BESIDE) and not _holds_article(node)
+    named = bool(_said(attrs) & (BESIDE | HEADERS))
     # A frame round the article may be called after something else that it holds.
     return named and not _holds_article(node)
 
@@ -116,30 +122,32 @@ def text_blocks(top: dom.Node, inside: bool) -> list[Block]:
     """Runs of text below an element, each with the block element that it stands in."""
     done: list[Block] = []
 
-    def walk(node: dom.Node, owner: int, inside: bool, link: bool) -> None:
-        for child in node.children:
-            if isinstance(child, str):
-                if done[-1].index != owner:
-                    done.append(Block(owner, []))
-                block, size = done[-1], len(child.strip())
-                block.pieces.append(child)
-                block.chars += size
-                block.link_chars += size if link else 0
-            elif child.tag in ("br", "wbr"):
-                done[-1].pieces.append(" " if child.tag == "br" else "")
-            elif not _skipped(child, inside):
-                within = inside or child.tag in ("article", "main")
-                if child.tag in dom.BLOCKS:
-                    done.append(Block(child.index, []))
-                    walk(child, child.index, within, link)
-                    done.append(Block(owner, []))
-                else:
-                    walk(child, owner, within, link or child.tag == "a")
-            elif child.tag in dom.BLOCKS:
-                done.append(Block(owner, []))
-
     done.append(Block(top.index, []))
-    walk(top, top.index, inside, False)
+    # Elements that are open, each with the children that are still to come.
+    work = [(iter(top.children), top.index, inside, False)]
+    while work:
+        children, owner, within, link = work[-1]
+        child = next(children, None)
+        if child is None:
+            work.pop()
+            if work and work[-1][1] != owner:
+                done.append(Block(work[-1][1], []))
+        elif isinstance(child, str):
+            block, size = done[-1], len(child.strip())
+            block.pieces.append(child)
+            block.chars += size
+            block.link_chars += size if link else 0
+        elif child.tag in ("br", "wbr"):
+            done[-1].pieces.append(" " if child.tag == "br" else "")
+        elif not _skipped(child, within):
+            inner = within or child.tag in ("article", "main")
+            if child.tag in dom.BLOCKS:
+                done.append(Block(child.index, []))
+                work.append((iter(child.children), child.index, inner, link))
+            else:
+                work.append((iter(child.children), owner, inner, link or child.tag == "a"))
+        elif child.tag in dom.BLOCKS:
+            done.append(Block(owner, []))
     return [b for b in done if b.chars]
 
 

@@ -110,3 +110,17 @@ def test_edge_rows(spark):
             (None, "http://a/", "n", 1), (4, "http://a/", prose(1, 20_000), len(prose(1, 20_000)))]
     assert got == sorted(want, key=repr)
     assert H.extract_articles(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_paragraphs_of_an_article_stay_whatever_they_are_called():
+    names = ["class=side-note", "class=discussion", "class=related", "class=feedback-loop", "id=alert-levels"]
+    page = "<body><p class=related>links</p><article>" + "".join(f"<p {n}>{n}</p>" for n in names)
+    page += "<h2 class=notice>h</h2><blockquote class=comment>q</blockquote><p>x <math>a+b</math></p>"
+    page += "<div class=related>more</div><ul class=share><li>s</li></ul></article>"
+    assert text_of(page) == [*names, "h", "q", "x a+b"]
+
+
+@pytest.mark.parametrize("depth", [50, 101, 200, 20_000])
+def test_rules_hold_at_any_depth(depth):
+    inner = "<nav>menu</nav><article><p>text</p></article><div class=comments>bad</div>"
+    assert text_of("<body>" + "<div>" * depth + inner + "</div>" * depth + "<footer>f</footer>") == ["text"]
