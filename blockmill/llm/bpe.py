@@ -33,6 +33,7 @@ import re
 from dataclasses import dataclass
 from functools import lru_cache
 
+import ahocorasick
 from pyspark.sql import DataFrame
 
 from blockmill.llm.texts import WordTable, map_rows
@@ -94,11 +95,11 @@ class Transducer:
                     self._token.append(None)
                 node = after
             self._token[node] = rank
-        # The same trie for walks: a node is its children and its token.
-        self._tree: list = [None] * len(self._children)
-        for node in range(len(self._children) - 1, -1, -1):
-            below = {byte: self._tree[child] for byte, child in self._children[node].items()}
-            self._tree[node] = (below, self._token[node])
+        # Tokens by their last byte, for pieces that are walked.
+        self._ends = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            self._ends.add_word(token.decode("latin-1"), (rank, len(token)))
+        self._ends.make_automaton()
         self._fits: dict[tuple[int, int], bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._spines: tuple[dict[int, list[int]], dict[int, list[int]]] = ({}, {})
@@ -201,40 +202,29 @@ class Transducer:
         move = self._moves[at << 8 | byte] = (number, settled) if settled else number
         return move
 
-    def _walk(self, state: tuple, rest: bytes) -> list[int]:
-        """The tokens from the last one sent to the end of the piece, without keeping states.
+    def _walk(self, piece: bytes) -> list[int]:
+        """The tokens of a piece without keeping states.
 
-        The same step as ``_move``; a path is a chain of (path before, token).
+        The same relation as ``_move``, one prefix after the other: its last token is the
+        longest one that ends it and fits the last token of what stands before.
         """
-        fits, root = self._fits.get, self._tree[0]
-        sent, paths, nodes = state
-        starts = []
-        for path, node in zip(paths, nodes):
-            chain = (None, sent)
-            for token in path:
-                chain = (chain, token)
-            starts.append((chain, self._tree[node]))
-        for byte in rest:
-            found, opened = None, []
-            for start in starts:
-                after = start[1][0].get(byte)
-                if after is None:
-                    continue
-                chain, token = start[0], after[1]
-                if found is None and token is not None:
-                    fit = fits((chain[1], token))
-                    if fit is None:
-                        fit = self._fit(chain[1], token)
-                    if fit:
-                        found = (chain, token)
-                if after[0]:
-                    opened.append((chain, after))
-            opened.append((found, root))
-            starts = opened
-        out, chain = [], starts[-1][0]
-        while chain[0] is not None:
-            chain, token = chain
+        last: list[int | None] = [-1, *[None] * len(piece)]
+        fits, fit_of = self._fits.get, self._fit
+        # Of the tokens that end at a byte the longest come first.
+        for end, (token, size) in self._ends.iter(piece.decode("latin-1")):
+            end += 1
+            if last[end] is None:
+                left = last[end - size]
+                fit = fits((left, token))
+                if fit is None:
+                    fit = fit_of(left, token)
+                if fit:
+                    last[end] = token
+        out, at = [], len(piece)
+        while at:
+            token = last[at]
             out.append(token)
+            at -= len(self.bytes_of[token])
         return out[::-1]
 
     def encode(self, piece: bytes) -> list[int]:
@@ -243,12 +233,12 @@ class Transducer:
             return [whole]
         out: list[int] = []
         at, find, more = 0, self._moves.get, len(self._states) < self._max_states
-        for k, byte in enumerate(piece):
+        for byte in piece:
             move = find(at << 8 | byte)
             if move is None:
                 if not more:
                     # The table is full: what it does not know is worked out and forgotten.
-                    return out + self._walk(self._states[at], piece[k:])
+                    return self._walk(piece)
                 move = self._learn(at, byte)
             if type(move) is int:
                 at = move
