@@ -49,10 +49,10 @@ class BpeSettings:
 
     rank_file: str
     pattern: str
-    chunks: int = 200_000
-    pieces: int = 200_000
+    chunks: int = 400_000
+    pieces: int = 300_000
     states: int = 60_000
-    pairs: int = 200_000
+    pairs: int = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -100,7 +100,8 @@ class Transducer:
         for token, rank in ranks.items():
             self._ends.add_word(token.decode("latin-1"), (rank, len(token)))
         self._ends.make_automaton()
-        self._fits: dict[tuple[int, int], bool] = {}
+        # By left token << 32 | right token.
+        self._fits: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._spines: tuple[dict[int, list[int]], dict[int, list[int]]] = ({}, {})
         # A state: the last token sent (-1: none), and for each place where a further token
@@ -141,14 +142,15 @@ class Transducer:
         ranks: they fit if no pair at the seam would be merged before one of its
         members is merged into its own token.
         """
-        known = self._fits.get((left, right))
+        key = left << 32 | right
+        known = self._fits.get(key)
         if known is None:
             if len(self._fits) >= self._max_pairs:
                 self._fits.clear()
             known = self._is_whole(right) and (
                 left < 0 or self._seam_holds(self._spine(left, 1), self._spine(right, 0))
             )
-            self._fits[left, right] = known
+            self._fits[key] = known
         return known
 
     def _seam_holds(self, ends: list[int], begins: list[int]) -> bool:
@@ -215,7 +217,7 @@ class Transducer:
             end += 1
             if last[end] is None:
                 left = last[end - size]
-                fit = fits((left, token))
+                fit = fits(left << 32 | token)
                 if fit is None:
                     fit = fit_of(left, token)
                 if fit:
@@ -397,11 +399,12 @@ def encode_and_decode(docs: DataFrame, settings: BpeSettings | None = None, ids:
     def make():
         encoder = shared_encoder(settings)
         decoder = StreamDecoder(encoder.transducer.bytes_of)
+        digits = {token: str(token) for token in encoder.transducer.bytes_of}.__getitem__
 
         def rows(doc_ids, texts):
             for doc_id, found in zip(doc_ids, encoder(texts)):
                 text = decoder.feed(found) + decoder.finish()
-                row = (doc_id, len(found), _digest(",".join(map(str, found)).encode()), _digest(text.encode("utf-8")))
+                row = (doc_id, len(found), _digest(",".join(map(digits, found)).encode()), _digest(text.encode("utf-8")))
                 yield (*row, found) if ids else row
 
         return rows
