@@ -1,32 +1,40 @@
 """I-Match fingerprints: hashes of the telling terms of a text, under several lexicons.
 
 Terms are words in lower case (A-Z) without punctuation at their ends. A term counts
-if its document frequency lies in a band: met in at least ``min_docs`` documents, and in at
-most ``max_share`` of them. The distinct terms that are left are put in order of their hash
-and hashed under randomised lexicons, each of which knows only a part of all terms. A
-lexicon's hash changes only if one of its own terms comes or goes, so small edits leave
-most hashes as they are. Lexicons come in ``salts`` random orders and several sizes:
-small ones suit long texts, large ones short texts. The smallest know one term in 2^31,
-more than a string can hold, so no text is too long.
-
-A fingerprint is the hashes of all lexicons, size after size; a lexicon that knows no
-term of the text has 00. A text with fewer than ``min_terms`` terms in the band uses all its
-terms. The likeness of two fingerprints is 1 if they are equal, else the share of equal
+if its inverse document frequency lies in a band: met in at least ``min_docs`` documents and
+in a share of them from ``min_share`` to ``max_share``. The distinct terms that are left are
+sorted (by their 64-bit hash) and hashed in that order under randomised lexicons, each of which
+knows only a part of all terms. A lexicon's hash changes only if one of its own terms comes
+or goes, so small edits leave most hashes as they are. Lexicons come in ``salts`` random
+orders and several sizes: small ones suit long texts, large ones short texts. The smallest
+know one term in 2^31, more than a string can hold, so no text is too long. Lexicons that
+are expected to know more than ``largest`` terms of a text are left out for it: any change
+of the text would break them, and no likeness reads them.
+
+A fingerprint is the 32-bit hashes of the lexicons, size after size, behind the number of the
+first size with a hash; a lexicon that knows no term of the text has zero. A text
+with fewer than ``min_terms`` terms in the band uses all its terms. The likeness of two
+fingerprints is 1 if they are equal, else the share of equal
 hashes among the smallest lexicons of which enough know a term of either text.
 
 Document frequencies are counted over all documents, by the 64-bit hash of a term. A task
 counts about 2^``slot_bits`` distinct terms at a time and sends on what it has counted. The
 sorted hashes of the terms in the band go to the tasks, 8 bytes each, and say exactly which
-terms count; a term that no document has (cut in two by an edit) does not.
-
-Null text: as empty; texts without terms have equal fingerprints of zeros. Null
-``doc_id``: after all others. Repeated rows follow one another. Further columns are not read.
+terms count; a term that no document has (cut in two by an edit) does not. Frequencies add
+up to the documents times the mean number m of distinct terms in one, so at most
+m / ``min_share`` terms are in the band, however many documents there are.
+
+Null text: as empty; texts without terms have equal fingerprints. Null
+``doc_id``: after all others. Rows that share an id, or have none, follow one another by the
+hash of their text, and are dealt out by it where they fill several ranges; equal rows stay
+together. Further columns are not read.
 An empty table gives an empty table; the only document of a table is its own next.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -41,28 +49,27 @@ from blockmill.llm.texts import WordTable, map_rows, rows_of
 EDGES = b".,;:!?()[]{}\"'|-*#$%&<>/\\"
 LAST = (1 << 63) - 1
 _CHUNK = 1 << 18
+# Bytes of text turned into Python objects at a time, and draws made at a time.
+_MAX_BYTES, _MAX_DRAWS = 1 << 24, 1 << 20
+_MAX_HASH = (1 << 32) - 1
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
 @dataclass(frozen=True)
 class IMatchSettings:
     min_docs: int = 2
+    min_share: float = 2.0**-15
     max_share: float = 0.1
     slot_bits: int = 22
     salts: int = 32
     sizes: tuple[int, ...] = tuple(range(1, 32, 2))
     min_terms: int = 5
+    largest: int = 16
     enough: float = 0.5
     cached_words: int = 400_000
     seed: int = 1234
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * _A
-    x = (x ^ (x >> np.uint64(33))) * _B
-    return x ^ (x >> np.uint64(33))
-
-
 @lru_cache(maxsize=2)
 def shared_terms(cached_words: int) -> "Terms":
     """One table for all tasks of a worker process."""
@@ -89,6 +96,11 @@ class Terms:
         self._table.learn(found)
         return [np.unique(self._table.values(self._table.numbers(f))[0]).view(np.uint64) for f in found]
 
+    def of_known(self, raw: bytes) -> np.ndarray:
+        """The same for one text made of others; words cut by the edit are not kept."""
+        numbers, new = self._table.look_up(raw.lower().split())
+        return np.unique(np.concatenate([self._table.values(numbers)[0], self._hash(new)[0]])).view(np.uint64)
+
 
 class Printer:
     """Fingerprints of sorted term hashes, and their likeness."""
@@ -105,34 +117,55 @@ class Printer:
         return terms[self._lexicon[at] == terms]
 
     def __call__(self, terms: np.ndarray) -> np.ndarray:
-        """One byte for each lexicon, sizes by salts."""
+        """A hash for each lexicon, sizes by salts."""
+        from xxhash import xxh32_intdigest
+
         s = self._settings
         band = self._in_band(terms)
         if len(band) < s.min_terms:
             band = terms
-        out = np.zeros((len(s.sizes), s.salts), np.uint8)
+        out = np.zeros((len(s.sizes), s.salts), np.uint32)
         if not len(band):
             return out
-        draw = (band[None, :] ^ self._salts) * _A
-        draw ^= draw >> np.uint64(32)
-        draw *= _B
+        first = 0
+        while first + 1 < len(s.sizes) and len(band) > s.largest << s.sizes[first]:
+            first += 1
         # A lexicon of size k knows the terms whose draw begins with k zero bits, so
-        # each is a part of the one before. The sum of mixed draws does not depend on
-        # the terms' order and stands for the hash of the sorted terms.
-        known = draw < np.uint64(1 << (64 - s.sizes[0]))
-        salt, value = np.nonzero(known)[0], draw[known]
-        for k, size in enumerate(s.sizes):
-            if k:
-                inside = value < np.uint64(1 << (64 - size))
-                salt, value = salt[inside], value[inside]
-            if not len(value):
+        # each is a part of the one before.
+        salt, value, at = self._drawn(band, s.sizes[first])
+        term = band[at]
+        for k in range(first, len(s.sizes)):
+            if k > first:
+                inside = value < np.uint64(1 << (64 - s.sizes[k]))
+                salt, value, term = salt[inside], value[inside], term[inside]
+            if not len(salt):
                 break
-            total = np.zeros(s.salts, np.uint64)
-            np.add.at(total, salt, value)
-            any_known = np.bincount(salt, minlength=s.salts) > 0
-            out[k] = np.where(any_known, 1 + _mixed(total) % np.uint64(255), 0)
+            raw, starts = term.tobytes(), np.flatnonzero(np.diff(salt, prepend=-1))
+            ends = [*(8 * starts[1:]).tolist(), len(raw)]
+            out[k, salt[starts]] = [
+                1 + xxh32_intdigest(raw[a:b]) % _MAX_HASH for a, b in zip((8 * starts).tolist(), ends)
+            ]
         return out
 
+    def _drawn(self, band: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Salt, draw and term of what the lexicons of a size know, by salt, then as the terms stand."""
+        step, found = max(1, _MAX_DRAWS // len(band)), []
+        for start in range(0, len(self._salts), step):
+            draw = (band[None, :] ^ self._salts[start: start + step]) * _A
+            draw ^= draw >> np.uint64(32)
+            draw *= _B
+            salt, at = np.nonzero(draw < np.uint64(1 << (64 - size)))
+            found.append((salt + start, draw[salt, at], at))
+        return tuple(map(np.concatenate, zip(*found)))
+
+    @staticmethod
+    def text(found: np.ndarray) -> str:
+        """The fingerprint as a string: number of the first size with a hash, then all hashes."""
+        held = np.flatnonzero(found.any(axis=1))
+        if not len(held):
+            return "00"
+        return f"{held[0]:02x}" + found[held[0]: held[-1] + 1].astype(">u4").tobytes().hex()
+
     def likeness(self, a: np.ndarray, b: np.ndarray) -> float:
         if np.array_equal(a, b):
             return 1.0
@@ -166,7 +199,7 @@ def document_frequency_table(docs: DataFrame, settings: IMatchSettings) -> np.nd
                     [pa.array(values[part].view(np.int64)), pa.array(sums[part])], names=["term", "n"]
                 )
 
-        for (texts,) in rows_of(batches):
+        for (texts,) in rows_of(batches, _MAX_BYTES):
             for t in terms([(x or "").encode("utf-8") for x in texts]):
                 met.append(t)
                 n_met += len(t)
@@ -179,9 +212,11 @@ def document_frequency_table(docs: DataFrame, settings: IMatchSettings) -> np.nd
         values, sums = merged()
         yield from sent()
 
-    most = max(settings.min_docs, int(settings.max_share * docs.count()))
+    n_docs = docs.count()
+    most = max(settings.min_docs, int(settings.max_share * n_docs))
+    least = max(settings.min_docs, math.ceil(settings.min_share * n_docs))
     counts = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    band = counts.filter(F.col("n").between(settings.min_docs, most)).select("term").toArrow()
+    band = counts.filter(F.col("n").between(least, most)).select("term").toArrow()
     return np.sort(band["term"].to_numpy().view(np.uint64))
 
 
@@ -192,41 +227,52 @@ def in_order_with_next(docs: DataFrame, parts: int) -> DataFrame:
     The text is shuffled once. The ranges come from approximate quantiles; which rows a
     range holds does not change what comes next to what.
     """
-    ids = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "doc_id", "text")
+    ids = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "doc_id", "text", F.xxhash64("text").alias("h"))
     steps = [k / parts for k in range(1, parts)]
-    bounds = np.unique(np.array(ids.approxQuantile("doc", steps, max(0.2 / parts, 1e-4)) if parts > 1 else [], np.float64))
-    bounds = bounds.astype(np.int64)
+    found = ids.approxQuantile("doc", steps, max(0.2 / parts, 1e-4)) if parts > 1 else []
+    # Doubles next to the ends of a long stand for the ends.
+    marks = np.array([LAST if q >= float(LAST) else int(q) for q in found], np.int64)
+    marks, fill = np.unique(marks, return_counts=True)
+    before_mark = np.cumsum(fill) - fill
 
     @F.pandas_udf("int")
-    def part_of(doc):
-        return pd.Series(np.searchsorted(bounds, doc.to_numpy(), side="right").astype(np.int32))
-
-    ranged = ids.withColumn("part", part_of("doc"))
+    def part_of(doc, h):
+        """Ranges of ids; an id that fills several is cut by the hash of its texts."""
+        doc, share = doc.to_numpy(), h.to_numpy() / 2.0**64 + 0.5
+        if not len(marks):
+            return pd.Series(np.zeros(len(doc), np.int32))
+        at = np.searchsorted(marks, doc, side="right") - 1
+        own = np.maximum(at, 0)
+        inside = 1 + np.minimum(fill[own] - 1, (share * fill[own]).astype(np.int64))
+        part = before_mark[own] + np.where(marks[own] == doc, inside, fill[own])
+        return pd.Series(np.where(at < 0, 0, part).astype(np.int32))
+
+    ranged = ids.withColumn("part", part_of("doc", "h"))
     # One row for each range.
-    first = dict(map(tuple, ranged.groupBy("part").agg(F.min("doc")).collect()))
+    first = {p: (d, h) for p, (d, h) in ranged.groupBy("part").agg(F.min(F.struct("doc", "h"))).collect()}
     if not first:
         return ranged.withColumn("guest", F.lit(0)).select("doc", "doc_id", "part", "guest", "text")
     order = sorted(first)
-    begins = np.array([first[p] for p in order], np.int64)
-    before = np.array([order[k - 1] for k in range(len(order))], np.int32)
+    begins = np.zeros((2, order[-1] + 1), np.int64)
+    before = np.zeros(order[-1] + 1, np.int32)
+    begins[:, order] = np.array([first[p] for p in order], np.int64).T
+    before[order] = [order[k - 1] for k in range(len(order))]
 
     @F.pandas_udf("int")
-    def host_of(doc):
-        values = doc.to_numpy()
-        at = np.minimum(np.searchsorted(begins, values), len(begins) - 1)
-        return pd.Series(np.where(begins[at] == values, before[at], -1).astype(np.int32))
+    def host_of(part, doc, h):
+        part = part.to_numpy()
+        leads = (begins[0, part] == doc.to_numpy()) & (begins[1, part] == h.to_numpy())
+        return pd.Series(np.where(leads, before[part], -1).astype(np.int32))
 
-    host = host_of("doc")
+    host = host_of("part", "doc", "h")
     home = F.struct(F.col("part"), F.lit(0).alias("guest"))
     places = F.when(host < 0, F.array(home)).otherwise(
         F.array(home, F.struct(host.alias("part"), F.lit(1).alias("guest")))
     )
     sent = ranged.withColumn("place", F.explode(places)).select(
-        "doc", "doc_id", "place.part", "place.guest", "text"
-    )
-    return sent.repartitionById(parts, F.col("part")).sortWithinPartitions(
-        "guest", "doc", F.xxhash64("text")
+        "doc", "doc_id", "h", "place.part", "place.guest", "text"
     )
+    return sent.repartitionById(parts, F.col("part")).sortWithinPartitions("guest", "doc", "h")
 
 
 OUT = T.StructType([
@@ -260,14 +306,14 @@ def fingerprints_with_next(docs: DataFrame, settings: IMatchSettings = IMatchSet
             doc_id, text, own = held
             changed = edited(text, after_text)
             raw = changed.encode("utf-8")
-            other = printer(terms([raw])[0])
+            other = printer(terms.of_known(raw))
             return (
-                doc_id, len(text), hashlib.sha256(raw).hexdigest(), own.tobytes().hex(), other.tobytes().hex(),
+                doc_id, len(text), hashlib.sha256(raw).hexdigest(), printer.text(own), printer.text(other),
                 printer.likeness(own, other), printer.likeness(own, after_print),
             )
 
         done = False
-        for doc_ids, guests, texts in rows_of(batches):
+        for doc_ids, guests, texts in rows_of(batches, _MAX_BYTES):
             texts = [t or "" for t in texts]
             prints = map(printer, terms([t.encode("utf-8") for t in texts]))
             out = []
@@ -293,8 +339,8 @@ def imatch_fingerprints(docs: DataFrame, settings: IMatchSettings = IMatchSettin
 
         def rows(doc_ids, texts):
             found = terms([(t or "").encode("utf-8") for t in texts])
-            return [(d, printer(f).tobytes().hex()) for d, f in zip(doc_ids, found)]
+            return [(d, printer.text(printer(f))) for d, f in zip(doc_ids, found)]
 
         return rows
 
-    return map_rows(docs, ["doc_id", "text"], "doc_id long, fingerprint string", make)
+    return map_rows(docs, ["doc_id", "text"], "doc_id long, fingerprint string", make, _MAX_BYTES)

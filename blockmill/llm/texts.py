@@ -8,7 +8,7 @@ is the empty text everywhere in this package.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -152,6 +152,11 @@ class WordTable:
     def numbers(self, tokens: list) -> np.ndarray:
         return np.fromiter(map(self._number.__getitem__, tokens), np.int64, len(tokens))
 
+    def look_up(self, tokens: list) -> tuple[np.ndarray, list]:
+        """Numbers of the words that are known, and the other words."""
+        found = np.fromiter(map(self._number.get, tokens, repeat(-1)), np.int64, len(tokens))
+        return found[found >= 0], [tokens[k] for k in np.flatnonzero(found < 0)]
+
     def values(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The lists of these words, one after another, and how long each is."""
         first = self._starts[numbers]

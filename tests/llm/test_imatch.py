@@ -102,3 +102,73 @@ def test_band_holds_whatever_the_number_of_terms(spark):
             for k, text in rows[::13]:
                 want = terms([" ".join(f"two{k // 2}x{n}" for n in range(9)).encode()])[0]
                 assert printer._in_band(terms([text.encode()])[0]).tolist() == want.tolist()
+
+
+def test_fingerprint_equals_brute_force():
+    """Draws, sorted lexicons and likeness in plain Python."""
+    import xxhash
+
+    rng = np.random.default_rng(9)
+    settings = I.IMatchSettings(salts=8, min_terms=1)
+    salts = np.random.default_rng(settings.seed).integers(0, 1 << 63, (8, 1), dtype=np.uint64)[:, 0].tolist()
+    mask = (1 << 64) - 1
+
+    def draw(term, salt):
+        x = (term ^ salt) * int(I._A) & mask
+        return (x ^ x >> 32) * int(I._B) & mask
+
+    def brute(terms):
+        out = []
+        for size in settings.sizes:
+            known = [[t for t in terms if draw(t, s) < 1 << 64 - size] for s in salts]
+            large = len(terms) > 16 << size
+            out.append([
+                1 + xxhash.xxh32_intdigest(b"".join(t.to_bytes(8, "little") for t in k)) % ((1 << 32) - 1)
+                if k and not large else 0 for k in known
+            ])
+        return out
+
+    found = []
+    for n in (1, 4, 30, 33, 200, 900):
+        lexicon = np.sort(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        outside = rng.integers(0, 1 << 63, 50, dtype=np.uint64)
+        printer = I.Printer(lexicon, settings)
+        got = printer(np.sort(np.concatenate([lexicon, outside])))
+        assert got.tolist() == brute(lexicon.tolist())
+        found.append((printer, lexicon, got))
+    printer, lexicon, own = found[-1]
+    other = printer(lexicon[90:])
+    for a, b in ((own, other), (own, found[2][2]), (found[0][2], found[1][2]), (own, own)):
+        rows = [[(x, y) for x, y in zip(*r) if x or y] for r in zip(a.tolist(), b.tolist())]
+        enough = [r for r in rows if len(r) >= 4]
+        level = enough[-1] if enough else rows[0]
+        want = 1.0 if a.tolist() == b.tolist() else sum(x == y for x, y in level) / max(1, len(level))
+        assert printer.likeness(a, b) == want
+
+
+def test_rare_share_bounds_the_band(spark):
+    rows = [(k, f"pair{k // 2} four{k // 4} eight{k // 8}") for k in range(64)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = [len(I.document_frequency_table(frame, I.IMatchSettings(min_share=s, max_share=0.5))) for s in (0, 4 / 64, 5 / 64)]
+    assert sizes == [32 + 16 + 8, 16 + 8, 8]
+    assert sizes[1] <= 3 / (4 / 64)  # mean terms of a document by the least share
+
+
+def test_rows_without_id_are_spread(spark):
+    """Null and repeated ids fill several ranges; the order is by text hash within an id."""
+    rows = [(None if k % 3 else 7 if k % 2 else k, prose(k, 25)) for k in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    dealt = I.in_order_with_next(frame, 8).groupBy("part").count().collect()
+    assert len(dealt) >= 6 and max(r["count"] for r in dealt) <= 2.5 * 600 / 8
+    hashed = frame.selectExpr("coalesce(doc_id, 9223372036854775807) AS doc", "xxhash64(text) AS h", "text").collect()
+    texts = [r["text"] for r in sorted(hashed, key=lambda r: (r["doc"], r["h"]))]
+    want = sorted(
+        hashlib.sha256(I.edited(t, texts[(k + 1) % len(texts)]).encode()).hexdigest() for k, t in enumerate(texts)
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (1, 8):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            assert sorted(r["edited_sha256"] for r in I.fingerprints_with_next(frame).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
