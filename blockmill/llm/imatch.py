@@ -35,8 +35,8 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -44,13 +44,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from blockmill.llm.texts import WordTable, map_rows, rows_of
+from blockmill.llm.texts import SPACES, map_rows, rows_of
 
 EDGES = b".,;:!?()[]{}\"'|-*#$%&<>/\\"
 LAST = (1 << 63) - 1
 _CHUNK = 1 << 18
 # Bytes of text turned into Python objects at a time, and draws made at a time.
-_MAX_BYTES, _MAX_DRAWS = 1 << 24, 1 << 20
+_MAX_BYTES, _MAX_DRAWS = 1 << 22, 1 << 20
 _MAX_HASH = (1 << 32) - 1
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -64,42 +64,72 @@ class IMatchSettings:
     salts: int = 32
     sizes: tuple[int, ...] = tuple(range(1, 32, 2))
     min_terms: int = 5
-    largest: int = 16
+    largest: int = 8
     enough: float = 0.5
-    cached_words: int = 400_000
     seed: int = 1234
 
 
-@lru_cache(maxsize=2)
-def shared_terms(cached_words: int) -> "Terms":
-    """One table for all tasks of a worker process."""
-    return Terms(cached_words)
+def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Kind of each byte (0: inside a term, 1: edge, 2: white space), and its random value, A as a."""
+    kind = np.zeros(256, np.uint8)
+    kind[list(EDGES)], kind[list(SPACES.encode())] = 1, 2
+    value = np.random.default_rng(1).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    value[ord("A"): ord("Z") + 1] = value[ord("a"): ord("z") + 1]
+    return kind, value
 
 
-class Terms:
-    """Sorted distinct term hashes of texts."""
+_KIND, _VALUE = _byte_tables()
+_SPACE = re.compile(rb"[ \t-\r]")
 
-    def __init__(self, cached_words: int):
-        self._table = WordTable(self._hash, cached_words)
 
-    @staticmethod
-    def _hash(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        import xxhash
+class Terms:
+    """Sorted distinct term hashes of texts, worked out over all bytes of many texts at once.
 
-        terms = [w.strip(EDGES) for w in words]
-        some = np.fromiter(map(len, terms), np.int64, len(terms)) > 0
-        values = np.fromiter(map(xxhash.xxh64_intdigest, terms), np.uint64, len(terms))
-        return values[some].view(np.int64), some.astype(np.int64)
+    A term's hash is the sum of its bytes' values times the powers of an odd number, modulo
+    2^64, mixed. Texts are taken in pieces of about ``piece`` bytes, cut at white space.
+    """
 
-    def __call__(self, raws: list[bytes]) -> list[np.ndarray]:
-        found = [r.lower().split() for r in raws]
-        self._table.learn(found)
-        return [np.unique(self._table.values(self._table.numbers(f))[0]).view(np.uint64) for f in found]
+    def __init__(self, piece: int = 1 << 20):
+        self._piece = piece
+        self._powers = np.ones(1, np.uint64)
+
+    def _powers_to(self, n: int) -> np.ndarray:
+        if n > len(self._powers):
+            factors = np.full(2 * n, _A, np.uint64)
+            factors[0] = 1
+            self._powers = np.multiply.accumulate(factors)
+        return self._powers
+
+    def _hash(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and first byte of each term, in order."""
+        data = np.frombuffer(raw, np.uint8)
+        kind = _KIND[data]
+        core = np.flatnonzero(kind == 0)
+        if not len(core):
+            return np.zeros(0, np.uint64), core
+        word = np.cumsum(kind == 2, dtype=np.int32)[core]
+        new = np.flatnonzero(word[1:] != word[:-1])
+        first, last = core[np.append(0, new + 1)], core[np.append(new, len(core) - 1)]
+        size = last + 1 - first
+        begin = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) - np.repeat(begin, size)
+        value = _VALUE[data[np.repeat(first, size) + place]] * self._powers_to(int(size.max()))[place]
+        found = np.add.reduceat(value, begin)
+        found = (found ^ (found >> np.uint64(33))) * _B
+        found = (found ^ (found >> np.uint64(33))) * _A
+        return found ^ (found >> np.uint64(33)), first
 
-    def of_known(self, raw: bytes) -> np.ndarray:
-        """The same for one text made of others; words cut by the edit are not kept."""
-        numbers, new = self._table.look_up(raw.lower().split())
-        return np.unique(np.concatenate([self._table.values(numbers)[0], self._hash(new)[0]])).view(np.uint64)
+    def __call__(self, raws: list[bytes]) -> list[np.ndarray]:
+        joined, start, found = b"\n".join(raws), 0, []
+        while start < len(joined) or not found:
+            cut = _SPACE.search(joined, start + self._piece)
+            end = cut.start() if cut else len(joined)
+            values, first = self._hash(joined[start:end])
+            found.append((values, first + start))
+            start = end + 1
+        values, first = map(np.concatenate, zip(*found))
+        ends = np.cumsum([len(r) + 1 for r in raws])
+        return [np.unique(v) for v in np.split(values, np.searchsorted(first, ends[:-1]))] if raws else []
 
 
 class Printer:
@@ -140,7 +170,7 @@ class Printer:
                 salt, value, term = salt[inside], value[inside], term[inside]
             if not len(salt):
                 break
-            raw, starts = term.tobytes(), np.flatnonzero(np.diff(salt, prepend=-1))
+            raw, starts = term.tobytes(), np.append(0, np.flatnonzero(salt[1:] != salt[:-1]) + 1)
             ends = [*(8 * starts[1:]).tolist(), len(raw)]
             out[k, salt[starts]] = [
                 1 + xxh32_intdigest(raw[a:b]) % _MAX_HASH for a, b in zip((8 * starts).tolist(), ends)
@@ -182,7 +212,7 @@ def document_frequency_table(docs: DataFrame, settings: IMatchSettings) -> np.nd
     size = 1 << settings.slot_bits
 
     def count(batches):
-        terms = shared_terms(settings.cached_words)
+        terms = Terms()
         values, sums, met, n_met = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
 
         def merged():
@@ -299,29 +329,26 @@ def fingerprints_with_next(docs: DataFrame, settings: IMatchSettings = IMatchSet
     arrow = to_arrow_schema(OUT)
 
     def run(batches):
-        terms, printer = shared_terms(settings.cached_words), Printer(table.value, settings)
-        held = None  # (doc_id, text, fingerprint) of the row before
-
-        def row(after_text, after_print):
-            doc_id, text, own = held
-            changed = edited(text, after_text)
-            raw = changed.encode("utf-8")
-            other = printer(terms.of_known(raw))
-            return (
-                doc_id, len(text), hashlib.sha256(raw).hexdigest(), printer.text(own), printer.text(other),
-                printer.likeness(own, other), printer.likeness(own, after_print),
-            )
-
-        done = False
+        terms, printer = Terms(), Printer(table.value, settings)
+        held, done = [], False  # the row before: doc_id, text, fingerprint
         for doc_ids, guests, texts in rows_of(batches, _MAX_BYTES):
+            if done:  # only the first guest comes next
+                continue
+            if True in map(bool, guests):
+                done, n = True, list(map(bool, guests)).index(True) + 1
+                doc_ids, texts = doc_ids[:n], texts[:n]
             texts = [t or "" for t in texts]
             prints = map(printer, terms([t.encode("utf-8") for t in texts]))
+            run_of = [*held, *zip(doc_ids, texts, prints)]
+            held = run_of[-1:]
+            raws = [edited(a[1], b[1]).encode("utf-8") for a, b in zip(run_of, run_of[1:])]
             out = []
-            for doc_id, guest, text, own in zip(doc_ids, guests, texts, prints):
-                if held is not None and not done:
-                    out.append(row(text, own))
-                done = done or bool(guest)  # only the first guest comes next
-                held = (doc_id, text, own)
+            for (doc_id, text, own), (_, _, after), raw, found in zip(run_of, run_of[1:], raws, terms(raws)):
+                other = printer(found)
+                out.append((
+                    doc_id, len(text), hashlib.sha256(raw).hexdigest(), printer.text(own), printer.text(other),
+                    printer.likeness(own, other), printer.likeness(own, after),
+                ))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
 
@@ -335,7 +362,7 @@ def imatch_fingerprints(docs: DataFrame, settings: IMatchSettings = IMatchSettin
     table = docs.sparkSession.sparkContext.broadcast(document_frequency_table(docs, settings))
 
     def make():
-        terms, printer = shared_terms(settings.cached_words), Printer(table.value, settings)
+        terms, printer = Terms(), Printer(table.value, settings)
 
         def rows(doc_ids, texts):
             found = terms([(t or "").encode("utf-8") for t in texts])

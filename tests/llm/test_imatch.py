@@ -121,7 +121,7 @@ def test_fingerprint_equals_brute_force():
         out = []
         for size in settings.sizes:
             known = [[t for t in terms if draw(t, s) < 1 << 64 - size] for s in salts]
-            large = len(terms) > 16 << size
+            large = len(terms) > settings.largest << size
             out.append([
                 1 + xxhash.xxh32_intdigest(b"".join(t.to_bytes(8, "little") for t in k)) % ((1 << 32) - 1)
                 if k and not large else 0 for k in known
@@ -172,3 +172,20 @@ def test_rows_without_id_are_spread(spark):
             assert sorted(r["edited_sha256"] for r in I.fingerprints_with_next(frame).collect()) == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_terms_equal_plain_splitting():
+    rng = np.random.default_rng(4)
+    alphabet = list("abAB.,;-$ \t\n\x0b\x0c\r\x1c\x85\u00a0\u2028é\u4e2d") + ["  ", "x" * 30]
+    texts = ["".join(rng.choice(alphabet, rng.integers(0, 200))) for _ in range(300)] + ["", " ", ".,;", "a", "A." * 50]
+    raws, known = [t.encode() for t in texts], {}
+    for piece in (1, 7, 64, 1 << 20):
+        for raw, got in zip(raws, I.Terms(piece)(raws)):
+            want = {w.strip(I.EDGES) for w in raw.lower().split()} - {b""}
+            assert len(got) == len(want)
+            for term in want:  # a hash depends on the term alone
+                if term not in known:
+                    known[term] = int(I.Terms()([term])[0][0])
+            assert sorted(known[t] for t in want) == got.tolist()
+    assert len(set(known.values())) == len(known)
+    assert I.Terms()([]) == []
