@@ -34,11 +34,6 @@ class PackSettings:
     blocks_per_shard: int = DEFAULT_BLOCKS_PER_SHARD
     seed: int = DEFAULT_SEED
 
-    def __post_init__(self):
-        # Files are hashed whole, which Spark's binary reader allows up to 2 GB.
-        if 4 * self.seq_len * self.blocks_per_shard >= 1 << 31:
-            raise ValueError("a shard of seq_len * blocks_per_shard ids must stay below 2 GB")
-
     @property
     def budget_blocks(self) -> int | None:
         """The token budget in whole blocks, rounded up."""

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Upper bound for any table this library broadcasts.
@@ -84,5 +85,20 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
 
 
+def create_file(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write a small new file from the driver; one that exists is never replaced."""
+    files, where = _file_system(spark, path)
+    try:
+        out = files.create(where, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName() or files.exists(where):
+            raise FileExistsError(path) from None
+        raise
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)

@@ -6,24 +6,20 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.config import MANIFEST_SCHEMA
-from blockmill.functions.ids import file_digest
 from blockmill.session import stored
-from blockmill.sources.shards import scan_packed, scan_shard_bytes, shard_summary
+from blockmill.sources.shards import scan_packed, scan_shard_digests, shard_summary
 
 
 def _measured(
     spark: SparkSession, path: str, seq_len: int, shards: tuple[int, int] | None = None
 ) -> DataFrame:
     """Rows, tokens, digest and write time of the shards that lie in the folder."""
-    rows, files = scan_packed(spark, path), scan_shard_bytes(spark, path)
+    rows = scan_packed(spark, path)
     if shards is not None:
-        wanted = F.col("shard_id").between(shards[0], shards[1] - 1)
-        rows, files = rows.filter(wanted), files.filter(wanted)
+        rows = rows.filter(F.col("shard_id").between(shards[0], shards[1] - 1))
     counts = shard_summary(rows, seq_len)
-    digests = files.select(
-        "shard_id",
-        file_digest(F.col("content")).alias("sha256"),
-        (F.unix_millis("written_at") / 1000.0).alias("time"),
+    digests = scan_shard_digests(spark, path, shards).select(
+        "shard_id", "sha256", (F.unix_millis("written_at") / 1000.0).alias("time")
     )
     return counts.join(digests, "shard_id").select(
         "file", "rows", "tokens", "sha256", "time"

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from blockmill.functions.ids import shard_name
 from blockmill.session import make_folder
+from blockmill.sources.files import digests
 
 # Encoding of the published shards.
 _WRITER_OPTIONS = {
@@ -158,6 +159,21 @@ def scan_shard_bytes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def scan_shard_digests(
+    spark: SparkSession, path: str, shards: tuple[int, int] | None = None
+) -> DataFrame:
+    """Number, write time, size and digest of every shard file, or of those from
+    ``shards[0]`` up to ``shards[1]``; files of any size are read in pieces."""
+    _, rows = _first_layout(spark, path)
+    shard = F.col("shard_id") if "shard_id" in rows.columns else _shard_number(F.col("path"))
+    wanted = shard.isNotNull()
+    if shards is not None:
+        wanted &= shard.between(shards[0], shards[1] - 1)
+    return digests(spark, path, wanted=wanted).select(
+        shard.alias("shard_id"), F.col("modificationTime").alias("written_at"), "length", "sha256"
+    )
+
+
 def shard_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per shard file: number, name, path in the folder, write time and size."""
     return scan_shard_bytes(spark, path).drop("content")

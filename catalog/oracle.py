@@ -224,7 +224,8 @@ ORACLE: dict[str, str] = {
         FROM blocks""",
     "stream_packed": DOC_BLOCKS + f"SELECT block_id, source, {SHARD} AS shard_id, {DIGEST} AS digest FROM blocks",
     "scan_manifest": DOC_SHARDS + 'SELECT file, "rows", tokens FROM shards',
-    "shard_bytes": DOC_SHARDS + "SELECT file, CAST(64 AS INTEGER) AS digest_chars, true AS same FROM shards",
+    "shard_bytes": DOC_SHARDS + "SELECT file, CAST(64 AS INTEGER) AS digest_chars, shard_id <> 0 AS same FROM shards "
+        "WHERE shard_id < (SELECT max(shard_id) FROM shards)",
     "load_state": DOC_BLOCKS + f""", tail AS (
             SELECT coalesce(string_agg(piece, '' ORDER BY off), '') AS h FROM fragments
             WHERE block_id NOT IN (SELECT block_id FROM blocks)),
@@ -236,7 +237,13 @@ ORACLE: dict[str, str] = {
         FROM blocks, tail, written GROUP BY n, tail.h, source""",
     "write_shards": DOC_SHARDS + 'SELECT shard_id, file, CAST(1 AS BIGINT) AS files, "rows", tokens FROM shards',
     "audit_manifest": DOC_SHARDS + """
-        SELECT file, CAST(1 AS BIGINT) AS lines, "rows", tokens, 'ok' AS verdict FROM shards""",
+        SELECT file, CAST(1 AS BIGINT) AS lines, "rows", tokens,
+               CASE shard_id WHEN (SELECT max(shard_id) FROM shards) THEN 'no file'
+                    WHEN 0 THEN 'other content' ELSE 'ok' END AS verdict FROM shards
+        UNION ALL SELECT 'shard-500000.parquet', NULL, NULL, NULL, 'no line'""",
+    "publish_shards": DOC_BLOCKS + f"""
+        SELECT block_id, source, {SHARD} AS shard_id, {DIGEST} AS digest, 'ok' AS verdict,
+               count(*) OVER (PARTITION BY {SHARD}) AS "rows" FROM blocks""",
     "missing_shards": DOC_SHARDS + """
         SELECT file, CASE shard_id WHEN 1 THEN 'no line' ELSE 'no file' END AS problem
         FROM shards WHERE shard_id IN (1, 2)""",

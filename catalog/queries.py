@@ -25,12 +25,14 @@ from blockmill.operators.vocabulary import build_vocab, word_tokenizer, words_of
 from blockmill.plans.build import build, pack_documents, plan_documents, resume, shards_of
 from blockmill.plans.pack import pack, packed_spans
 from blockmill.plans.reader import read_batches, read_training_rows
-from blockmill.session import folder_names, remove, scratch_path
+from blockmill.session import folder_names, remove, scratch_path, stored
 from blockmill.sources import (
     audit_manifest, load_state, missing_shards, scan_manifest, scan_packed, scan_shard_bytes,
     scan_sources, shard_files, shard_summary, source_specs, spec_list, stream_packed,
     union_sources, validate_specs, write_shards,
 )
+from blockmill.sources.published import audit_published, publish_shards, scan_published, write_attempt
+from blockmill.sources.shards import drop_shards
 from blockmill.streaming import ProgressLog, observed, pack_stream
 
 SEED = 1234
@@ -40,6 +42,7 @@ WORLD = 2
 BATCH = 4
 LANES = 4
 VOCABULARY = 5000
+STRAY_SHARD = 500_000
 BYTES = ByteTokenizer()
 PROFILE = TokenProfile(vocab_size=257, eos_id=256, pad_id=256)
 
@@ -132,6 +135,19 @@ def written(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def damaged(spark: SparkSession, sf_dir: str) -> str:
+    """Path of a build whose first shard was rewritten, whose last is gone, and that has a stray one."""
+    path = written(spark, sf_dir)
+    rows = stored(scan_packed(spark, shards_of(path)).drop("file", "shard_id"), "rows")
+    first = rows.filter(F.col("block_id") < BLOCKS_PER_SHARD)
+    write_shards(
+        first.withColumn("source", F.concat("source", F.lit("x"))), shards_of(path), BLOCKS_PER_SHARD, mode="overwrite")
+    last = rows.agg(F.max("block_id")).first()[0] // BLOCKS_PER_SHARD
+    drop_shards(spark, shards_of(path), last)
+    write_shards(first, shards_of(path), BLOCKS_PER_SHARD, first_shard=STRAY_SHARD, mode="append")
+    return path
+
+
 def block_rows(blocks: DataFrame, *more: str) -> DataFrame:
     return blocks.select("block_id", "source", *more, ids_digest(F.col("input_ids")).alias("digest"))
 
@@ -169,7 +185,7 @@ def scan_manifest_query(spark, sf_dir):
 
 
 def shard_bytes_query(spark, sf_dir):
-    path = written(spark, sf_dir)
+    path = damaged(spark, sf_dir)
     found = scan_shard_bytes(spark, shards_of(path)).select("file", file_digest(F.col("content")).alias("found"))
     lines = scan_manifest(spark, f"{path}/manifest")
     return lines.join(found, "file").select(
@@ -194,8 +210,20 @@ def write_shards_query(spark, sf_dir):
     return files.join(rows, "shard_id").select("shard_id", "file", "files", "rows", "tokens")
 
 
+def publish_shards_query(spark, sf_dir):
+    """Two commits, an attempt between them that never gets one; read back and audited."""
+    path, split = scratch_path(spark, "published"), 2 * BLOCKS_PER_SHARD
+    blocks = stored(doc_blocks(spark, sf_dir), "blocks")
+    publish_shards(blocks.filter(F.col("block_id") < split), path, BLOCKS_PER_SHARD)
+    write_attempt(blocks.withColumn("source", F.lit("lost")), path, BLOCKS_PER_SHARD)
+    publish_shards(
+        blocks.filter(F.col("block_id") >= split), path, BLOCKS_PER_SHARD, first_block=split, first_shard=2)
+    verdicts = audit_published(spark, path).select("shard_id", "verdict", "rows")
+    return block_rows(scan_published(spark, path).join(F.broadcast(verdicts), "shard_id"), "shard_id", "verdict", "rows")
+
+
 def audit_query(spark, sf_dir):
-    path = written(spark, sf_dir)
+    path = damaged(spark, sf_dir)
     return audit_manifest(spark, shards_of(path), f"{path}/manifest", SEQ_LEN).select(
         "file", "lines", "rows", "tokens", "verdict")
 
@@ -628,6 +656,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shard_bytes": shard_bytes_query,
     "load_state": state_query,
     "write_shards": write_shards_query,
+    "publish_shards": publish_shards_query,
     "audit_manifest": audit_query,
     "missing_shards": missing_shards_query,
     "tokenize_bytes": tokenize_bytes_query,

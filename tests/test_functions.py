@@ -242,8 +242,6 @@ def test_every_word_can_be_kept(spark):
 def test_bucket_numbers_are_not_clamped():
     with pytest.raises(ValueError, match="buckets"):
         unit_bucket(F.lit(0.5), MAX_BUCKETS + 1)
-    with pytest.raises(ValueError, match="2 GB"):
-        PackSettings(1 << 20, None, 1 << 10)
 
 
 @pytest.mark.parametrize("per_part", [1 << 17, 40])
