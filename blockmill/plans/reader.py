@@ -12,6 +12,7 @@ from blockmill.operators.training import batch_training_arrays, micro_batches, t
 from blockmill.plans.batches import file_batches, runs_of
 from blockmill.session import broadcast_if_small, exists
 from blockmill.sources.manifest import scan_manifest
+from blockmill.sources.published import published_manifest, scan_published
 from blockmill.sources.shards import scan_packed, scan_shard_rows, shard_files
 
 
@@ -23,9 +24,9 @@ def _listed(spark: SparkSession, path: str, manifest: str | None) -> DataFrame:
     return files.join(scan_manifest(spark, manifest).select("file").distinct(), "file", "left_semi")
 
 
-def _listed_rows(spark: SparkSession, manifest: str, seq_len: int) -> pd.DataFrame | None:
+def _listed_rows(lines: DataFrame, seq_len: int) -> pd.DataFrame | None:
     """Rows of each shard by its newest line; None if the lines tell of another length."""
-    lines = scan_manifest(spark, manifest).groupBy("file").agg(
+    lines = lines.groupBy("file").agg(
         F.max_by("rows", "time").alias("listed"), F.max_by("tokens", "time").alias("tokens")
     ).toPandas()
     fits = (lines["tokens"] == lines["listed"] * seq_len).all()
@@ -42,20 +43,27 @@ def _own_manifest(spark: SparkSession, path: str, manifest: str | bool | None) -
     return manifest
 
 
+def _published(spark: SparkSession, path: str) -> bool:
+    return exists(spark, f"{path}/commits")
+
+
 def read_training_rows(
     spark: SparkSession, path: str, seq_len: int, profile: TokenProfile,
     world: int = 1, seed: int | None = None, manifest: str | bool | None = None, observation=None,
 ) -> DataFrame:
     """Training rows of all shards with the rank that reads them.
 
+    In a folder of published shards those of its commits are read.
     ``manifest`` leaves out shards that it does not list; for the folder of a build
     its own one does, unless it is False. An ``observation`` gets the
     numbers of rows read and of rows skipped for their length.
     """
-    manifest = _own_manifest(spark, path, manifest)
-    files = _listed(spark, path, manifest)
+    if _published(spark, path):
+        files, rows = published_manifest(spark, path).select("shard_id", "file"), scan_published(spark, path).drop("row")
+    else:
+        files, rows = _listed(spark, path, _own_manifest(spark, path, manifest)), scan_packed(spark, path)
     ranks = rank_shards(files, world, seed).select("shard_id", "rank", "shard_pos")
-    rows = exact_length(scan_packed(spark, path).drop("file"), seq_len, observation)
+    rows = exact_length(rows.drop("file"), seq_len, observation)
     rows = token_range_guard(rows, profile.vocab_size)
     return training_rows(
         rows.join(broadcast_if_small(ranks, files.count()), "shard_id"), profile.pad_id
@@ -73,13 +81,18 @@ def read_batches(
     to make sure; should there be rows of another length, they are skipped and all
     others shuffled to their batches. An ``observation`` gets the numbers of rows.
     """
-    manifest = _own_manifest(spark, path, manifest)
+    if _published(spark, path):
+        lines = published_manifest(spark, path)
+        names, rows = lines.select("shard_id", "file"), scan_published(spark, path)
+    else:
+        manifest = _own_manifest(spark, path, manifest)
+        lines = None if manifest is None else scan_manifest(spark, manifest)
+        names, rows = _listed(spark, path, manifest), scan_shard_rows(spark, path)
     # A few numbers for each shard, and for each run of rows that a task reads.
-    names = _listed(spark, path, manifest).toArrow()
-    files = spark.createDataFrame(names)
+    files = spark.createDataFrame(names.toArrow())
+    rows = rows.select("shard_id", "row", "block_id", "input_ids")
     assignment = rank_shards(files, world, seed).select("shard_id", "file", "rank", "shard_pos")
-    rows = scan_shard_rows(spark, path)
-    listed = None if manifest is None else _listed_rows(spark, manifest, seq_len)
+    listed = None if lines is None else _listed_rows(lines, seq_len)
     ranks, runs = assignment.toPandas(), runs_of(rows, seq_len if listed is None else None).toPandas()
     runs = runs[runs["shard_id"].isin(ranks["shard_id"])]
     odd = int(runs["odd"].sum() + runs["gaps"].sum())

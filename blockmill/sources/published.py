@@ -154,12 +154,14 @@ def published_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_published(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the published shards, with shard number and name."""
+    """Rows of the published shards, with shard number and name and the ``row`` in the shard."""
     paths = [r["path"] for r in published_manifest(spark, path).select("path").collect()]
     if not paths:
         raise FileNotFoundError(f"no published shards in {path}")
     shard = F.regexp_extract(F.col("_metadata.file_name"), r"shard-(\d+)-", 1).cast("int")
-    rows = spark.read.parquet(*[f"{path}/{p}" for p in sorted(paths)]).select("*", shard.alias("shard_id"))
+    rows = spark.read.parquet(*[f"{path}/{p}" for p in sorted(paths)]).select(
+        "*", shard.alias("shard_id"), F.col("_metadata.row_index").alias("row")
+    )
     return rows.withColumn("file", shard_name(F.col("shard_id")))
 
 

@@ -392,6 +392,7 @@ ORACLE: dict[str, str] = {
                {digest(f"list_transform({ids_of('h')}, lambda x: CAST(x <> 256 AS INTEGER))")} AS mask_digest
         FROM blocks JOIN ranks ON {SHARD} = shard_id""",
     "read_batches": batches(BY_HASH) + f"SELECT rank, batch_id, {DIGEST} AS digest FROM batches",
+    "read_published": batches(BY_HASH) + f"SELECT rank, batch_id, {DIGEST} AS digest FROM batches",
     "assign_shards": DOC_BLOCKS + f"SELECT block_id, {SHARD} AS shard_id, source FROM blocks",
     "budget_cut": DOC_BLOCKS + f"""
         SELECT block_id, source FROM blocks, total

@@ -558,6 +558,14 @@ def read_batches_query(spark, sf_dir):
     return batches.select("rank", "batch_id", ids_digest(F.flatten("input_ids")).alias("digest"))
 
 
+def read_published_query(spark, sf_dir):
+    """The same batches from shards that a commit has published."""
+    path = scratch_path(spark, "published")
+    publish_shards(doc_blocks(spark, sf_dir), path, BLOCKS_PER_SHARD)
+    batches = read_batches(spark, path, SEQ_LEN, PROFILE, BATCH, WORLD, SEED)
+    return batches.select("rank", "batch_id", ids_digest(F.flatten("input_ids")).alias("digest"))
+
+
 def assign_shards_query(spark, sf_dir):
     return B.assign_shards(doc_blocks(spark, sf_dir), BLOCKS_PER_SHARD).select("block_id", "shard_id", "source")
 
@@ -709,6 +717,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "micro_batches": micro_batches_query,
     "training_rows": training_rows_query,
     "read_batches": read_batches_query,
+    "read_published": read_published_query,
     "assign_shards": assign_shards_query,
     "budget_cut": budget_cut_query,
     "head_blocks": head_blocks_query,

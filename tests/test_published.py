@@ -8,7 +8,8 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from blockmill.config import PackSettings
+from blockmill.config import PackSettings, TokenProfile
+from blockmill.plans.reader import read_batches, read_training_rows
 from blockmill.sources import append_manifest, audit_manifest, shard_files, write_shards
 from blockmill.sources import files as files_module
 from blockmill.sources.files import digests, file_sha256, split_address
@@ -84,6 +85,27 @@ def test_a_shard_published_again_replaces_the_older(spark, blocks, tmp_path):
     assert published_manifest(spark, path).count() == 11
 
 
+def test_training_reads_what_is_committed(spark, blocks, tmp_path):
+    path, plain = f"{tmp_path}/out", f"{tmp_path}/plain"
+    publish_shards(blocks, path, PER_SHARD)
+    write_attempt(blocks.withColumn("input_ids", F.reverse("input_ids")), path, PER_SHARD)
+    write_shards(blocks, plain, PER_SHARD)
+    profile = TokenProfile(1 << 20, None, None)
+    for size, world, seed in ((4, 2, None), (5, 1, 7)):
+        got, want = (
+            sorted((r["rank"], r["batch_id"], r["input_ids"]) for r in
+                   read_batches(spark, p, LEN, profile, size, world, seed).collect())
+            for p in (path, plain)
+        )
+        assert got == want and got
+        got, want = (
+            sorted((r["rank"], r["shard_pos"], r["block_id"], r["labels"]) for r in
+                   read_training_rows(spark, p, LEN, profile, world, seed).collect())
+            for p in (path, plain)
+        )
+        assert got == want and len(got) == 53
+
+
 def test_two_commits_of_one_version_cannot_both_hold(spark, blocks, tmp_path, monkeypatch):
     from blockmill.sources import published
 
