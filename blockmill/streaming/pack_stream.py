@@ -2,23 +2,57 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from blockmill.config import DEFAULT_SEED
 from blockmill.functions.hashing import unit_hash
-from blockmill.operators.prefix import unit_bucket
+from blockmill.operators.prefix import MAX_BUCKETS
 
 OUTPUT = "source string, lane int, seq long, input_ids array<int>"
 STATE = "carry array<int>, n long"
+DEFAULT_LANES = 16
+
+
+def plan_lanes(
+    tokens: DataFrame, total: int, before: Mapping[str, int] | None = None
+) -> dict[str, int]:
+    """Lanes for every source by its share of the ``tokens`` seen (source, tokens).
+
+    About ``total`` lanes are shared out, one at least to a source, so a source with a
+    third of the tokens has a third of the lanes. No source gets fewer than ``before``:
+    a lane that nobody writes to any more would keep its last tokens for ever. The driver
+    sees one row per source. Null tokens count as none; a null source has no entry.
+    """
+    if not 0 < total <= MAX_BUCKETS:
+        raise ValueError(f"{total} lanes are not within 1 and {MAX_BUCKETS}")
+    sums = tokens.filter("source is not null").groupBy("source").agg(
+        F.coalesce(F.sum("tokens"), F.lit(0)).cast("long").alias("tokens")).collect()
+    lanes = dict(before or {})
+    whole = sum(r["tokens"] for r in sums)
+    for r in sums:
+        wanted = -(-total * r["tokens"] // whole) if whole else 1
+        lanes[r["source"]] = max(1, wanted, lanes.get(r["source"], 0))
+    return lanes
+
+
+def _lane(u: Column, lanes: int | Mapping[str, int]) -> Column:
+    if isinstance(lanes, int):
+        n = F.lit(float(max(1, lanes)))
+    else:
+        known = F.create_map(*[F.lit(x) for s, k in lanes.items() for x in (s, float(k))]) if lanes else None
+        other = F.lit(float(DEFAULT_LANES))
+        n = other if known is None else F.coalesce(F.try_element_at(known, F.coalesce("source", F.lit(""))), other)
+    return F.least(F.floor(u * n), n - 1).cast("int")
 
 
 def pack_stream(
-    docs: DataFrame, tokenizer, seq_len: int, lanes: int = 16, seed: int = DEFAULT_SEED
+    docs: DataFrame, tokenizer, seq_len: int, lanes: int | Mapping[str, int] = DEFAULT_LANES,
+    seed: int = DEFAULT_SEED,
 ) -> DataFrame:
     """Full blocks of a stream of documents (source, doc_id, text), in append mode.
 
@@ -26,6 +60,11 @@ def pack_stream(
     packed by many tasks. Each lane carries less than one block between triggers;
     the checkpoint of the query keeps it, which makes the stream resumable.
     ``seq`` numbers the blocks of a lane.
+
+    ``lanes`` is one number for all sources or a number for each (others get 16). A stream
+    that goes on from its checkpoint may be given more lanes, as ``plan_lanes`` finds
+    them from the blocks so far: the lanes that were there go on with what they carry, new
+    ones begin empty, and no token is lost or doubled. Fewer lanes are not safe.
     """
     read = tokenizer.reader()
     end = np.asarray([] if tokenizer.eos_id is None else [tokenizer.eos_id], dtype=np.int32)
@@ -50,7 +89,7 @@ def pack_stream(
                 n += full
         state.update((carry.tolist(), n))
 
-    lane = unit_bucket(unit_hash(seed, F.col("source"), F.col("doc_id")), lanes)
+    lane = _lane(unit_hash(seed, F.col("source"), F.col("doc_id")), lanes)
     payload = tokenizer.for_python(F.col("payload"))
     keyed = tokenizer.tokenize(docs.select("source", "doc_id", "text")).filter("n_tok > 0")
     return (

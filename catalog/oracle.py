@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.queries import BATCH, BLOCKS_PER_SHARD, LANES, SEED, SEQ_LEN, VOCABULARY, WORLD
+from catalog.queries import BATCH, BLOCKS_PER_SHARD, LANES, MORE_LANES, SEED, SEQ_LEN, VOCABULARY, WORLD
 
 # A token is two characters: the hex form of a byte, or ZZ for end-of-text.
 HEX = "hex(encode(text))"
@@ -203,6 +203,21 @@ STREAM = f"""WITH lanes AS (
            CAST(sum(strlen(text) + 1) // {SEQ_LEN} AS BIGINT) AS n_blocks
     FROM documents WHERE text <> '' GROUP BY ALL) """
 
+# Lanes of the documents that arrive late: by the blocks that their source has before.
+STREAM_LANES = f"""WITH docs AS (
+    SELECT source, {unit('source', 'doc_id')} AS u, strlen(text) + 1 AS n, coalesce(lang = 'en', false) AS early
+    FROM documents WHERE text <> ''),
+  early AS (
+    SELECT source, CAST(floor(u * {LANES}) AS INTEGER) AS lane, sum(n) // {SEQ_LEN} AS n_blocks
+    FROM docs WHERE early GROUP BY ALL),
+  volumes AS (SELECT source, sum(n_blocks) AS v FROM early GROUP BY source HAVING sum(n_blocks) > 0),
+  plan AS (
+    SELECT source, greatest({LANES}, ({MORE_LANES} * v + sum(v) OVER () - 1) // sum(v) OVER ()) AS lanes FROM volumes),
+  lanes AS (
+    SELECT docs.source, CAST(floor(u * CASE WHEN early THEN {LANES} ELSE coalesce(lanes, 16) END) AS INTEGER) AS lane,
+           CAST(sum(n) // {SEQ_LEN} AS BIGINT) AS n_blocks
+    FROM docs LEFT JOIN plan ON docs.source = plan.source GROUP BY ALL) """
+
 HALF = f"(tokens * 3 // 2 // 2 + {SEQ_LEN - 1}) // {SEQ_LEN}"
 
 MASK_STATS = DOC_BLOCKS + f"""
@@ -404,6 +419,9 @@ ORACLE: dict[str, str] = {
     "pack_stream": STREAM + f"""
         SELECT source, lane, n_blocks, n_blocks - 1 AS last_seq, n_blocks * {SEQ_LEN} AS tokens
         FROM lanes WHERE n_blocks > 0""",
+    "pack_stream_lanes": STREAM_LANES + f"""
+        SELECT source, lane, n_blocks, n_blocks - 1 AS last_seq, n_blocks * {SEQ_LEN} AS tokens
+        FROM lanes WHERE n_blocks > 0""",
     "progress_stream": STREAM + f"""
         SELECT CAST(sum(n_blocks) AS BIGINT) AS stored_blocks, CAST(sum(n_blocks) AS BIGINT) AS seen_blocks,
                CAST(sum(n_blocks) * {SEQ_LEN} AS BIGINT) AS seen_tokens FROM lanes""",

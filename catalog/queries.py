@@ -33,7 +33,7 @@ from blockmill.sources import (
 )
 from blockmill.sources.published import audit_published, publish_shards, scan_published, write_attempt
 from blockmill.sources.shards import drop_shards
-from blockmill.streaming import ProgressLog, observed, pack_stream
+from blockmill.streaming import ProgressLog, observed, pack_stream, plan_lanes
 
 SEED = 1234
 SEQ_LEN = 512
@@ -41,6 +41,8 @@ BLOCKS_PER_SHARD = 1024
 WORLD = 2
 BATCH = 4
 LANES = 4
+# Lanes of all sources together, once a stream shares them out by volume.
+MORE_LANES = 240
 VOCABULARY = 5000
 STRAY_SHARD = 500_000
 BYTES = ByteTokenizer()
@@ -624,6 +626,25 @@ def pack_stream_query(spark, sf_dir):
         F.sum(F.size("input_ids")).alias("tokens"))
 
 
+def pack_stream_lanes_query(spark, sf_dir):
+    """English documents arrive first, then all others; these find lanes by the volume packed before."""
+    docs, folder, places = table(spark, sf_dir, "documents"), scratch_path(spark, "arrivals"), stream_places(spark)
+    early = F.coalesce(F.col("lang") == "en", F.lit(False))
+
+    def run(lanes):
+        stream = spark.readStream.schema(docs.schema).parquet(folder)
+        return run_stream(spark, pack_stream(stream, BYTES, SEQ_LEN, lanes, SEED), places=places)
+
+    docs.filter(early).write.mode("append").parquet(folder)
+    first = run(LANES)
+    seen = stored(B.per_source_tokens(first, SEQ_LEN), "lane-volumes")
+    before = {r["source"]: LANES for r in seen.collect()}
+    docs.filter(~early).write.mode("append").parquet(folder)
+    return run(plan_lanes(seen, MORE_LANES, before)).groupBy("source", "lane").agg(
+        F.count("*").alias("n_blocks"), F.max("seq").alias("last_seq"),
+        F.sum(F.size("input_ids")).alias("tokens"))
+
+
 def progress_stream_query(spark, sf_dir):
     log = ProgressLog()
     out = run_stream(spark, observed(document_stream(spark, sf_dir)), log)
@@ -723,6 +744,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "head_blocks": head_blocks_query,
     "stream_rows": stream_rows_query,
     "pack_stream": pack_stream_query,
+    "pack_stream_lanes": pack_stream_lanes_query,
     "progress_stream": progress_stream_query,
     "resume": resume_query,
 }

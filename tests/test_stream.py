@@ -9,7 +9,7 @@ import model
 from blockmill.functions import ByteTokenizer
 from blockmill.operators.vocabulary import build_vocab, word_tokenizer
 from blockmill.sources import stream_packed, write_shards
-from blockmill.streaming import ProgressLog, observed, pack_stream
+from blockmill.streaming import ProgressLog, observed, pack_stream, plan_lanes
 from helpers import table
 
 TOK = ByteTokenizer()
@@ -170,3 +170,52 @@ def test_shards_stream_from_a_folder_that_is_still_empty(spark, tmp_path):
     seen = spark.table("from_nothing").collect()
     assert sorted((r["shard_id"], r["block_id"], r["input_ids"], r["source"]) for r in seen) == [
         *[(k // 10, k, [k], "s") for k in range(40)], (9, 0, [7], "f"), (9, 1, [8], "f")]
+
+
+def test_hot_source_gets_more_lanes_and_no_token_is_lost(spark, tmp_path):
+    """Every token of the stream is in a block or in what a lane still carries; none twice."""
+    def arrive(first, last):
+        rows = [("hot", d, f"{d:05d}" * 9) for d in range(first, last)] + [("cold", d, f"{d:05d}" * 2) for d in range(first, last, 9)]
+        spark.createDataFrame(rows, "source string, doc_id long, text string").coalesce(1).write.mode("append").parquet(
+            f"{tmp_path}/in")
+
+    def run(lanes):
+        stream = spark.readStream.schema("source string, doc_id long, text string").parquet(f"{tmp_path}/in")
+        query = (pack_stream(stream, TOK, LEN, lanes, 5).writeStream.format("parquet").option("path", f"{tmp_path}/out")
+                 .option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start())
+        query.awaitTermination()
+        return spark.read.parquet(f"{tmp_path}/out")
+
+    arrive(0, 300)
+    blocks = run(2)
+    before = {"hot": 2, "cold": 2}
+    lanes = plan_lanes(blocks.groupBy("source").agg(F.sum(F.size("input_ids")).alias("tokens")), 12, before)
+    assert lanes["hot"] >= 10 and lanes["cold"] >= 2
+    arrive(300, 900)
+    blocks = run(lanes).collect()
+    want, carried = {}, {}
+    for d in range(900):
+        for source, text in [("hot", f"{d:05d}" * 9)] + ([("cold", f"{d:05d}" * 2)] if (d if d < 300 else d - 300) % 9 == 0 else []):
+            n = (before if d < 300 else lanes)[source]
+            lane = source, int(model.unit(5, source, d) * n)
+            want.setdefault(lane, []).append(text)
+    for lane, texts in want.items():
+        rows = sorted((r["seq"], r["input_ids"]) for r in blocks if (r["source"], r["lane"]) == lane)
+        total = sum(len(t) + 1 for t in texts)
+        assert [seq for seq, _ in rows] == list(range(total // LEN))
+        stream = [i for _, ids in rows for i in ids]
+        carried[lane] = total - len(stream)
+        whole = "".join(chr(i) if i < 256 else "\n" for i in stream).split("\n")
+        assert len(set(whole[:-1])) == len(whole[:-1]) and set(whole[:-1]) <= set(texts)
+    assert len({lane for s, lane in want if s == "hot"}) == lanes["hot"]
+    assert all(0 <= n < LEN for n in carried.values()) and len(blocks) == sum(
+        sum(len(t) + 1 for t in texts) // LEN for texts in want.values())
+
+
+def test_lanes_follow_volume(spark):
+    tokens = spark.createDataFrame([("a", 600), ("b", 300), ("b", 0), ("c", 100), ("d", None), (None, 5)], "source string, tokens long")
+    assert plan_lanes(tokens, 100) == {"a": 60, "b": 30, "c": 10, "d": 1}
+    assert plan_lanes(tokens, 10, {"c": 7, "gone": 3}) == {"a": 6, "b": 3, "c": 7, "d": 1, "gone": 3}
+    assert plan_lanes(tokens.limit(0), 10) == {}
+    with pytest.raises(ValueError):
+        plan_lanes(tokens, 0)
