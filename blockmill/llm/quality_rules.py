@@ -22,14 +22,14 @@ Null text: as empty. Empty or blank text: all counts 0, ``base_failed``. A null
 ``doc_id`` stays null; repeated rows give repeated results; further columns of the
 input are not read. An empty table gives an empty table.
 
-One pass without a shuffle. Memory per task: one slice of rows and a bounded
-cache of encoded words.
+One pass without a shuffle. Memory per task: one slice of rows (256, or fewer that hold
+4 MB; a longer text is a slice of its own) and a bounded cache of encoded words.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -40,6 +40,7 @@ from blockmill.llm.texts import (
     SLICE, SPACES, WordTable, code_points_in_words, covered, map_rows, utf8, window_ids,
 )
 
+SLICE_BYTES = 4 << 20
 SYMBOLS = b"#*$%&|<>"
 REPEAT_WINDOW = 8
 MIN_WORDS = 20
@@ -272,7 +273,19 @@ def with_lang(docs: DataFrame) -> DataFrame:
 def quality_rules(docs: DataFrame, rules: FertilityRules | None = None) -> DataFrame:
     """Counts, token figures and verdict of every row of ``doc_id, text[, lang]``."""
     rules = rules or default_rules()
-    return map_rows(with_lang(docs), ["doc_id", "text", "lang"], SCHEMA, _measure(rules))
+    return map_rows(with_lang(docs), ["doc_id", "text", "lang"], SCHEMA, _measure(rules), SLICE_BYTES)
+
+
+def _slices(texts: pd.Series) -> Iterator[slice]:
+    """Runs of rows of bounded number and size; a text's UTF-8 form has at most 4 bytes a code point."""
+    first = size = 0
+    for k, text in enumerate(texts):
+        length = 4 * len(text) if text else 0
+        if k > first and (k - first >= SLICE or size + length > SLICE_BYTES):
+            yield slice(first, k)
+            first, size = k, 0
+        size += length
+    yield slice(first, len(texts))
 
 
 def keep_good(docs: DataFrame, rules: FertilityRules | None = None) -> DataFrame:
@@ -283,9 +296,9 @@ def keep_good(docs: DataFrame, rules: FertilityRules | None = None) -> DataFrame
         rows = _measure(rules)()
         for texts, langs in batches:
             kept = []
-            for start in range(0, len(texts), SLICE):
-                part = texts[start: start + SLICE].tolist()
-                kept += [r[7] for r in rows(part, part, langs[start: start + SLICE].tolist())]
+            for run in _slices(texts):
+                part = texts[run].tolist()
+                kept += [r[7] for r in rows(part, part, langs[run].tolist())]
             yield pd.Series(kept, dtype=bool)
 
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")

@@ -167,3 +167,14 @@ def test_good_documents_stay(spark):
     good = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").filter("quality = 1").select("doc_id")
     found = Q.quality_rules(docs).filter("not base_failed").join(good, "doc_id")
     assert found.count() > 50 and found.filter("not kept").count() == 0
+
+
+def test_slices_are_bounded():
+    import pandas as pd
+
+    texts = pd.Series([None, "", *["short"] * 600, "x" * (Q.SLICE_BYTES // 4 + 1), "y" * 300_000, "z" * 800_000, "end"])
+    runs = list(Q._slices(texts))
+    assert [k for r in runs for k in range(r.start, r.stop)] == list(range(len(texts)))
+    assert all(r.stop - r.start <= 256 for r in runs)
+    assert all(r.stop - r.start == 1 or 4 * sum(len(t or "") for t in texts[r]) <= Q.SLICE_BYTES for r in runs)
+    assert list(Q._slices(pd.Series([], dtype=object))) == [slice(0, 0)]
