@@ -16,6 +16,7 @@ from blockmill.sources import (
     append_manifest, audit_manifest, load_state, missing_shards, save_state, scan_manifest, scan_packed,
     shard_files, stream_packed, write_shards,
 )
+from blockmill.sources.shards import scan_shard_digests, written_shards
 from helpers import blocks_of, specs_for, tail_of
 
 TOK = ByteTokenizer()
@@ -302,3 +303,32 @@ def test_too_little_text_is_an_error(spark, docs, tmp_path):
 
 def test_scratch_is_the_configured_folder(spark):
     assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_late_wave_looks_at_its_own_shards_only(spark, docs, tmp_path):
+    """No stage has a task for each shard, however many lie there already; and the state counts all of them."""
+    path, limits = f"{tmp_path}/out", PackSettings(LEN, 120_000, 16, 5)
+    sc = spark.sparkContext
+    sc.setJobGroup("waves", "waves")
+    try:
+        plan = build(docs, SPECS, limits, TOK, path, wave_shards=20)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert plan.n_blocks // 16 > 50
+    status = sc.statusTracker()
+    stages = [k for job in status.getJobIdsForGroup("waves") for k in status.getJobInfo(job).stageIds]
+    tasks = [found.numTasks for found in map(status.getStageInfo, stages) if found]
+    assert tasks and max(tasks) <= 32
+    assert set(verdicts(spark, path).values()) == {"ok"}
+    rows = scan_packed(spark, shards_of(path)).groupBy("source").count().collect()
+    state = load_state(spark, f"{path}/state").first()
+    assert state["per_source_tokens"] == {r["source"]: r["count"] * LEN for r in rows}
+
+
+def test_written_shards_match_a_scan(spark, built):
+    path, plan = built
+    found = {r["shard_id"]: r for r in written_shards(spark, shards_of(path), (1, 10_000)).collect()}
+    want = {r["shard_id"]: r["sha256"] for r in scan_shard_digests(spark, shards_of(path)).collect()}
+    rows = {r["shard_id"]: r["count"] for r in scan_packed(spark, shards_of(path)).groupBy("shard_id").count().collect()}
+    assert {k: r["sha256"] for k, r in found.items()} == {k: v for k, v in want.items() if k >= 1}
+    assert all(rows[k] == r["rows"] == sum(s["rows"] for s in r["sources"]) for k, r in found.items())
