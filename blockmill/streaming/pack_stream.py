@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -13,9 +14,12 @@ from blockmill.config import DEFAULT_SEED
 from blockmill.functions.hashing import unit_hash
 from blockmill.operators.prefix import MAX_BUCKETS
 
-OUTPUT = "source string, lane int, seq long, input_ids array<int>"
+# Ids travel as bytes: an array in a frame would become a Python object for every id.
+OUTPUT = "source string, lane int, seq long, raw binary"
 STATE = "carry array<int>, n long"
 DEFAULT_LANES = 16
+# Ids that a lane holds beside its input, whatever the size of its documents.
+TOKENS_AT_ONCE = 1 << 20
 
 
 def plan_lanes(
@@ -50,6 +54,54 @@ def _lane(u: Column, lanes: int | Mapping[str, int]) -> Column:
     return F.least(F.floor(u * n), n - 1).cast("int")
 
 
+def _pieces(payloads: pd.Series, read: Callable, end: np.ndarray) -> Iterator[np.ndarray]:
+    """The ids of documents one after the other, a bounded number at a time."""
+    parts, size = [], 0
+    for payload in payloads:
+        for ids in (read(payload), end):
+            for at in range(0, len(ids), TOKENS_AT_ONCE):
+                parts.append(ids[at: at + TOKENS_AT_ONCE])
+                size += len(parts[-1])
+                if size >= TOKENS_AT_ONCE:
+                    yield np.concatenate(parts, dtype=np.int32)
+                    parts, size = [], 0
+    if parts:
+        yield np.concatenate(parts, dtype=np.int32)
+
+
+def _filled(
+    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, read: Callable, end: np.ndarray, seq_len: int
+) -> Iterator[pd.DataFrame]:
+    """Full blocks of a lane; what is left of its tokens goes into the state."""
+    carry, n = state.get if state.exists else ([], 0)
+    carry = np.asarray(carry, dtype=np.int32)
+    for batch in batches:
+        for tokens in _pieces(batch["payload"], read, end):
+            tokens = np.concatenate([carry, tokens])
+            full = len(tokens) // seq_len
+            # A copy, so that what is left does not keep the whole piece.
+            carry = tokens[full * seq_len:].copy()
+            if full:
+                yield pd.DataFrame({
+                    "source": key[0], "lane": key[1], "seq": np.arange(n, n + full),
+                    "raw": [block.tobytes() for block in tokens[: full * seq_len].reshape(full, seq_len)],
+                })
+                n += full
+    state.update((carry.tolist(), n))
+
+
+def _ids(seq_len: int) -> Callable[[Column], Column]:
+    """The ids of blocks that came as bytes."""
+
+    @F.arrow_udf("array<int>")
+    def ids(raw: pa.Array) -> pa.Array:
+        values = np.frombuffer(b"".join(raw.to_pylist()), dtype=np.int32)
+        offsets = np.arange(len(raw) + 1, dtype=np.int64) * seq_len
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+
+    return ids
+
+
 def pack_stream(
     docs: DataFrame, tokenizer, seq_len: int, lanes: int | Mapping[str, int] = DEFAULT_LANES,
     seed: int = DEFAULT_SEED,
@@ -69,25 +121,8 @@ def pack_stream(
     read = tokenizer.reader()
     end = np.asarray([] if tokenizer.eos_id is None else [tokenizer.eos_id], dtype=np.int32)
 
-    def fill(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        carry, n = state.get if state.exists else ([], 0)
-        carry = np.asarray(carry, dtype=np.int32)
-        for batch in batches:
-            parts = [carry]
-            for payload in batch["payload"]:
-                parts += [read(payload), end]
-            tokens = np.concatenate(parts, dtype=np.int32)
-            full = len(tokens) // seq_len
-            carry = tokens[full * seq_len:]
-            if full:
-                yield pd.DataFrame({
-                    "source": key[0], "lane": key[1], "seq": np.arange(n, n + full),
-                    "input_ids": list(tokens[: full * seq_len].reshape(full, seq_len)),
-                })
-                n += full
-        state.update((carry.tolist(), n))
+    def fill(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        return _filled(key, batches, state, read, end, seq_len)
 
     lane = _lane(unit_hash(seed, F.col("source"), F.col("doc_id")), lanes)
     payload = tokenizer.for_python(F.col("payload"))
@@ -96,4 +131,7 @@ def pack_stream(
         keyed.select("source", lane.alias("lane"), payload.alias("payload"))
         .groupBy("source", "lane")
         .applyInPandasWithState(fill, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
+        # Keeps all rows; Spark's Python stages take rows in its binary form only, which a filter leaves.
+        .filter(F.col("raw").isNotNull())
+        .select("source", "lane", "seq", _ids(seq_len)(F.col("raw")).alias("input_ids"))
     )

@@ -1,5 +1,8 @@
+import importlib
 import time
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -12,6 +15,7 @@ from blockmill.sources import stream_packed, write_shards
 from blockmill.streaming import ProgressLog, observed, pack_stream, plan_lanes
 from helpers import table
 
+pack_stream_module = importlib.import_module("blockmill.streaming.pack_stream")
 TOK = ByteTokenizer()
 LEN, LANES = 64, 3
 
@@ -219,3 +223,25 @@ def test_lanes_follow_volume(spark):
     assert plan_lanes(tokens.limit(0), 10) == {}
     with pytest.raises(ValueError):
         plan_lanes(tokens, 0)
+
+
+def test_a_lane_holds_few_ids_at_a_time(monkeypatch):
+    """Long and many documents come out in frames of bounded size, with every id in its place."""
+    monkeypatch.setattr(pack_stream_module, "TOKENS_AT_ONCE", 1000)
+
+    class State:
+        exists, kept = True, None
+        get = ([7, 7, 7], 5)
+
+        def update(self, value):
+            self.kept = value
+
+    texts = [b"a" * 9_000, b"", b"bc" * 40, *[b"d" * 130] * 100]
+    state, end = State(), np.asarray([256], np.int32)
+    batches = iter([pd.DataFrame({"payload": texts[:2]}), pd.DataFrame({"payload": texts[2:]})])
+    frames = list(pack_stream_module._filled(("s", 0), batches, state, TOK.reader(), end, LEN))
+    assert max(len(f) * LEN for f in frames) <= 2 * 1000 + LEN
+    blocks = pd.concat(frames)
+    want = [7, 7, 7, *[i for t in texts for i in [*t, 256]]]
+    assert [*np.frombuffer(b"".join(blocks["raw"]), np.int32)] + state.kept[0] == want
+    assert list(blocks["seq"]) == list(range(5, 5 + len(want) // LEN)) and state.kept[1] == 5 + len(want) // LEN
