@@ -161,6 +161,36 @@ class _ArrayTokenizer:
         return F.flatten(pieces)
 
 
+# Bytes of text whose words are held at a time; a longer text is taken alone.
+_TEXT_AT_ONCE = 1 << 22
+
+
+def _text_slices(batch: pa.Array) -> Iterator[pa.Array]:
+    """Runs of texts of bounded size; an empty batch as it is."""
+    sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False)
+    ends, first = np.cumsum(sizes, dtype=np.int64), 0
+    while first < len(batch):
+        begin = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, begin + _TEXT_AT_ONCE, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+    if not len(batch):
+        yield batch
+
+
+def _word_ids(texts: pa.Array, words: pa.Array) -> pa.Array:
+    split = pc.split_pattern_regex(texts.cast(pa.large_string()), WORD_SPLIT)
+    parts = split.flatten()
+    kept = pc.not_equal(parts, "")
+    found = pc.index_in(parts.filter(kept), words)
+    ids = pc.fill_null(pc.add(found, 1), 0).cast(pa.int32())
+    # Words per row, once the empty strings at its ends are gone.
+    rows = pc.list_parent_indices(split).filter(kept).to_numpy()
+    ends = np.cumsum(np.bincount(rows, minlength=len(texts)))
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), ids)
+
+
 class WordTokenizer(_ArrayTokenizer):
     """White-space words looked up in a vocabulary of bounded size.
 
@@ -184,16 +214,8 @@ class WordTokenizer(_ArrayTokenizer):
         def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             words = pa.array(shared.value, pa.large_string())
             for batch in batches:
-                split = pc.split_pattern_regex(batch.cast(pa.large_string()), WORD_SPLIT)
-                parts = split.flatten()
-                kept = pc.not_equal(parts, "")
-                found = pc.index_in(parts.filter(kept), words)
-                ids = pc.fill_null(pc.add(found, 1), 0).cast(pa.int32())
-                # Words per row, once the empty strings at its ends are gone.
-                rows = pc.list_parent_indices(split).filter(kept).to_numpy()
-                ends = np.cumsum(np.bincount(rows, minlength=len(batch)))
-                offsets = np.concatenate([[0], ends]).astype(np.int32)
-                yield pa.ListArray.from_arrays(pa.array(offsets), ids)
+                # One array for a batch; what lies between text and ids is held for a part of it.
+                yield pa.concat_arrays([_word_ids(part, words) for part in _text_slices(batch)])
 
         return lookup(text)
 

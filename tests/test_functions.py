@@ -1,6 +1,8 @@
 import datetime
+import importlib
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -295,3 +297,16 @@ def test_ranges_and_joins_of_a_zipf_vocabulary_are_even(spark, monkeypatch):
     for r in rows:
         k = r["doc_id"]
         assert list(r["payload"]) == [number[w] for w in (f"http{k}", "the", "the", "of", f"http{k % 50}")]
+
+
+def test_words_are_looked_up_in_bounded_parts(monkeypatch):
+    tokenizers = importlib.import_module("blockmill.functions.tokenizers")
+    texts = pa.array([" a b ", "", "c" * 50, "x  a", *["b a"] * 30])
+    words = pa.array(["a", "b"], pa.large_string())
+    whole = tokenizers._word_ids(texts, words).to_pylist()
+    assert whole[:4] == [[1, 2], [], [0], [0, 1]]
+    monkeypatch.setattr(tokenizers, "_TEXT_AT_ONCE", 20)
+    parts = list(tokenizers._text_slices(texts))
+    assert max(len("".join(p.to_pylist())) for p in parts if len(p) > 1) <= 20 and len(parts) > 4
+    assert pa.concat_arrays([tokenizers._word_ids(p, words) for p in parts]).to_pylist() == whole
+    assert [len(p) for p in tokenizers._text_slices(texts.slice(0, 0))] == [0]
