@@ -30,10 +30,12 @@ import base64
 import gc
 import hashlib
 import re
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
-import ahocorasick
+import numpy as np
 from pyspark.sql import DataFrame
 
 from blockmill.llm.texts import WordTable, map_rows
@@ -41,6 +43,14 @@ from blockmill.llm.texts import WordTable, map_rows
 # Cut only between characters that no pattern takes for white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _NEVER = 1 << 62
+# Chunks whose pieces are worked out together.
+CHUNKS_AT_ONCE = 1 << 14
+# Longest piece, in bytes, that goes step by step with others.
+STEPS_TOGETHER = 64
+PAIR_BITS = 20
+PAIR_SLOTS = 1 << PAIR_BITS
+# Fixed value: the golden ratio's odd multiplier, as a signed number (Fibonacci hashing).
+PAIR_HASH = np.int64(-7046029254386353131)
 
 
 @dataclass(frozen=True)
@@ -95,11 +105,17 @@ class Transducer:
                     self._token.append(None)
                 node = after
             self._token[node] = rank
-        # Tokens by their last byte, for pieces that are walked.
-        self._ends = ahocorasick.Automaton()
+        # The same trie for many pieces at once: edges by node * 256 + byte, in order.
+        edges = sorted((node << 8 | byte, after) for node, found in enumerate(self._children) for byte, after in found.items())
+        self._edges, self._edge_ends = np.array(edges, np.int64).T.copy()
+        self._node_tokens = np.array([-1 if t is None else t for t in self._token], np.int64)
+        self._sizes, self._shorter = (np.zeros(max(ranks.values()) + 1, np.int64) for _ in range(2))
         for token, rank in ranks.items():
-            self._ends.add_word(token.decode("latin-1"), (rank, len(token)))
-        self._ends.make_automaton()
+            self._sizes[rank] = len(token)
+            # The longest token that is a shorter beginning of this one; -1 for a byte.
+            self._shorter[rank] = next((ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in ranks), -1)
+        # Pairs met lately, each in the one slot that its key hashes to.
+        self._pair_keys, self._pair_fits = np.zeros(PAIR_SLOTS, np.int64), np.zeros(PAIR_SLOTS, bool)
         # By left token << 32 | right token.
         self._fits: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
@@ -147,12 +163,13 @@ class Transducer:
         if known is None:
             if len(self._fits) >= self._max_pairs:
                 self._fits.clear()
-            known = self._is_whole(right) and (
-                left < 0 or self._seam_holds(self._spine(left, 1), self._spine(right, 0))
-            )
-            self._fits[key] = known
+            known = self._fits[key] = self._fit_anew(left, right)
         return known
 
+    def _fit_anew(self, left: int, right: int) -> bool:
+        return self._is_whole(right) and (
+            left < 0 or self._seam_holds(self._spine(left, 1), self._spine(right, 0)))
+
     def _seam_holds(self, ends: list[int], begins: list[int]) -> bool:
         i = j = 0
         while True:
@@ -204,43 +221,126 @@ class Transducer:
         move = self._moves[at << 8 | byte] = (number, settled) if settled else number
         return move
 
-    def _walk(self, piece: bytes) -> list[int]:
-        """The tokens of a piece without keeping states.
-
-        The same relation as ``_move``, one prefix after the other: its last token is the
-        longest one that ends it and fits the last token of what stands before.
+    def _longest(self, piece: bytes, at: int) -> int:
+        """The longest token that begins at a byte."""
+        children, tokens = self._children, self._token
+        node = children[0][piece[at]]
+        found = tokens[node]
+        for k in range(at + 1, len(piece)):
+            node = children[node].get(piece[k])
+            if node is None:
+                break
+            if tokens[node] is not None:
+                found = tokens[node]
+        return found
+
+    def _go_on(self, piece: bytes, settled: list[int]) -> list[int]:
+        """The tokens of a piece whose first ones are settled, without keeping states.
+
+        The same relation as ``_move``: each token fits the one before. Longer tokens are
+        tried first; since a prefix has one last token only, a place from which no token
+        leads on is given up for good.
         """
-        last: list[int | None] = [-1, *[None] * len(piece)]
+        out, bytes_of, shorter = settled, self.bytes_of, self._shorter.item
         fits, fit_of = self._fits.get, self._fit
-        # Of the tokens that end at a byte the longest come first.
-        for end, (token, size) in self._ends.iter(piece.decode("latin-1")):
-            end += 1
-            if last[end] is None:
-                left = last[end - size]
-                fit = fits(left << 32 | token)
-                if fit is None:
-                    fit = fit_of(left, token)
-                if fit:
-                    last[end] = token
-        out, at = [], len(piece)
-        while at:
-            token = last[at]
-            out.append(token)
-            at -= len(self.bytes_of[token])
-        return out[::-1]
-
-    def encode(self, piece: bytes) -> list[int]:
+        at, end = sum([len(bytes_of[t]) for t in out]), len(piece)
+        dead, token = set(), self._longest(piece, at)
+        while True:
+            left = out[-1] if out else -1
+            while token >= 0:
+                after = at + len(bytes_of[token])
+                if after not in dead:
+                    fit = fits(left << 32 | token)
+                    if fit is None:
+                        fit = fit_of(left, token)
+                    if fit:
+                        break
+                token = shorter(token)
+            if token >= 0:
+                out.append(token)
+                if after == end:
+                    return out
+                at, token = after, self._longest(piece, after)
+            else:
+                dead.add(at)
+                token = out.pop()
+                at -= len(bytes_of[token])
+
+    def _longest_at(self, data: np.ndarray, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """``_longest`` at many places."""
+        found, open_, node, at = np.full(len(at), -1), np.arange(len(at)), np.zeros(len(at), np.int64), at.copy()
+        while len(open_):
+            key = node << 8 | data[at]
+            edge = np.minimum(np.searchsorted(self._edges, key), len(self._edges) - 1)
+            is_edge = self._edges[edge] == key
+            open_, at, node = open_[is_edge], at[is_edge] + 1, self._edge_ends[edge[is_edge]]
+            token = self._node_tokens[node]
+            found[open_[token >= 0]] = token[token >= 0]
+            inside = at < ends[open_]
+            open_, at, node = open_[inside], at[inside], node[inside]
+        return found
+
+    def _fit_each(self, lefts: np.ndarray, rights: np.ndarray) -> np.ndarray:
+        """``_fit`` of many pairs."""
+        keys = lefts + 2 << 32 | rights
+        slots = keys * PAIR_HASH >> 64 - PAIR_BITS & PAIR_SLOTS - 1
+        fits, unknown = self._pair_fits[slots], self._pair_keys[slots] != keys
+        if unknown.any():
+            new, which, back = np.unique(keys[unknown], return_index=True, return_inverse=True)
+            pairs = zip(lefts[unknown][which].tolist(), rights[unknown][which].tolist())
+            made = np.fromiter((self._fit_anew(a, b) for a, b in pairs), bool, len(new))
+            fits[unknown] = made[back]
+            slots = slots[unknown][which]
+            # Of keys that share a slot, numpy keeps the last in both tables.
+            self._pair_keys[slots], self._pair_fits[slots] = new, made
+        return fits
+
+    def _go_on_each(self, pieces: list[bytes], settled: list[list[int]]) -> list[list[int]]:
+        """``_go_on`` for many pieces, all of them one step after the other."""
+        bytes_of, n = self.bytes_of, len(pieces)
+        rests = [p[sum([len(bytes_of[t]) for t in s]):] for p, s in zip(pieces, settled)]
+        sizes = np.fromiter(map(len, rests), np.int64, n)
+        data = np.frombuffer(b"\0".join(rests) + b"\0", np.uint8).astype(np.int64)
+        ends = np.cumsum(sizes + 1) - 1
+        at = ends - sizes
+        first = np.fromiter((s[-1] if s else -1 for s in settled), np.int64, n)
+        out, depth = np.zeros((n, int(sizes.max())), np.int64), np.zeros(n, np.int64)
+        dead, left, token = np.zeros(len(data), bool), first.copy(), self._longest_at(data, at, ends)
+        open_ = np.arange(n)
+        while len(open_):
+            none = token[open_] < 0
+            if none.any():
+                back = open_[none]
+                dead[at[back]] = True
+                depth[back] -= 1
+                token[back] = out[back, depth[back]]
+                at[back] -= self._sizes[token[back]]
+                left[back] = np.where(depth[back] > 0, out[back, depth[back] - 1], first[back])
+            after = at[open_] + self._sizes[token[open_]]
+            good = ~dead[after]
+            good[good] = self._fit_each(left[open_[good]], token[open_[good]])
+            shorter, on = open_[~good], open_[good]
+            token[shorter] = self._shorter[token[shorter]]
+            out[on, depth[on]] = left[on] = token[on]
+            depth[on] += 1
+            at[on] = after[good]
+            more = on[at[on] < ends[on]]
+            token[more] = self._longest_at(data, at[more], ends[more])
+            open_ = np.concatenate([shorter, more])
+        return [s + row[:k] for s, row, k in zip(settled, out.tolist(), depth.tolist())]
+
+    def _run(self, piece: bytes) -> tuple[list[int], bool]:
+        """Tokens by the moves of the states, and whether these are all or only the settled first ones."""
         whole = self.ranks.get(piece)
         if whole is not None:
-            return [whole]
+            return [whole], True
         out: list[int] = []
         at, find, more = 0, self._moves.get, len(self._states) < self._max_states
         for byte in piece:
             move = find(at << 8 | byte)
             if move is None:
                 if not more:
-                    # The table is full: what it does not know is worked out and forgotten.
-                    return self._walk(piece)
+                    return out, False
                 move = self._learn(at, byte)
             if type(move) is int:
                 at = move
@@ -249,7 +349,28 @@ class Transducer:
                 out += settled
         # The last start is the end of the piece.
         out += self._states[at][1][-1]
-        return out
+        return out, True
+
+    def encode(self, piece: bytes) -> list[int]:
+        out, done = self._run(piece)
+        # The table is full: what it does not know is worked out and forgotten.
+        return out if done else self._go_on(piece, out)
+
+    def encode_each(self, pieces: list[bytes]) -> list[list[int]]:
+        """The tokens of many pieces; what the table does not know is worked out for all at once."""
+        found, rest = [], []
+        for k, piece in enumerate(pieces):
+            out, done = self._run(piece)
+            if not done:
+                if len(piece) <= STEPS_TOGETHER:
+                    rest.append(k)
+                else:
+                    out = self._go_on(piece, out)
+            found.append(out)
+        if rest:
+            for k, out in zip(rest, self._go_on_each([pieces[k] for k in rest], [found[k] for k in rest])):
+                found[k] = out
+        return found
 
 
 # Lead byte ranges of UTF-8 with the range of the second byte and the
@@ -344,24 +465,29 @@ class Encoder:
         self._older: dict[str, tuple[int, ...]] = {}
         self._most = settings.pieces
 
-    def _chunk(self, chunk: str) -> list[int]:
-        pieces = self._pieces(chunk)
-        out: list[int] = []
-        for piece in pieces:
-            # Chunks that differ in their punctuation share their pieces.
-            found = self._known.get(piece)
-            if found is None:
-                found = self._older.get(piece)
-                if found is None:
-                    found = tuple(self.transducer.encode(piece.encode("utf-8")))
-                if len(self._known) >= self._most:
-                    self._older, self._known = self._known, {}
-                self._known[piece] = found
-            out += found
+    def _encode(self, chunks: list[str]) -> list[Sequence[int]]:
+        out: list[Sequence[int]] = []
+        for first in range(0, len(chunks), CHUNKS_AT_ONCE):
+            pieces = list(map(self._pieces, chunks[first: first + CHUNKS_AT_ONCE]))
+            found = self._tokens_of(dict.fromkeys(chain.from_iterable(pieces)))
+            out += [found[p[0]] if len(p) == 1 else list(chain.from_iterable(map(found.__getitem__, p))) for p in pieces]
         return out
 
-    def _encode(self, chunks: list[str]) -> list[list[int]]:
-        return [self._chunk(c) for c in chunks]
+    def _tokens_of(self, pieces: Iterable[str]) -> dict[str, tuple[int, ...]]:
+        # Chunks that differ in their punctuation share their pieces.
+        found: dict[str, tuple[int, ...]] = {}
+        new = []
+        for piece in pieces:
+            tokens = self._known.get(piece) or self._older.get(piece)
+            if tokens is None:
+                new.append(piece)
+            else:
+                found[piece] = tokens
+        found.update(zip(new, map(tuple, self.transducer.encode_each([p.encode("utf-8") for p in new]))))
+        if len(self._known) + len(found) > self._most:
+            self._older, self._known = self._known, {}
+        self._known.update(found)
+        return found
 
     @staticmethod
     def _chunks(text: str | None) -> list[str]:

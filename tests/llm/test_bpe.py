@@ -72,3 +72,32 @@ def test_rank_file_reader(tmp_path):
     path = tmp_path / "ranks"
     path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in [(b"a", 0), (b"ab", 1)]))
     assert B.read_ranks(str(path)) == {b"a": 0, b"ab": 1}
+
+
+def test_words_past_the_table_are_worked_out_together(monkeypatch):
+    """Many unknown words with a full table: one by one only those that are very long."""
+    tiny = B.Encoder(B.BpeSettings(SETTINGS.rank_file, SETTINGS.pattern, chunks=5000, pieces=100, states=30, pairs=50))
+    rng, alone = random.Random(7), []
+    go_on = tiny.transducer._go_on
+    monkeypatch.setattr(tiny.transducer, "_go_on", lambda piece, out: alone.append(len(piece)) or go_on(piece, out))
+    letters = "abcdefghiklmnoprstuvéßжщ漢🙂"
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(3000)] + ["ab" * 60, "é" * 200]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(20)] + [" ".join(words)]
+    assert tiny(texts) == [LIBRARY.encode_ordinary(t) for t in texts]
+    assert alone and min(alone) > B.STEPS_TOGETHER
+
+
+def test_random_merges_together():
+    rng = random.Random(5)
+    for _ in range(20):
+        ranks = {bytes([b]): b for b in range(256)}
+        tokens = [b"a", b"b", b"c"]
+        while len(ranks) < 290:
+            token = rng.choice(tokens) + rng.choice(tokens)
+            if token not in ranks:
+                ranks[token] = len(ranks)
+                tokens.append(token)
+        machine = B.Transducer(ranks, states=rng.choice([1, 40]))
+        pieces = [bytes(rng.choices(b"abc", k=rng.randint(1, 30))) for _ in range(300)]
+        want = [[ranks[p]] if p in ranks else B.merge(p, ranks) for p in pieces]
+        assert machine.encode_each(pieces) == want == [machine.encode(p) for p in pieces]
