@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from blockmill.llm.texts import (
-    SLICE, SPACES, WordTable, code_points_in_words, covered, map_rows, utf8, window_ids,
+    SLICE, SPACES, WordTable, code_points_in_words, covered, map_rows, tidy, utf8, window_ids,
 )
 
 SLICE_BYTES = 4 << 20
@@ -302,5 +302,5 @@ def keep_good(docs: DataFrame, rules: FertilityRules | None = None) -> DataFrame
             yield pd.Series(kept, dtype=bool)
 
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    verdict = F.pandas_udf(passes, "boolean", F.PandasUDFType.SCALAR_ITER)
+    verdict = F.pandas_udf(tidy(passes), "boolean", F.PandasUDFType.SCALAR_ITER)
     return docs.filter(verdict(F.col("text"), lang))

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from blockmill.llm.graph import components
-from blockmill.llm.texts import map_rows, set_aside, utf8
+from blockmill.llm.texts import map_rows, set_aside, tidy, utf8
 from blockmill.session import stored
 
 BITS = 64
@@ -125,7 +125,7 @@ def bit_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
         )
 
     # One row for each pair of bits, however many fingerprints there are.
-    found = nodes.select("fp").mapInArrow(count, schema).groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    found = nodes.select("fp").mapInArrow(tidy(count), schema).groupBy("cell").agg(F.sum("n").alias("n")).collect()
     flat = np.zeros((BITS + 1) * BITS, np.int64)
     for cell, n in found:
         flat[cell] = n

@@ -37,7 +37,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from blockmill.llm.texts import map_columns, map_rows, set_aside, words
+from blockmill.llm.texts import map_columns, map_rows, set_aside, tidy, words
 from blockmill.session import stored
 
 LAST = (1 << 63) - 1
@@ -244,7 +244,7 @@ def _held_in_buckets(strings: DataFrame, window: int) -> DataFrame:
             yield batch()
 
     dealt = strings.select("mini", "sid", "packed", "doc").repartition("mini").sortWithinPartitions("mini")
-    return dealt.mapInArrow(run, FOUND)
+    return dealt.mapInArrow(tidy(run), FOUND)
 
 
 def _held_by_window(strings: DataFrame, window: int) -> DataFrame:
@@ -352,16 +352,17 @@ def remove_repeats(docs: DataFrame, settings: RepeatSettings = RepeatSettings())
     A text that loses something is its kept words joined by one space.
     """
 
-    @F.pandas_udf("string")
-    def cut(texts, starts, sizes):
-        def one(text, first, n):
-            if first is None:
-                return text
-            spans = [{"first": a, "n": b} for a, b in zip(first, n)]
-            return b" ".join(kept_words(words(text), spans)).decode("utf-8")
+    def one(text, first, n):
+        if first is None:
+            return text
+        spans = [{"first": a, "n": b} for a, b in zip(first, n)]
+        return b" ".join(kept_words(words(text), spans)).decode("utf-8")
 
-        return pd.Series([one(*x) for x in zip(texts, starts, sizes)], dtype=object)
+    def each(batches):
+        for texts, starts, sizes in batches:
+            yield pd.Series([one(*x) for x in zip(texts, starts, sizes)], dtype=object)
 
+    cut = F.pandas_udf(tidy(each), "string", F.PandasUDFType.SCALAR_ITER)
     docs, back = set_aside(docs)
     marked = with_spans(docs, settings, "__spans")
     text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(

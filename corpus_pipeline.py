@@ -20,6 +20,7 @@ without ``doc_id`` stays through the second stage.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -29,6 +30,8 @@ from blockmill.session import stored
 
 # The whole size of what is left is the budget: large sources give way to small ones.
 MIX_PERCENT = 100
+# The encoder's tables beside a heap that the stages before have filled; they decide no token.
+BPE_TABLES = {"chunks": 100_000, "pieces": 50_000, "states": 20_000}
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +52,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_and_decode(docs, ids=True)
+    settings = replace(bpe.default_settings(), **BPE_TABLES)
+    return bpe.encode_and_decode(docs, settings, ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

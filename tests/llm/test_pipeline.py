@@ -4,11 +4,13 @@ import hashlib
 from collections import Counter
 
 import duckdb
+import psutil
 import pytest
 import tiktoken
 
 import corpus_pipeline as P
 from blockmill.llm import bpe, queries as Q
+from blockmill.llm.texts import tidy
 from llm_cases import comparable
 from test_quality_rules import brute as quality
 from test_simhash import groups, slow_print
@@ -84,3 +86,19 @@ def test_the_contract_registers_all():
 
     numbers = {n.split("_")[0] for n in contract.queries() if n.startswith("op")}
     assert numbers == {f"op{k}" for k in range(1, 14)} and "pipeline" in contract.queries()
+
+
+def test_a_worker_gives_back_what_a_task_has_freed():
+    """Blocks below the last one in use stay with the allocator unless it is told."""
+    held = []
+
+    def task(batches):
+        blocks = [bytes(100_000) for _ in range(2000)]
+        held.append(bytes(100_000))
+        yield from batches
+        assert len(blocks) == 2000
+
+    process = psutil.Process()
+    before = process.memory_info().rss
+    assert list(tidy(task)([1, 2])) == [1, 2]
+    assert process.memory_info().rss - before < 50e6
