@@ -140,11 +140,12 @@ def written(spark: SparkSession, sf_dir: str) -> str:
 def damaged(spark: SparkSession, sf_dir: str) -> str:
     """Path of a build whose first shard was rewritten, whose last is gone, and that has a stray one."""
     path = written(spark, sf_dir)
-    rows = stored(scan_packed(spark, shards_of(path)).drop("file", "shard_id"), "rows")
-    first = rows.filter(F.col("block_id") < BLOCKS_PER_SHARD)
+    rows = scan_packed(spark, shards_of(path))
+    last = rows.agg(F.max("block_id")).first()[0] // BLOCKS_PER_SHARD
+    # Only the shard that is rewritten has to lie elsewhere meanwhile.
+    first = stored(rows.filter(F.col("shard_id") == 0).drop("file", "shard_id"), "rows")
     write_shards(
         first.withColumn("source", F.concat("source", F.lit("x"))), shards_of(path), BLOCKS_PER_SHARD, mode="overwrite")
-    last = rows.agg(F.max("block_id")).first()[0] // BLOCKS_PER_SHARD
     drop_shards(spark, shards_of(path), last)
     write_shards(first, shards_of(path), BLOCKS_PER_SHARD, first_shard=STRAY_SHARD, mode="append")
     return path

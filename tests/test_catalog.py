@@ -51,3 +51,17 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
     assert set(contract.queries()) >= set(QUERIES)
     assert contract.oracle_sql().items() >= ORACLE.items()
+
+
+def test_damage_keeps_one_shard_aside(spark, small, monkeypatch):
+    from catalog import queries as Q
+
+    kept, store = [], Q.stored
+    monkeypatch.setattr(Q, "BLOCKS_PER_SHARD", 100)
+    monkeypatch.setattr(Q, "stored", lambda df, label: kept.append(store(df, label)) or kept[-1])
+    path = Q.damaged(spark, small)
+    assert [df.count() for df in kept] == [100]
+    shards = {r["shard_id"]: r["n"] for r in Q.scan_packed(spark, Q.shards_of(path)).groupBy("shard_id").agg(
+        Q.F.count("*").alias("n")).collect()}
+    assert max(k for k in shards if k != Q.STRAY_SHARD) == len(shards) - 2 > 2
+    assert set(shards.values()) == {100}
