@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 import importlib
 import random
 
@@ -310,3 +311,14 @@ def test_words_are_looked_up_in_bounded_parts(monkeypatch):
     assert max(len("".join(p.to_pylist())) for p in parts if len(p) > 1) <= 20 and len(parts) > 4
     assert pa.concat_arrays([tokenizers._word_ids(p, words) for p in parts]).to_pylist() == whole
     assert [len(p) for p in tokenizers._text_slices(texts.slice(0, 0))] == [0]
+
+
+def test_digest_joins_ids_without_a_string_of_each(spark):
+    rows = [[1, 2, 300], [], [0], [-1, 5], [7, None, 8], [None], [None, None, 10], None, [2**31 - 1, -2**31]]
+    for kind in ("int", "long"):
+        got = spark.createDataFrame([(k, ids) for k, ids in enumerate(rows)], f"k int, ids array<{kind}>").select(
+            "k", ids_digest(F.col("ids")).alias("digest"))
+        want = [ids if ids is None else hashlib.md5(",".join(str(i) for i in ids if i is not None).encode()).hexdigest()
+                for ids in rows]
+        assert [r["digest"] for r in got.orderBy("k").collect()] == want
+        assert "to_json(" in got._jdf.queryExecution().analyzed().toString()
