@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import model
+from catalog.queries import run_stream
 from blockmill.functions import ByteTokenizer
 from blockmill.operators.vocabulary import build_vocab, word_tokenizer
 from blockmill.sources import stream_packed, write_shards
@@ -176,6 +177,25 @@ def test_shards_stream_from_a_folder_that_is_still_empty(spark, tmp_path):
         *[(k // 10, k, [k], "s") for k in range(40)], (9, 0, [7], "f"), (9, 1, [8], "f")]
 
 
+def test_a_stream_lists_many_shards_in_a_few_tasks(spark, tmp_path):
+    """No stage has a task for each shard folder, neither when the stream is set up nor when it runs."""
+    rows = spark.range(80).select(
+        F.col("id").alias("block_id"), F.array(F.col("id").cast("int")).alias("input_ids"), F.lit("s").alias("source"))
+    write_shards(rows, f"{tmp_path}/shards", 1)
+
+    def next_stage():
+        job = spark.sparkContext._jsc.sc().dagScheduler().nextStageId()
+        return int(job)
+
+    first = next_stage()
+    found = run_stream(
+        spark, stream_packed(spark, f"{tmp_path}/shards", 40), places=(f"{tmp_path}/out", f"{tmp_path}/state"))
+    status = spark.sparkContext.statusTracker()
+    stages = [s for s in map(status.getStageInfo, range(first, next_stage())) if s]
+    assert len(stages) >= 4 and max(s.numTasks for s in stages) <= 40
+    assert sorted(r["block_id"] for r in found.collect()) == list(range(80))
+
+
 def test_hot_source_gets_more_lanes_and_no_token_is_lost(spark, tmp_path):
     """Every token of the stream is in a block or in what a lane still carries; none twice."""
     def arrive(first, last):
