@@ -12,6 +12,7 @@ import model
 from catalog.queries import run_stream
 from blockmill.functions import ByteTokenizer
 from blockmill.operators.vocabulary import build_vocab, word_tokenizer
+from blockmill.session import plain_renames
 from blockmill.sources import stream_packed, write_shards
 from blockmill.streaming import ProgressLog, observed, pack_stream, plan_lanes
 from helpers import table
@@ -196,6 +197,37 @@ def test_a_stream_lists_many_shards_in_a_few_tasks(spark, tmp_path):
     assert sorted(r["block_id"] for r in found.collect()) == list(range(80))
 
 
+def test_a_stream_renames_its_local_logs_without_processes(spark, tmp_path):
+    """A checkpoint begun the usual way goes on with plain renames, no shard lost or read twice."""
+    path, places = f"{tmp_path}/shards", (f"{tmp_path}/out", f"{tmp_path}/state")
+    rows = spark.range(40).select(
+        F.col("id").alias("block_id"), F.array(F.col("id").cast("int")).alias("input_ids"), F.lit("s").alias("source"))
+    write_shards(rows.filter("block_id < 16"), path, 1)
+    usual = (stream_packed(spark, path, 1).writeStream.format("parquet").option("path", places[0])
+             .option("checkpointLocation", places[1]).trigger(availableNow=True).start())
+    usual.awaitTermination()
+    write_shards(rows.filter("block_id >= 16"), path, 1, mode="append")
+    managers = []
+
+    class Log(ProgressLog):
+        def wait_for(self, query):
+            log = query._jsq.streamingQuery().offsetLog()
+            managers.append(log.fileManager().getClass().getSimpleName())
+
+    found = run_stream(spark, stream_packed(spark, path, 1), Log(), places)
+    assert managers == ["FileSystemBasedCheckpointFileManager"]
+    assert sorted(r["block_id"] for r in found.collect()) == list(range(40))
+    key = "spark.sql.streaming.checkpointFileManagerClass"
+    assert not spark.conf.get(key, None)
+    spark.conf.set(key, "set.by.others")
+    try:
+        with plain_renames(spark, *places):
+            assert spark.conf.get(key) == "set.by.others"
+        assert spark.conf.get(key) == "set.by.others"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_hot_source_gets_more_lanes_and_no_token_is_lost(spark, tmp_path):
     """Every token of the stream is in a block or in what a lane still carries; none twice."""
     def arrive(first, last):
