@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockmill.config import PackSettings, SourceSpec
@@ -59,11 +61,14 @@ def plan_documents(
 
 def pack_documents(
     docs: DataFrame, specs: Sequence[SourceSpec], settings: PackSettings, tokenizer,
-    end_block: int | None = None,
+    end_block: int | None = None, whole_shards: bool = False,
 ) -> DataFrame:
-    """The blocks of a mix as a table, nothing written; or those before ``end_block``."""
+    """The blocks of a mix as a table, nothing written; or those before ``end_block``.
+
+    With ``whole_shards`` they are ready for a clustered ``write_shards``.
+    """
     rows, plan = plan_documents(docs, specs, settings, tokenizer)
-    return pack(rows, plan, tokenizer, end_block=end_block)
+    return pack(rows, plan, tokenizer, whole_shards=whole_shards, end_block=end_block)
 
 
 def shards_of(path: str) -> str:
@@ -110,9 +115,10 @@ def _finish(
         written.unpersist()
 
 
-def _carry(spark: SparkSession, path: str, end_block: int) -> DataFrame:
-    """The tokens that are left after a block, in a row or none."""
-    if not exists(spark, f"{path}/packed/part=carry"):
+def _carry(spark: SparkSession, plan: MixPlan, path: str, end_block: int) -> DataFrame:
+    """The tokens that are left after the last block of a plan, in a row or none."""
+    # Before the end the folder is not looked at: the next wave may be writing it.
+    if end_block < plan.n_blocks or not exists(spark, f"{path}/packed/part=carry"):
         return spark.createDataFrame([], "carry array<int>")
     rows = spark.read.parquet(f"{path}/packed/part=carry").filter(F.col("block_id") == end_block)
     return rows.select(F.col("input_ids").alias("carry"))
@@ -122,7 +128,7 @@ def _state(
     spark: SparkSession, counts: DataFrame, plan: MixPlan, path: str, end_block: int, next_shard: int, print_id: str,
     read: str | None,
 ) -> DataFrame:
-    settings, carry = plan.settings, _carry(spark, path, end_block)
+    settings, carry = plan.settings, _carry(spark, plan, path, end_block)
     return (
         counts.unionByName(carry, allowMissingColumns=True)
         .agg(
@@ -166,21 +172,36 @@ def _go_on(
 
     Where there are several waves, one pass over the text deals the documents out to
     folders, one for each, so a wave reads its own documents and no others. Folders that a
-    broken attempt has left serve again if the plan is the same.
+    broken attempt has left serve again if the plan is the same. While a wave is written,
+    the one before it gets its lines and state, always one after the other.
     """
     spark, per_shard = rows.sparkSession, plan.settings.blocks_per_shard
     left = -(-(plan.n_blocks - first_block) // per_shard)
     wave = wave_shards or max(WAVE_SHARDS, -(-left // MAX_WAVES))
     start, wave, staged = _staged(rows, plan, path, first_block, wave, left > wave, print_id)
-    while first_block < plan.n_blocks:
-        number = (first_block - start) // (wave * per_shard)
-        end_block = min(plan.n_blocks, first_block + wave * per_shard)
-        next_shard = first_shard + -(-(end_block - first_block) // per_shard)
-        own = rows if staged is None else spark.read.parquet(f"{staged}/wave={number}")
-        _write(own, plan, tokenizer, path, first_block, end_block, first_shard, staged is not None)
+
+    @inheritable_thread_target(spark)
+    def remember(end_block: int, first_shard: int, next_shard: int) -> None:
         read = _read_digest(rows, plan, end_block)
         _finish(spark, plan, path, end_block, first_shard, next_shard, print_id, read)
-        first_block, first_shard = end_block, next_shard
+
+    with ThreadPoolExecutor(1) as aside:
+        before = None
+        while first_block < plan.n_blocks:
+            number = (first_block - start) // (wave * per_shard)
+            end_block = min(plan.n_blocks, first_block + wave * per_shard)
+            next_shard = first_shard + -(-(end_block - first_block) // per_shard)
+            own = rows if staged is None else spark.read.parquet(f"{staged}/wave={number}")
+            try:
+                _write(own, plan, tokenizer, path, first_block, end_block, first_shard, staged is not None)
+            finally:
+                # Also where this wave breaks, the one before is remembered, or its own error raised.
+                if before is not None:
+                    before.result()
+            before = aside.submit(remember, end_block, first_shard, next_shard)
+            first_block, first_shard = end_block, next_shard
+        if before is not None:
+            before.result()
     remove(spark, f"{path}/tokens")
     remove(spark, f"{path}/staged")
 

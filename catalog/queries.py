@@ -670,10 +670,10 @@ def resume_query(spark, sf_dir):
     path = scratch_path(spark, "build")
     plan = build(docs, specs, settings(limits.total_tokens // 2), BYTES, path)
     # What a larger attempt leaves that breaks before its state: stray shards past the last one.
-    stray = pack_documents(documents(spark, sf_dir), doc_specs(), settings(), BYTES)
+    stray = pack_documents(documents(spark, sf_dir), doc_specs(), settings(), BYTES, whole_shards=True)
     write_shards(
         stray.drop("n_docs"), shards_of(path), BLOCKS_PER_SHARD,
-        first_shard=-(-plan.n_blocks // BLOCKS_PER_SHARD), mode="append",
+        first_shard=-(-plan.n_blocks // BLOCKS_PER_SHARD), mode="append", clustered=True,
     )
     resume(docs, specs, limits, BYTES, path)
     return block_rows(scan_packed(spark, shards_of(path)), "shard_id")

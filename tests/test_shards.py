@@ -1,5 +1,6 @@
 import glob
 import hashlib
+import threading
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -243,6 +244,43 @@ def test_waves_go_on_where_they_stopped(spark, docs, tmp_path, breaks, monkeypat
     assert set(verdicts(spark, path).values()) == {"ok"} and not glob.glob(f"{path}/tokens")
 
 
+def test_a_wave_is_written_while_the_one_before_is_remembered(spark, docs, tmp_path, monkeypatch):
+    """States still come one after the other, and one is kept where the wave after it breaks."""
+    path, begun, states = f"{tmp_path}/out", [threading.Event() for _ in range(5)], []
+    write, finish = build_module._write, build_module._finish
+
+    def slow_finish(spark, plan, path, end_block, first_shard, next_shard, *more):
+        # Waits for the next wave, which has to begin without this one's state.
+        assert begun[first_shard + 1].wait(60)
+        finish(spark, plan, path, end_block, first_shard, next_shard, *more)
+        states.append(next_shard)
+
+    def watched_write(rows, plan, tok, path, first_block, end_block, first_shard, placed):
+        begun[first_shard].set()
+        if first_shard == 3:
+            raise Broken
+        write(rows, plan, tok, path, first_block, end_block, first_shard, placed)
+
+    monkeypatch.setattr(build_module, "_finish", slow_finish)
+    monkeypatch.setattr(build_module, "_write", watched_write)
+    with pytest.raises(Broken):
+        build(docs, SPECS, settings(LEN * PER_SHARD * 5), TOK, path, wave_shards=1)
+    assert states == [1, 2, 3] and load_state(spark, f"{path}/state").first()["shard_idx"] == 3
+    monkeypatch.undo()
+    resume(docs, SPECS, settings(LEN * PER_SHARD * 5), TOK, path, wave_shards=1)
+    assert blocks_of(scan_packed(spark, shards_of(path))) == first_blocks(spark, docs, LEN * PER_SHARD * 5)
+    assert set(verdicts(spark, path).values()) == {"ok"}
+
+
+def test_packed_whole_shards_are_written_without_another_shuffle(spark, docs, tmp_path):
+    blocks = pack_documents(docs, SPECS, settings(LEN * PER_SHARD * 5), TOK, whole_shards=True)
+    write_shards(blocks, f"{tmp_path}/out", PER_SHARD, first_shard=7, mode="append", clustered=True)
+    assert len(glob.glob(f"{tmp_path}/out/shard_id=*/*.parquet")) == 5
+    found = scan_packed(spark, f"{tmp_path}/out")
+    assert blocks_of(found) == first_blocks(spark, docs, LEN * PER_SHARD * 5)
+    assert {r[0] for r in found.select("shard_id").distinct().collect()} == set(range(7, 12))
+
+
 def test_resume_writes_no_old_shard(spark, docs, tmp_path):
     path = f"{tmp_path}/out"
     build(docs, SPECS, settings(LEN * PER_SHARD * 2), TOK, path)
